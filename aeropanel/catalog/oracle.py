@@ -17,11 +17,14 @@ from aeropanel.schema import (
     display_name,
 )
 from aeropanel.sources.driver_tables import (
+    AS_OF,
     BASE_PERIOD,
     CITY_DAY_SQL,
     DIAGNOSED,
     EVENT_PERIOD,
+    FIRST_HOUR,
     HOURLY_SQL,
+    LATE_TYPE,
     METROS,
     N_YEARS,
 )
@@ -34,7 +37,9 @@ def _plain(text: str) -> str:
 
 
 def rd(expr: str, digits: int) -> str:
-    """Rounding in decimal, half away from zero, as Spark rounds a double."""
+    """Rounding in decimal, half away from zero, as Spark rounds a double; whole numbers need no decimal."""
+    if digits == 0:
+        return f"round(CAST({expr} AS DOUBLE))"
     return f"CAST(round(CAST({expr} AS DECIMAL(30, 12)), {digits}) AS DOUBLE)"
 
 
@@ -236,5 +241,87 @@ def index_sql() -> dict[str, str]:
     }
 
 
+HOURS = f"hours AS ({_plain(HOURLY_SQL)})"
+FEED = {"pm2_5": "PM25", "pm10": "PM10", "nitrogen_dioxide": "NO2", "sulphur_dioxide": "SO2",
+        "carbon_monoxide": "CO", "ozone": "O3"}
+DAY_LONG, SHORT = ["pm2_5", "pm10", "nitrogen_dioxide", "sulphur_dioxide"], ["carbon_monoxide", "ozone"]
+
+
+def rolling_ctes(dense: str) -> str:
+    """Means over rows of a table `dense` (station, time, n, readings) without gaps."""
+    m24 = ", ".join(f"CASE WHEN count({c}) OVER d >= 16 THEN avg({c}) OVER d END AS mean24_{c}" for c in DAY_LONG)
+    m8 = ", ".join(f"CASE WHEN n >= 8 AND count({c}) OVER e >= 6 THEN avg({c}) OVER e END AS mean8_{c}" for c in SHORT)
+    x8 = ", ".join(f"max(mean8_{c}) OVER (PARTITION BY station ORDER BY time ROWS 16 PRECEDING) AS max8_{c}"
+                   for c in SHORT)
+    levels = ", ".join(f"{rd(f'mean24_{c}', 1)} AS {FEED[c]}" for c in DAY_LONG)
+    return f"""{dense}, means AS (SELECT *, {m24}, {m8} FROM dense
+        WINDOW d AS (PARTITION BY station ORDER BY time ROWS 23 PRECEDING),
+               e AS (PARTITION BY station ORDER BY time ROWS 7 PRECEDING)),
+      highest AS (SELECT *, {x8} FROM means),
+      levels AS (SELECT * EXCLUDE (pm10), {levels}, {rd('max8_carbon_monoxide * 0.001', 2)} AS CO, {rd('max8_ozone', 1)} AS O3,
+        NULL::DOUBLE AS NH3 FROM highest)"""
+
+
+FEED_COLS = ", ".join(FEED)
+DENSE = f"""{HOURS}, spans AS (SELECT station, min(time) AS f, max(time) AS l FROM hours GROUP BY station),
+    spine AS (SELECT station, unnest(generate_series(f, l, INTERVAL 1 HOUR)) AS time FROM spans),
+    dense AS (SELECT spine.station, spine.time, {FEED_COLS},
+        row_number() OVER (PARTITION BY spine.station ORDER BY spine.time) AS n
+      FROM spine LEFT JOIN hours USING (station, time))"""
+ROLLING = f"""{rolling_ctes(DENSE)}, whole AS (SELECT * FROM levels WHERE n >= 24),
+    {index_ctes('whole', 'station, time, pm2_5', 'rolling')}"""
+INDEXED = ", ".join(["station", "time", *INDEX_POLLUTANTS, "AQI_calc", "Dominant", "Bucket_calc"])
+LATEST = f"""{ROLLING}, ends AS (SELECT station, max(time) AS end_time FROM dense
+      WHERE pm2_5 IS NOT NULL AND time <= TIMESTAMP '{AS_OF}' GROUP BY station),
+    recent AS (SELECT rolling.*, end_time FROM rolling JOIN ends USING (station)
+      WHERE time <= end_time AND time > end_time - INTERVAL 24 HOUR)"""
+
+
+def hourly_sql() -> dict[str, str]:
+    utc_hour = "date_trunc('hour', ts)"
+    return {
+        "local_hour": f"""SELECT event_id, {utc_hour} AS utc_hour,
+            date_trunc('hour', ts + INTERVAL 330 MINUTE) AS kolkata_hour FROM events""",
+        "hourly_arrays_flattened": f"WITH {HOURS} SELECT station, time, {FEED_COLS} FROM hours",
+        "dense_hours": f"WITH {DENSE} SELECT station, time, {FEED_COLS} FROM dense",
+        "mean24": f"WITH {rolling_ctes(DENSE)} SELECT station, time, "
+                  + ", ".join(f"{rd(f'mean24_{c}', 1)} AS {c}" for c in DAY_LONG) + " FROM highest",
+        "mean8": f"WITH {rolling_ctes(DENSE)} SELECT station, time, "
+                 + ", ".join(f"mean8_{c}" for c in SHORT) + " FROM highest",
+        "max8": f"WITH {rolling_ctes(DENSE)} SELECT station, time, "
+                + ", ".join(f"max8_{c}" for c in SHORT) + " FROM highest",
+        "rolling_index": f"WITH {ROLLING} SELECT {INDEXED} FROM rolling",
+        "latest_index": f"WITH {LATEST} SELECT {INDEXED} FROM recent WHERE time = end_time",
+        "trend24": f"WITH {LATEST} SELECT {INDEXED} FROM recent",
+        "live_ranking": f"""WITH {LATEST} SELECT CAST(row_number() OVER (ORDER BY AQI_calc DESC, station) AS INT) AS "rank",
+            station, time, AQI_calc, Dominant FROM recent WHERE time = end_time AND AQI_calc IS NOT NULL""",
+    }
+
+
+def stream_sql() -> dict[str, str]:
+    """The watermark is 2 hours behind the newest reading; an hour is sent when its end is not after it."""
+    mark = "(SELECT max(ts) - INTERVAL 2 HOUR FROM events)"
+    early_mark = f"(SELECT max(ts) - INTERVAL 2 HOUR FROM events WHERE event_type <> '{LATE_TYPE}')"
+    closed = f"time + INTERVAL 1 HOUR <= {mark}"
+    kept = f"""(SELECT * FROM events WHERE event_type <> '{LATE_TYPE}'
+        OR date_trunc('hour', ts) + INTERVAL 1 HOUR > {early_mark})"""
+    grid = f"""{HOURS}, bounds AS (SELECT TIMESTAMP '{FIRST_HOUR}' AS f, date_trunc('hour', {mark}) AS l),
+        spine AS (SELECT station, unnest(generate_series(f, l, INTERVAL 1 HOUR)) AS time
+          FROM (SELECT DISTINCT station FROM hours), bounds),
+        dense AS (SELECT spine.station, spine.time, {FEED_COLS}, hours.station IS NOT NULL AS present,
+            row_number() OVER (PARTITION BY spine.station ORDER BY spine.time) AS n
+          FROM spine LEFT JOIN hours USING (station, time))"""
+    seen = f"""{rolling_ctes(grid)}, seen AS (SELECT *, sum(present::INT) OVER (
+            PARTITION BY station ORDER BY time ROWS 23 PRECEDING) AS readings FROM levels),
+        whole AS (SELECT * FROM seen WHERE n >= 24 AND readings > 0 AND {closed}),
+        {index_ctes('whole', 'station, time', 'rolling')}"""
+    return {
+        "stream_hourly": f"WITH {HOURS} SELECT station, time, {FEED_COLS} FROM hours WHERE {closed}",
+        "stream_rolling_index": f"WITH {seen} SELECT {INDEXED} FROM rolling",
+        "stream_late_rows": f"""WITH hours AS ({HOURLY_SQL.format(events=kept)})
+            SELECT station, time, {FEED_COLS} FROM hours WHERE {closed}""",
+    }
+
+
 def all_sql() -> dict[str, str]:
-    return profile_sql() | clean_sql() | trend_sql() | index_sql()
+    return (profile_sql() | clean_sql() | trend_sql() | index_sql() | hourly_sql() | stream_sql())

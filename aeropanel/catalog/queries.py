@@ -5,13 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from aeropanel.functions import columns
 from aeropanel.operators import clean as cleaning
 from aeropanel.operators import daily_index as index
-from aeropanel.operators import profile, stats, trends
+from aeropanel.operators import hourly, profile, stats, trends
 from aeropanel.schema import INDEX_POLLUTANTS, POLLUTANTS
+from aeropanel.session import scratch_path
 from aeropanel.sources import driver_tables as given
 from aeropanel.sources import tables
+from aeropanel.streaming import hourly_stream as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -111,5 +115,67 @@ def index_queries() -> dict[str, Query]:
     }
 
 
+def hourly_queries() -> dict[str, Query]:
+    def local_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+        instant = F.col("ts").cast("timestamp")
+        return given.table(spark, sf_dir, "events").select(
+            "event_id", columns.local_hour(instant, "UTC").alias("utc_hour"),
+            columns.local_hour(instant, "Asia/Kolkata").alias("kolkata_hour"))
+
+    return {
+        "local_hour": local_hour,
+        "hourly_arrays_flattened": lambda s, d: hourly.flatten_hourly(hourly.nest_hourly(given.hourly(s, d))),
+        "dense_hours": over(given.hourly, hourly.densify_hours),
+        "mean24": over(given.hourly, hourly.mean24),
+        "mean8": over(given.hourly, hourly.mean8),
+        "max8": over(given.hourly, hourly.max8),
+        "rolling_index": over(given.hourly, hourly.rolling_index),
+        "latest_index": over(given.hourly, hourly.latest_index, given.AS_OF),
+        "trend24": over(given.hourly, hourly.trend24, given.AS_OF),
+        "live_ranking": over(given.hourly, hourly.live_ranking, given.AS_OF),
+    }
+
+
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # A pattern, because the file source takes a plain path to be a folder.
+    schema = given.table(spark, sf_dir, "events").schema
+    return given.readings(streaming.read_stream(spark, f"{sf_dir}/[e]vents.parquet", schema))
+
+
+def flat_hours(hours: DataFrame) -> DataFrame:
+    return hours.select("station", F.col("window.start").alias("time"), *hourly.FIELDS)
+
+
+def stream_queries() -> dict[str, Query]:
+    """Each runs its stream to the end and returns what it wrote."""
+
+    def finished(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(spark, name)
+        streaming.run_to_parquet(stream, f"{path}/out", f"{path}/checkpoint")
+        return spark.read.parquet(f"{path}/out")
+
+    def hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return finished(spark, flat_hours(streaming.stream_hourly(event_stream(spark, sf_dir))), "stream-hourly")
+
+    def rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
+        hours = streaming.stream_hourly(event_stream(spark, sf_dir))
+        return finished(spark, streaming.stream_rolling_index(hours, given.FIRST_HOUR), "stream-index")
+
+    def late(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """One kind of event arrives in a second run, after the watermark has passed most of it."""
+        path = scratch_path(spark, "stream-late")
+        events = given.table(spark, sf_dir, "events")
+        is_late = F.col("event_type") == given.LATE_TYPE
+        for part in (events.filter(~is_late), events.filter(is_late)):
+            part.write.mode("append").parquet(f"{path}/in")
+            arriving = given.readings(streaming.read_stream(spark, f"{path}/in", events.schema))
+            streaming.run_to_parquet(
+                flat_hours(streaming.stream_hourly(arriving)), f"{path}/out", f"{path}/checkpoint")
+        return spark.read.parquet(f"{path}/out")
+
+    return {"stream_hourly": hours, "stream_rolling_index": rolling, "stream_late_rows": late}
+
+
 def all_queries() -> dict[str, Query]:
-    return profile_queries() | clean_queries() | trend_queries() | index_queries()
+    return (profile_queries() | clean_queries() | trend_queries() | index_queries() | hourly_queries()
+            | stream_queries())

@@ -46,8 +46,8 @@ def reading(col: str) -> Column:
 
 def season(month: Column | str = "Month") -> Column:
     month = F.col(month) if isinstance(month, str) else month
-    named = [(month.isin(*months), F.lit(name)) for name, months in SEASON_MONTHS.items()]
-    return reduce(lambda rest, case: F.when(*case).otherwise(rest), named, F.lit("Post-Monsoon"))
+    named = reduce(lambda cases, s: cases.when(month.isin(*s[1]), F.lit(s[0])), SEASON_MONTHS.items(), F)
+    return named.otherwise(F.lit("Post-Monsoon"))
 
 
 def nice_date(col: Column | str) -> Column:
@@ -56,9 +56,9 @@ def nice_date(col: Column | str) -> Column:
 
 def category(value: Column) -> Column:
     """Name of the band a value falls in; null stays null."""
-    bounded = [c for c in CATEGORIES if c[2] is not None]
-    above = F.when(value.isNotNull(), F.lit(CATEGORY_NAMES[-1]))
-    return reduce(lambda rest, c: F.when(value <= c[2], F.lit(c[1])).otherwise(rest), reversed(bounded), above)
+    bounded = [(hi, name) for _, name, hi, _ in CATEGORIES if hi is not None]
+    banded = reduce(lambda cases, band: cases.when(value <= band[0], F.lit(band[1])), bounded, F)
+    return banded.when(value.isNotNull(), F.lit(CATEGORY_NAMES[-1]))
 
 
 def category_or_none(value: Column) -> Column:
@@ -70,34 +70,37 @@ def sub_index(value: Column, pollutant: str) -> Column:
 
     Upper edges belong to their band; the last band has no upper end, so its line goes on.
     """
-    corners = list(zip(CONCENTRATION_EDGES[pollutant], INDEX_EDGES, strict=True))
-    lines = [
+    corners = pairwise(zip(CONCENTRATION_EDGES[pollutant], INDEX_EDGES, strict=True))
+    *closed, top = [
         (c_hi, F.lit(float(i_lo)) + (value - c_lo) * (i_hi - i_lo) / (c_hi - c_lo))
-        for (c_lo, i_lo), (c_hi, i_hi) in pairwise(corners)
+        for (c_lo, i_lo), (c_hi, i_hi) in corners
     ]
-    *closed, (_, top) = lines
-    return reduce(lambda rest, band: F.when(value <= band[0], band[1]).otherwise(rest), reversed(closed), top)
+    banded = reduce(lambda cases, band: cases.when(value <= band[0], band[1]), closed, F)
+    return banded.otherwise(top[1])
 
 
-def is_valid_index(prefix: str = "SI_") -> Column:
-    """Enough sub-indices are present, and one of them is a particulate."""
-    present = sum((F.col(f"{prefix}{p}").isNotNull().cast("int") for p in INDEX_POLLUTANTS), F.lit(0))
-    particulate = F.coalesce(F.col(f"{prefix}PM25"), F.col(f"{prefix}PM10")).isNotNull()
-    return (present >= MIN_POLLUTANTS) & particulate
+def is_valid_index() -> Column:
+    """Enough pollutants were measured, and one of them is a particulate."""
+    measured = sum((F.col(p).isNotNull().cast("int") for p in INDEX_POLLUTANTS), F.lit(0))
+    return (measured >= MIN_POLLUTANTS) & (F.col("PM25").isNotNull() | F.col("PM10").isNotNull())
 
 
-def index_value(prefix: str = "SI_") -> Column:
-    worst = F.greatest(*(F.col(f"{prefix}{p}") for p in INDEX_POLLUTANTS))
-    return F.when(is_valid_index(prefix), F.round(worst))
+def rounded_sub_indices(prefix: str = "SI_") -> Column:
+    return F.array(*(F.round(F.col(f"{prefix}{p}")) for p in INDEX_POLLUTANTS))
 
 
-def dominant(index: Column, prefix: str = "SI_") -> Column:
+def index_value(rounded: Column) -> Column:
+    """Largest sub-index as a whole number; rounding keeps order, so it may come first."""
+    return F.when(is_valid_index(), F.array_max(rounded))
+
+
+def dominant(rounded: Column, index: Column) -> Column:
     """First pollutant, in table order, whose rounded sub-index equals the index.
 
     This is not the largest sub-index: 49.5 and 50.4 both round to 50 and the earlier name wins.
     """
-    return F.coalesce(*(
-        F.when(F.round(F.col(f"{prefix}{p}")) == index, F.lit(display_name(p))) for p in INDEX_POLLUTANTS))
+    names = F.array(*(F.lit(display_name(p)) for p in INDEX_POLLUTANTS))
+    return F.get(names, F.array_position(rounded, index).cast("int") - 1)
 
 
 def pct_change(before: Column, after: Column, digits: int = 0) -> Column:

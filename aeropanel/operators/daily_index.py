@@ -13,6 +13,7 @@ from aeropanel.functions.columns import (
     count_where,
     dominant,
     index_value,
+    rounded_sub_indices,
     sub_index,
 )
 from aeropanel.operators.clean import dedup_city_day, null_negatives, with_date
@@ -31,11 +32,11 @@ def _both() -> Column:
 
 def index_columns(df: DataFrame) -> DataFrame:
     """Adds SI_*, AQI_calc, Dominant and Bucket_calc to rows that hold the seven concentrations."""
-    return (
-        df.withColumns({f"SI_{p}": sub_index(F.col(p), p) for p in INDEX_POLLUTANTS})
-        .withColumn("AQI_calc", index_value())
-        .withColumns({"Dominant": dominant(F.col("AQI_calc")), "Bucket_calc": category(F.col("AQI_calc"))})
-    )
+    with_parts = df.withColumns({f"SI_{p}": sub_index(F.col(p), p) for p in INDEX_POLLUTANTS})
+    rounded = rounded_sub_indices()
+    with_index = with_parts.withColumn("AQI_calc", index_value(rounded))
+    calc = F.col("AQI_calc")
+    return with_index.withColumns({"Dominant": dominant(rounded, calc), "Bucket_calc": category(calc)})
 
 
 def index_of(rows: DataFrame) -> DataFrame:
@@ -98,8 +99,8 @@ def index_check(daily: DataFrame) -> DataFrame:
 
 def dominant_share(daily: DataFrame) -> DataFrame:
     """Days per dominant pollutant and their share of the days that have one."""
-    counts = daily.filter(F.col("Dominant").isNotNull()).groupBy("Dominant").agg(F.count("*").alias("days"))
-    return counts.withColumn("pct", share_of_total()).orderBy(F.desc("days"), "Dominant")
+    counts = daily.groupBy("Dominant").agg(F.count("Dominant").alias("days"))
+    return counts.withColumn("pct", share_of_total()).filter("days > 0").orderBy(F.desc("days"), "Dominant")
 
 
 def recorded_vs_calculated(daily: DataFrame, fraction: float = 0.4, seed: int = 7) -> DataFrame:

@@ -66,6 +66,9 @@ METROS = [f"NATION_{i}" for i in range(8)]
 DIAGNOSED = [f"NATION_{i}" for i in range(3)]
 BASE_PERIOD = ("1999-03-25", "1999-05-31")
 EVENT_PERIOD = ("2000-03-25", "2000-05-31")
+AS_OF = "2024-01-20 12:00:00"
+FIRST_HOUR = "2024-01-01 00:00:00"
+LATE_TYPE = "error"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,6 +89,11 @@ def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _query(spark, sf_dir, HOURLY_SQL, "events")
 
 
+def readings(events: DataFrame) -> DataFrame:
+    """One row per reading, from the events table or a stream of it."""
+    return events.sparkSession.sql(READINGS_SQL, events=events)
+
+
 def city_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _query(spark, sf_dir, "SELECT r_name AS Region, n_name AS City "
                                  "FROM {nation} JOIN {region} ON n_regionkey = r_regionkey", "nation", "region")
