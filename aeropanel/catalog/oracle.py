@@ -19,14 +19,18 @@ from aeropanel.schema import (
 from aeropanel.sources.driver_tables import (
     AS_OF,
     BASE_PERIOD,
+    CITY,
     CITY_DAY_SQL,
+    DAY,
     DIAGNOSED,
     EVENT_PERIOD,
     FIRST_HOUR,
     HOURLY_SQL,
     LATE_TYPE,
     METROS,
+    MONTH,
     N_YEARS,
+    YEAR,
 )
 
 TABLES = ["orders", "customer", "nation", "region", "events"]
@@ -323,5 +327,121 @@ def stream_sql() -> dict[str, str]:
     }
 
 
+def city_sql() -> dict[str, str]:
+    states = """states AS (SELECT n_name AS City, 'STATE_' || n_regionkey AS State FROM nation WHERE n_regionkey <> 4)"""
+    regions = "regions AS (SELECT r_name AS Region, n_name AS City FROM nation JOIN region ON n_regionkey = r_regionkey)"
+    rank = 'CAST(row_number() OVER (ORDER BY avg(AQI) DESC, City) AS INT) AS "rank"'
+    monthly = unions(f"SELECT City, {m}::INT AS Month, {rd(f'avg(AQI) FILTER (Month = {m})', 0)} AS value "
+                     "FROM clean GROUP BY City" for m in range(1, 13))
+    season = unions(f"SELECT City, {i}::INT AS slot, {rd(f'avg(AQI) FILTER (Season = {chr(39)}{s}{chr(39)})', 0)} AS value "
+                    "FROM clean GROUP BY City" for i, s in enumerate(SEASONS, 1))
+    levels = unions(f"SELECT City, '{display_name(p)}' AS pollutant, {rd(f'avg({p})', 2 if p == 'CO' else 1)} AS mean "
+                    "FROM clean GROUP BY City" for p in PROFILE_POLLUTANTS)
+    shares = unions(
+        f"SELECT City, {o}::INT AS ord, '{n}' AS AQI_Bucket, "
+        f"coalesce({rd(f'count(*) FILTER (AQI_Bucket = {chr(39)}{n}{chr(39)}) * 100.0 / count(AQI_Bucket)', 1)}, 0.0) AS pct "
+        "FROM clean GROUP BY City" for o, n, _, _ in CATEGORIES)
+    nice = "strftime({}, '%-d %b %Y')".format
+    bad = quoted(["Poor", "Very Poor", "Severe"])
+    total = rd("count(*) * 100.0 / (SELECT count(*) FROM clean)", 1)
+    limits = ", ".join(f"('{p}', {limit}::DOUBLE, '{unit}')" for p, limit, unit in LIMITS)
+    changes = unions(
+        f"SELECT '{display_name(c)}' AS measure, before, after, {rd('(after - before) / before * 100', 0)} AS change_pct "
+        f"FROM (SELECT {rd(f'avg({c}) FILTER ({IN_BASE})', 1)} AS before, {rd(f'avg({c}) FILTER ({IN_EVENT})', 1)} AS after "
+        "FROM clean WHERE City IN (SELECT City FROM comparison))" for c in ("AQI", "PM25", "NO2"))
+    return {
+        "city_rank": f"WITH {CLEAN} SELECT City, {rank} FROM clean GROUP BY City",
+        "city_rank_with_state": f"""WITH {CLEAN}, {states}, r AS (SELECT City, {rank} FROM clean GROUP BY City)
+            SELECT City, "rank", coalesce(State, '') AS State FROM r LEFT JOIN states USING (City)""",
+        "city_base": f"""WITH {CLEAN} SELECT City, {rd('avg(AQI)', 1)} AS avg, {rd('avg(PM25)', 1)} AS pm25,
+            count(*) AS days, min(Date) AS first, max(Date) AS last FROM clean GROUP BY City""",
+        "city_display_dates": f"""WITH {CLEAN} SELECT City, {nice('min(Date)')} AS first, {nice('max(Date)')} AS last
+            FROM clean GROUP BY City""",
+        "city_monthly_array": f"WITH {CLEAN} {monthly}",
+        "city_season_array": f"WITH {CLEAN} {season}",
+        "city_pollutants": f"WITH {CLEAN} {levels}",
+        "city_category_share": f"WITH {CLEAN} {shares}",
+        "city_yearly": f"WITH {CLEAN} SELECT City, Year, {rd('avg(AQI)', 0)} AS mean FROM clean GROUP BY City, Year",
+        "city_extremes": f"""WITH {CLEAN}, w AS (SELECT City, Date AS worst_day, AQI AS worst_aqi FROM clean
+              QUALIFY row_number() OVER (PARTITION BY City ORDER BY AQI DESC, Date) = 1)
+            SELECT w.*, best_aqi FROM w JOIN (SELECT City, min(AQI) AS best_aqi FROM clean GROUP BY City) USING (City)""",
+        "city_period": f"""WITH {COMPARISON}, all_cities AS (SELECT DISTINCT City FROM clean)
+            SELECT City, c.City IS NOT NULL AS known, aqi_base, aqi_event, pm25_base, pm25_event, no2_base, no2_event,
+              aqi_change_pct AS change_pct FROM all_cities LEFT JOIN comparison c USING (City)""",
+        "region_rollup": f"""WITH {CLEAN}, {regions}, m AS (SELECT City, {rd('avg(AQI)', 1)} AS a FROM clean GROUP BY City)
+            SELECT Region, count(*) AS cities, {rd('avg(a)', 1)} AS avg FROM m JOIN regions USING (City) GROUP BY Region""",
+        "poor_or_worse": f"""WITH {CLEAN}, s AS (SELECT AQI_Bucket, {total} AS pct FROM clean GROUP BY AQI_Bucket)
+            SELECT {rd('sum(pct)', 1)} AS poor_or_worse_pct FROM s WHERE AQI_Bucket IN ({bad})""",
+        "city_poor_or_worse": f"""WITH {CLEAN}, s AS ({shares}) SELECT City, {rd('sum(pct)', 1)} AS poor_or_worse_pct
+            FROM s WHERE AQI_Bucket IN ({bad}) GROUP BY City""",
+        "extreme_months": f"""WITH {CLEAN}, months AS (SELECT Month, {rd('avg(AQI)', 1)} AS v FROM clean GROUP BY Month)
+            SELECT (SELECT Month FROM months ORDER BY v DESC, Month LIMIT 1) AS worst_month,
+                   (SELECT Month FROM months ORDER BY v, Month LIMIT 1) AS cleanest_month""",
+        "city_extreme_months": f"""WITH {CLEAN}, months AS (SELECT City, Month, {rd('avg(AQI)', 0)} AS v
+              FROM clean GROUP BY City, Month),
+            o AS (SELECT *, row_number() OVER (PARTITION BY City ORDER BY v DESC, Month) AS hi,
+                  row_number() OVER (PARTITION BY City ORDER BY v, Month) AS lo FROM months)
+            SELECT City, max(Month) FILTER (hi = 1) AS worst_month, max(Month) FILTER (lo = 1) AS cleanest_month
+            FROM o GROUP BY City""",
+        "limit_exceedance": f"""WITH {CLEAN}, levels AS ({levels}), limits(pollutant, "limit", unit) AS (VALUES {limits})
+            SELECT City, pollutant, mean, "limit", unit, mean / "limit" AS ratio,
+              coalesce(mean > "limit", false) AS over FROM levels JOIN limits USING (pollutant)""",
+        "period_changes": f"WITH {COMPARISON} {changes}",
+    }
+
+
+def day_sql() -> dict[str, str]:
+    year, month = MONTH
+    spine = """spine AS (SELECT unnest(range(1, 13))::INT AS Month),
+        d AS (SELECT CAST(month(Date) AS INT) AS Month, day(Date) AS dom, {} AS v FROM daily
+              WHERE City = '%s' AND year(Date) = %d)""" % (CITY, YEAR)
+    days = ", ".join(f"max(v) FILTER (dom = {i}) AS d{i}" for i in range(1, 32))
+    names = quoted(MONTHS)
+
+    def calendar(value: str) -> str:
+        return f"""WITH {DAILY}, {spine.format(value)} SELECT Month, [{names}][Month] AS name, {days}
+            FROM spine LEFT JOIN d USING (Month) GROUP BY Month"""
+
+    grid = ", ".join(f"max(AQI_calc) FILTER (day(Date) = {i}) AS d{i}" for i in range(1, 31))
+    on_day = f"Date = DATE '{DAY}'"
+    counted = """y AS (SELECT City, CAST(year(Date) AS INT) AS Year, count(AQI_calc) AS days FROM daily GROUP BY ALL)"""
+    return {
+        "busiest_date": f"""WITH {DAILY} SELECT Date, count(AQI_calc) AS cities FROM daily GROUP BY Date
+            ORDER BY cities DESC, Date DESC LIMIT 1""",
+        "day_snapshot": f"""WITH {DAILY}, c AS (SELECT DISTINCT City FROM daily), d AS (SELECT * FROM daily WHERE {on_day}),
+            s AS (SELECT c.City, AQI_calc, AQI, Bucket_calc, Dominant, d.City IS NOT NULL AS has_row
+                  FROM c LEFT JOIN d ON c.City = d.City),
+            p AS (SELECT *, CAST(row_number() OVER (ORDER BY AQI_calc IS NULL, AQI_calc DESC, NOT has_row, City) AS INT)
+                  AS place FROM s)
+            SELECT *, CASE WHEN AQI_calc IS NOT NULL THEN place END AS "rank" FROM p""",
+        "day_summary": f"""WITH {DAILY}, d AS (SELECT * FROM daily WHERE {on_day} AND AQI_calc IS NOT NULL),
+            s AS (SELECT City, AQI_calc, row_number() OVER (ORDER BY AQI_calc DESC, City) AS n,
+                  count(*) OVER () AS total FROM d)
+            SELECT count(*) AS reporting, {rd('avg(AQI_calc)', 0)} AS mean,
+              max(City) FILTER (n = 1) AS worst_city, max(AQI_calc) FILTER (n = 1) AS worst_aqi,
+              max(City) FILTER (n = total) AS cleanest_city, max(AQI_calc) FILTER (n = total) AS cleanest_aqi,
+              count(*) FILTER (AQI_calc > 200) AS poor_or_worse FROM s""",
+        "month_grid": f"""WITH {DAILY}, c AS (SELECT DISTINCT City FROM daily),
+            d AS (SELECT City, Date, AQI_calc FROM daily WHERE year(Date) = {year} AND month(Date) = {month})
+            SELECT City, {grid} FROM c LEFT JOIN d USING (City) GROUP BY City""",
+        "year_calendar": calendar("AQI_calc"),
+        "year_calendar_recorded": calendar("AQI"),
+        "city_year_days": f"WITH {DAILY}, {counted} SELECT * FROM y WHERE days > 0",
+        "fullest_year": f"""WITH {DAILY}, {counted} SELECT City, Year, days FROM y WHERE days > 0
+            QUALIFY row_number() OVER (PARTITION BY City ORDER BY days DESC, Year DESC) = 1""",
+        "city_year_stats": f"""WITH {STORED}, o AS (SELECT *, CAST(year(Date) AS INT) AS Year,
+              row_number() OVER (PARTITION BY City, year(Date) ORDER BY stored_calc DESC NULLS LAST, Date) AS hi,
+              row_number() OVER (PARTITION BY City, year(Date) ORDER BY stored_calc NULLS LAST, Date) AS lo FROM again)
+            SELECT City, Year, count(*) AS "rows", count(stored_calc) AS days, {rd('avg(stored_calc)', 0)} AS mean,
+              max(stored_calc) FILTER (hi = 1) AS worst_aqi,
+              max(Date) FILTER (hi = 1 AND stored_calc IS NOT NULL) AS worst_day,
+              max(stored_calc) FILTER (lo = 1) AS cleanest_aqi,
+              max(Date) FILTER (lo = 1 AND stored_calc IS NOT NULL) AS cleanest_day,
+              count(*) FILTER (AQI_calc IS NOT DISTINCT FROM stored_calc) AS reconciled FROM o GROUP BY City, Year""",
+        "city_day_lookup": f"WITH {DAILY} SELECT {STORE_COLS} FROM daily WHERE City = '{CITY}' AND {on_day}",
+    }
+
+
 def all_sql() -> dict[str, str]:
-    return (profile_sql() | clean_sql() | trend_sql() | index_sql() | hourly_sql() | stream_sql())
+    return (profile_sql() | clean_sql() | trend_sql() | index_sql() | hourly_sql() | stream_sql() | city_sql()
+            | day_sql())

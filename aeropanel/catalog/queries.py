@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aeropanel.functions import columns
+from aeropanel.operators import cities, days, hourly, profile, stats, trends
 from aeropanel.operators import clean as cleaning
 from aeropanel.operators import daily_index as index
-from aeropanel.operators import hourly, profile, stats, trends
 from aeropanel.schema import INDEX_POLLUTANTS, POLLUTANTS
 from aeropanel.session import scratch_path
 from aeropanel.sources import driver_tables as given
@@ -176,6 +176,69 @@ def stream_queries() -> dict[str, Query]:
     return {"stream_hourly": hours, "stream_rolling_index": rolling, "stream_late_rows": late}
 
 
+def city_queries() -> dict[str, Query]:
+    periods = (given.BASE_PERIOD, given.EVENT_PERIOD)
+
+    def exploded(operator: Callable[[DataFrame], DataFrame], array: str, position: str) -> Query:
+        """One row per array element; positions count from 1."""
+        return lambda s, d: operator(clean_panel(s, d)).select("City", F.posexplode(array).alias("_at", "value")) \
+            .select("City", (F.col("_at") + 1).alias(position), "value")
+
+    def ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return cities.with_state(cities.city_rank(clean_panel(spark, sf_dir)), given.city_states(spark, sf_dir))
+
+    def period(spark: SparkSession, sf_dir: str) -> DataFrame:
+        flat = cities.city_period(clean_panel(spark, sf_dir), *periods)
+        pair = lambda c: [F.get(f"period.{c}", F.lit(i)).alias(f"{c}_{n}") for i, n in enumerate(("base", "event"))]
+        return flat.select("City", F.col("period").isNotNull().alias("known"), *pair("aqi"), *pair("pm25"), *pair("no2"),
+                           F.col("period.change_pct").alias("change_pct"))
+
+    def levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return cities.pollutants_long(cities.city_pollutants(clean_panel(spark, sf_dir)))
+
+    def shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return cities.category_share_long(cities.city_category_share(clean_panel(spark, sf_dir)))
+
+    return {
+        "city_rank": over(clean_panel, cities.city_rank),
+        "city_rank_with_state": ranked,
+        "city_base": over(clean_panel, cities.city_base),
+        "city_display_dates": lambda s, d: cities.city_base(clean_panel(s, d))
+        .select("City", columns.nice_date("first").alias("first"), columns.nice_date("last").alias("last")),
+        "city_monthly_array": exploded(cities.city_monthly_array, "monthly", "Month"),
+        "city_season_array": exploded(cities.city_season_array, "season", "slot"),
+        "city_pollutants": levels,
+        "city_category_share": shares,
+        "city_yearly": lambda s, d: cities.city_yearly(clean_panel(s, d)).select("City", F.inline("yearly")),
+        "city_extremes": over(clean_panel, cities.city_extremes),
+        "city_period": period,
+        "region_rollup": lambda s, d: cities.region_rollup(
+            cities.city_base(clean_panel(s, d)), given.city_regions(s, d)),
+        "city_profiles": lambda s, d: cities.city_profiles(clean_panel(s, d), given.city_states(s, d), *periods),
+        "poor_or_worse": lambda s, d: trends.poor_or_worse(trends.category_share(clean_panel(s, d))),
+        "city_poor_or_worse": lambda s, d: trends.poor_or_worse(shares(s, d), ["City"]),
+        "extreme_months": lambda s, d: cities.extreme_months(trends.monthly(clean_panel(s, d))),
+        "city_extreme_months": lambda s, d: cities.extreme_months(cities.city_months(clean_panel(s, d)), ["City"]),
+        "limit_exceedance": lambda s, d: cities.limit_exceedance(levels(s, d), tables.limits(s)),
+        "period_changes": lambda s, d: cities.period_changes(trends.period_overall(clean_panel(s, d), *periods)),
+    }
+
+
+def day_queries() -> dict[str, Query]:
+    return {
+        "busiest_date": over(daily_panel, days.busiest_date),
+        "day_snapshot": over(daily_panel, days.day_snapshot, given.DAY),
+        "day_summary": over(daily_panel, days.day_summary, given.DAY),
+        "month_grid": over(daily_panel, days.month_grid, *given.MONTH),
+        "year_calendar": over(daily_panel, days.year_calendar, given.CITY, given.YEAR),
+        "year_calendar_recorded": over(daily_panel, days.year_calendar, given.CITY, given.YEAR, "recorded"),
+        "city_year_days": over(daily_panel, days.city_year_days),
+        "fullest_year": over(daily_panel, days.fullest_year),
+        "city_year_stats": lambda s, d: days.city_year_stats(index.stored_form(daily_panel(s, d))),
+        "city_day_lookup": lambda s, d: days.lookup(index.daily_output(daily_panel(s, d)), given.CITY, given.DAY),
+    }
+
+
 def all_queries() -> dict[str, Query]:
     return (profile_queries() | clean_queries() | trend_queries() | index_queries() | hourly_queries()
-            | stream_queries())
+            | stream_queries() | city_queries() | day_queries())

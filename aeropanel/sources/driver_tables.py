@@ -66,6 +66,9 @@ METROS = [f"NATION_{i}" for i in range(8)]
 DIAGNOSED = [f"NATION_{i}" for i in range(3)]
 BASE_PERIOD = ("1999-03-25", "1999-05-31")
 EVENT_PERIOD = ("2000-03-25", "2000-05-31")
+DAY = "1999-04-10"
+MONTH = (1999, 4)
+CITY, YEAR = "NATION_3", 1998
 AS_OF = "2024-01-20 12:00:00"
 FIRST_HOUR = "2024-01-01 00:00:00"
 LATE_TYPE = "error"
