@@ -442,6 +442,26 @@ def day_sql() -> dict[str, str]:
     }
 
 
+def file_sql() -> dict[str, str]:
+    panel = ", ".join(["City", "Date", *POLLUTANTS, "AQI", "AQI_Bucket"])
+    rows = f"WITH {RAW} SELECT {panel} FROM raw"
+    stored = f"WITH {DAILY} SELECT {STORE_COLS} FROM daily"
+    day = ", ".join(f"{rd(p, 2)} AS {p}" for p in INDEX_POLLUTANTS)
+    return {
+        "daily_csv_read": rows,
+        "daily_csv_read_inferred": rows,
+        "normalized_columns": rows,
+        "city_ranking_sql": trend_sql()["city_ranking"],
+        "clean_parquet": clean_sql()["clean_panel"],
+        "daily_by_city_parquet": stored,
+        "one_city_parquet": f"{stored} WHERE City = '{CITY}'",
+        "daily_csv_export": f"WITH {DAILY} SELECT {STORE_COLS.replace(' AQI,', ' AQI AS AQI_recorded,')} FROM daily",
+        "city_documents": f"""WITH {DAILY} SELECT City, strftime(Date, '%Y-%m-%d') AS date, {day},
+            {rd('AQI', 0)} AS recorded, {rd('AQI_calc', 0)} AS calculated FROM daily""",
+        "ml_frame": f"WITH {CLEAN} SELECT City, Date, {', '.join(POLLUTANTS)}, AQI FROM clean",
+    }
+
+
 def all_sql() -> dict[str, str]:
     return (profile_sql() | clean_sql() | trend_sql() | index_sql() | hourly_sql() | stream_sql() | city_sql()
-            | day_sql())
+            | day_sql() | file_sql())

@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cache, reduce
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aeropanel.functions import columns
-from aeropanel.operators import cities, days, hourly, profile, stats, trends
+from aeropanel.operators import cities, days, hourly, ml, profile, stats, trends
 from aeropanel.operators import clean as cleaning
 from aeropanel.operators import daily_index as index
 from aeropanel.schema import INDEX_POLLUTANTS, POLLUTANTS
+from aeropanel.plans import documents, report
 from aeropanel.session import scratch_path
 from aeropanel.sources import driver_tables as given
-from aeropanel.sources import tables
+from aeropanel.sources import readers, tables, writers
 from aeropanel.streaming import hourly_stream as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -239,6 +242,147 @@ def day_queries() -> dict[str, Query]:
     }
 
 
+def file_queries() -> dict[str, Query]:
+    """Each writes what the tables give to a new folder and returns what it reads back."""
+
+    def csv_read(infer: bool) -> Query:
+        def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+            path = scratch_path(spark, "city-day-csv")
+            in_file = panel(spark, sf_dir).withColumnsRenamed({"PM25": "PM2.5"})
+            in_file.write.option("header", True).csv(path)
+            return readers.read_city_day(spark, path, infer)
+        return query
+
+    def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return readers.normalize_columns(panel(spark, sf_dir).withColumnsRenamed({"PM25": "PM2.5"}))
+
+    def ranking_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+        readers.register(clean_panel(spark, sf_dir), "aqi")
+        return spark.sql("""
+            SELECT City, round(mean(AQI), 1) AS avg_aqi, round(mean(PM25), 1) AS avg_pm25, count(1) AS days
+            FROM aqi GROUP BY ALL SORT BY avg_aqi DESC""")
+
+    def clean_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = scratch_path(spark, "clean")
+        writers.write_clean(clean_panel(spark, sf_dir).drop("k"), path)
+        return readers.read_daily(spark, path)
+
+    def daily_folder(spark: SparkSession, sf_dir: str) -> str:
+        path = scratch_path(spark, "daily")
+        writers.write_daily(daily_panel(spark, sf_dir), path)
+        return path
+
+    def csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = scratch_path(spark, "daily-csv")
+        export = writers.daily_export(daily_panel(spark, sf_dir))
+        writers.export_daily_csv(daily_panel(spark, sf_dir), path)
+        return readers.normalize_columns(spark.read.schema(export.schema).option("header", True).csv(path))
+
+    def documents_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = scratch_path(spark, "documents")
+        docs = writers.city_documents(daily_panel(spark, sf_dir))
+        writers.write_json(docs, path)
+        return writers.document_days(spark.read.schema(docs.schema).json(path))
+
+    return {
+        "daily_csv_read": csv_read(infer=False),
+        "daily_csv_read_inferred": csv_read(infer=True),
+        "normalized_columns": normalized,
+        "city_ranking_sql": ranking_sql,
+        "clean_parquet": clean_parquet,
+        "daily_by_city_parquet": lambda s, d: readers.read_daily(s, daily_folder(s, d)),
+        "one_city_parquet": lambda s, d: readers.read_city(s, daily_folder(s, d), given.CITY),
+        "daily_csv_export": csv_export,
+        "city_documents": documents_json,
+    }
+
+
+def parameters() -> report.Parameters:
+    return report.Parameters(n_years=given.N_YEARS, metros=given.METROS, diagnosed=given.DIAGNOSED,
+                             base=given.BASE_PERIOD, event=given.EVENT_PERIOD, order_by=given.TIE_BREAK)
+
+
+def document_queries() -> dict[str, Query]:
+    def overview(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return documents.overview_document(
+            panel(spark, sf_dir), clean_panel(spark, sf_dir), given.city_regions(spark, sf_dir),
+            given.BASE_PERIOD, given.EVENT_PERIOD)
+
+    def dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
+        daily = daily_panel(spark, sf_dir)
+        return documents.dashboard_document(
+            overview(spark, sf_dir), index.index_check(daily), index.dominant_share(daily))
+
+    def outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """The whole study without models -> each output and the rows read back from it."""
+        path = scratch_path(spark, "report")
+        written = report.run_report(
+            spark, raw_panel(spark, sf_dir), path, parameters(), given.city_states(spark, sf_dir),
+            given.city_regions(spark, sf_dir), with_models=False)
+        parquet = {"one_per_day", "clean_city_day", "daily_aqi"}
+        counts = [
+            (spark.read.parquet(p) if name in parquet else spark.read.text(p))
+            .agg(F.count("*").alias("lines")).select(F.lit(name).alias("output"), "lines")
+            for name, p in written.items()]
+        return reduce(DataFrame.union, counts)
+
+    return {"overview_document": overview, "dashboard_document": dashboard, "report_outputs": outputs}
+
+
+@cache
+def _study(spark: SparkSession, sf_dir: str) -> ml.Study:
+    """Models are fitted once per session and folder; the queries below read the same fit."""
+    return ml.study(clean_panel(spark, sf_dir))
+
+
+def model_queries() -> dict[str, Query]:
+    def quality(kind: str) -> Query:
+        def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+            fitted = _study(spark, sf_dir)
+            return ml.evaluate(ml.score(fitted.models[kind], fitted.test))
+        return query
+
+    def medians(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows, _ = ml.split(ml.ml_frame(clean_panel(spark, sf_dir)))
+        found = ml.imputer().fit(rows).surrogateDF
+        return found.unpivot([], POLLUTANTS, "pollutant", "median")
+
+    def imputed(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows, _ = ml.split(ml.ml_frame(clean_panel(spark, sf_dir)))
+        values = vector_to_array("features")
+        return ml.prepare(rows).transform(rows).select(
+            "City", "Date", *(F.get(values, F.lit(i)).alias(c) for i, c in enumerate(ml.IMPUTED)))
+
+    def split_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows, test = ml.split(ml.ml_frame(clean_panel(spark, sf_dir)))
+        named = [df.select(F.lit(name).alias("part")) for name, df in (("train", rows), ("test", test))]
+        return named[0].union(named[1]).groupBy("part").agg(F.count("*").alias("rows"))
+
+    def best_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+        fitted = _study(spark, sf_dir)
+        return ml.score(fitted.models[fitted.best], fitted.test).select("City", "Date", "AQI", "prediction")
+
+    def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return ml.model_summary(_study(spark, sf_dir), tables.ad_hoc_rows(spark, [tables.EXAMPLE_ROW]))
+
+    return {
+        "ml_frame": lambda s, d: ml.ml_frame(clean_panel(s, d)),
+        "imputer_medians": medians,
+        "imputed_features": imputed,
+        "train_test_split": split_sizes,
+        "linear_regression": quality("linear"),
+        "decision_tree": quality("tree"),
+        "random_forest": quality("forest"),
+        "gradient_boosted_trees": quality("gbt"),
+        "model_comparison": lambda s, d: ml.compare(_study(s, d).metrics),
+        "feature_importances": lambda s, d: ml.importances(_study(s, d).models["forest"], s),
+        "actual_vs_predicted": lambda s, d: ml.actual_vs_predicted(best_scores(s, d)),
+        "scored_rows": best_scores,
+        "model_summary": summary,
+    }
+
+
 def all_queries() -> dict[str, Query]:
     return (profile_queries() | clean_queries() | trend_queries() | index_queries() | hourly_queries()
-            | stream_queries() | city_queries() | day_queries())
+            | stream_queries() | city_queries() | day_queries() | file_queries() | document_queries()
+            | model_queries())

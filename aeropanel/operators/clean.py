@@ -49,11 +49,20 @@ def with_season(df: DataFrame) -> DataFrame:
     return df.withColumn("Season", season("Month"))
 
 
+def one_per_day(raw: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
+    """The typed panel both analyses start from; write it once when more than one is to be run."""
+    return dedup_city_day(with_date(raw), order_by)
+
+
+def clean_rows(unique: DataFrame) -> DataFrame:
+    """Cleaning steps after the copies are gone; no shuffle."""
+    with_target = in_range(require(unique, "AQI"), "AQI", 0, MAX_TARGET)
+    return with_season(with_calendar(null_negatives(with_target)))
+
+
 def clean(raw: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
     """Panel for the analyses on the recorded index.
 
     Copies are removed before rows without a target, so a city-day whose first copy has no target is lost.
     """
-    one_per_day = dedup_city_day(with_date(raw), order_by)
-    with_target = in_range(require(one_per_day, "AQI"), "AQI", 0, MAX_TARGET)
-    return with_season(with_calendar(null_negatives(with_target)))
+    return clean_rows(one_per_day(raw, order_by))

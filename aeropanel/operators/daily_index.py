@@ -16,7 +16,7 @@ from aeropanel.functions.columns import (
     rounded_sub_indices,
     sub_index,
 )
-from aeropanel.operators.clean import dedup_city_day, null_negatives, with_date
+from aeropanel.operators.clean import null_negatives, one_per_day
 from aeropanel.operators.trends import share_of_total
 from aeropanel.schema import CATEGORIES, DAILY_OUTPUT, INDEX_POLLUTANTS, display_name
 
@@ -47,7 +47,12 @@ def index_of(rows: DataFrame) -> DataFrame:
 
 def daily_index(raw: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
     """Index of every city-day, also those without a recorded one."""
-    return index_columns(null_negatives(dedup_city_day(with_date(raw), order_by), INDEX_POLLUTANTS))
+    return daily_rows(one_per_day(raw, order_by))
+
+
+def daily_rows(unique: DataFrame) -> DataFrame:
+    """The index columns once the copies are gone; no shuffle."""
+    return index_columns(null_negatives(unique, INDEX_POLLUTANTS))
 
 
 def to_long(df: DataFrame, keys: Sequence[str] = ("City", "Date")) -> DataFrame:

@@ -37,6 +37,8 @@ METROS = ["Delhi", "Mumbai", "Kolkata", "Chennai", "Bengaluru", "Hyderabad", "Ah
 DIAGNOSED = ["Ahmedabad", "Delhi", "Mumbai"]
 BASE_PERIOD = ("2019-03-25", "2019-05-31")
 EVENT_PERIOD = ("2020-03-25", "2020-05-31")
+# The day the study predicts as an example, in the order of POLLUTANTS.
+EXAMPLE_ROW = (180.0, 300.0, 20.0, 60.0, 50.0, 40.0, 1.5, 15.0, 40.0, 4.0, 15.0, 3.0)
 # End of fixed values.
 
 
