@@ -331,15 +331,15 @@ def document_queries() -> dict[str, Query]:
 
 @cache
 def _study(spark: SparkSession, sf_dir: str) -> ml.Study:
-    """Models are fitted once per session and folder; the queries below read the same fit."""
+    """All four models, fitted once per session and folder; the queries on their comparison share it."""
     return ml.study(clean_panel(spark, sf_dir))
 
 
 def model_queries() -> dict[str, Query]:
     def quality(kind: str) -> Query:
         def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-            fitted = _study(spark, sf_dir)
-            return ml.evaluate(ml.score(fitted.models[kind], fitted.test))
+            rows, test = ml.split(ml.ml_frame(clean_panel(spark, sf_dir)))
+            return ml.evaluate(ml.score(ml.train(rows, kind), test))
         return query
 
     def medians(spark: SparkSession, sf_dir: str) -> DataFrame:

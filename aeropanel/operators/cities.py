@@ -8,19 +8,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aeropanel.functions.columns import between_dates, count_where, mean, mean_where, nice_date, pct_change
+from aeropanel.operators.ranking import with_rank
 from aeropanel.operators.trends import COMPARED, Period
 from aeropanel.schema import CATEGORY_NAMES, PROFILE_POLLUTANTS, SEASONS, display_name
 
 
 def city_rank(clean: DataFrame) -> DataFrame:
-    """Cities by their unrounded mean, equal ones by name -> City, rank. One row per city is ranked."""
+    """Cities by their unrounded mean, equal ones by name -> City, rank."""
     means = clean.groupBy("City").agg(F.avg("AQI").alias("_mean"))
-    order = Window.partitionBy().orderBy(F.desc("_mean"), "City")
-    return means.select("City", F.row_number().over(order).alias("rank"))
+    return with_rank(means, "_mean", ["City"]).select("City", "rank")
 
 
 def with_state(df: DataFrame, states: DataFrame) -> DataFrame:
@@ -140,16 +140,15 @@ def region_rollup(base: DataFrame, regions: DataFrame) -> DataFrame:
 
 
 def city_profiles(clean: DataFrame, states: DataFrame, base: Period, event: Period) -> DataFrame:
-    """The whole profile, one row per city, from three aggregates that share the City partitioning."""
+    """The whole profile, one row per city, from four aggregates that share the City partitioning."""
     parts = clean.groupBy("City").agg(
-        F.avg("AQI").alias("_mean"),
         *(c.alias(n) for n, c in _base().items()),
         _monthly().alias("monthly"), _season().alias("season"), _pollutants().alias("pollutants"),
         _buckets().alias("buckets"), *(c.alias(f"_{n}") for n, c in _period(base, event).items()))
-    rank = F.row_number().over(Window.partitionBy().orderBy(F.desc("_mean"), "City"))
-    joined = parts.join(city_yearly(clean), "City").join(city_extremes(clean), "City")
-    ranked = with_state(joined, states).withColumn("rank", rank)
-    return ranked.select(
+    joined = parts
+    for more in (city_yearly(clean), city_extremes(clean), city_rank(clean)):
+        joined = joined.join(more, "City")
+    return with_state(joined, states).select(
         "City", F.col("State").alias("state"), "rank", "avg", "pm25", "days",
         nice_date("first").alias("first"), nice_date("last").alias("last"),
         "monthly", "season", "pollutants", "buckets", "yearly",

@@ -6,11 +6,12 @@ import calendar as months_of
 import datetime
 from typing import Literal
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aeropanel.functions.columns import count_where
 from aeropanel.operators.daily_index import recomputed
+from aeropanel.operators.ranking import with_rank
 from aeropanel.schema import MONTHS
 
 POOR_FROM = 200  # fixed value: an index above this is Poor or worse
@@ -36,10 +37,9 @@ def day_snapshot(daily: DataFrame, date: str, cities: DataFrame | None = None) -
     on_day = daily.filter(_on(date)).select("City", "AQI", "AQI_calc", "Bucket_calc", "Dominant", F.lit(True).alias("_row"))
     rows = everywhere.join(on_day, "City", "left").withColumn("has_row", F.col("_row").isNotNull())
     score = F.coalesce(F.col("AQI_calc"), F.when(F.col("has_row"), F.lit(-1.0)).otherwise(F.lit(-2.0)))
-    place = F.row_number().over(Window.partitionBy().orderBy(F.desc("_score"), "City"))
+    placed = with_rank(rows.withColumn("_score", score), "_score", ["City"], "place")
     return (
-        rows.withColumn("_score", score)
-        .select(place.alias("place"), "City", "AQI_calc", "AQI", "Bucket_calc", "Dominant", "has_row")
+        placed.select("place", "City", "AQI_calc", "AQI", "Bucket_calc", "Dominant", "has_row")
         .withColumn("rank", F.when(F.col("AQI_calc").isNotNull(), F.col("place")))
         .orderBy("place")
     )

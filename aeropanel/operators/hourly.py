@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aeropanel.operators.daily_index import index_columns
+from aeropanel.operators.ranking import with_rank
 from aeropanel.schema import (
     DAY_HOURS,
     DAY_MIN_READINGS,
@@ -150,19 +151,25 @@ def rolling_index(hourly: DataFrame) -> DataFrame:
     return _indexed(rolling_means(hourly))
 
 
-def latest_hours(hourly: DataFrame, as_of: str) -> DataFrame:
-    """Per station its first hour and its latest one up to `as_of` with a PM2.5 reading -> station, first, last."""
+def latest_hours(past: DataFrame) -> DataFrame:
+    """Per station its first hour and its latest one with a PM2.5 reading -> station, first, last."""
     hour = hour_number()
-    usable = F.col("pm2_5").isNotNull() & (F.col("time") <= F.lit(as_of).cast("timestamp"))
-    return hourly.groupBy("station").agg(F.min(hour).alias("first"), F.max(F.when(usable, hour)).alias("last")) \
-        .filter(F.col("last").isNotNull())
+    return past.groupBy("station").agg(
+        F.min(hour).alias("first"), F.max(F.when(F.col("pm2_5").isNotNull(), hour)).alias("last")
+    ).filter(F.col("last").isNotNull())
 
 
 def _recent_means(hourly: DataFrame, as_of: str) -> DataFrame:
-    """Rolling means over the 47 hours per station that the last 24 windows can see, whatever the history."""
+    """Rolling means over the 47 hours per station that the last 24 windows can see, whatever the history.
+
+    The hours wanted are listed and looked up by station and hour, so a station with a long history is spread
+    over all tasks.
+    """
+    past = hourly.filter(F.col("time") <= F.lit(as_of).cast("timestamp"))
     earliest = F.greatest("first", F.col("last") - 2 * HALO_HOURS)
-    spans = latest_hours(hourly, as_of).select("station", earliest.alias("first"), "last")
-    recent = hourly.join(spans, "station").filter(hour_number().between(F.col("first"), F.col("last")))
+    spans = latest_hours(past).select("station", earliest.alias("first"), "last")
+    wanted = spans.select("station", F.explode(F.sequence("first", "last")).alias("_hour"))
+    recent = past.withColumn("_hour", hour_number()).join(wanted, ["station", "_hour"], "left_semi")
     return rolling_means(recent.select(*hourly.columns), spans)
 
 
@@ -178,7 +185,6 @@ def latest_index(hourly: DataFrame, as_of: str) -> DataFrame:
 
 def live_ranking(hourly: DataFrame, as_of: str) -> DataFrame:
     """Stations by their latest index, most polluted first; stations without one are left out."""
-    by_index = Window.partitionBy().orderBy(F.desc("AQI_calc"), "station")
     latest = latest_index(hourly, as_of).filter(F.col("AQI_calc").isNotNull())
-    return latest.select(F.row_number().over(by_index).alias("rank"), "station", "time", "AQI_calc", "Dominant") \
+    return with_rank(latest, "AQI_calc", ["station"]).select("rank", "station", "time", "AQI_calc", "Dominant") \
         .orderBy("rank")

@@ -7,6 +7,7 @@ the test rows.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
@@ -88,11 +89,14 @@ def train(rows: DataFrame, kind: str, prepared: PipelineModel | None = None) ->
     return PipelineModel(stages=[*prepared.stages, fitted])
 
 
-def fit_all(rows: DataFrame, kinds: Sequence[str] = tuple(MODEL_NAMES)) -> dict[str, PipelineModel]:
-    """All models on the same prepared features, which are computed once."""
+def fit_all(
+    rows: DataFrame, kinds: Sequence[str] = tuple(MODEL_NAMES), at_once: int = len(MODEL_NAMES),
+) -> dict[str, PipelineModel]:
+    """All models on the same prepared features, which are computed once; `at_once` fits run side by side."""
     prepared = prepare(rows)
-    with persisted(prepared.transform(rows).select("features", "AQI")) as features:
-        return {k: PipelineModel(stages=[*prepared.stages, regressor(k).fit(features)]) for k in kinds}
+    with persisted(prepared.transform(rows).select("features", "AQI")) as features, ThreadPoolExecutor(at_once) as pool:
+        fitted = pool.map(lambda kind: regressor(kind).fit(features), kinds)
+        return {k: PipelineModel(stages=[*prepared.stages, m]) for k, m in zip(kinds, fitted, strict=True)}
 
 
 def predict_all(models: Mapping[str, PipelineModel], rows: DataFrame) -> DataFrame:

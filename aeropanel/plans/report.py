@@ -100,9 +100,11 @@ def run_report(
 
     overview = documents.overview_document(raw, panels.clean, regions, p.base, p.event, p.nulls)
     summary = documents.dashboard_document(overview, results["daily_check"], results["dominant"], model)
-    writers.write_json(summary, f"{out}/dashboard/summary")
-    writers.write_json(cities.city_profiles(panels.clean, states, p.base, p.event), f"{out}/dashboard/cities")
-    writers.write_json(tables.breakpoints(spark), f"{out}/dashboard/breakpoints")
+    writers.write_results({
+        "summary": summary,
+        "cities": cities.city_profiles(panels.clean, states, p.base, p.event),
+        "breakpoints": tables.breakpoints(spark),
+    }, f"{out}/dashboard")
     return {name: f"{out}/{name}" for name in (
         "one_per_day", "clean_city_day", "daily_aqi", "daily_aqi_csv", "daily_aqi_web",
         *(f"results/{n}" for n in results), "dashboard/summary", "dashboard/cities", "dashboard/breakpoints")}

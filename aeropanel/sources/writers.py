@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -57,7 +58,12 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
-def write_results(results: Mapping[str, DataFrame], path: str) -> None:
-    """One JSON folder per named result below `path`."""
-    for name, df in results.items():
-        write_json(df, f"{path}/{name}")
+def write_results(results: Mapping[str, DataFrame], path: str, at_once: int = 4) -> None:
+    """One JSON folder per named result below `path`.
+
+    The results do not depend on each other, so `at_once` of them are written at the same time: one's last tasks
+    leave cores that the next can use.
+    """
+    with ThreadPoolExecutor(at_once) as pool:
+        for done in [pool.submit(write_json, df, f"{path}/{name}") for name, df in results.items()]:
+            done.result()
