@@ -16,7 +16,7 @@ from aeropanel.operators import cities, clean, daily_index, ml, profile, stats,
 from aeropanel.operators.trends import Period
 from aeropanel.plans import documents
 from aeropanel.sources import tables, writers
-from aeropanel.sources.readers import read_daily
+from aeropanel.sources.readers import read_daily, storage_of
 
 
 @dataclass(frozen=True)
@@ -75,8 +75,12 @@ def result_tables(raw: DataFrame, panels: Panels, p: Parameters) -> dict[str, Da
 def run_report(
     spark: SparkSession, raw: DataFrame, out: str, parameters: Parameters | None = None,
     states: DataFrame | None = None, regions: DataFrame | None = None, with_models: bool = True,
+    source: str | None = None,
 ) -> dict[str, str]:
-    """Runs the study and writes it below `out` -> name of each output and its path."""
+    """Runs the study and writes it below `out` -> name of each output and its path.
+
+    `source` is the path of the input, noted with the results.
+    """
     p = parameters or Parameters()
     states = tables.city_states(spark) if states is None else states
     regions = tables.city_regions(spark) if regions is None else regions
@@ -89,6 +93,10 @@ def run_report(
     writers.write_json(writers.city_documents(panels.daily), f"{out}/daily_aqi_web")
 
     results = result_tables(raw, panels, p)
+    if source:
+        results["data_source"] = tables.literal_rows(
+            spark, [(source, storage_of(source), [f"{out}/clean_city_day", f"{out}/daily_aqi"])],
+            "path string, storage string, outputs array<string>")
     model = None
     if with_models:
         fitted = ml.study(panels.clean)

@@ -37,6 +37,18 @@ def read_city_day(spark: SparkSession, path: str, infer: bool = False) -> DataFr
     return nan_to_null(normalize_columns(reader.schema(in_file).option("enforceSchema", False).csv(path)))
 
 
+def storage_of(path: str) -> str:
+    """What kind of place a path names, by its scheme."""
+    scheme, found, _ = path.partition("://")
+    return {"hdfs": "HDFS", "file": "local file"}.get(scheme, scheme) if found else "local file"
+
+
+def default_output(path: str) -> str:
+    """Results go next to the input, on the same file system."""
+    folder, found, _ = path.rstrip("/").rpartition("/")
+    return f"{folder}/output" if found else "output"
+
+
 def read_hourly_payloads(spark: SparkSession, path: str) -> DataFrame:
     """JSON objects of parallel hourly arrays, one object per line; see `flatten_hourly`."""
     return spark.read.schema(HOURLY_PAYLOAD).json(path)
