@@ -7,6 +7,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from aeropanel.plans.report import Parameters, run_report
+from aeropanel.session import tuned
 from aeropanel.sources.readers import default_output, read_city_day
 
 
@@ -19,7 +20,7 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     args.add_argument("--nulls", choices=["skip", "zero"], default="skip", help="missing values in correlations")
     args.add_argument("--no-models", action="store_true")
     given = args.parse_args(argv)
-    spark = SparkSession.builder.appName("aeropanel").getOrCreate()
+    spark = tuned(SparkSession.builder.appName("aeropanel").getOrCreate())
     out = given.output or default_output(given.input)
     written = run_report(
         spark, read_city_day(spark, given.input, given.infer), out, Parameters(n_years=given.years, nulls=given.nulls),

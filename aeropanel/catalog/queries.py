@@ -15,7 +15,7 @@ from aeropanel.operators import clean as cleaning
 from aeropanel.operators import daily_index as index
 from aeropanel.schema import INDEX_POLLUTANTS, POLLUTANTS
 from aeropanel.plans import documents, report
-from aeropanel.session import scratch_path
+from aeropanel.session import scratch_path, tuned
 from aeropanel.sources import driver_tables as given
 from aeropanel.sources import readers, tables, writers
 from aeropanel.streaming import hourly_stream as streaming
@@ -383,6 +383,7 @@ def model_queries() -> dict[str, Query]:
 
 
 def all_queries() -> dict[str, Query]:
-    return (profile_queries() | clean_queries() | trend_queries() | index_queries() | hourly_queries()
-            | stream_queries() | city_queries() | day_queries() | file_queries() | document_queries()
-            | model_queries())
+    groups = (profile_queries() | clean_queries() | trend_queries() | index_queries() | hourly_queries()
+              | stream_queries() | city_queries() | day_queries() | file_queries() | document_queries()
+              | model_queries())
+    return {name: lambda spark, sf_dir, query=query: query(tuned(spark), sf_dir) for name, query in groups.items()}

@@ -66,27 +66,42 @@ def category_or_none(value: Column) -> Column:
 
 
 def sub_index(value: Column, pollutant: str) -> Column:
-    """Straight line inside the band that holds the value.
+    """Straight line inside the band that holds the value, which must not be null.
 
     Upper edges belong to their band; the last band has no upper end, so its line goes on.
     """
     corners = pairwise(zip(CONCENTRATION_EDGES[pollutant], INDEX_EDGES, strict=True))
-    *closed, top = [
-        (c_hi, F.lit(float(i_lo)) + (value - c_lo) * (i_hi - i_lo) / (c_hi - c_lo))
-        for (c_lo, i_lo), (c_hi, i_hi) in corners
-    ]
+    *closed, top = [(c_hi, _line(value, c_lo, i_lo, c_hi, i_hi)) for (c_lo, i_lo), (c_hi, i_hi) in corners]
     banded = reduce(lambda cases, band: cases.when(value <= band[0], band[1]), closed, F)
     return banded.otherwise(top[1])
 
 
+def _line(value: Column, c_lo: int, i_lo: int, c_hi: int, i_hi: int) -> Column:
+    rise = (value - c_lo if c_lo else value) * (i_hi - i_lo) / (c_hi - c_lo)
+    return F.lit(float(i_lo)) + rise if i_lo else rise
+
+
 def is_valid_index() -> Column:
     """Enough pollutants were measured, and one of them is a particulate."""
     measured = sum((F.col(p).isNotNull().cast("int") for p in INDEX_POLLUTANTS), F.lit(0))
     return (measured >= MIN_POLLUTANTS) & (F.col("PM25").isNotNull() | F.col("PM10").isNotNull())
 
 
-def rounded_sub_indices(prefix: str = "SI_") -> Column:
-    return F.array(*(F.round(F.col(f"{prefix}{p}")) for p in INDEX_POLLUTANTS))
+def whole(value: Column) -> Column:
+    """Nearest whole number of a non-negative value, halves up; `F.round` goes through decimals for every row."""
+    return F.floor(value + 0.5).cast("double")
+
+
+def round_stored(col: str, digits: int) -> Column:
+    """`F.round` per row, skipped for values that are rounded already, as published readings are."""
+    scale = float(10 ** digits)
+    value = F.col(col)
+    near = F.floor(value * scale + 0.5) / scale
+    return F.when(value == near, value).otherwise(F.round(value, digits))
+
+
+def rounded_sub_indices() -> Column:
+    return F.array(*(whole(F.col(f"SI_{p}")) for p in INDEX_POLLUTANTS))
 
 
 def index_value(rounded: Column) -> Column:

@@ -13,6 +13,7 @@ from aeropanel.functions.columns import (
     count_where,
     dominant,
     index_value,
+    round_stored,
     rounded_sub_indices,
     sub_index,
 )
@@ -32,11 +33,16 @@ def _both() -> Column:
 
 def index_columns(df: DataFrame) -> DataFrame:
     """Adds SI_*, AQI_calc, Dominant and Bucket_calc to rows that hold the seven concentrations."""
-    with_parts = df.withColumns({f"SI_{p}": sub_index(F.col(p), p) for p in INDEX_POLLUTANTS})
-    rounded = rounded_sub_indices()
-    with_index = with_parts.withColumn("AQI_calc", index_value(rounded))
+    # Values that cannot be null, and one array for both its uses, keep the generated code small enough for the
+    # JVM to compile: a method over 8000 bytes of bytecode is only interpreted, which is 20 times slower.
+    present = df.withColumns({f"_{p}": F.coalesce(p, F.lit(0.0)) for p in INDEX_POLLUTANTS})
+    parts = present.withColumns(
+        {f"SI_{p}": F.when(F.col(p).isNotNull(), sub_index(F.col(f"_{p}"), p)) for p in INDEX_POLLUTANTS})
+    with_index = parts.withColumn("_rounded", rounded_sub_indices()) \
+        .withColumn("AQI_calc", index_value(F.col("_rounded")))
     calc = F.col("AQI_calc")
-    return with_index.withColumns({"Dominant": dominant(rounded, calc), "Bucket_calc": category(calc)})
+    done = with_index.withColumns({"Dominant": dominant(F.col("_rounded"), calc), "Bucket_calc": category(calc)})
+    return done.drop("_rounded", *(f"_{p}" for p in INDEX_POLLUTANTS))
 
 
 def index_of(rows: DataFrame) -> DataFrame:
@@ -126,8 +132,8 @@ def stored_form(daily: DataFrame) -> DataFrame:
     """The published precision: readings at 2 decimals, recorded and computed index whole."""
     return daily.select(
         "City", "Date",
-        *(F.round(p, 2).alias(p) for p in INDEX_POLLUTANTS),
-        F.round("AQI").alias("AQI"), F.round("AQI_calc").alias("AQI_calc"),
+        *(round_stored(p, 2).alias(p) for p in INDEX_POLLUTANTS),
+        round_stored("AQI", 0).alias("AQI"), round_stored("AQI_calc", 0).alias("AQI_calc"),
     )
 
 

@@ -21,6 +21,18 @@ def local_session(cpus: int | str = 8, memory: str = "20g") -> SparkSession:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    return tuned(spark)
+
+
+def tuned(spark: SparkSession) -> SparkSession:
+    """Sets the one SQL option the engine asks for, unless the session has its own value.
+
+    The JVM compiles no method over 8000 bytes of bytecode. With this limit Spark runs such a stage from smaller
+    methods instead of as a single one that is only interpreted.
+    """
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    if spark.conf.get(limit) == "65535":
+        spark.conf.set(limit, "8000")
     return spark
 
 
