@@ -88,7 +88,7 @@ def is_valid_index() -> Column:
 
 
 def whole(value: Column) -> Column:
-    """Nearest whole number of a non-negative value, halves up; `F.round` goes through decimals for every row."""
+    """Nearest whole number, halves up; `F.round` goes through decimals for every row."""
     return F.floor(value + 0.5).cast("double")
 
 
@@ -100,10 +100,6 @@ def round_stored(col: str, digits: int) -> Column:
     return F.when(value == near, value).otherwise(F.round(value, digits))
 
 
-def rounded_sub_indices() -> Column:
-    return F.array(*(whole(F.col(f"SI_{p}")) for p in INDEX_POLLUTANTS))
-
-
 def index_value(rounded: Column) -> Column:
     """Largest sub-index as a whole number; rounding keeps order, so it may come first."""
     return F.when(is_valid_index(), F.array_max(rounded))

@@ -14,14 +14,16 @@ from aeropanel.functions.columns import (
     dominant,
     index_value,
     round_stored,
-    rounded_sub_indices,
     sub_index,
+    whole,
 )
 from aeropanel.operators.clean import null_negatives, one_per_day
 from aeropanel.operators.trends import share_of_total
 from aeropanel.schema import CATEGORIES, DAILY_OUTPUT, INDEX_POLLUTANTS, display_name
 
 
+MISSING = -1.0
+
 
 def _gap() -> Column:
     return F.col("AQI").isNull() & F.col("AQI_calc").isNotNull()
@@ -33,16 +35,17 @@ def _both() -> Column:
 
 def index_columns(df: DataFrame) -> DataFrame:
     """Adds SI_*, AQI_calc, Dominant and Bucket_calc to rows that hold the seven concentrations."""
-    # Values that cannot be null, and one array for both its uses, keep the generated code small enough for the
-    # JVM to compile: a method over 8000 bytes of bytecode is only interpreted, which is 20 times slower.
-    present = df.withColumns({f"_{p}": F.coalesce(p, F.lit(0.0)) for p in INDEX_POLLUTANTS})
-    parts = present.withColumns(
-        {f"SI_{p}": F.when(F.col(p).isNotNull(), sub_index(F.col(f"_{p}"), p)) for p in INDEX_POLLUTANTS})
-    with_index = parts.withColumn("_rounded", rounded_sub_indices()) \
-        .withColumn("AQI_calc", index_value(F.col("_rounded")))
+    # The JVM compiles no method over 8000 bytes, and Spark makes one of this whole stage. Values that cannot be
+    # null need far less code: -1 stands for a missing level, and its negative sub-index is never the largest.
+    levels = df.withColumns({f"_{p}": F.coalesce(p, F.lit(MISSING)) for p in INDEX_POLLUTANTS})
+    lines = levels.withColumns({f"_{p}": sub_index(F.col(f"_{p}"), p) for p in INDEX_POLLUTANTS})
+    rounded = F.array(*(whole(F.col(f"_{p}")) for p in INDEX_POLLUTANTS))
+    with_index = lines.withColumn("_rounded", rounded).withColumn("AQI_calc", index_value(F.col("_rounded")))
     calc = F.col("AQI_calc")
-    done = with_index.withColumns({"Dominant": dominant(F.col("_rounded"), calc), "Bucket_calc": category(calc)})
-    return done.drop("_rounded", *(f"_{p}" for p in INDEX_POLLUTANTS))
+    return with_index.withColumns(
+        {f"SI_{p}": F.when(F.col(p).isNotNull(), F.col(f"_{p}")) for p in INDEX_POLLUTANTS}
+        | {"Dominant": dominant(F.col("_rounded"), calc), "Bucket_calc": category(calc)},
+    ).drop("_rounded", *(f"_{p}" for p in INDEX_POLLUTANTS))
 
 
 def index_of(rows: DataFrame) -> DataFrame:
