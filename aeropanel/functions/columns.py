@@ -92,12 +92,17 @@ def whole(value: Column) -> Column:
     return F.floor(value + 0.5).cast("double")
 
 
-def round_stored(col: str, digits: int) -> Column:
-    """`F.round` per row, skipped for values that are rounded already, as published readings are."""
+def round_rows(value: Column | str, digits: int) -> Column:
+    """`F.round` for columns rounded row by row; equal to it for every value.
+
+    `F.round` goes through decimals, which costs more than the index itself. Away from a tie plain arithmetic
+    finds the same nearest number, so only values near a tie, or too large to tell, take the slow way.
+    """
+    value = F.col(value) if isinstance(value, str) else value
     scale = float(10 ** digits)
-    value = F.col(col)
-    near = F.floor(value * scale + 0.5) / scale
-    return F.when(value == near, value).otherwise(F.round(value, digits))
+    scaled = value * scale
+    off_tie = F.abs(scaled - F.floor(scaled) - 0.5) > 1e-6
+    return F.when(off_tie & (F.abs(scaled) < 1e7), F.floor(scaled + 0.5) / scale).otherwise(F.round(value, digits))
 
 
 def index_value(rounded: Column) -> Column:

@@ -13,7 +13,7 @@ from aeropanel.functions.columns import (
     count_where,
     dominant,
     index_value,
-    round_stored,
+    round_rows,
     sub_index,
     whole,
 )
@@ -21,7 +21,6 @@ from aeropanel.operators.clean import null_negatives, one_per_day
 from aeropanel.operators.trends import share_of_total
 from aeropanel.schema import CATEGORIES, DAILY_OUTPUT, INDEX_POLLUTANTS, display_name
 
-
 MISSING = -1.0
 
 
@@ -135,8 +134,8 @@ def stored_form(daily: DataFrame) -> DataFrame:
     """The published precision: readings at 2 decimals, recorded and computed index whole."""
     return daily.select(
         "City", "Date",
-        *(round_stored(p, 2).alias(p) for p in INDEX_POLLUTANTS),
-        round_stored("AQI", 0).alias("AQI"), round_stored("AQI_calc", 0).alias("AQI_calc"),
+        *(round_rows(p, 2).alias(p) for p in INDEX_POLLUTANTS),
+        round_rows("AQI", 0).alias("AQI"), round_rows("AQI_calc", 0).alias("AQI_calc"),
     )
 
 

@@ -2,7 +2,8 @@
 
 A station's hours are cut into blocks of 31 days, and each block also gets the 23 hours before it, so
 windows run per (station, block): no group exceeds 767 hours, however much one station holds, and a
-single shuffle serves all frames. Missing hours come from a spine of empty slots.
+single shuffle serves all frames. Missing hours come from a spine of empty slots. There is one reading per
+station and hour; of several the largest counts.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from aeropanel.functions.columns import round_rows
 from aeropanel.operators.daily_index import index_columns
 from aeropanel.operators.ranking import with_rank
 from aeropanel.schema import (
@@ -80,14 +82,19 @@ def _slots(spans: DataFrame) -> DataFrame:
     return blocks.select("station", "block", F.explode(hours).alias("hour"), "first", "last")
 
 
-def _frame(hours: int):
-    """The last `hours` hours of a station, by the clock and not by rows."""
-    return Window.partitionBy("station", "block").orderBy("hour").rangeBetween(1 - hours, 0)
+def _placed_hours(hourly: DataFrame, spans: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """One row per station, block and hour, halo included, without gaps.
 
-
-def _mean_if(col: str, hours: int, needed: int) -> Column:
-    frame = _frame(hours)
-    return F.when(F.count(col).over(frame) >= needed, F.avg(col).over(frame))
+    Slots and readings are brought together by block; the grouping by hour and all windows then find their rows
+    in place.
+    """
+    slots = _slots(spans).withColumns({c: F.lit(None).cast("double") for c in cols})
+    hour, no_span = hour_number(), F.lit(None).cast("long")
+    readings = hourly.select("station", _blocks_of(hour, hour + HALO_HOURS), hour.alias("hour"),
+                             no_span.alias("first"), no_span.alias("last"), *cols)
+    placed = slots.unionByName(readings).repartition("station", "block")
+    merged = placed.groupBy("station", "block", "hour").agg(*(F.max(c).alias(c) for c in ("first", "last", *cols)))
+    return merged.filter(F.col("first").isNotNull())
 
 
 def rolling_means(hourly: DataFrame, spans: DataFrame | None = None, cols: Sequence[str] = FIELDS) -> DataFrame:
@@ -96,30 +103,42 @@ def rolling_means(hourly: DataFrame, spans: DataFrame | None = None, cols: Seque
     - `mean24_*`: mean of the last 24 hours, null below 16 readings (particulates, NO2, SO2),
     - `mean8_*`: mean of the last 8 hours, null below 6 readings, or before the 8th hour (CO, O3),
     - `max8_*`: highest `mean8_*` whose 8 hours lie inside the last 24.
+
+    A frame is evaluated from scratch for every row, so only short ones are used: 24 hours are three sums of 8,
+    17 windows are two overlapping runs of 9.
     """
     day, short = [c for c in DAY_FIELDS if c in cols], [c for c in SHORT_FIELDS if c in cols]
-    slots = _slots(station_spans(hourly) if spans is None else spans).withColumns(
-        {c: F.lit(None).cast("double") for c in cols})
-    hour, no_span = hour_number(), F.lit(None).cast("long")
-    readings = hourly.select("station", _blocks_of(hour, hour + HALO_HOURS), hour.alias("hour"),
-                             no_span.alias("first"), no_span.alias("last"), *cols)
-    merged = slots.unionByName(readings)
-    # Only slots know the station's first hour, so only they carry the short means.
-    eighth_hour = F.col("hour") >= F.col("first") + SHORT_HOURS - 1
-    means = merged.withColumns(
-        {f"mean24_{c}": _mean_if(c, DAY_HOURS, DAY_MIN_READINGS) for c in day}
-        | {f"mean8_{c}": F.when(eighth_hour, _mean_if(c, SHORT_HOURS, SHORT_MIN_READINGS)) for c in short})
-    inside = _frame(DAY_HOURS - SHORT_HOURS + 1)
-    highest = means.withColumns({f"max8_{c}": F.max(f"mean8_{c}").over(inside) for c in short})
-    own_hour = F.col("first").isNotNull() & (F.floor(F.col("hour") / BLOCK_HOURS) == F.col("block"))
-    return highest.filter(own_hour).select(
-        "station", *(hour_start(F.col(c)).alias(name) for name, c in (("time", "hour"), ("first", "first"), ("last", "last"))),
-        *(f"mean24_{c}" for c in day), *(f"{kind}_{c}" for kind in ("mean8", "max8") for c in short))
+    hours = _placed_hours(hourly, station_spans(hourly) if spans is None else spans, cols)
+    by_hour = Window.partitionBy("station", "block").orderBy("hour")
+    eight, nine = by_hour.rowsBetween(1 - SHORT_HOURS, 0), by_hour.rowsBetween(-SHORT_HOURS, 0)
+
+    sums = hours.withColumns(
+        {f"sum_{c}": F.coalesce(F.sum(c).over(eight), F.lit(0.0)) for c in cols}
+        | {f"n_{c}": F.count(c).over(eight) for c in cols})
+    has_eight = F.col("hour") >= F.col("first") + SHORT_HOURS - 1
+    means = sums.withColumns({
+        f"mean8_{c}": F.when(has_eight & (F.col(f"n_{c}") >= SHORT_MIN_READINGS), F.col(f"sum_{c}") / F.col(f"n_{c}"))
+        for c in short})
+
+    def over_day(part: str) -> Column:
+        return sum((F.lag(part, back, 0).over(by_hour) for back in range(SHORT_HOURS, DAY_HOURS, SHORT_HOURS)), F.col(part))
+
+    totals = means.withColumns(
+        {f"day_{part}_{c}": over_day(f"{part}_{c}") for part in ("sum", "n") for c in day}
+        | {f"top_{c}": F.max(f"mean8_{c}").over(nine) for c in short})
+    highest = totals.withColumns(
+        {f"max8_{c}": F.greatest(f"top_{c}", F.lag(f"top_{c}", SHORT_HOURS).over(by_hour)) for c in short})
+    in_own_block = F.floor(F.col("hour") / BLOCK_HOURS) == F.col("block")
+    return highest.filter(in_own_block).select(
+        "station", *(hour_start(F.col(c)).alias(n) for n, c in (("time", "hour"), ("first", "first"), ("last", "last"))),
+        *(F.when(F.col(f"day_n_{c}") >= DAY_MIN_READINGS, F.col(f"day_sum_{c}") / F.col(f"day_n_{c}")).alias(f"mean24_{c}")
+          for c in day),
+        *(f"{kind}_{c}" for kind in ("mean8", "max8") for c in short))
 
 
 def mean24(hourly: DataFrame) -> DataFrame:
     means = rolling_means(hourly, cols=DAY_FIELDS)
-    return means.select("station", "time", *(F.round(f"mean24_{c}", 1).alias(c) for c in DAY_FIELDS))
+    return means.select("station", "time", *(round_rows(f"mean24_{c}", 1).alias(c) for c in DAY_FIELDS))
 
 
 def mean8(hourly: DataFrame) -> DataFrame:
@@ -132,9 +151,9 @@ def max8(hourly: DataFrame) -> DataFrame:
 
 def index_inputs() -> dict[str, Column]:
     """Rolling means -> the seven concentrations: CO in mg, NH3 not measured, 24-hour means at 1 decimal."""
-    levels = {HOURLY_FIELDS[c]: F.round(f"mean24_{c}", 1) for c in DAY_FIELDS}
-    levels["CO"] = F.round(F.col("max8_carbon_monoxide") * 0.001, 2)
-    levels["O3"] = F.round("max8_ozone", 1)
+    levels = {HOURLY_FIELDS[c]: round_rows(f"mean24_{c}", 1) for c in DAY_FIELDS}
+    levels["CO"] = round_rows(F.col("max8_carbon_monoxide") * 0.001, 2)
+    levels["O3"] = round_rows("max8_ozone", 1)
     levels["NH3"] = F.lit(None).cast("double")
     return levels
 
@@ -185,6 +204,7 @@ def latest_index(hourly: DataFrame, as_of: str) -> DataFrame:
 
 def live_ranking(hourly: DataFrame, as_of: str) -> DataFrame:
     """Stations by their latest index, most polluted first; stations without one are left out."""
-    latest = latest_index(hourly, as_of).filter(F.col("AQI_calc").isNotNull())
-    return with_rank(latest, "AQI_calc", ["station"]).select("rank", "station", "time", "AQI_calc", "Dominant") \
-        .orderBy("rank")
+    # Stations without an index rank last and go afterwards; a filter before would repeat the whole computation.
+    latest = latest_index(hourly, as_of).withColumn("_key", F.coalesce("AQI_calc", F.lit(-1.0)))
+    ranked = with_rank(latest, "_key", ["station"]).filter(F.col("AQI_calc").isNotNull())
+    return ranked.select("rank", "station", "time", "AQI_calc", "Dominant").orderBy("rank")

@@ -17,7 +17,8 @@ def with_rank(df: DataFrame, value: str, ties: Sequence[str], name: str = "rank"
     sliced = df.withColumn("_slice", F.floor(F.col(value)))
     sizes = sliced.groupBy("_slice").agg(F.count("*").alias("_n"))
     higher = Window.orderBy(F.desc("_slice")).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_slice", F.coalesce(F.sum("_n").over(higher), F.lit(0)).alias("_above"))
+    starts = sizes.select(F.col("_slice").alias("_of"), F.coalesce(F.sum("_n").over(higher), F.lit(0)).alias("_above"))
     in_slice = F.row_number().over(Window.partitionBy("_slice").orderBy(F.desc(value), *ties))
-    ranked = sliced.join(starts, "_slice").withColumn(name, (F.col("_above") + in_slice).cast("int"))
-    return ranked.drop("_slice", "_above")
+    # Null-safe, because a plain join would first filter on the key and compute `value` once more for that.
+    placed = sliced.join(starts, F.col("_slice").eqNullSafe(F.col("_of")))
+    return placed.withColumn(name, (F.col("_above") + in_slice).cast("int")).drop("_slice", "_of", "_above")

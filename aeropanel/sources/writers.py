@@ -8,7 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aeropanel.functions.columns import round_stored
+from aeropanel.functions.columns import round_rows
 from aeropanel.operators.daily_index import daily_output
 from aeropanel.schema import DAILY_OUTPUT, INDEX_POLLUTANTS, display_name
 
@@ -44,8 +44,8 @@ def city_documents(daily: DataFrame) -> DataFrame:
     """
     entry = F.struct(
         F.date_format("Date", "yyyy-MM-dd").alias("date"),
-        *(round_stored(p, 2).alias(display_name(p).replace(".", "")) for p in INDEX_POLLUTANTS),
-        round_stored("AQI", 0).alias("recorded"), round_stored("AQI_calc", 0).alias("calculated"))
+        *(round_rows(p, 2).alias(display_name(p).replace(".", "")) for p in INDEX_POLLUTANTS),
+        round_rows("AQI", 0).alias("recorded"), round_rows("AQI_calc", 0).alias("calculated"))
     return daily.groupBy("City").agg(F.sort_array(F.collect_list(entry)).alias("days"))
 
 
