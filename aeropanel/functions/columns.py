@@ -40,8 +40,8 @@ def between_dates(window: tuple[str, str], col: str = "Date") -> Column:
 
 def reading(col: str) -> Column:
     """A usable reading: negative values and NaN are sensor errors and become null."""
-    value = F.col(col).cast("double")
-    return F.when((value >= 0) & ~F.isnan(value), value)
+    value = f"CAST(`{col}` AS DOUBLE)"
+    return F.expr(f"CASE WHEN {value} >= 0 AND NOT isnan({value}) THEN {value} END")
 
 
 def season(month: Column | str = "Month") -> Column:
@@ -54,31 +54,29 @@ def nice_date(col: Column | str) -> Column:
     return F.date_format(col, "d MMM yyyy")
 
 
-def category(value: Column) -> Column:
-    """Name of the band a value falls in; null stays null."""
-    bounded = [(hi, name) for _, name, hi, _ in CATEGORIES if hi is not None]
-    banded = reduce(lambda cases, band: cases.when(value <= band[0], F.lit(band[1])), bounded, F)
-    return banded.when(value.isNotNull(), F.lit(CATEGORY_NAMES[-1]))
+def category(col: str) -> Column:
+    """Name of the band the value falls in; null stays null."""
+    bands = " ".join(f"WHEN `{col}` <= {hi} THEN '{name}'" for _, name, hi, _ in CATEGORIES if hi is not None)
+    return F.expr(f"CASE {bands} WHEN `{col}` IS NOT NULL THEN '{CATEGORY_NAMES[-1]}' END")
 
 
-def category_or_none(value: Column) -> Column:
-    return F.coalesce(category(value), F.lit(NO_INDEX))
+def category_or_none(col: str) -> Column:
+    return F.coalesce(category(col), F.lit(NO_INDEX))
 
 
-def sub_index(value: Column, pollutant: str) -> Column:
+def sub_index(col: str, pollutant: str) -> Column:
     """Straight line inside the band that holds the value, which must not be null.
 
     Upper edges belong to their band; the last band has no upper end, so its line goes on.
     """
-    corners = pairwise(zip(CONCENTRATION_EDGES[pollutant], INDEX_EDGES, strict=True))
-    *closed, top = [(c_hi, _line(value, c_lo, i_lo, c_hi, i_hi)) for (c_lo, i_lo), (c_hi, i_hi) in corners]
-    banded = reduce(lambda cases, band: cases.when(value <= band[0], band[1]), closed, F)
-    return banded.otherwise(top[1])
-
+    def line(c_lo: int, i_lo: int, c_hi: int, i_hi: int) -> str:
+        rise = f"{f'(`{col}` - {c_lo})' if c_lo else f'`{col}`'} * {i_hi - i_lo} / {c_hi - c_lo}"
+        return f"{i_lo}D + {rise}" if i_lo else rise
 
-def _line(value: Column, c_lo: int, i_lo: int, c_hi: int, i_hi: int) -> Column:
-    rise = (value - c_lo if c_lo else value) * (i_hi - i_lo) / (c_hi - c_lo)
-    return F.lit(float(i_lo)) + rise if i_lo else rise
+    corners = pairwise(zip(CONCENTRATION_EDGES[pollutant], INDEX_EDGES, strict=True))
+    *closed, (_, top) = [(hi[0], line(*lo, *hi)) for lo, hi in corners]
+    bands = " ".join(f"WHEN `{col}` <= {c_hi} THEN {text}" for c_hi, text in closed)
+    return F.expr(f"CASE {bands} ELSE {top} END")
 
 
 def is_valid_index() -> Column:
@@ -92,17 +90,15 @@ def whole(value: Column) -> Column:
     return F.floor(value + 0.5).cast("double")
 
 
-def round_rows(value: Column | str, digits: int) -> Column:
-    """`F.round` for columns rounded row by row; equal to it for every value.
+def round_rows(value: str, digits: int) -> Column:
+    """`round` for a column or SQL expression that is rounded row by row; equal to it for every value.
 
-    `F.round` goes through decimals, which costs more than the index itself. Away from a tie plain arithmetic
+    `round` goes through decimals, which costs more than the index itself. Away from a tie plain arithmetic
     finds the same nearest number, so only values near a tie, or too large to tell, take the slow way.
     """
-    value = F.col(value) if isinstance(value, str) else value
-    scale = float(10 ** digits)
-    scaled = value * scale
-    off_tie = F.abs(scaled - F.floor(scaled) - 0.5) > 1e-6
-    return F.when(off_tie & (F.abs(scaled) < 1e7), F.floor(scaled + 0.5) / scale).otherwise(F.round(value, digits))
+    scaled = f"(({value}) * 1e{digits}D)"
+    plain = f"abs({scaled}) < 1e7D AND abs({scaled} - floor({scaled}) - 0.5D) > 1e-6D"
+    return F.expr(f"CASE WHEN {plain} THEN floor({scaled} + 0.5D) / 1e{digits}D ELSE round({value}, {digits}) END")
 
 
 def index_value(rounded: Column) -> Column:

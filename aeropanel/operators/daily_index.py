@@ -37,13 +37,13 @@ def index_columns(df: DataFrame) -> DataFrame:
     # The JVM compiles no method over 8000 bytes, and Spark makes one of this whole stage. Values that cannot be
     # null need far less code: -1 stands for a missing level, and its negative sub-index is never the largest.
     levels = df.withColumns({f"_{p}": F.coalesce(p, F.lit(MISSING)) for p in INDEX_POLLUTANTS})
-    lines = levels.withColumns({f"_{p}": sub_index(F.col(f"_{p}"), p) for p in INDEX_POLLUTANTS})
+    lines = levels.withColumns({f"_{p}": sub_index(f"_{p}", p) for p in INDEX_POLLUTANTS})
     rounded = F.array(*(whole(F.col(f"_{p}")) for p in INDEX_POLLUTANTS))
     with_index = lines.withColumn("_rounded", rounded).withColumn("AQI_calc", index_value(F.col("_rounded")))
     calc = F.col("AQI_calc")
     return with_index.withColumns(
         {f"SI_{p}": F.when(F.col(p).isNotNull(), F.col(f"_{p}")) for p in INDEX_POLLUTANTS}
-        | {"Dominant": dominant(F.col("_rounded"), calc), "Bucket_calc": category(calc)},
+        | {"Dominant": dominant(F.col("_rounded"), calc), "Bucket_calc": category("AQI_calc")},
     ).drop("_rounded", *(f"_{p}" for p in INDEX_POLLUTANTS))
 
 
@@ -158,7 +158,7 @@ def reconcile(stored: DataFrame) -> DataFrame:
         F.count("AQI_calc").alias("calc"),
         count_where(_gap()).alias("filled"),
         count_where(_both()).alias("both"),
-        count_where(category(F.col("AQI")) == category(F.col("AQI_calc"))).alias("same"),
+        count_where(category("AQI") == category("AQI_calc")).alias("same"),
     )
 
 
@@ -179,7 +179,7 @@ def breakdown(daily: DataFrame) -> DataFrame:
 
 def with_advice(df: DataFrame, col: str) -> DataFrame:
     """Adds the category of `col` and its health advice; a missing value gives "No AQI" and no advice."""
-    name = category_or_none(F.col(col))
+    name = category_or_none(col)
     advice = F.coalesce(*(F.when(F.col("category") == n, F.lit(text)) for _, n, _, text in CATEGORIES), F.lit(""))
     return df.withColumn("category", name).withColumn("advice", advice)
 

@@ -152,7 +152,7 @@ def max8(hourly: DataFrame) -> DataFrame:
 def index_inputs() -> dict[str, Column]:
     """Rolling means -> the seven concentrations: CO in mg, NH3 not measured, 24-hour means at 1 decimal."""
     levels = {HOURLY_FIELDS[c]: round_rows(f"mean24_{c}", 1) for c in DAY_FIELDS}
-    levels["CO"] = round_rows(F.col("max8_carbon_monoxide") * 0.001, 2)
+    levels["CO"] = round_rows("max8_carbon_monoxide * 0.001D", 2)
     levels["O3"] = round_rows("max8_ozone", 1)
     levels["NH3"] = F.lit(None).cast("double")
     return levels

@@ -43,11 +43,11 @@ def test_sub_index_hits_every_edge_and_never_falls(spark, pollutant):
     edges = CONCENTRATION_EDGES[pollutant]
     steps = spark.range(0, 1201).select((F.col("id") * (edges[-1] * 1.2 / 1200)).alias("c"))
     from aeropanel.functions.columns import sub_index
-    got = [r.s for r in steps.select(sub_index(F.col("c"), pollutant).alias("s")).orderBy("c").collect()]
+    got = [r.s for r in steps.select(sub_index("c", pollutant).alias("s")).orderBy("c").collect()]
     assert all(a <= b for a, b in zip(got, got[1:]))
     assert got[-1] > INDEX_EDGES[-1]
     at_edges = tables.ad_hoc_rows(spark, [(float(e),) for e in edges], ["c"])
-    assert sorted(r.s for r in at_edges.select(sub_index(F.col("c"), pollutant).alias("s")).collect()) == INDEX_EDGES
+    assert sorted(r.s for r in at_edges.select(sub_index("c", pollutant).alias("s")).collect()) == INDEX_EDGES
 
 
 def test_range_join_equals_expression(spark, daily):
@@ -98,3 +98,11 @@ def test_advice_of_a_missing_value(spark):
     assert got[None] == ("No AQI", "")
     assert got[50.0] == ("Good", CATEGORIES[0][3])
     assert got[401.0] == ("Severe", CATEGORIES[5][3])
+
+
+def test_fast_rounding_equals_round(spark):
+    from aeropanel.functions.columns import round_rows
+    values = spark.range(40000).selectExpr(
+        "CASE id % 4 WHEN 0 THEN id / 128D WHEN 1 THEN (id - 20000) / 200D WHEN 2 THEN id * 1.005D ELSE id * 1e9D / 7 END AS v")
+    for digits in (0, 1, 2):
+        assert values.filter(~round_rows("v", digits).eqNullSafe(F.round("v", digits))).isEmpty()
