@@ -260,7 +260,7 @@ def file_queries() -> dict[str, Query]:
         readers.register(clean_panel(spark, sf_dir), "aqi")
         return spark.sql("""
             SELECT City, round(mean(AQI), 1) AS avg_aqi, round(mean(PM25), 1) AS avg_pm25, count(1) AS days
-            FROM aqi GROUP BY ALL SORT BY avg_aqi DESC""")
+            FROM aqi GROUP BY ALL ORDER BY avg_aqi DESC, City""")
 
     def clean_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = scratch_path(spark, "clean")
