@@ -154,7 +154,7 @@ def stream_queries() -> dict[str, Query]:
 
     def finished(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
         path = scratch_path(spark, name)
-        streaming.run_to_parquet(stream, f"{path}/out", f"{path}/checkpoint")
+        streaming.run_to_parquet(stream, f"{path}/out", f"{path}/checkpoint", spark.sparkContext.defaultParallelism)
         return spark.read.parquet(f"{path}/out")
 
     def hours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,7 +173,8 @@ def stream_queries() -> dict[str, Query]:
             part.write.mode("append").parquet(f"{path}/in")
             arriving = given.readings(streaming.read_stream(spark, f"{path}/in", events.schema))
             streaming.run_to_parquet(
-                flat_hours(streaming.stream_hourly(arriving)), f"{path}/out", f"{path}/checkpoint")
+                flat_hours(streaming.stream_hourly(arriving)), f"{path}/out", f"{path}/checkpoint",
+                spark.sparkContext.defaultParallelism)
         return spark.read.parquet(f"{path}/out")
 
     return {"stream_hourly": hours, "stream_rolling_index": rolling, "stream_late_rows": late}

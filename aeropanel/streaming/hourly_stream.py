@@ -83,11 +83,21 @@ def write_stream(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuer
     )
 
 
-def run_to_parquet(stream: DataFrame, path: str, checkpoint: str) -> list[dict]:
-    """Runs `write_stream` to its end -> the progress records of its batches."""
-    query = write_stream(stream, path, checkpoint)
+def run_to_parquet(stream: DataFrame, path: str, checkpoint: str, state_partitions: int | None = None) -> list[dict]:
+    """Runs `write_stream` to its end -> the progress records of its batches.
+
+    `state_partitions` is the number of state stores per operator, by default the session's shuffle partitions. It
+    is fixed by the first run on a checkpoint; every batch opens all of them, so a small stream wants few.
+    """
+    spark, option = stream.sparkSession, "spark.sql.shuffle.partitions"
+    before = spark.conf.get(option)
+    spark.conf.set(option, str(state_partitions or before))
+    try:
+        query = write_stream(stream, path, checkpoint)
+    finally:
+        spark.conf.set(option, before)
     query.awaitTermination()
-    return [dict(p) if isinstance(p, dict) else p for p in query.recentProgress]
+    return list(query.recentProgress)
 
 
 def dropped_rows(progress: list[dict]) -> int:
