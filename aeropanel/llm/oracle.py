@@ -2,6 +2,22 @@
 
 from __future__ import annotations
 
+SHINGLES = r"""
+{name}_words AS (
+  SELECT {key}, regexp_extract_all(lower(coalesce(text, '')), '[\p{{L}}\p{{M}}\p{{N}}]+') AS words FROM {table}),
+{name}_shingles AS (
+  SELECT DISTINCT {key}, array_to_string(list_slice(words, i, i + 4), ' ') AS shingle
+  FROM (SELECT {key}, words, unnest(range(1, greatest(2, len(words) - 3))) AS i FROM {name}_words WHERE len(words) > 0))"""
+
+OP1 = "WITH" + SHINGLES.format(name="doc", key="doc_id", table="documents") + "," \
+    + SHINGLES.format(name="item", key="item_id", table="benchmark") + """,
+sizes AS (SELECT item_id, count(*) AS item_shingles FROM item_shingles GROUP BY item_id),
+found AS (
+  SELECT doc_id, item_id, count(*) AS shared FROM doc_shingles JOIN item_shingles USING (shingle) GROUP BY ALL)
+SELECT doc_id, item_id, shared, item_shingles, shared / item_shingles::DOUBLE AS containment
+FROM found JOIN sizes USING (item_id) WHERE shared / item_shingles::DOUBLE >= 0.8
+"""
+
 OP10 = """
 WITH told AS (
   SELECT page_id, coalesce(html, '') AS payload FROM pages),
@@ -23,4 +39,4 @@ FROM records JOIN originals USING (payload_digest, payload_bytes)
 
 
 def all_sql() -> dict[str, str]:
-    return {"op10_warc_revisits": OP10}
+    return {"op1_minhash_containment": OP1, "op10_warc_revisits": OP10}

@@ -62,7 +62,7 @@ _powers: dict[str, np.ndarray] = {}
 def _power(inverse: bool, n: int) -> np.ndarray:
     """Powers of the base, or of its inverse, modulo 2**64."""
     key = "inverse" if inverse else "base"
-    if len(_powers.get(key, ())) < n:
+    if key not in _powers or len(_powers[key]) < n:
         base = pow(_BASE, -1, 1 << 64) if inverse else _BASE
         steps = np.full(max(n, SLICE_CHARS), base, np.uint64)
         steps[0] = 1
