@@ -1,9 +1,10 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment.
 
-The words of a source are laid on a line, documents in a seeded order, and cut into blocks of equally many words. Blocks
+The words of a source are laid on a ring, documents in a seeded order, and cut into blocks of equally many words. Blocks
 are apportioned to sources by highest quotients (target over 1, 3, 5, ...), then the blocks of a source to its shards
-by the words of the shards. In a shard, blocks are taken in a seeded order, all of them once more often when the quota
-exceeds their number. A document takes what its words have in the taken blocks.
+by the words of the shards. In a shard, blocks are taken one after another from a seeded one on, and all of them once
+more often when the quota exceeds their number. A document takes what its words have in the taken blocks; as these are
+neighbours and documents lie in random order, the choice is random while nearly every taken document is whole.
 
 A source is cut into shards of about `shard_words` by the hash of the document id, so no source, however large, is
 ordered by one task. Quotas need no list of all quotients: below the level at which every group certainly has its
@@ -97,21 +98,17 @@ def _offsets(sized: DataFrame, seed: int, shard_words: int) -> tuple[DataFrame,
     return known.withColumn("first", first), sources
 
 
-def _block_bounds(block: Column, size: Column, blocks: Column) -> Column:
-    """First word of a block: the words of a shard in equal parts."""
-    return F.floor(block * size / blocks)
-
-
-def taken_spans(documents: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE,
+def taken_parts(documents: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE,
                 most: int = MOST_REPEATS, block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS,
                 seed: int = 7) -> DataFrame:
-    """`documents` (doc_id, source, size, _tie, _row) -> one row per document with source_size, target, and `spans`.
+    """`documents` (doc_id, source, size, _tie, _row) -> these, source_size, target, `once`, `parts` and `taken`.
 
-    `spans` are the stretches of the document's words that the mix takes: first (from 0), words, times.
+    The mix takes the whole document `once` times, and the stretches of its words in `parts` (first word, from 0, and
+    number of words) once more.
     """
     spark = documents.sparkSession
     path = scratch_path(spark, "mixing")
-    placed, sources = _offsets(documents, seed, shard_words)
+    placed, _ = _offsets(documents, seed, shard_words)
     placed.write.parquet(f"{path}/placed")
     placed = spark.read.parquet(f"{path}/placed")
 
@@ -122,34 +119,29 @@ def taken_spans(documents: DataFrame, weights: Sequence[float] = WEIGHTS, share:
     shards = shards.join(of_source.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     of_shard = apportion(shards, "shard_size", F.col("quota"), ["source"], ["shard"], "shard_quota")
     blocks = F.greatest(F.lit(1), F.round(F.col("shard_size") / block_words)).cast("long")
-    of_shard = of_shard.withColumn("blocks", F.when(F.col("shard_size") > 0, F.least(blocks, F.col("shard_size"))).otherwise(F.lit(0)))
-    of_shard = of_shard.withColumn("shard_quota", F.least("shard_quota", F.col("blocks") * most))
-    of_shard = of_shard.withColumn("once", F.floor(F.col("shard_quota") / F.greatest(F.col("blocks"), F.lit(1)))) \
-        .withColumn("extra", F.col("shard_quota") - F.col("once") * F.col("blocks"))
-    of_shard.select("source", "shard", "target", "shard_size", "blocks", "once", "extra").write.parquet(f"{path}/shards")
-    of_shard = spark.read.parquet(f"{path}/shards")
-
-    # the extra blocks of a shard are those of smallest hash
-    numbered = of_shard.select("source", "shard", "extra", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")) \
-        .filter(F.col("extra") > 0)
-    seeded = Window.partitionBy("source", "shard").orderBy(F.xxhash64("source", "shard", "block", F.lit(seed + 2)), "block")
-    chosen = numbered.withColumn("_rank", F.row_number().over(seeded)).filter(F.col("_rank") <= F.col("extra")) \
-        .select(F.col("source").alias("_source"), F.col("shard").alias("_shard"), F.col("block").alias("_block"))
-
-    facts = of_shard.withColumnsRenamed({"source": "_source", "shard": "_shard"})
-    rows = placed.join(facts, F.col("source").eqNullSafe(F.col("_source")) & (F.col("shard") == F.col("_shard"))).drop("_source", "_shard")
-    block_of = lambda word: F.floor(((word + 1) * F.col("blocks") - 1) / F.col("shard_size"))
-    covered = F.when(F.col("size") > 0, F.sequence(block_of(F.col("first")), block_of(F.col("first") + F.col("size") - 1)))
-    parts = rows.select("*", F.explode_outer(covered).alias("block"))
-    parts = parts.join(chosen, F.col("source").eqNullSafe(F.col("_source")) & (F.col("shard") == F.col("_shard"))
-                       & (F.col("block") == F.col("_block")), "left")
-    times = F.col("once") + F.when(F.col("_block").isNotNull(), 1).otherwise(0)
-    begin = F.greatest(_block_bounds(F.col("block"), F.col("shard_size"), F.col("blocks")), "first") - F.col("first")
-    end = F.least(_block_bounds(F.col("block") + 1, F.col("shard_size"), F.col("blocks")), F.col("first") + F.col("size")) - F.col("first")
-    span = F.when(F.col("block").isNotNull() & (times > 0), F.struct(
-        begin.cast("long").alias("first"), (end - begin).cast("long").alias("words"), times.cast("int").alias("times")))
-    spans = F.filter(F.sort_array(F.collect_list(span)), lambda s: s["words"] > 0)
-    return parts.groupBy("_row", "doc_id", "source", "size", "source_size", "target").agg(spans.alias("spans"))
+    quota = F.least(F.col("shard_quota"), blocks * most)
+    begin = F.pmod(F.xxhash64("source", "shard", F.lit(seed + 2)), blocks)
+    bound = lambda block: F.floor(block * F.col("shard_size") / F.col("blocks"))
+    of_shard = of_shard.withColumns({"blocks": blocks, "once": F.floor(quota / blocks).cast("int"), "extra": quota % blocks, "begin": begin})
+    end = F.col("begin") + F.col("extra")
+    facts = of_shard.select(
+        F.col("source").alias("_source"), F.col("shard").alias("_shard"), "target", "once", bound(F.col("begin")).alias("_from"),
+        bound(F.least(end, F.col("blocks"))).alias("_to"), bound(F.greatest(end - F.col("blocks"), F.lit(0))).alias("_around"))
+    facts.write.parquet(f"{path}/shards")
+    facts = spark.read.parquet(f"{path}/shards")
+
+    rows = placed.join(facts, F.col("source").eqNullSafe(F.col("_source")) & (F.col("shard") == F.col("_shard")))
+
+    def inside(low: Column, high: Column) -> Column:
+        start = F.greatest(low, "first")
+        words = F.least(high, F.col("first") + F.col("size")) - start
+        return F.struct((start - F.col("first")).alias("first"), words.alias("words"))
+
+    both = F.array(inside(F.lit(0).cast("long"), F.col("_around")), inside(F.col("_from"), F.col("_to")))
+    parts = F.filter(both, lambda p: p["words"] > 0)
+    extra = F.aggregate(parts, F.lit(0).cast("long"), lambda n, p: n + p["words"])
+    return rows.select("_row", "doc_id", "source", "size", "source_size", "target", "once", parts.alias("parts"),
+                       (F.col("once") * F.col("size") + extra).alias("taken"))
 
 
 def _sized(documents: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -159,6 +151,30 @@ def _sized(documents: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def mix(documents: DataFrame, **options) -> DataFrame:
     """doc_id, size, source_size, target, taken of every document."""
-    spans = taken_spans(_sized(documents, ["doc_id", "source"]), **options)
-    taken = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["words"] * s["times"])
-    return spans.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+    return taken_parts(_sized(documents, ["doc_id", "source"]), **options).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def mixed(documents: DataFrame, **options) -> DataFrame:
+    """The documents as the mix takes them, with their columns: a row per time, `n_chars` of the text if there is one.
+
+    A document that is taken in part holds these words, parted by single blanks.
+    """
+    spark = documents.sparkSession
+    path = scratch_path(spark, "mixing")
+    # rows get a number that stays
+    documents.select("*", word_count(F.col("text")).alias("_size"), F.monotonically_increasing_id().alias("_row")).write.parquet(path)
+    numbered = spark.read.parquet(path)
+    sized = numbered.select("doc_id", "source", F.col("_size").alias("size"), F.xxhash64("text").alias("_tie"), "_row")
+    taken = taken_parts(sized, **options).filter(F.col("taken") > 0).select(
+        F.col("_row").alias("_taken_row"), F.col("once").alias("_once"), F.col("parts").alias("_parts"))
+    rows = numbered.join(taken, F.col("_row") == F.col("_taken_row"))
+    whole = F.transform(F.sequence(F.lit(1), F.col("_once")), lambda _: F.col("text"))
+    words = F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1))
+    cut = F.array_join(F.flatten(F.transform("_parts", lambda p: F.slice(words, p["first"].cast("int") + 1, p["words"].cast("int")))), " ")
+    once_more = F.when(F.col("_parts")[0]["words"] == F.col("_size"), F.col("text")).otherwise(cut)
+    texts = F.concat(F.when(F.col("_once") > 0, whole).otherwise(F.array().cast("array<string>")),
+                     F.when(F.size("_parts") > 0, F.array(once_more)).otherwise(F.array().cast("array<string>")))
+    taken_text = rows.select(*(c for c in documents.columns if c != "text"), F.explode(texts).alias("text"))
+    if "n_chars" in documents.columns:
+        taken_text = taken_text.withColumn("n_chars", F.length("text").cast(dict(documents.dtypes)["n_chars"]))
+    return taken_text.select(*documents.columns)
