@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeropanel.llm import decontaminate, hnsw, html_text, mixing, near_dedup, repair, token_counts, toxicity, warc
+from aeropanel.llm import decontaminate, hnsw, html_text, mixing, near_dedup, repair, suffix_dedup, token_counts, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,10 @@ def op2_repair_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op3_induced_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.document_repeats(table(spark, sf_dir, "documents"))
+
+
 def op4_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_copies(table(spark, sf_dir, "documents"))
 
@@ -55,6 +59,6 @@ def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Query]:
-    found = [op1_minhash_containment, op2_repair_token_ids, op4_weighted_minhash, op5_hnsw, op6_sainte_lague_mix,
-             op7_text_density, op8_prefix_token_counts, op9_factorization_machine, op10_warc_revisits]
+    found = [op1_minhash_containment, op2_repair_token_ids, op3_induced_suffixes, op4_weighted_minhash, op5_hnsw,
+             op6_sainte_lague_mix, op7_text_density, op8_prefix_token_counts, op9_factorization_machine, op10_warc_revisits]
     return {query.__name__: query for query in found}

@@ -108,11 +108,17 @@ def runs(member: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.flatnonzero(member & (~before | cut[:-1])), np.flatnonzero(member & (~after | cut[1:])) + 1
 
 
-def span_hashes(points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each span of code points, by a polynomial over random values per code point."""
+def running_hashes(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all prefixes, and the factors that make the difference of two of them independent of the place."""
     total = np.zeros(len(points) + 1, np.uint64)
     np.cumsum(_point_values()[points] * _power(False, len(points)), out=total[1:])
-    return mixed((total[ends] - total[starts]) * _power(True, len(points) + 1)[starts])
+    return total, _power(True, len(points) + 1)
+
+
+def span_hashes(points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each span of code points, by a polynomial over random values per code point."""
+    total, inverse = running_hashes(points)
+    return mixed((total[ends] - total[starts]) * inverse[starts])
 
 
 def word_hashes(texts: list[str]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
