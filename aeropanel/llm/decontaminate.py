@@ -173,4 +173,5 @@ def without_items(documents: DataFrame, items: DataFrame, containment: float = C
     """The documents that hold no item, with their columns."""
     found = find_items(documents, items, containment).select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    return documents.join(found, documents["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(documents["text"]) == F.col("_hash")), "left_anti")
+    same = F.col("row.doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("row.text") == F.col("_hash"))
+    return documents.select(F.struct("*").alias("row")).join(found, same, "left_anti").select("row.*")

@@ -162,19 +162,20 @@ def mixed(documents: DataFrame, **options) -> DataFrame:
     spark = documents.sparkSession
     path = scratch_path(spark, "mixing")
     # rows get a number that stays
-    documents.select("*", word_count(F.col("text")).alias("_size"), F.monotonically_increasing_id().alias("_row")).write.parquet(path)
+    documents.select(F.struct("*").alias("row"), word_count(F.col("text")).alias("size"), F.monotonically_increasing_id().alias("_row")) \
+        .write.parquet(path)
     numbered = spark.read.parquet(path)
-    sized = numbered.select("doc_id", "source", F.col("_size").alias("size"), F.xxhash64("text").alias("_tie"), "_row")
-    taken = taken_parts(sized, **options).filter(F.col("taken") > 0).select(
-        F.col("_row").alias("_taken_row"), F.col("once").alias("_once"), F.col("parts").alias("_parts"))
+    sized = numbered.select("row.doc_id", "row.source", "size", F.xxhash64("row.text").alias("_tie"), "_row")
+    taken = taken_parts(sized, **options).filter(F.col("taken") > 0).select(F.col("_row").alias("_taken_row"), "once", "parts")
     rows = numbered.join(taken, F.col("_row") == F.col("_taken_row"))
-    whole = F.transform(F.sequence(F.lit(1), F.col("_once")), lambda _: F.col("text"))
-    words = F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1))
-    cut = F.array_join(F.flatten(F.transform("_parts", lambda p: F.slice(words, p["first"].cast("int") + 1, p["words"].cast("int")))), " ")
-    once_more = F.when(F.col("_parts")[0]["words"] == F.col("_size"), F.col("text")).otherwise(cut)
-    texts = F.concat(F.when(F.col("_once") > 0, whole).otherwise(F.array().cast("array<string>")),
-                     F.when(F.size("_parts") > 0, F.array(once_more)).otherwise(F.array().cast("array<string>")))
-    taken_text = rows.select(*(c for c in documents.columns if c != "text"), F.explode(texts).alias("text"))
+    text, nothing = F.col("row.text"), F.array().cast("array<string>")
+    words = F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(1))
+    cut = F.array_join(F.flatten(F.transform("parts", lambda p: F.slice(words, p["first"].cast("int") + 1, p["words"].cast("int")))), " ")
+    once_more = F.when(F.col("parts")[0]["words"] == F.col("size"), text).otherwise(cut)
+    taken_texts = F.concat(F.when(F.col("once") > 0, F.transform(F.sequence(F.lit(1), F.col("once")), lambda _: text)).otherwise(nothing),
+                           F.when(F.size("parts") > 0, F.array(once_more)).otherwise(nothing))
+    each = rows.select("row", F.explode(taken_texts).alias("text"))
+    row = F.col("row").withField("text", F.col("text"))
     if "n_chars" in documents.columns:
-        taken_text = taken_text.withColumn("n_chars", F.length("text").cast(dict(documents.dtypes)["n_chars"]))
-    return taken_text.select(*documents.columns)
+        row = row.withField("n_chars", F.length("text").cast(dict(documents.dtypes)["n_chars"]))
+    return each.select(row.alias("row")).select("row.*")

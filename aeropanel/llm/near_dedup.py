@@ -319,14 +319,14 @@ def without_copies(documents: DataFrame, similarity: float = SIMILARITY) -> Data
     path = scratch_path(documents.sparkSession, "near")
     classes = _written(classes, f"{path}/classes")
     own = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("text_hash") == F.col("class_hash"))
+    rows = documents.select(F.struct("*").alias("row"))
+    same = F.col("row.doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("row.text") == F.col("_hash"))
     dropped = classes.filter(~own).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    same = documents["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(documents["text"]) == F.col("_hash"))
-    kept = documents.join(dropped, same, "left_anti")
+    kept = rows.join(dropped, same, "left_anti")
     # a class's own row may be repeated as it is; only then rows of equal id and text are dropped too
     repeated = classes.filter(own).groupBy("doc_id", "text_hash").count().filter("count > 1").select("doc_id", "text_hash")
-    if repeated.isEmpty():
-        return kept
-    again = repeated.toDF("_id", "_hash")
-    same = kept["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(kept["text"]) == F.col("_hash"))
-    once = kept.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.join(again, same, "left_anti").unionByName(once)
+    if not repeated.isEmpty():
+        again = repeated.toDF("_id", "_hash")
+        once = kept.join(again, same, "left_semi").groupBy("row.doc_id", "row.text").agg(F.first("row").alias("row")).select("row")
+        kept = kept.join(again, same, "left_anti").union(once)
+    return kept.select("row.*")

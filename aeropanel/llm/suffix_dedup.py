@@ -267,17 +267,18 @@ def document_repeats(documents: DataFrame, **options) -> DataFrame:
 
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        spans = [[(s["begin"], s["end"]) for s in told or []] for told in batch.column("_removed").to_pylist()]
+        spans = [[(s["begin"], s["end"]) for s in told or []] for told in batch.column("removed").to_pylist()]
         # a cut may fall inside a character; what is left of it goes
         kept = [t if not s else kept_bytes(t, s).decode("utf-8", "ignore") for t, s in zip(batch.column("text").to_pylist(), spans)]
-        at = batch.schema.get_field_index("text")
-        yield batch.set_column(at, batch.schema.field(at), pa.array(kept, pa.string())).drop_columns(["_removed"])
+        yield pa.record_batch([batch.column("row"), pa.array(kept, pa.string())], names=["row", "text"])
 
 
 def without_repeats(documents: DataFrame, **options) -> DataFrame:
     """The documents with their columns, repeated strings cut out of `text`."""
-    found = repeats(documents, **options).select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), F.col("removed").alias("_removed"))
-    text = F.coalesce(F.col("text"), F.lit(""))
-    met = documents.join(found, (F.xxhash64(text) == F.col("_k1")) & (F.xxhash64(F.lit(1), text) == F.col("_k2")), "left")
-    kept = met.select(*documents.columns, "_removed")
-    return kept.mapInArrow(_without, texts.ddl(documents))
+    found = repeats(documents, **options).select(*KEY, "removed")
+    rows = documents.select(F.struct("*").alias("row"))
+    text = F.coalesce(F.col("row.text"), F.lit(""))
+    met = rows.join(found, (F.xxhash64(text) == F.col("k1")) & (F.xxhash64(F.lit(1), text) == F.col("k2")), "left")
+    given = met.select("row", F.col("row.text").alias("text"), "removed")
+    kept = given.mapInArrow(_without, f"row {dict(given.dtypes)['row']}, text string")
+    return kept.select(F.col("row").withField("text", F.col("text")).alias("row")).select("row.*")

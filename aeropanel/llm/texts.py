@@ -182,4 +182,4 @@ def column_texts(column: pa.Array) -> list[str]:
 
 def ddl(df: DataFrame) -> str:
     """The schema of a frame as text."""
-    return ", ".join(f"`{name}` {kind}" for name, kind in df.dtypes)
+    return ", ".join(f"`{name.replace('`', '``')}` {kind}" for name, kind in df.dtypes)

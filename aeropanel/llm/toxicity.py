@@ -216,5 +216,6 @@ def toxic_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
 def without_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not toxic, with their columns."""
     model = fit(documents, labels.filter(~held_out()))
-    scored = score(documents, model, "_toxicity")
-    return scored.filter(F.col("_toxicity") < THRESHOLD).select(*documents.columns)
+    name = "_toxicity" + "_" * max(map(len, documents.columns))  # a name no column has
+    scored = score(documents, model, name)
+    return scored.filter(F.col(name) < THRESHOLD).drop(name)
