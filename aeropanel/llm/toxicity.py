@@ -75,11 +75,11 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def chi_square(toxic: Column, other: Column, all_toxic: int, all_other: int) -> Column:
-    """Chi-square with continuity correction of the 2 x 2 table of a term."""
+    """Chi-square with continuity correction of the 2 x 2 table of a term; null if all texts hold it."""
     n = float(all_toxic + all_other)
     with_term, gap = toxic + other, F.abs(toxic * F.lit(float(all_other)) - other * F.lit(float(all_toxic)))
-    return F.pow(F.greatest(F.lit(0.0), gap - n / 2), 2) * n / (
-        with_term * (F.lit(n) - with_term) * float(all_toxic) * float(all_other))
+    return F.try_divide(F.pow(F.greatest(F.lit(0.0), gap - n / 2), 2) * n,
+                        with_term * (F.lit(n) - with_term) * float(all_toxic) * float(all_other))
 
 
 def _lookup(terms: np.ndarray) -> np.ndarray:
@@ -192,7 +192,8 @@ def score(documents: DataFrame, model: Model, name: str = "score") -> DataFrame:
         for batch in batches:
             owner, places = _known_terms(texts.column_texts(batch.column("text")), table)
             odds, _ = _scores(weights, vectors, intercept, owner, places, batch.num_rows)
-            chance = 1 / (1 + np.exp(-np.clip(odds, -700, 700)))
+            with np.errstate(over="ignore"):
+                chance = 1 / (1 + np.exp(-odds))
             yield pa.record_batch([*batch.columns, pa.array(chance)], names=[*batch.schema.names, name])
 
     kept = documents.drop(name)
