@@ -24,7 +24,6 @@ from aeropanel.sources.driver_tables import (
     DAY,
     DIAGNOSED,
     EVENT_PERIOD,
-    FIRST_HOUR,
     HOURLY_SQL,
     LATE_TYPE,
     METROS,
@@ -130,8 +129,11 @@ def profile_sql() -> dict[str, str]:
     missing = unions(
         f"SELECT '{c}' AS \"column\", {rd(f'100.0 * count(*) FILTER ({c} IS NULL) / count(*)', 2)} AS missing_pct FROM raw"
         for c in cols)
+    lost = {"Date": "k % 53 = 0 OR k % 59 = 0", "NO2": "k % 47 = 0", "AQI": "k % 43 = 0"}
     return {
         "null_profile": f"WITH {RAW} {missing}",
+        "lost_values": f"WITH {RAW} " + unions(
+            f"SELECT '{c}' AS \"column\", count(*) FILTER ({lost.get(c, 'false')}) AS lost FROM raw" for c in ["Date", *POLLUTANTS, "AQI"]),
         "overview": f"""WITH {RAW} SELECT count(*) AS "rows", CAST({len(cols)} AS INT) AS cols,
             count(DISTINCT City) AS cities, min(Date) AS start, max(Date) AS "end" FROM raw""",
         "cleaning_funnel": f"""WITH {ONE_PER_DAY}
@@ -145,7 +147,9 @@ def profile_sql() -> dict[str, str]:
 def clean_sql() -> dict[str, str]:
     panel = ", ".join(["City", "Date", *POLLUTANTS, "AQI", "AQI_Bucket"])
     return {
-        "dates_parsed": f"WITH {RAW} SELECT {panel} FROM raw",
+        "dates_parsed": f"""WITH {RAW} SELECT {panel} FROM (SELECT * REPLACE (
+            CASE WHEN k % 53 = 0 OR k % 59 = 0 THEN NULL ELSE Date END AS Date,
+            CASE WHEN k % 47 = 0 OR NO2 < 0 THEN NULL ELSE NO2 END AS NO2, CASE WHEN k % 43 = 0 THEN NULL ELSE AQI END AS AQI) FROM raw)""",
         "one_row_per_city_day": f"WITH {ONE_PER_DAY} SELECT {panel} FROM one_per_day",
         "rows_with_target": f"WITH {RAW} SELECT {panel} FROM raw WHERE AQI IS NOT NULL",
         "target_in_range": f"WITH {RAW} SELECT {panel} FROM raw WHERE AQI > 0 AND AQI <= 1000",
@@ -295,7 +299,7 @@ def hourly_sql() -> dict[str, str]:
         "max8": f"WITH {rolling_ctes(DENSE)} SELECT station, time, "
                 + ", ".join(f"max8_{c}" for c in SHORT) + " FROM highest",
         "rolling_index": f"WITH {ROLLING} SELECT {INDEXED} FROM rolling",
-        "latest_index": f"WITH {LATEST} SELECT {INDEXED} FROM recent WHERE time = end_time",
+        "latest_index": f"WITH {LATEST} SELECT {INDEXED}, {', '.join(f'SI_{p}' for p in INDEX_POLLUTANTS)} FROM recent WHERE time = end_time",
         "trend24": f"WITH {LATEST} SELECT {INDEXED} FROM recent",
         "live_ranking": f"""WITH {LATEST} SELECT CAST(row_number() OVER (ORDER BY AQI_calc DESC, station) AS INT) AS "rank",
             station, time, AQI_calc, Dominant FROM recent WHERE time = end_time AND AQI_calc IS NOT NULL""",
@@ -309,19 +313,12 @@ def stream_sql() -> dict[str, str]:
     closed = f"time + INTERVAL 1 HOUR <= {mark}"
     kept = f"""(SELECT * FROM events WHERE event_type <> '{LATE_TYPE}'
         OR date_trunc('hour', ts) + INTERVAL 1 HOUR > {early_mark})"""
-    grid = f"""{HOURS}, bounds AS (SELECT TIMESTAMP '{FIRST_HOUR}' AS f, date_trunc('hour', {mark}) AS l),
-        spine AS (SELECT station, unnest(generate_series(f, l, INTERVAL 1 HOUR)) AS time
-          FROM (SELECT DISTINCT station FROM hours), bounds),
-        dense AS (SELECT spine.station, spine.time, {FEED_COLS}, hours.station IS NOT NULL AS present,
-            row_number() OVER (PARTITION BY spine.station ORDER BY spine.time) AS n
-          FROM spine LEFT JOIN hours USING (station, time))"""
-    seen = f"""{rolling_ctes(grid)}, seen AS (SELECT *, sum(present::INT) OVER (
-            PARTITION BY station ORDER BY time ROWS 23 PRECEDING) AS readings FROM levels),
-        whole AS (SELECT * FROM seen WHERE n >= 24 AND readings > 0 AND {closed}),
-        {index_ctes('whole', 'station, time', 'rolling')}"""
+    rolling = ROLLING.replace(HOURS, f"all_{HOURS}, hours AS (SELECT * FROM all_hours WHERE {closed})", 1)
     return {
         "stream_hourly": f"WITH {HOURS} SELECT station, time, {FEED_COLS} FROM hours WHERE {closed}",
-        "stream_rolling_index": f"WITH {seen} SELECT {INDEXED} FROM rolling",
+        "stream_rolling_index": f"WITH {rolling} SELECT {INDEXED} FROM rolling",
+        "stream_late_count": f"""SELECT count(DISTINCT (user_id % 8, date_trunc('hour', ts))) AS late_station_hours FROM events
+            WHERE event_type = '{LATE_TYPE}' AND date_trunc('hour', ts) + INTERVAL 1 HOUR <= {early_mark}""",
         "stream_late_rows": f"""WITH hours AS ({HOURLY_SQL.format(events=kept)})
             SELECT station, time, {FEED_COLS} FROM hours WHERE {closed}""",
     }
@@ -408,19 +405,23 @@ def day_sql() -> dict[str, str]:
     return {
         "busiest_date": f"""WITH {DAILY} SELECT Date, count(AQI_calc) AS cities FROM daily GROUP BY Date
             ORDER BY cities DESC, Date DESC LIMIT 1""",
-        "day_snapshot": f"""WITH {DAILY}, c AS (SELECT DISTINCT City FROM daily), d AS (SELECT * FROM daily WHERE {on_day}),
+        "day_snapshot": f"""WITH {STORED}, c AS (SELECT DISTINCT City FROM daily), d AS (SELECT * FROM daily WHERE {on_day}),
             s AS (SELECT c.City, AQI_calc, AQI, Bucket_calc, Dominant, d.City IS NOT NULL AS has_row
                   FROM c LEFT JOIN d ON c.City = d.City),
-            p AS (SELECT *, CAST(row_number() OVER (ORDER BY AQI_calc IS NULL, AQI_calc DESC, NOT has_row, City) AS INT)
-                  AS place FROM s)
-            SELECT *, CASE WHEN AQI_calc IS NOT NULL THEN place END AS "rank" FROM p""",
-        "day_summary": f"""WITH {DAILY}, d AS (SELECT * FROM daily WHERE {on_day} AND AQI_calc IS NOT NULL),
+            p AS (SELECT *, CAST(row_number() OVER (ORDER BY AQI_calc IS NULL, AQI_calc DESC, City) AS INT) AS place FROM s)
+            SELECT p.* EXCLUDE (place), CASE WHEN AQI_calc IS NOT NULL THEN place END AS "rank", recalculated,
+              CASE WHEN has_row THEN recalculated IS NOT DISTINCT FROM stored_calc END AS "match"
+            FROM p LEFT JOIN (SELECT City AS again_city, AQI_calc AS recalculated, stored_calc FROM again WHERE {on_day}) a
+              ON again_city = p.City""",
+        "day_summary": f"""WITH {STORED}, d AS (SELECT * FROM daily WHERE {on_day} AND AQI_calc IS NOT NULL),
             s AS (SELECT City, AQI_calc, row_number() OVER (ORDER BY AQI_calc DESC, City) AS n,
                   count(*) OVER () AS total FROM d)
             SELECT count(*) AS reporting, {rd('avg(AQI_calc)', 0)} AS mean,
               max(City) FILTER (n = 1) AS worst_city, max(AQI_calc) FILTER (n = 1) AS worst_aqi,
               max(City) FILTER (n = total) AS cleanest_city, max(AQI_calc) FILTER (n = total) AS cleanest_aqi,
-              count(*) FILTER (AQI_calc > 200) AS poor_or_worse FROM s""",
+              count(*) FILTER (AQI_calc > 200) AS poor_or_worse,
+              (SELECT count(*) FROM again WHERE {on_day} AND stored_calc IS NOT NULL
+                AND AQI_calc IS NOT DISTINCT FROM stored_calc) AS reconciled FROM s""",
         "month_grid": f"""WITH {DAILY}, c AS (SELECT DISTINCT City FROM daily),
             d AS (SELECT City, Date, AQI_calc FROM daily WHERE year(Date) = {year} AND month(Date) = {month})
             SELECT City, {grid} FROM c LEFT JOIN d USING (City) GROUP BY City""",
@@ -462,6 +463,75 @@ def file_sql() -> dict[str, str]:
     }
 
 
+def document_sql() -> dict[str, str]:
+    """Nested documents, one column per value."""
+    mean = lambda c, cond, d: rd(f"avg({c}) FILTER ({cond})", d)
+    shown = lambda cond: rd(mean("AQI", cond, 1), 0)
+    nice = "strftime({}, '%-d %b %Y')".format
+    share = lambda n, total: rd(f"count(*) FILTER (AQI_Bucket = '{n}') * 100.0 / nullif({total}, 0)", 1)
+    months = ", ".join(f"{shown(f'Month = {m}')} AS month_{m}" for m in range(1, 13))
+    seasons = ", ".join(f"{shown(f'Season = {quoted([s])}')} AS season_{i}" for i, s in enumerate(SEASONS, 1))
+    buckets = ", ".join(f"{share(n, 'count(*)')} AS bucket_{i}" for i, n in enumerate(CATEGORY_NAMES, 1))
+    overall = ", ".join(f"{mean(c, cond, 1)} AS {c.lower()}_{name}"
+                        for c in ("AQI", "PM25", "NO2") for name, cond in (("base", IN_BASE), ("event", IN_EVENT)))
+    city_months = ", ".join(f"{mean('AQI', f'Month = {m}', 0)} AS month_{m}" for m in range(1, 13))
+    city_seasons = ", ".join(f"{mean('AQI', f'Season = {quoted([s])}', 0)} AS season_{i}" for i, s in enumerate(SEASONS, 1))
+    city_buckets = ", ".join(f"coalesce({share(n, 'count(AQI_Bucket)')}, 0.0) AS bucket_{i}" for i, n in enumerate(CATEGORY_NAMES, 1))
+    levels = ", ".join(f"{rd(f'avg({p})', 2 if p == 'CO' else 1)} AS mean_{p}" for p in PROFILE_POLLUTANTS)
+    periods = ", ".join(f"CASE WHEN c.City IS NOT NULL THEN c.{m}_{n} END AS {m}_{n}" for m in ("aqi", "pm25", "no2") for n in ("base", "event"))
+    check = index_sql()["index_check"].partition("SELECT count(*)")[2]
+    return {
+        "overview_values": f"""WITH {COMPARISON},
+            regions AS (SELECT r_name AS Region, n_name AS City FROM nation JOIN region ON n_regionkey = r_regionkey),
+            corrs AS ({CORR_SKIP}), m AS (SELECT City, {rd('avg(AQI)', 1)} AS a FROM clean GROUP BY City),
+            by_region AS (SELECT Region, count(*) AS cities, {rd('avg(a)', 1)} AS avg FROM m JOIN regions USING (City) GROUP BY Region),
+            source AS (SELECT count(*) AS records, count(DISTINCT City) AS cities, {nice('min(Date)')} AS start,
+              {nice('max(Date)')} AS "end" FROM raw),
+            panel AS (SELECT count(*) AS clean_records, {rd('avg(AQI)', 1)} AS avg_aqi, {rd('avg(PM25)', 1)} AS avg_pm25,
+              {months}, {seasons}, {buckets} FROM clean),
+            period AS (SELECT count(DISTINCT City) AS compared, {overall} FROM clean WHERE City IN (SELECT City FROM comparison)),
+            drops AS (SELECT City AS drop_city, aqi_change_pct AS drop_pct FROM comparison ORDER BY aqi_change_pct, City LIMIT 1),
+            top AS (SELECT pollutant AS top_pollutant, corr AS top_corr FROM corrs ORDER BY corr DESC, pollutant DESC LIMIT 1),
+            first_region AS (SELECT Region AS top_region, avg AS top_region_avg, cities AS top_region_cities FROM by_region
+              ORDER BY avg DESC, Region DESC LIMIT 1)
+            SELECT *, (SELECT count(*) FROM corrs)::INT AS correlated FROM source, panel, period, drops, top, first_region""",
+        "dashboard_values": f"""WITH {DAILY}, checked AS (SELECT count(*){check}),
+            shares AS (SELECT Dominant, count(*) AS days, {rd('count(*) * 100.0 / sum(count(*)) OVER ()', 1)} AS pct
+              FROM daily WHERE Dominant IS NOT NULL GROUP BY Dominant),
+            most AS (SELECT Dominant AS most_dominant, days AS most_days, pct AS most_pct FROM shares ORDER BY days DESC, Dominant DESC LIMIT 1)
+            SELECT (SELECT count(*) FROM raw) AS records, checked.*, (SELECT count(*) FROM shares)::INT AS dominants, most.* FROM checked, most""",
+        "city_profile_values": f"""WITH {COMPARISON},
+            states AS (SELECT n_name AS City, 'STATE_' || n_regionkey AS State FROM nation WHERE n_regionkey <> 4),
+            base AS (SELECT City, {rd('avg(AQI)', 1)} AS avg, {rd('avg(PM25)', 1)} AS pm25, count(*) AS days,
+              {nice('min(Date)')} AS first, {nice('max(Date)')} AS last,
+              CAST(row_number() OVER (ORDER BY avg(AQI) DESC, City) AS INT) AS "rank",
+              {city_months}, {city_seasons}, {levels}, {city_buckets}, CAST(max(AQI) AS INT) AS worst_aqi,
+              CAST(min(AQI) AS INT) AS best_aqi FROM clean GROUP BY City),
+            worst AS (SELECT City, {nice('Date')} AS worst_day FROM clean
+              QUALIFY row_number() OVER (PARTITION BY City ORDER BY AQI DESC, Date) = 1),
+            years AS (SELECT City, Year, {rd('avg(AQI)', 0)} AS mean FROM clean GROUP BY City, Year),
+            yearly AS (SELECT City, count(*)::INT AS years, max(Year) AS last_year, arg_max(mean, Year) AS last_mean FROM years GROUP BY City)
+            SELECT base.*, coalesce(State, '') AS state, worst_day, yearly.* EXCLUDE (City), {periods},
+              CASE WHEN c.City IS NOT NULL THEN c.aqi_change_pct END AS change_pct
+            FROM base JOIN worst USING (City) JOIN yearly USING (City) LEFT JOIN states USING (City)
+            LEFT JOIN comparison c ON c.City = base.City""",
+    }
+
+
+def model_sql() -> dict[str, str]:
+    """The split, and metrics of a prediction that SQL can make; fitted models are beyond it."""
+    slot = "('0x' || substr(md5(City || '|' || strftime(Date, '%Y-%m-%d')), 1, 8))::BIGINT % 100"
+    parts = f"{CLEAN}, parts AS (SELECT *, {slot} < 80 AS train FROM clean)"
+    return {
+        "train_test_split": f"""WITH {parts} SELECT CASE WHEN train THEN 'train' ELSE 'test' END AS part, count(*) AS "rows"
+            FROM parts GROUP BY 1""",
+        "baseline_metrics": f"""WITH {parts}, means AS (SELECT City, avg(AQI) AS prediction FROM parts WHERE train GROUP BY City),
+            scored AS (SELECT AQI, prediction FROM parts JOIN means USING (City) WHERE NOT train)
+            SELECT {rd('sqrt(avg((prediction - AQI) * (prediction - AQI)))', 3)} AS "RMSE", {rd('avg(abs(prediction - AQI))', 3)} AS "MAE",
+              {rd('1 - sum((prediction - AQI) * (prediction - AQI)) / (var_pop(AQI) * count(*))', 3)} AS "R2" FROM scored""",
+    }
+
+
 def all_sql() -> dict[str, str]:
     return (profile_sql() | clean_sql() | trend_sql() | index_sql() | hourly_sql() | stream_sql() | city_sql()
-            | day_sql() | file_sql())
+            | day_sql() | file_sql() | document_sql() | model_sql())

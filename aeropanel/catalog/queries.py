@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cache, reduce
+from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +13,7 @@ from aeropanel.functions import columns
 from aeropanel.operators import cities, days, hourly, ml, profile, stats, trends
 from aeropanel.operators import clean as cleaning
 from aeropanel.operators import daily_index as index
-from aeropanel.schema import INDEX_POLLUTANTS, POLLUTANTS
+from aeropanel.schema import INDEX_POLLUTANTS, POLLUTANTS, PROFILE_POLLUTANTS, SEASONS
 from aeropanel.plans import documents, report
 from aeropanel.session import scratch_path, tuned
 from aeropanel.sources import driver_tables as given
@@ -42,6 +42,22 @@ def daily_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.daily_index(raw_panel(spark, sf_dir), given.TIE_BREAK)
 
 
+def text_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw panel as a file may hold it: dates and two readings as text, some of it malformed."""
+    k = F.col("k")
+    date = F.when(k % 53 == 0, "2020-13-45").when(k % 59 == 0, "n/a").otherwise(F.col("Date").cast("string"))
+    level = F.when(k % 47 == 0, "NA").otherwise(F.col("NO2").cast("string"))
+    target = F.when(k % 43 == 0, "None").otherwise(F.col("AQI").cast("string"))
+    return raw_panel(spark, sf_dir).withColumns({"Date": date, "NO2": level, "AQI": target})
+
+
+def table_of(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """The frame written once and read back, for results that read it several times."""
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def over(source: Query, operator: Callable[..., DataFrame], *args, **kwargs) -> Query:
     """Query that applies `operator` to `source`."""
     return lambda spark, sf_dir: operator(source(spark, sf_dir), *args, **kwargs)
@@ -51,13 +67,15 @@ def profile_queries() -> dict[str, Query]:
     return {
         "null_profile": over(panel, profile.null_profile),
         "overview": over(panel, profile.overview),
+        "lost_values": over(text_panel, profile.lost_values),
         "cleaning_funnel": over(raw_panel, profile.cleaning_funnel, given.TIE_BREAK),
     }
 
 
 def clean_queries() -> dict[str, Query]:
     return {
-        "dates_parsed": over(panel, cleaning.with_date),
+        "dates_parsed": lambda s, d: cleaning.with_numbers(cleaning.with_date(
+            cleaning.null_negatives(text_panel(s, d), ["NO2"]))).drop("k"),
         "one_row_per_city_day": lambda s, d: cleaning.dedup_city_day(raw_panel(s, d), given.TIE_BREAK).drop("k"),
         "rows_with_target": over(panel, cleaning.require, "AQI"),
         "target_in_range": over(panel, cleaning.in_range, "AQI", 0, 1000),
@@ -145,10 +163,6 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return given.readings(streaming.read_stream(spark, f"{sf_dir}/[e]vents.parquet", schema))
 
 
-def flat_hours(hours: DataFrame) -> DataFrame:
-    return hours.select("station", F.col("window.start").alias("time"), *hourly.FIELDS)
-
-
 def stream_queries() -> dict[str, Query]:
     """Each runs its stream to the end and returns what it wrote."""
 
@@ -158,13 +172,17 @@ def stream_queries() -> dict[str, Query]:
         return spark.read.parquet(f"{path}/out")
 
     def hours(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return finished(spark, flat_hours(streaming.stream_hourly(event_stream(spark, sf_dir))), "stream-hourly")
+        return finished(spark, streaming.closed_hours(streaming.stream_hourly(event_stream(spark, sf_dir))), "stream-hourly")
 
     def rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
-        hours = streaming.stream_hourly(event_stream(spark, sf_dir))
-        return finished(spark, streaming.stream_rolling_index(hours, given.FIRST_HOUR), "stream-index")
-
-    def late(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = scratch_path(spark, "stream-closed")
+        stores = spark.sparkContext.defaultParallelism
+        hours = streaming.closed_hours(streaming.stream_hourly(event_stream(spark, sf_dir)))
+        streaming.run_to_parquet(hours, f"{path}/out", f"{path}/checkpoint", stores)
+        closed = streaming.read_stream(spark, f"{path}/out", spark.read.parquet(f"{path}/out").schema)
+        return finished(spark, streaming.stream_rolling_index(closed), "stream-index")
+
+    def late_runs(spark: SparkSession, sf_dir: str) -> tuple[str, streaming.Run]:
         """One kind of event arrives in a second run, after the watermark has passed most of it."""
         path = scratch_path(spark, "stream-late")
         events = given.table(spark, sf_dir, "events")
@@ -172,12 +190,20 @@ def stream_queries() -> dict[str, Query]:
         for part in (events.filter(~is_late), events.filter(is_late)):
             part.write.mode("append").parquet(f"{path}/in")
             arriving = given.readings(streaming.read_stream(spark, f"{path}/in", events.schema))
-            streaming.run_to_parquet(
-                flat_hours(streaming.stream_hourly(arriving)), f"{path}/out", f"{path}/checkpoint",
+            run = streaming.run_to_parquet(
+                streaming.closed_hours(streaming.stream_hourly(arriving)), f"{path}/out", f"{path}/checkpoint",
                 spark.sparkContext.defaultParallelism)
-        return spark.read.parquet(f"{path}/out")
+        return f"{path}/out", run
+
+    def late(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return spark.read.parquet(late_runs(spark, sf_dir)[0])
 
-    return {"stream_hourly": hours, "stream_rolling_index": rolling, "stream_late_rows": late}
+    def late_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """How many hours of stations the late readings of the second run would have changed."""
+        _, run = late_runs(spark, sf_dir)
+        return tables.literal_rows(spark, [(run.late_station_hours,)], "late_station_hours long")
+
+    return {"stream_hourly": hours, "stream_rolling_index": rolling, "stream_late_rows": late, "stream_late_count": late_count}
 
 
 def city_queries() -> dict[str, Query]:
@@ -197,6 +223,10 @@ def city_queries() -> dict[str, Query]:
         return flat.select("City", F.col("period").isNotNull().alias("known"), *pair("aqi"), *pair("pm25"), *pair("no2"),
                            F.col("period.change_pct").alias("change_pct"))
 
+    def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+        panel_table = table_of(spark, clean_panel(spark, sf_dir), "profiled")
+        return cities.city_profiles(panel_table, given.city_states(spark, sf_dir), *periods)
+
     def levels(spark: SparkSession, sf_dir: str) -> DataFrame:
         return cities.pollutants_long(cities.city_pollutants(clean_panel(spark, sf_dir)))
 
@@ -218,7 +248,8 @@ def city_queries() -> dict[str, Query]:
         "city_period": period,
         "region_rollup": lambda s, d: cities.region_rollup(
             cities.city_base(clean_panel(s, d)), given.city_regions(s, d)),
-        "city_profiles": lambda s, d: cities.city_profiles(clean_panel(s, d), given.city_states(s, d), *periods),
+        "city_profiles": profiles,
+        "city_profile_values": lambda s, d: flat_profiles(profiles(s, d)),
         "poor_or_worse": lambda s, d: trends.poor_or_worse(trends.category_share(clean_panel(s, d))),
         "city_poor_or_worse": lambda s, d: trends.poor_or_worse(shares(s, d), ["City"]),
         "extreme_months": lambda s, d: cities.extreme_months(trends.monthly(clean_panel(s, d))),
@@ -228,12 +259,25 @@ def city_queries() -> dict[str, Query]:
     }
 
 
+def flat_profiles(nested: DataFrame) -> DataFrame:
+    """City profiles with a column per value; of the yearly means their number and the last one."""
+    at = lambda c, n, name: [F.get(c, F.lit(i)).alias(f"{name}_{i + 1}") for i in range(n)]
+    pair = lambda c: [F.get(f"period.{c}", F.lit(i)).alias(f"{c}_{n}") for i, n in enumerate(("base", "event"))]
+    last = F.element_at("yearly", -1)
+    return nested.select(
+        "City", "state", "rank", "avg", "pm25", "days", "first", "last", *at("monthly", 12, "month"), *at("season", 4, "season"),
+        *(F.col(f"pollutants.{p}").alias(f"mean_{p}") for p in PROFILE_POLLUTANTS), *at("buckets", 6, "bucket"),
+        F.size("yearly").alias("years"), last["Year"].alias("last_year"), last["mean"].alias("last_mean"),
+        "worst_day", "worst_aqi", "best_aqi", *pair("aqi"), *pair("pm25"), *pair("no2"),
+        F.col("period.change_pct").alias("change_pct"))
+
+
 def day_queries() -> dict[str, Query]:
     return {
         "busiest_date": over(daily_panel, days.busiest_date),
-        "day_snapshot": over(daily_panel, days.day_snapshot, given.DAY),
+        "day_snapshot": lambda s, d: days.day_snapshot(daily_panel(s, d), given.DAY, raw_panel(s, d)),
         "day_summary": over(daily_panel, days.day_summary, given.DAY),
-        "month_grid": over(daily_panel, days.month_grid, *given.MONTH),
+        "month_grid": lambda s, d: days.month_grid(daily_panel(s, d), *given.MONTH, raw_panel(s, d)),
         "year_calendar": over(daily_panel, days.year_calendar, given.CITY, given.YEAR),
         "year_calendar_recorded": over(daily_panel, days.year_calendar, given.CITY, given.YEAR, "recorded"),
         "city_year_days": over(daily_panel, days.city_year_days),
@@ -305,15 +349,37 @@ def parameters() -> report.Parameters:
 
 def document_queries() -> dict[str, Query]:
     def overview(spark: SparkSession, sf_dir: str) -> DataFrame:
+        cleaned = table_of(spark, clean_panel(spark, sf_dir), "overviewed")
         return documents.overview_document(
-            panel(spark, sf_dir), clean_panel(spark, sf_dir), given.city_regions(spark, sf_dir),
+            profile.overview(panel(spark, sf_dir)), cleaned, given.city_regions(spark, sf_dir),
             given.BASE_PERIOD, given.EVENT_PERIOD)
 
+    def overview_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """The overview with a column per value; of its lists the first entries."""
+        nested = overview(spark, sf_dir)
+        at = lambda c, n, name: [F.get(c, F.lit(i)).alias(f"{name}_{i + 1}") for i in range(n)]
+        pair = lambda c: [F.get(f"period.{c}", F.lit(i)).alias(f"{c}_{n}") for i, n in enumerate(("base", "event"))]
+        drop, top, region = F.get("period.biggest_drops", F.lit(0)), F.get("correlation", F.lit(0)), F.get("regions", F.lit(0))
+        return nested.select(
+            "records", "cities", "start", "end", "clean_records", "avg_aqi", "avg_pm25", *at("monthly", 12, "month"),
+            *(F.col(f"season.`{s}`").alias(f"season_{i}") for i, s in enumerate(SEASONS, 1)), *at("buckets", 6, "bucket"),
+            F.col("period.cities").alias("compared"), *pair("aqi"), *pair("pm25"), *pair("no2"),
+            drop["City"].alias("drop_city"), drop["aqi_change_pct"].alias("drop_pct"),
+            top["pollutant"].alias("top_pollutant"), top["corr"].alias("top_corr"), F.size("correlation").alias("correlated"),
+            region["Region"].alias("top_region"), region["avg"].alias("top_region_avg"), region["cities"].alias("top_region_cities"))
+
     def dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
-        daily = daily_panel(spark, sf_dir)
+        daily = table_of(spark, daily_panel(spark, sf_dir).select("AQI", "AQI_Bucket", "AQI_calc", "Bucket_calc", "Dominant"), "checked")
         return documents.dashboard_document(
             overview(spark, sf_dir), index.index_check(daily), index.dominant_share(daily))
 
+    def dashboard_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+        nested = dashboard(spark, sf_dir)
+        first = F.get("dominant", F.lit(0))
+        return nested.select(
+            F.col("overview.records").alias("records"), "daily_check.*", F.size("dominant").alias("dominants"),
+            first["Dominant"].alias("most_dominant"), first["days"].alias("most_days"), first["pct"].alias("most_pct"))
+
     def outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
         """The whole study without models -> each output and the rows read back from it."""
         path = scratch_path(spark, "report")
@@ -327,13 +393,21 @@ def document_queries() -> dict[str, Query]:
             for name, p in written.items()]
         return reduce(DataFrame.union, counts)
 
-    return {"overview_document": overview, "dashboard_document": dashboard, "report_outputs": outputs}
+    return {"overview_document": overview, "overview_values": overview_values, "dashboard_document": dashboard,
+            "dashboard_values": dashboard_values, "report_outputs": outputs}
+
+
+_fitted: dict[tuple, ml.Study] = {}
 
 
-@cache
 def _study(spark: SparkSession, sf_dir: str) -> ml.Study:
-    """All four models, fitted once per session and folder; the queries on their comparison share it."""
-    return ml.study(clean_panel(spark, sf_dir))
+    """All four models; queries on their comparison share the last fit while session and files are the same."""
+    files = given.table(spark, sf_dir, "orders").select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
+    key = (spark.sparkContext.applicationId, sf_dir, *sorted(map(tuple, files.distinct().collect())))
+    if key not in _fitted:
+        _fitted.clear()
+        _fitted[key] = ml.study(table_of(spark, clean_panel(spark, sf_dir), "studied"))
+    return _fitted[key]
 
 
 def model_queries() -> dict[str, Query]:
@@ -359,6 +433,12 @@ def model_queries() -> dict[str, Query]:
         named = [df.select(F.lit(name).alias("part")) for name, df in (("train", rows), ("test", test))]
         return named[0].union(named[1]).groupBy("part").agg(F.count("*").alias("rows"))
 
+    def baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """What predicting the mean of a city's training rows is worth, by the metrics of the models."""
+        rows, test = ml.split(ml.ml_frame(clean_panel(spark, sf_dir)))
+        means = rows.groupBy("City").agg(F.avg("AQI").alias("prediction"))
+        return ml.evaluate(test.join(means, "City"))
+
     def best_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         fitted = _study(spark, sf_dir)
         return ml.score(fitted.models[fitted.best], fitted.test).select("City", "Date", "AQI", "prediction")
@@ -368,6 +448,7 @@ def model_queries() -> dict[str, Query]:
 
     return {
         "ml_frame": lambda s, d: ml.ml_frame(clean_panel(s, d)),
+        "baseline_metrics": baseline,
         "imputer_medians": medians,
         "imputed_features": imputed,
         "train_test_split": split_sizes,

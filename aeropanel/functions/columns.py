@@ -39,8 +39,8 @@ def between_dates(window: tuple[str, str], col: str = "Date") -> Column:
 
 
 def reading(col: str) -> Column:
-    """A usable reading: negative values and NaN are sensor errors and become null."""
-    value = f"CAST(`{col}` AS DOUBLE)"
+    """A usable reading: negative values, NaN and text that is no number become null."""
+    value = f"TRY_CAST(`{col}` AS DOUBLE)"
     return F.expr(f"CASE WHEN {value} >= 0 AND NOT isnan({value}) THEN {value} END")
 
 

@@ -118,10 +118,10 @@ def city_yearly(clean: DataFrame) -> DataFrame:
 
 def city_extremes(clean: DataFrame) -> DataFrame:
     """City, worst_day, worst_aqi, best_aqi; of equal worst days the earliest."""
-    worst_first = F.min(F.struct((-F.col("AQI")).alias("worse"), "Date"))
-    found = clean.groupBy("City").agg(worst_first.alias("_worst"), F.min("AQI").alias("best_aqi"))
-    return found.select("City", F.col("_worst.Date").alias("worst_day"),
-                        F.negative("_worst.worse").alias("worst_aqi"), "best_aqi")
+    # dates by city and value first: both steps combine in hash tables, a minimum of structs would sort the rows
+    first = clean.groupBy("City", "AQI").agg(F.min("Date").alias("_first"))
+    return first.groupBy("City").agg(
+        F.max_by("_first", "AQI").alias("worst_day"), F.max("AQI").alias("worst_aqi"), F.min("AQI").alias("best_aqi"))
 
 
 def city_period(clean: DataFrame, base: Period, event: Period) -> DataFrame:
@@ -140,7 +140,7 @@ def region_rollup(base: DataFrame, regions: DataFrame) -> DataFrame:
 
 
 def city_profiles(clean: DataFrame, states: DataFrame, base: Period, event: Period) -> DataFrame:
-    """The whole profile, one row per city, from four aggregates that share the City partitioning."""
+    """The whole profile, one row per city, from four aggregates; `clean` is best a table, as each reads it once."""
     parts = clean.groupBy("City").agg(
         *(c.alias(n) for n, c in _base().items()),
         _monthly().alias("monthly"), _season().alias("season"), _pollutants().alias("pollutants"),
@@ -158,10 +158,10 @@ def city_profiles(clean: DataFrame, states: DataFrame, base: Period, event: Peri
 
 def extreme_months(monthly: DataFrame, by: Sequence[str] = (), value: str = "avg_aqi") -> DataFrame:
     """Worst and cleanest month from monthly means, the first month when equal, per group or overall."""
-    worst = F.min(F.struct(-F.col(value), "Month"))
-    cleanest = F.min(F.struct(F.col(value), "Month"))
-    found = monthly.filter(F.col(value).isNotNull()).groupBy(*by).agg(worst.alias("_w"), cleanest.alias("_c"))
-    return found.select(*by, F.col("_w.Month").alias("worst_month"), F.col("_c.Month").alias("cleanest_month"))
+    by_month = F.array(*(F.max(F.when(F.col("Month") == m, F.col(value))) for m in range(1, 13)))
+    found = monthly.filter(F.col(value).isNotNull()).groupBy(*by).agg(by_month.alias("_m"))
+    month_of = lambda extreme: F.array_position("_m", extreme("_m")).cast("int")
+    return found.select(*by, month_of(F.array_max).alias("worst_month"), month_of(F.array_min).alias("cleanest_month"))
 
 
 def city_months(clean: DataFrame) -> DataFrame:

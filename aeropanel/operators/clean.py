@@ -14,7 +14,15 @@ CITY_DAY_KEY = ["City", "Date"]
 
 
 def with_date(df: DataFrame) -> DataFrame:
-    return df.withColumn("Date", F.to_date("Date"))
+    """Text that is no date becomes null."""
+    return df.withColumn("Date", F.expr("TRY_CAST(Date AS DATE)"))
+
+
+def with_numbers(df: DataFrame) -> DataFrame:
+    """A target read as text becomes a number, or null if it is none."""
+    if dict(df.dtypes).get("AQI") != "string":
+        return df
+    return df.withColumn("AQI", F.expr("TRY_CAST(AQI AS DOUBLE)"))
 
 
 def dedup_city_day(df: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
@@ -51,7 +59,7 @@ def with_season(df: DataFrame) -> DataFrame:
 
 def one_per_day(raw: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
     """The typed panel both analyses start from; write it once when more than one is to be run."""
-    return dedup_city_day(with_date(raw), order_by)
+    return dedup_city_day(with_numbers(with_date(raw)), order_by)
 
 
 def clean_rows(unique: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ from aeropanel.operators.clean import null_negatives, one_per_day
 from aeropanel.operators.trends import share_of_total
 from aeropanel.schema import CATEGORIES, DAILY_OUTPUT, INDEX_POLLUTANTS, display_name
 
-MISSING = -1.0
+MISSING = -1e6
 
 
 def _gap() -> Column:
@@ -35,7 +35,7 @@ def _both() -> Column:
 def index_columns(df: DataFrame) -> DataFrame:
     """Adds SI_*, AQI_calc, Dominant and Bucket_calc to rows that hold the seven concentrations."""
     # The JVM compiles no method over 8000 bytes, and Spark makes one of this whole stage. Values that cannot be
-    # null need far less code: -1 stands for a missing level, and its negative sub-index is never the largest.
+    # null need far less code: a large negative level stands for a missing one; its sub-index is below -1 on every slope, so it is never the largest.
     levels = df.withColumns({f"_{p}": F.coalesce(p, F.lit(MISSING)) for p in INDEX_POLLUTANTS})
     lines = levels.withColumns({f"_{p}": sub_index(f"_{p}", p) for p in INDEX_POLLUTANTS})
     rounded = F.array(*(whole(F.col(f"_{p}")) for p in INDEX_POLLUTANTS))
@@ -76,11 +76,11 @@ def sub_index_long(readings: DataFrame, breakpoints: DataFrame) -> DataFrame:
     """Sub-index of long-form readings by a range join with the breakpoint table.
 
     The pollutant is an equality key, so the band test is only a residual condition of a hash join.
-    The breakpoint table is fixed, 42 rows, and therefore always broadcast.
+    A breakpoint table of literal rows is broadcast by Spark's own rule.
     """
     lowest = F.min("band").over(Window.partitionBy("pollutant"))
     highest = F.max("band").over(Window.partitionBy("pollutant"))
-    bands = F.broadcast(breakpoints.withColumns({"lowest": lowest, "highest": highest}))
+    bands = breakpoints.withColumns({"lowest": lowest, "highest": highest})
     r, b = readings.alias("r"), bands.alias("b")
     level = F.col("r.level")
     inside = (

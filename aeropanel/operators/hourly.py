@@ -3,7 +3,8 @@
 A station's hours are cut into blocks of 31 days, and each block also gets the 23 hours before it, so
 windows run per (station, block): no group exceeds 767 hours, however much one station holds, and a
 single shuffle serves all frames. Missing hours come from a spine of empty slots. There is one reading per
-station and hour; of several the largest counts.
+station and hour; of several the largest counts. Hours are those of the session's clock, also where its zone is half an
+hour off.
 """
 
 from __future__ import annotations
@@ -30,16 +31,25 @@ DAY_FIELDS = ["pm2_5", "pm10", "nitrogen_dioxide", "sulphur_dioxide"]
 SHORT_FIELDS = ["carbon_monoxide", "ozone"]
 BLOCK_HOURS = 31 * 24
 HALO_HOURS = DAY_HOURS - 1
+SUB_INDICES = [f"SI_{p}" for p in INDEX_POLLUTANTS]
 INDEX_RESULT = ["station", "time", *INDEX_POLLUTANTS, "AQI_calc", "Dominant", "Bucket_calc"]
 
 
 def hour_number(time: Column | str = "time") -> Column:
+    """Hours since the start of 1970 on the clock of the session."""
     time = F.col(time) if isinstance(time, str) else time
-    return F.floor(F.unix_seconds(time.cast("timestamp")) / 3600)
+    return F.datediff(F.to_date(time), F.lit("1970-01-01").cast("date")).cast("long") * 24 + F.hour(time)
 
 
 def hour_start(number: Column) -> Column:
-    return F.timestamp_seconds(number * 3600)
+    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(number / 24).cast("int"))
+    in_day = F.make_dt_interval(F.lit(0), F.pmod(number, F.lit(24)).cast("int"))
+    return (day.cast("timestamp_ntz") + in_day).cast("timestamp")
+
+
+def one_per_hour(hourly: DataFrame, cols: Sequence[str] = FIELDS) -> DataFrame:
+    """station, hour number and the largest readings; combined before its shuffle, so many of one hour are few rows."""
+    return hourly.groupBy("station", hour_number().alias("hour")).agg(*(F.max(c).alias(c) for c in cols))
 
 
 def flatten_hourly(payloads: DataFrame) -> DataFrame:
@@ -89,9 +99,9 @@ def _placed_hours(hourly: DataFrame, spans: DataFrame, cols: Sequence[str]) -> D
     in place.
     """
     slots = _slots(spans).withColumns({c: F.lit(None).cast("double") for c in cols})
-    hour, no_span = hour_number(), F.lit(None).cast("long")
-    readings = hourly.select("station", _blocks_of(hour, hour + HALO_HOURS), hour.alias("hour"),
-                             no_span.alias("first"), no_span.alias("last"), *cols)
+    hour, no_span = F.col("hour"), F.lit(None).cast("long")
+    readings = one_per_hour(hourly, cols).select(
+        "station", _blocks_of(hour, hour + HALO_HOURS), "hour", no_span.alias("first"), no_span.alias("last"), *cols)
     placed = slots.unionByName(readings).repartition("station", "block")
     merged = placed.groupBy("station", "block", "hour").agg(*(F.max(c).alias(c) for c in ("first", "last", *cols)))
     return merged.filter(F.col("first").isNotNull())
@@ -158,11 +168,11 @@ def index_inputs() -> dict[str, Column]:
     return levels
 
 
-def _indexed(means: DataFrame) -> DataFrame:
-    """Index from the rolling means, only where a full day of hours precedes."""
+def _indexed(means: DataFrame, parts: bool = False) -> DataFrame:
+    """Index from the rolling means, only where a full day of hours precedes; `parts` adds the sub-indices."""
     full_day = F.col("time") >= F.col("first") + F.expr(f"INTERVAL {HALO_HOURS} HOURS")
     inputs = means.filter(full_day).select("station", "time", *(c.alias(p) for p, c in index_inputs().items()))
-    return index_columns(inputs).select(*INDEX_RESULT)
+    return index_columns(inputs).select(*INDEX_RESULT, *(SUB_INDICES if parts else []))
 
 
 def rolling_index(hourly: DataFrame) -> DataFrame:
@@ -198,13 +208,15 @@ def trend24(hourly: DataFrame, as_of: str) -> DataFrame:
 
 
 def latest_index(hourly: DataFrame, as_of: str) -> DataFrame:
-    """Index of each station at its latest hour; stations with less than a day of hours are left out."""
-    return _indexed(_recent_means(hourly, as_of).filter(F.col("time") == F.col("last")))
+    """Index of each station at its latest hour, and how it came about: the sub-indices.
+
+    Stations with less than a day of hours are left out.
+    """
+    return _indexed(_recent_means(hourly, as_of).filter(F.col("time") == F.col("last")), parts=True)
 
 
 def live_ranking(hourly: DataFrame, as_of: str) -> DataFrame:
     """Stations by their latest index, most polluted first; stations without one are left out."""
-    # Stations without an index rank last and go afterwards; a filter before would repeat the whole computation.
-    latest = latest_index(hourly, as_of).withColumn("_key", F.coalesce("AQI_calc", F.lit(-1.0)))
-    ranked = with_rank(latest, "_key", ["station"]).filter(F.col("AQI_calc").isNotNull())
+    latest = latest_index(hourly, as_of).filter(F.col("AQI_calc").isNotNull())
+    ranked = with_rank(latest, "AQI_calc", ["station"])
     return ranked.select("rank", "station", "time", "AQI_calc", "Dominant").orderBy("rank")

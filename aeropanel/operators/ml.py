@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aeropanel.schema import POLLUTANTS, display_name
+from aeropanel.session import ensure_checkpoint_folder
 from aeropanel.sources.readers import persisted
 from aeropanel.sources.tables import literal_rows
 
@@ -49,8 +50,9 @@ def ml_frame(clean: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
 
 
 def split(df: DataFrame, key_cols: Sequence[str] = KEYS, train_percent: int = TRAIN_PERCENT) -> tuple[DataFrame, DataFrame]:
-    """Train and test rows by a hash of the key: the same rows however the data is partitioned."""
-    slot = F.pmod(F.xxhash64(*key_cols), F.lit(100))
+    """Train and test rows by a hash of the key: the same rows however the data is partitioned, on any engine."""
+    key = F.md5(F.concat_ws("|", *(F.col(c).cast("string") for c in key_cols)).cast("binary"))
+    slot = F.conv(F.substring(key, 1, 8), 16, 10).cast("long") % 100
     return df.filter(slot < train_percent), df.filter(slot >= train_percent)
 
 
@@ -84,6 +86,7 @@ def prepare(train: DataFrame) -> PipelineModel:
 def train(rows: DataFrame, kind: str, prepared: PipelineModel | None = None) -> PipelineModel:
     """One fitted model, from readings to prediction."""
     prepared = prepared or prepare(rows)
+    ensure_checkpoint_folder(rows.sparkSession)
     with persisted(prepared.transform(rows).select("features", "AQI")) as features:
         fitted = regressor(kind).fit(features)
     return PipelineModel(stages=[*prepared.stages, fitted])
@@ -94,6 +97,7 @@ def fit_all(
 ) -> dict[str, PipelineModel]:
     """All models on the same prepared features, which are computed once; `at_once` fits run side by side."""
     prepared = prepare(rows)
+    ensure_checkpoint_folder(rows.sparkSession)
     with persisted(prepared.transform(rows).select("features", "AQI")) as features, ThreadPoolExecutor(at_once) as pool:
         fitted = pool.map(lambda kind: regressor(kind).fit(features), kinds)
         return {k: PipelineModel(stages=[*prepared.stages, m]) for k, m in zip(kinds, fitted, strict=True)}
@@ -168,12 +172,13 @@ class Study:
 
 
 def study(clean: DataFrame, kinds: Sequence[str] = tuple(MODEL_NAMES)) -> Study:
-    """Splits, fits and compares; the only data on the driver are one row of metrics per model."""
-    frame = ml_frame(clean)
-    with persisted(frame):
-        rows, test = split(frame)
-        models = fit_all(rows, kinds)
-        table = [tuple(r) for r in evaluate_all(models, test).collect()]
+    """Splits, fits and compares; the only data on the driver are one row of metrics per model.
+
+    Only the features are kept in memory; `clean` is read for the medians, the features and the test rows.
+    """
+    rows, test = split(ml_frame(clean))
+    models = fit_all(rows, kinds)
+    table = [tuple(r) for r in evaluate_all(models, test).collect()]
     metrics = literal_rows(clean.sparkSession, table, "kind string, Model string, RMSE double, MAE double, R2 double")
     best = min(table, key=lambda r: (r[2], r[1]))[0]
     return Study(models, metrics, best, test)

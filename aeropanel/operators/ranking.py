@@ -7,18 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from aeropanel.session import scratch_path
+
 
 def with_rank(df: DataFrame, value: str, ties: Sequence[str], name: str = "rank") -> DataFrame:
     """Adds ranks from 1 by falling `value`, equal values by `ties`; `value` must not be null.
 
-    Rows are cut into slices of equal whole value. A row's rank is its place in its slice plus the rows of all
-    higher slices, so only the slice sizes - one row per whole index value - meet in one task.
+    Rows are cut into ranges of (value, ties) of about equal size, from bounds that Spark samples, so equal values are
+    split too. A row's rank is its place in its range plus the rows of all ranges before; only the sizes of the ranges,
+    one row per task, meet in one place. The ranges are written, as both steps must see the same ones.
     """
-    sliced = df.withColumn("_slice", F.floor(F.col(value)))
-    sizes = sliced.groupBy("_slice").agg(F.count("*").alias("_n"))
-    higher = Window.orderBy(F.desc("_slice")).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(F.col("_slice").alias("_of"), F.coalesce(F.sum("_n").over(higher), F.lit(0)).alias("_above"))
-    in_slice = F.row_number().over(Window.partitionBy("_slice").orderBy(F.desc(value), *ties))
-    # Null-safe, because a plain join would first filter on the key and compute `value` once more for that.
-    placed = sliced.join(starts, F.col("_slice").eqNullSafe(F.col("_of")))
-    return placed.withColumn(name, (F.col("_above") + in_slice).cast("int")).drop("_slice", "_of", "_above")
+    order = [F.desc(value), *ties]
+    path = scratch_path(df.sparkSession, "ranges")
+    df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()).write.parquet(path)
+    ranged = df.sparkSession.read.parquet(path)
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranged.groupBy("_range").agg(F.count("*").alias("_n")).select(
+        F.col("_range").alias("_of"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    in_range = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    placed = ranged.join(starts, F.col("_range") == F.col("_of"))
+    return placed.withColumn(name, (F.col("_before") + in_range).cast("int")).drop("_range", "_of", "_before")

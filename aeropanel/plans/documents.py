@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aeropanel.functions.columns import count_where, mean, mean_where, nice_date
-from aeropanel.operators import cities, profile, stats, trends
+from aeropanel.operators import cities, stats, trends
 from aeropanel.operators.trends import Period
 from aeropanel.schema import CATEGORY_NAMES, SEASONS
 
@@ -48,10 +48,13 @@ def _period_document(clean: DataFrame, base: Period, event: Period) -> DataFrame
 
 
 def overview_document(
-    raw: DataFrame, clean: DataFrame, regions: DataFrame, base: Period, event: Period, nulls: stats.Nulls = "skip",
+    raw_overview: DataFrame, clean: DataFrame, regions: DataFrame, base: Period, event: Period, nulls: stats.Nulls = "skip",
 ) -> DataFrame:
-    """National overview -> one row."""
-    source = profile.overview(raw).select(
+    """National overview -> one row; `raw_overview` is that of `profile`.
+
+    Its parts read the cleaned panel several times, each only some columns: hand over a table, not a computation.
+    """
+    source = raw_overview.select(
         F.col("rows").alias("records"), "cities", nice_date("start").alias("start"), nice_date("end").alias("end"))
     return clean.sparkSession.range(1).select(
         as_struct(source).alias("source"),

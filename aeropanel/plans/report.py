@@ -1,8 +1,9 @@
 """The whole study in one run, from a raw panel to a folder of results.
 
-The copies are removed once, which is the only shuffle of all rows, and the result is written as a table. Both
-panels are derived from that table without a shuffle, every result reads only the columns it needs, and a lost
-executor costs no more than the tasks it ran.
+The raw rows are read twice: once to remove the copies, which is the one shuffle of all columns, and once for counts of
+what is in the file. The panel without copies is written as a table; both panels are derived from it without a shuffle
+and every result reads only the columns it needs. Writing by city, the sorted CSV and the documents per city shuffle the
+daily panel once each, as their order asks for. A lost executor costs no more than the tasks it ran.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ class Parameters:
 
 @dataclass(frozen=True)
 class Panels:
+    unique: DataFrame
     clean: DataFrame
     daily: DataFrame
 
@@ -43,16 +45,17 @@ def build_panels(raw: DataFrame, path: str, order_by: Sequence[str] | None = Non
     spark = raw.sparkSession
     clean.one_per_day(raw, order_by).write.mode("overwrite").parquet(f"{path}/one_per_day")
     unique = read_daily(spark, f"{path}/one_per_day")
-    return Panels(clean.clean_rows(unique), daily_index.daily_rows(unique))
+    return Panels(unique, clean.clean_rows(unique), daily_index.daily_rows(unique))
 
 
-def result_tables(raw: DataFrame, panels: Panels, p: Parameters) -> dict[str, DataFrame]:
+def result_tables(known: profile.RawProfile, panels: Panels, p: Parameters) -> dict[str, DataFrame]:
     """Every result of the study by name."""
     cleaned, daily = panels.clean, panels.daily
     shares = trends.category_share(cleaned)
     return {
-        "missing": profile.null_profile(raw),
-        "funnel": profile.cleaning_funnel(raw, p.order_by),
+        "overview": known.overview,
+        "missing": known.missing,
+        "funnel": profile.funnel_of(panels.unique, known.rows),
         "city_aqi": trends.city_ranking(cleaned),
         "yearly": trends.yearly(cleaned),
         "full_cities": trends.full_coverage(cleaned, p.n_years),
@@ -88,11 +91,12 @@ def run_report(
 
     writers.write_clean(panels.clean, f"{out}/clean_city_day")
     writers.write_daily(panels.daily, f"{out}/daily_aqi")
-    panels = Panels(read_daily(spark, f"{out}/clean_city_day"), panels.daily)
+    panels = Panels(panels.unique, read_daily(spark, f"{out}/clean_city_day"), panels.daily)
     writers.export_daily_csv(panels.daily, f"{out}/daily_aqi_csv")
     writers.write_json(writers.city_documents(panels.daily), f"{out}/daily_aqi_web")
 
-    results = result_tables(raw, panels, p)
+    known = profile.raw_profile(raw)
+    results = result_tables(known, panels, p)
     if source:
         results["data_source"] = tables.literal_rows(
             spark, [(source, storage_of(source), [f"{out}/clean_city_day", f"{out}/daily_aqi"])],
@@ -106,7 +110,7 @@ def run_report(
         results["importance"] = ml.importances(fitted.models["forest"], spark)
     writers.write_results(results, f"{out}/results")
 
-    overview = documents.overview_document(raw, panels.clean, regions, p.base, p.event, p.nulls)
+    overview = documents.overview_document(known.overview, panels.clean, regions, p.base, p.event, p.nulls)
     summary = documents.dashboard_document(overview, results["daily_check"], results["dominant"], model)
     writers.write_results({
         "summary": summary,

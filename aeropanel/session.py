@@ -18,6 +18,7 @@ def local_session(cpus: int | str = 8, memory: str = "20g") -> SparkSession:
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="aeropanel-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -46,10 +47,18 @@ def shared_folder(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _own_folder:
         _own_folder[app] = tempfile.mkdtemp(prefix="aeropanel-")
-        spark.sparkContext.setCheckpointDir(_own_folder[app])
     return _own_folder[app]
 
 
+def ensure_checkpoint_folder(spark: SparkSession) -> None:
+    """Gives the context a checkpoint folder below the shared one, unless it has one.
+
+    Learners that run many rounds cut their lineage only if there is one; without it they go on without a word.
+    """
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(f"{shared_folder(spark)}/aeropanel/checkpoints")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder."""
     return f"{shared_folder(spark)}/aeropanel/{name}-{uuid.uuid4().hex}"

@@ -6,8 +6,6 @@ and do not depend on row order.
 
 from __future__ import annotations
 
-from functools import cache
-
 from pyspark.sql import DataFrame, SparkSession
 
 CITY_DAY_SQL = """
@@ -72,13 +70,10 @@ DAY = "1999-04-10"
 MONTH = (1999, 4)
 CITY, YEAR = "NATION_3", 1998
 AS_OF = "2024-01-20 12:00:00"
-FIRST_HOUR = "2024-01-01 00:00:00"
 LATE_TYPE = "error"
 
 
-@cache
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table; its schema is looked up once per session."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -1,20 +1,42 @@
 """Readings as a stream: hourly values, then the rolling index, with a watermark for late rows.
 
-Row frames do not exist on streams, so the last 24 hours are a sliding window of 24 hours; its 24 slots are
-conditional aggregates of fixed size, which keeps the state per window constant.
+The hourly values are a windowed aggregate, written as a table of closed hours. The rolling index is a second stream over
+that table: it keeps the first hour and the last 23 hours of every station as state, so the rule that an index needs 24
+hours holds per station, whenever it starts. Missing hours are filled in once a later hour of the station has closed, as
+in the batch form; both give the same rows for closed hours.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from aeropanel.operators.daily_index import index_columns
-from aeropanel.operators.hourly import DAY_FIELDS, FIELDS, INDEX_RESULT, SHORT_FIELDS, index_inputs
+from aeropanel.operators.hourly import (
+    DAY_FIELDS,
+    FIELDS,
+    HALO_HOURS,
+    INDEX_RESULT,
+    SHORT_FIELDS,
+    hour_number,
+    hour_start,
+    index_inputs,
+)
 from aeropanel.schema import DAY_HOURS, DAY_MIN_READINGS, SHORT_HOURS, SHORT_MIN_READINGS
 
+MEANS = [*(f"mean24_{c}" for c in DAY_FIELDS), *(f"max8_{c}" for c in SHORT_FIELDS)]
+MEANS_SCHEMA = "station string, hour long, " + ", ".join(f"{c} double" for c in MEANS)
+STATE_SCHEMA = "first long, last long, held array<double>"
+POLL_SECONDS = 0.2
+
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(schema)
@@ -23,54 +45,79 @@ def read_stream(spark: SparkSession, path: str, schema: T.StructType, max_files:
     return reader.parquet(path)
 
 
+def hour_window(readings: DataFrame, time: str = "ts") -> Column:
+    """Windows of one hour of the session's clock; without an offset Spark's windows are hours of UTC."""
+    if dict(readings.dtypes)[time] == "timestamp_ntz":
+        return F.window(time, "1 hour")
+    offset = readings.sparkSession.sql("SELECT unix_seconds(TIMESTAMP_LTZ'2024-01-01 00:00:00') % 3600").first()[0]
+    return F.window(time, "1 hour", "1 hour", f"{offset} seconds")
+
+
 def stream_hourly(readings: DataFrame, delay: str = "2 hours") -> DataFrame:
     """Largest reading per station and hour -> station, window, and the six fields; sent once the hour is closed."""
     return (
         readings.withWatermark("ts", delay)
-        .groupBy("station", F.window("ts", "1 hour"))
+        .groupBy("station", hour_window(readings).alias("window"))
         .agg(*(F.max(c).alias(c) for c in FIELDS))
     )
 
 
-def _slot_values(col: str) -> list[Column]:
-    return [F.max(F.when(F.col("_slot") == i, F.col(col))).alias(f"{col}_{i}") for i in range(DAY_HOURS)]
-
-
-def _highest_mean8(col: str) -> Column:
-    """Highest mean of 8 neighbouring slots with enough readings among the 24."""
-    slots = F.array(*(F.col(f"{col}_{i}") for i in range(DAY_HOURS)))
-    starts = F.sequence(F.lit(1), F.lit(DAY_HOURS - SHORT_HOURS + 1))
-
-    def mean_from(start: Column) -> Column:
-        present = F.filter(F.slice(slots, start, SHORT_HOURS), lambda v: v.isNotNull())
-        total = F.aggregate(present, F.lit(0.0), lambda acc, v: acc + v)
-        return F.when(F.size(present) >= SHORT_MIN_READINGS, total / F.size(present))
-
-    return F.array_max(F.transform(starts, mean_from))
-
-
-def stream_rolling_index(hourly_stream: DataFrame, first_hour: str | None = None) -> DataFrame:
-    """Rolling index per station and hour from the output of `stream_hourly`.
-
-    A stream does not know where it begins: windows that start before `first_hour` are dropped, because the
-    index needs 24 hours of history.
+def _rolling(values: np.ndarray, hours: int, needed: int) -> np.ndarray:
+    """Means of the present values of every run of `hours` rows, NaN where too few are present."""
+    runs = np.lib.stride_tricks.sliding_window_view(values, hours)
+    present = (~np.isnan(runs)).sum(axis=1)
+    return np.where(present >= needed, np.nansum(runs, axis=1) / np.maximum(present, 1), np.nan)
+
+
+def rolling_rows(values: np.ndarray) -> np.ndarray:
+    """Readings (hours, FIELDS) without gaps -> the columns MEANS for every hour from the 24th on."""
+    day = [_rolling(values[:, FIELDS.index(c)], DAY_HOURS, DAY_MIN_READINGS) for c in DAY_FIELDS]
+    short = []
+    for c in SHORT_FIELDS:
+        means = _rolling(values[:, FIELDS.index(c)], SHORT_HOURS, SHORT_MIN_READINGS)
+        inside = np.lib.stride_tricks.sliding_window_view(means, DAY_HOURS - SHORT_HOURS + 1)
+        highest = np.where(np.isnan(inside), -np.inf, inside).max(axis=1)
+        short.append(np.where(np.isneginf(highest), np.nan, highest))
+    return np.stack([*day, *short], axis=1)
+
+
+def _advance(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Closed hours of one station -> the means of all hours up to the last of them that a full day precedes."""
+    closed = pd.concat(list(frames)).sort_values("hour")
+    if state.exists:
+        first, last, held = state.get
+        values = np.array(held, float).reshape(-1, len(FIELDS))
+    else:
+        first = int(closed["hour"].iloc[0])
+        last, values = first - 1, np.zeros((0, len(FIELDS)))
+    hours = closed["hour"].to_numpy(np.int64)
+    if hours[0] <= last:
+        raise ValueError(f"hours of {key[0]} arrived out of order")
+    new = np.full((int(hours[-1]) - last, len(FIELDS)), np.nan)
+    new[hours - last - 1] = closed[FIELDS].to_numpy(float)
+    values, last = np.concatenate([values, new]), int(hours[-1])
+    state.update((first, last, values[-HALO_HOURS:].ravel().tolist()))
+    if len(values) >= DAY_HOURS:
+        rows = pd.DataFrame(rolling_rows(values), columns=MEANS)
+        rows.insert(0, "hour", np.arange(last - len(rows) + 1, last + 1))
+        rows.insert(0, "station", key[0])
+        yield rows
+
+
+def closed_hours(hourly_stream: DataFrame) -> DataFrame:
+    """The output of `stream_hourly` as the table that the second stream reads: station, time and the six fields."""
+    return hourly_stream.select("station", F.col("window.start").alias("time"), *FIELDS)
+
+
+def stream_rolling_index(hours: DataFrame) -> DataFrame:
+    """Rolling index per station and hour, from the station's 24th hour on, over a stream of closed hours.
+
+    A station's hours must arrive in order, so the files of one batch of closed hours must be read in one batch.
     """
-    start = F.col("window.start")
-    day = F.window(F.window_time("window"), f"{DAY_HOURS} hours", "1 hour")
-    slots = hourly_stream.select("station", day.alias("day"), start.alias("_start"), *FIELDS)
-    slot = ((F.unix_seconds("_start") - F.unix_seconds("day.start")) / 3600).cast("int")
-    means = (
-        slots.withColumn("_slot", slot).groupBy("station", "day")
-        .agg(
-            *(F.when(F.count(c) >= DAY_MIN_READINGS, F.avg(c)).alias(f"mean24_{c}") for c in DAY_FIELDS),
-            *(value for c in SHORT_FIELDS for value in _slot_values(c)),
-        )
-    )
-    if first_hour:
-        means = means.filter(F.col("day.start") >= F.lit(first_hour).cast("timestamp"))
-    highest = means.withColumns({f"max8_{c}": _highest_mean8(c) for c in SHORT_FIELDS})
-    time = F.col("day.end") - F.expr("INTERVAL 1 HOUR")
-    inputs = highest.select("station", time.alias("time"), *(c.alias(p) for p, c in index_inputs().items()))
+    hours = hours.select("station", hour_number("time").alias("hour"), *FIELDS)
+    means = hours.groupBy("station").applyInPandasWithState(
+        _advance, MEANS_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+    inputs = means.select("station", hour_start(F.col("hour")).alias("time"), *(c.alias(p) for p, c in index_inputs().items()))
     return index_columns(inputs).select(*INDEX_RESULT)
 
 
@@ -83,8 +130,45 @@ def write_stream(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuer
     )
 
 
-def run_to_parquet(stream: DataFrame, path: str, checkpoint: str, state_partitions: int | None = None) -> list[dict]:
-    """Runs `write_stream` to its end -> the progress records of its batches.
+@dataclass
+class Run:
+    """What a finished stream has done.
+
+    `late_station_hours` counts the rows that came too late at the stateful operators: a station's hour that late
+    readings of one batch would have changed is one, however many readings it has.
+    """
+
+    batches: int = 0
+    late_station_hours: int = 0
+    last_batch: int | None = None
+
+    def add(self, progress: dict) -> None:
+        batch = progress["batchId"]
+        if self.last_batch is not None and batch > self.last_batch + 1:
+            raise RuntimeError(f"progress of the batches after {self.last_batch} was not seen")
+        self.last_batch, self.batches = batch, self.batches + 1
+        self.late_station_hours += sum(op["numRowsDroppedByWatermark"] for op in progress["stateOperators"])
+
+
+def finish(query: StreamingQuery) -> Run:
+    """Waits for the end of a stream and adds up the progress of all its batches.
+
+    Spark keeps the progress of the last batches only, so it is read while the stream runs; a gap is an error.
+    """
+    run = Run()
+    while True:
+        active = query.isActive
+        for progress in query.recentProgress:
+            if run.last_batch is None or progress["batchId"] > run.last_batch:
+                run.add(progress)
+        if not active:
+            query.awaitTermination()
+            return run
+        query.awaitTermination(POLL_SECONDS)
+
+
+def run_to_parquet(stream: DataFrame, path: str, checkpoint: str, state_partitions: int | None = None) -> Run:
+    """Runs `write_stream` to its end.
 
     `state_partitions` is the number of state stores per operator, by default the session's shuffle partitions. It
     is fixed by the first run on a checkpoint; every batch opens all of them, so a small stream wants few.
@@ -96,10 +180,4 @@ def run_to_parquet(stream: DataFrame, path: str, checkpoint: str, state_partitio
         query = write_stream(stream, path, checkpoint)
     finally:
         spark.conf.set(option, before)
-    query.awaitTermination()
-    return list(query.recentProgress)
-
-
-def dropped_rows(progress: list[dict]) -> int:
-    """Rows that came too late for the watermark, over all batches."""
-    return sum(op["numRowsDroppedByWatermark"] for batch in progress for op in batch["stateOperators"])
+    return finish(query)

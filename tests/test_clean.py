@@ -85,3 +85,16 @@ def test_ranks_over_equal_values(spark):
     want = sorted(((r.v, r.name) for r in df.collect()), key=lambda x: (-x[0], x[1]))
     assert [(r.v, r.name) for r in got] == want
     assert [r.rank for r in got] == list(range(1, 1001))
+
+
+def test_malformed_text_becomes_null_and_is_counted(spark):
+    from aeropanel.operators import profile
+    from aeropanel.schema import POLLUTANTS
+    others = [c for c in POLLUTANTS if c != "NO2"]
+    rows = [("A", "2020-01-05", "1.5", "100"), ("A", "2020-13-45", "NA", "None"), ("A", "soon", "-3", "0x1"), ("A", None, None, None)]
+    raw = tables.literal_rows(spark, rows, "City string, Date string, NO2 string, AQI string").selectExpr(
+        "*", *(f"CAST(NULL AS DOUBLE) AS {c}" for c in others), "'x' AS AQI_Bucket")
+    cleaned = cleaning.clean(raw, ["NO2"]).collect()
+    assert [(str(r.Date), r.NO2, r.AQI) for r in cleaned] == [("2020-01-05", 1.5, 100.0)]
+    lost = {r["column"]: r.lost for r in profile.lost_values(raw).collect()}
+    assert (lost["Date"], lost["NO2"], lost["AQI"], lost["O3"]) == (2, 1, 2, 0)

@@ -118,29 +118,131 @@ def test_local_hour_of_a_half_hour_zone(spark):
     assert df.select(local_hour("t", "Asia/Kolkata")).first()[0] == datetime.datetime(2024, 1, 2, 0, 0)
 
 
+READINGS = "station string, ts timestamp, " + ", ".join(f"{c} double" for c in hourly.FIELDS)
+
+
+def reading(station, ts, value=80.0):
+    return (station, ts, *[value] * len(hourly.FIELDS))
+
+
+def streamed(spark, path, with_index=False):
+    """Runs what lies in path/in through the streams -> what the first one has done."""
+    arriving = hourly_stream.read_stream(spark, f"{path}/in", spark.read.parquet(f"{path}/in").schema)
+    run = hourly_stream.run_to_parquet(
+        hourly_stream.closed_hours(hourly_stream.stream_hourly(arriving)), f"{path}/hours", f"{path}/cp1", 2)
+    if with_index:
+        closed = hourly_stream.read_stream(spark, f"{path}/hours", spark.read.parquet(f"{path}/hours").schema)
+        hourly_stream.run_to_parquet(hourly_stream.stream_rolling_index(closed), f"{path}/index", f"{path}/cp2", 2)
+    return run
+
+
 def test_late_rows_are_dropped_and_counted(spark):
     events = given.table(spark, CHECK, "events")
     late = F.col("event_type") == given.LATE_TYPE
     path = scratch_path(spark, "late-test")
     dropped = []
     for part in (events.filter(~late), events.filter(late)):
-        part.write.mode("append").parquet(f"{path}/in")
-        arriving = given.readings(hourly_stream.read_stream(spark, f"{path}/in", events.schema))
-        progress = hourly_stream.run_to_parquet(
-            hourly_stream.stream_hourly(arriving).select("station", "window.start"), f"{path}/out", f"{path}/cp")
-        dropped.append(hourly_stream.dropped_rows(progress))
+        given.readings(part).write.mode("append").parquet(f"{path}/in")
+        dropped.append(streamed(spark, path).late_station_hours)
     assert dropped[0] == 0 and dropped[1] > 0
 
 
-def test_stream_equals_batch_on_windows_it_can_close(spark, hourly_rows):
+def test_late_rows_of_more_batches_than_spark_remembers(spark, tmp_path):
+    path = str(tmp_path)
+    tables.literal_rows(spark, [reading("A", hour(0)), reading("A", hour(2000))], READINGS).coalesce(1).write.parquet(f"{path}/in")
+    arrive = lambda: hourly_stream.run_to_parquet(
+        hourly_stream.closed_hours(hourly_stream.stream_hourly(
+            hourly_stream.read_stream(spark, f"{path}/in", spark.read.parquet(f"{path}/in").schema, max_files=1))),
+        f"{path}/hours", f"{path}/cp", 1)
+    arrive()
+    rows = tables.literal_rows(spark, [reading("A", hour(100 + i)) for i in range(240)], READINGS)
+    rows.repartitionByRange(120, "ts").write.mode("append").parquet(f"{path}/in")
+    run = arrive()
+    assert run.batches > 100 and run.late_station_hours == 240
+
+
+def test_unseen_progress_is_an_error():
+    run = hourly_stream.Run()
+    run.add({"batchId": 3, "stateOperators": []})
+    with pytest.raises(RuntimeError):
+        run.add({"batchId": 5, "stateOperators": []})
+
+
+def station_histories(spark):
+    """One station over all the time, one that starts late, one that ends early, one of 17 hours, gaps in all."""
+    spans = {"whole": (0, 200), "late": (90, 200), "ended": (0, 60), "short": (20, 37)}
+    rows = [reading(s, hour(i) + datetime.timedelta(minutes=i % 60), 10.0 + i % 90) for s, (a, b) in spans.items()
+            for i in range(a, b) if i % 11 != 5 or i in (a, b - 1)]
+    return tables.literal_rows(spark, rows, READINGS)
+
+
+def test_stream_equals_batch_on_closed_hours(spark, tmp_path):
+    path = str(tmp_path)
+    readings = station_histories(spark)
+    # files in the order of time, in two runs: the state goes on where the first run ended
+    for cond in ("ts < '2024-01-04 08:00:00'", "ts >= '2024-01-04 08:00:00'"):
+        readings.filter(cond).coalesce(1).write.mode("append").parquet(f"{path}/in")
+        streamed(spark, path, with_index=True)
+    closed = spark.read.parquet(f"{path}/hours")
+    got, batch = spark.read.parquet(f"{path}/index"), hourly.rolling_index(closed)
+    assert got.exceptAll(batch.select(*got.columns)).isEmpty() and batch.select(*got.columns).exceptAll(got).isEmpty()
+    first = {r.station: r.t for r in got.groupBy("station").agg(F.min("time").alias("t")).collect()}
+    assert first == {"whole": hour(23), "late": hour(113), "ended": hour(23)}
+    assert got.filter("station = 'ended'").agg(F.max("time")).first()[0] == hour(59)
+
+
+def test_stream_equals_batch_on_the_given_events(spark):
     path = scratch_path(spark, "stream-test")
-    events = given.table(spark, CHECK, "events")
-    events.repartition(5).write.parquet(f"{path}/in")
-    arriving = given.readings(hourly_stream.read_stream(spark, f"{path}/in", events.schema))
-    stream = hourly_stream.stream_rolling_index(hourly_stream.stream_hourly(arriving), given.FIRST_HOUR)
-    hourly_stream.run_to_parquet(stream, f"{path}/out", f"{path}/cp")
-    got = spark.read.parquet(f"{path}/out")
-    batch = hourly.rolling_index(hourly_rows)
-    shared = batch.join(got.select("station", "time"), ["station", "time"], "left_semi").select(*got.columns)
-    assert shared.count() > 5000
-    assert shared.exceptAll(got).isEmpty()
+    given.readings(given.table(spark, CHECK, "events")).repartition(5).write.parquet(f"{path}/in")
+    streamed(spark, path, with_index=True)
+    got = spark.read.parquet(f"{path}/index")
+    batch = hourly.rolling_index(spark.read.parquet(f"{path}/hours")).select(*got.columns)
+    assert batch.count() > 5000 and batch.exceptAll(got).isEmpty() and got.exceptAll(batch).isEmpty()
+
+
+OPERATORS = {
+    "densify_hours": hourly.densify_hours, "mean24": hourly.mean24, "mean8": hourly.mean8, "max8": hourly.max8,
+    "rolling_index": hourly.rolling_index, "latest_index": lambda h: hourly.latest_index(h, str(hour(150))),
+    "trend24": lambda h: hourly.trend24(h, str(hour(150))), "live_ranking": lambda h: hourly.live_ranking(h, str(hour(150)))}
+
+
+def test_hours_are_those_of_the_clock_in_every_zone(spark, tmp_path):
+    """The same wall-clock readings give the same labels and values in UTC and half an hour off."""
+    found = {}
+    for zone in ("UTC", "Asia/Kolkata", "America/St_Johns"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            clock = station_histories_by_clock(spark)
+            hours = clock.groupBy("station", F.date_trunc("hour", "ts").alias("time")).agg(*(F.max(c).alias(c) for c in hourly.FIELDS))
+            rows = {name: shown(op(hours)) for name, op in OPERATORS.items()}
+            path = str(tmp_path / zone.replace("/", "-"))
+            clock.coalesce(1).write.parquet(f"{path}/in")
+            streamed(spark, path, with_index=True)
+            rows |= {name: shown(spark.read.parquet(f"{path}/{name}")) for name in ("hours", "index")}
+            found[zone] = rows
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+    for name, rows in found["UTC"].items():
+        assert rows and all(found[zone][name] == rows for zone in found), name
+    assert found["UTC"]["densify_hours"][0][1] == "2024-01-01 00:00:00"
+
+
+def station_histories_by_clock(spark):
+    texts = [(s, f"2024-01-{1 + i // 24:02d} {i % 24:02d}:{i % 60:02d}:00", 10.0 + i % 90)
+             for s, (a, b) in {"A": (0, 160), "B": (40, 120)}.items() for i in range(a, b) if i % 13 != 5]
+    rows = tables.literal_rows(spark, texts, "station string, at string, v double")
+    return rows.select("station", F.col("at").cast("timestamp").alias("ts"), *(F.col("v").alias(c) for c in hourly.FIELDS))
+
+
+def shown(df):
+    """Rows with times as the session's clock shows them."""
+    kept = [F.col(c).cast("string") if kind.startswith("timestamp") else F.col(c) for c, kind in df.dtypes]
+    return sorted(map(tuple, df.select(*kept).collect()), key=repr)
+
+
+def test_many_readings_of_one_hour_are_combined_before_the_blocks(spark):
+    rows = tables.literal_rows(spark, [("S", hour(i // 3), *[float(i)] * 6) for i in range(90)], HOURLY)
+    one = hourly.one_per_hour(rows)
+    assert one.count() == 30 and one.agg(F.max("ozone")).first()[0] == 89.0
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("partial_max(ozone") > plan.index("Exchange hashpartitioning(station")

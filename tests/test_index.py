@@ -106,3 +106,20 @@ def test_fast_rounding_equals_round(spark):
         "CASE id % 4 WHEN 0 THEN id / 128D WHEN 1 THEN (id - 20000) / 200D WHEN 2 THEN id * 1.005D ELSE id * 1e9D / 7 END AS v")
     for digits in (0, 1, 2):
         assert values.filter(~round_rows("v", digits).eqNullSafe(F.round("v", digits))).isEmpty()
+
+
+def test_a_missing_pollutant_is_never_dominant_whatever_the_order(spark, monkeypatch):
+    order = ["NH3", *(p for p in INDEX_POLLUTANTS if p != "NH3")]
+    monkeypatch.setattr(daily_index, "INDEX_POLLUTANTS", order)
+    monkeypatch.setattr("aeropanel.functions.columns.INDEX_POLLUTANTS", order)
+    row = daily_index.index_of(rows_of(spark, [(0.0, 0.0, 0.0, 0.0, 0.0, 0.0, None)])).first()
+    assert (row.AQI_calc, row.Dominant) == (0.0, "PM2.5")
+
+
+def test_rounding_near_ties_and_of_large_values_equals_round(spark):
+    from aeropanel.functions.columns import round_rows
+    values = [0.5, 1.5, 2.675, 1.005, -0.5, 1e6 + 0.5, 12345678.5, 1e15 + 0.3, 99999.995, 0.1 + 0.2, -2.5]
+    df = tables.literal_rows(spark, [(v,) for v in values], "v double")
+    for digits in (0, 1, 2):
+        got = df.select(round_rows("v", digits).alias("a"), F.round("v", digits).alias("b"))
+        assert got.filter("a <> b").isEmpty()

@@ -91,3 +91,20 @@ def test_summary_and_sample(spark, fitted):
     assert len(row.importance) == 12 and row.example[0].PM25 == 180.0
     scored = ml.score(fitted.models["tree"], fitted.test)
     assert 0 < ml.actual_vs_predicted(scored, 0.5, 1).count() < scored.count()
+
+
+def test_boosting_writes_checkpoints(spark, small):
+    rows, _ = ml.split(ml.ml_frame(small))
+    folder = spark.sparkContext.getCheckpointDir()
+    ml.train(rows.limit(300), "gbt")
+    folder = folder or spark.sparkContext.getCheckpointDir()
+    assert folder
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    assert files.exists(path)
+
+
+def test_split_does_not_depend_on_the_type_of_partitioning(clean):
+    train, _ = ml.split(ml.ml_frame(clean))
+    again, _ = ml.split(ml.ml_frame(clean).coalesce(1))
+    assert train.exceptAll(again).isEmpty()

@@ -5,12 +5,14 @@ from compare import differences
 from conftest import CHECK, SMOKE
 
 import __spark_entry__ as entry_points
+from aeropanel.catalog import oracle, queries
 
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, SQL = queries.all_queries(), oracle.all_sql()
 
 
 def test_every_sql_text_has_a_query():
     assert set(SQL) <= set(QUERIES)
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries()) and set(QUERIES) <= set(entry_points.queries())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
