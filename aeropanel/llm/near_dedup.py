@@ -6,17 +6,19 @@ their weighted Jaccard similarity. 64 samples are cut into 16 bands of 4; docume
 and candidates are verified by the weighted Jaccard similarity of their texts.
 
 Document frequencies come from a count-min sketch of fixed size over all documents. It tells frequencies apart down to a
-fixed share of the documents, whatever their number (about their mean number of shingles over 2**21). The inverse
+fixed share of the documents, whatever their number (about their mean number of shingles over 2**20). The inverse
 frequency is 1 + ln((N + 1) / (df + 1)) / ln(N + 1), between 1 and 2: were it unbounded, the shingles that the members
 of a large group share would weigh next to nothing, and its members would no longer resemble each other.
 
 The random variables of a sample are drawn by hash from a fixed pool of 2**16 triples, which replaces logarithms per
 shingle and sample by look-ups.
 
-Documents of equal words are one class from the start and are never paired. In a band, members are compared with a few
-pivots first; after each round the links found are closed to components, bands that lie in one component are done, and
-the others get four times as many pivots, until every member has been one. So no group's pairs are all emitted unless
-its members do not resemble each other, and no link between different texts is lost.
+Documents of equal words are one class from the start and are never paired. Members of a bucket (equal samples in a
+band) are compared with a few pivots first. After each round the links found are closed to components, and buckets that
+lie in one component, or whose members were all pivots, are done. What meets in the others is mostly a passage that many
+documents share: their members are dealt again by a second band, where texts that resemble each other meet again and
+those that share a passage hardly do. Buckets that are still large then get four times as many pivots per round, until
+every member has been one. So neither the pairs of a group of copies nor those of a common passage are all emitted.
 
 Defined cases: documents without words resemble nothing and each is its own class; missing ids sort after all others;
 repeated rows are copies; without documents there are no classes. Other columns pass through `without_copies`.
@@ -41,9 +43,9 @@ from aeropanel.session import scratch_path
 SIMILARITY = 0.8
 BANDS, ROWS = 16, 4
 SAMPLES = BANDS * ROWS
-SKETCH_BITS = 21
+SKETCH_BITS = 20
 SKETCH_ROWS = 2
-CHUNK_BITS = 16
+CHUNK_BITS = 14
 POOL_BITS = 16
 FIRST_PIVOTS, MORE_PIVOTS = 8, 4
 BLOCK_SHINGLES = 8192
@@ -102,7 +104,7 @@ def _add_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own[np.frombuffer(row["places"], "<u2")] += np.frombuffer(row["counts"], "<u4")
             documents[chunk] = documents.get(chunk, 0) + row["documents"]
     for chunk, counts in total.items():
-        yield pa.record_batch([pa.array([chunk]), pa.array([documents[chunk]]), pa.array([counts.astype("<i8").tobytes()])],
+        yield pa.record_batch([pa.array([chunk]), pa.array([documents[chunk]]), pa.array([counts.astype("<f4").tobytes()])],
                               names=["chunk", "documents", "counts"])
 
 
@@ -110,13 +112,13 @@ def document_frequencies(documents: DataFrame) -> Frequencies:
     """The sketch over all documents; tasks send sparse counts, and what reaches the driver has a fixed size."""
     parts = texts.map_batches(documents.select("text"), _count_shingles, "chunk long, documents long, places binary, counts binary")
     chunks = SKETCH_ROWS << (SKETCH_BITS - CHUNK_BITS)
-    added = parts.repartition(chunks, "chunk").mapInArrow(_add_chunks, "chunk long, documents long, counts binary")
-    counts = np.zeros((chunks, 1 << CHUNK_BITS), np.int64)
+    added = parts.repartition("chunk").mapInArrow(_add_chunks, "chunk long, documents long, counts binary")
+    counts = np.zeros((chunks, 1 << CHUNK_BITS), np.float32)
     n = 0
     for row in added.toLocalIterator():
-        counts[row.chunk] = np.frombuffer(row.counts, "<i8")
+        counts[row.chunk] = np.frombuffer(row.counts, "<f4")
         n += row.documents
-    return Frequencies(n, counts.reshape(SKETCH_ROWS, -1).astype(np.float32))
+    return Frequencies(n, counts.reshape(SKETCH_ROWS, -1))
 
 
 def inverse_frequency(hashes: np.ndarray, known: Frequencies) -> np.ndarray:
@@ -240,11 +242,28 @@ def _written(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def _members(keyed: DataFrame, path: str) -> DataFrame:
+    """key, node, n of the buckets with more than one member."""
+    # written, so that the join reads both sides by plain exchanges and a frequent key can be split
+    sizes = _written(keyed.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > 1), f"{path}-sizes")
+    return _written(keyed.join(sizes, "key"), path)
+
+
+def _redealt(active: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Members of buckets that are still open -> key, node by each of their other bands besides."""
+    placed = active.select("key", "node").join(labels.withColumnRenamed("label", "_label"), "node", "left")
+    placed = placed.withColumn("_label", F.coalesce("_label", "node"))
+    open_ = placed.groupBy("key").agg(F.min("_label").alias("low"), F.max("_label").alias("high")).filter("low <> high").select("key")
+    inside = placed.join(open_, "key", "left_semi").select("key", "node")
+    signed = nodes.join(inside.select("node").distinct(), "node", "left_semi").select("node", "signature")
+    others = texts.map_batches(signed, _bands, "key long, node long").toDF("other", "node")
+    both = inside.join(others, "node").filter(F.col("key") != F.col("other"))
+    return both.select(F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key"), "node").distinct()
+
+
 def _links(spark: SparkSession, nodes: DataFrame, documents: DataFrame, shared, similarity: float, path: str) -> DataFrame:
     """node, label of all nodes (node, signature, doc_id, text_hash) that resemble another one."""
-    bands = texts.map_batches(nodes.select("node", "signature"), _bands, "key long, node long")
-    sizes = bands.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
-    members = _written(bands.join(sizes, "key"), f"{path}/members")
+    members = _members(texts.map_batches(nodes.select("node", "signature"), _bands, "key long, node long"), f"{path}/members")
     signatures = nodes.select("node", "signature")
     wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").select(
         "node", F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
@@ -261,7 +280,7 @@ def _links(spark: SparkSession, nodes: DataFrame, documents: DataFrame, shared,
         split = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("node").alias("lowest"))
         # a band is open if its members are of several components, and not all of them were pivots before
         open_ = split.filter(F.col("low") != F.col("high")).select(F.col("key").alias("_key"), "lowest")
-        active = placed.filter(F.col("n") > (pivots // MORE_PIVOTS if step else 1)).join(open_, F.col("key") == F.col("_key")).drop("_key")
+        active = placed.filter(F.col("n") > (pivots // MORE_PIVOTS if step > 1 else 1)).join(open_, F.col("key") == F.col("_key")).drop("_key")
         # the same nodes are pivots in all their bands
         turn = F.pmod(F.xxhash64("node"), F.lit(1 << 40)) / float(1 << 40)
         is_pivot = (F.col("n") <= pivots) | (turn * F.col("n") < pivots) | (F.col("node") == F.col("lowest"))
@@ -276,21 +295,25 @@ def _links(spark: SparkSession, nodes: DataFrame, documents: DataFrame, shared,
         near = texts.map_batches(signed, _agreeing, "a long, b long")
         whole = near.join(words.toDF("a", "text_a"), "a").join(words.toDF("b", "text_b"), "b")
         found = _written(texts.map_batches(whole, _similar(shared, similarity), "a long, b long"), f"{path}/links-{step}")
-        edges = found if edges is None else edges.union(found)
+        # written again, so that plans do not grow with the rounds
+        edges = found if edges is None else _written(edges.union(found), f"{path}/edges-{step}")
         if not found.isEmpty() or labels is None:
             labels = _written(components(edges), f"{path}/labels-{step}")
         if (active.agg(F.max("n")).first()[0] or 0) <= pivots:
             return labels
         tested = pairs if tested is None else tested.union(pairs)
-        pivots, step = pivots * MORE_PIVOTS, step + 1
+        step += 1
+        if step == 1:
+            members = _members(_redealt(active.filter(F.col("n") > pivots), labels, nodes), f"{path}/members-again")
+        else:
+            pivots *= MORE_PIVOTS
 
 
 def _classified(documents: DataFrame, similarity: float) -> DataFrame:
     """doc_id, text_hash of every document with words, and the id and hash that stand for its class."""
     spark = documents.sparkSession
     path = scratch_path(spark, "near")
-    known = document_frequencies(documents)
-    shared = spark.sparkContext.broadcast(known)
+    shared = spark.sparkContext.broadcast(document_frequencies(documents))
     given = documents.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     signed = texts.map_batches(given, _signatures(shared), f"doc_id {dict(given.dtypes)['doc_id']}, text_hash long, content string, signature binary")
     signed = _written(signed, f"{path}/signed")
@@ -300,6 +323,7 @@ def _classified(documents: DataFrame, similarity: float) -> DataFrame:
     nodes = _written(classes.select(F.monotonically_increasing_id().alias("node"), "content", "first", "signature"), f"{path}/nodes")
     told = nodes.select("node", "signature", "first.doc_id", "first.text_hash")
     labels = _links(spark, told, documents, shared, similarity, path)
+    shared.destroy()  # all that needs it is written
     named = nodes.join(labels, "node", "left").select("content", "first", F.coalesce("label", "node").alias("label"))
     best = named.groupBy("label").agg(F.min("first").alias("best"))
     by_content = named.join(best, "label").select("content", F.col("best.doc_id").alias("class_id"), F.col("best.text_hash").alias("class_hash"))

@@ -73,6 +73,22 @@ def test_one_large_group_with_rare_edits(spark):
     assert [r.doc_id for r in near_dedup.without_copies(df).collect()] == [0]
 
 
+def test_a_passage_that_many_documents_share_links_none_of_them(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "FIRST_PIVOTS", 2)
+    rng = np.random.default_rng(11)
+    words = [f"w{i}" for i in range(5000)]
+    passage = " ".join(rng.choice(words, 80))
+    own = lambda: list(rng.choice(words, 40))
+    rows = [(i, f"{passage} {' '.join(own())}") for i in range(150)]
+    for i in range(0, 30, 3):
+        edited = rows[i][1].split()
+        edited[100] = "edited"
+        rows.append((1000 + i, " ".join(edited)))
+    got = sorted(map(tuple, near_dedup.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=repr)
+    assert got == brute_classes(rows)[0]
+    assert len({c for _, c in got}) == 150
+
+
 def test_samples_agree_as_often_as_the_weighted_jaccard_similarity():
     rng = np.random.default_rng(3)
     hashes = texts.mixed(np.arange(1, 3001, dtype=np.uint64))
