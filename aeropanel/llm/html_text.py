@@ -285,4 +285,4 @@ def with_main_text(pages: DataFrame, name: str = "text") -> DataFrame:
             found = pa.array([main_text(html) for html in batch.column("html").to_pylist()], pa.string())
             yield pa.record_batch([*batch.columns, found], names=[*batch.schema.names, name])
 
-    return kept.mapInArrow(extracted, f"{texts.ddl(kept)}, `{name}` string")
+    return texts.map_batches(kept, extracted, f"{texts.ddl(kept)}, `{name}` string")

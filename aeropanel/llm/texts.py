@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 
 SHINGLE_WORDS = 5
 SLICE_CHARS = 1_000_000
+BATCH_ROWS = 1000
 LETTER, NUMBER, MARK, SPACE, OTHER = 1, 2, 3, 4, 0
 WORD_SQL = r"[\p{L}\p{M}\p{N}]+"
 
@@ -168,9 +169,9 @@ def shingles_of(text: str | None, size: int = SHINGLE_WORDS) -> list[tuple[str,
 
 
 def map_batches(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """`mapInArrow` that hands empty batches to nobody."""
+    """`mapInArrow` by pieces of a batch, so that few texts at a time are Python objects; none is empty."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return function(b for b in batches if b.num_rows)
+        return function(b.slice(at, BATCH_ROWS) for b in batches for at in range(0, b.num_rows, BATCH_ROWS))
 
     return df.mapInArrow(run, schema)
 

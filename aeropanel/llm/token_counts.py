@@ -262,7 +262,7 @@ def prefix_counts(documents: DataFrame, path: str, name: str = "prefix_counts",
             yield pa.record_batch([*batch.columns, pa.array(stored, pa.binary()), pa.array(totals, pa.int64())],
                                   names=[*batch.schema.names, name, total])
 
-    return kept.mapInArrow(counted, f"{texts.ddl(kept)}, `{name}` binary, `{total}` long")
+    return texts.map_batches(kept, counted, f"{texts.ddl(kept)}, `{name}` binary, `{total}` long")
 
 
 def truncated(counted: DataFrame, budget: int, name: str = "prefix_counts") -> DataFrame:
@@ -281,7 +281,7 @@ def truncated(counted: DataFrame, budget: int, name: str = "prefix_counts") -> D
             changed = batch.set_column(at, batch.schema.field(at), pa.array(cut, batch.schema.field(at).type))
             yield pa.record_batch([*changed.columns, pa.array(tokens, pa.int64())], names=[*batch.schema.names, "n_tokens"])
 
-    return kept.mapInArrow(shortened, f"{texts.ddl(kept)}, n_tokens long")
+    return texts.map_batches(kept, shortened, f"{texts.ddl(kept)}, n_tokens long")
 
 
 def document_tokens(documents: DataFrame, path: str, budget: int = BUDGET) -> DataFrame:
