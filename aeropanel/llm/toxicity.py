@@ -20,6 +20,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -163,7 +164,7 @@ def fit(documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLE
     telling = per_term.filter(
         (chi_square(F.col("toxic"), F.col("other"), n_toxic, n - n_toxic) >= MIN_CHI2)
         & (F.col("toxic") * n > (F.col("toxic") + F.col("other")) * n_toxic))
-    terms = np.array(sorted(r.term for r in telling.select("term").collect()), np.int64)
+    terms = np.sort(telling.select("term").toArrow().column("term").to_numpy())
 
     def held_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _lookup(terms)
@@ -174,11 +175,11 @@ def fit(documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLE
             yield pa.record_batch([batch.column("doc_id"), batch.column("toxic"), held], names=["doc_id", "toxic", "terms"])
 
     schema = f"doc_id {dict(sample.dtypes)['doc_id']}, toxic int, terms array<long>"
-    learned = sorted(texts.map_batches(sample, held_terms, schema).collect(), key=lambda r: r.doc_id)
-    sizes = [len(r.terms) for r in learned]
-    flat = np.fromiter((t for r in learned for t in r.terms), np.int64, sum(sizes))
-    toxic = np.array([r.toxic for r in learned], float)
-    return Model(terms, *train(np.repeat(np.arange(len(learned)), sizes), flat, toxic, len(terms)))
+    learned = texts.map_batches(sample, held_terms, schema).toArrow().sort_by("doc_id").combine_chunks()
+    sizes = np.array(pc.list_value_length(learned.column("terms")))
+    flat = np.array(pc.list_flatten(learned.column("terms")), np.int64)
+    toxic = np.array(learned.column("toxic"), float)
+    return Model(terms, *train(np.repeat(np.arange(len(sizes)), sizes), flat, toxic, len(terms)))
 
 
 def score(documents: DataFrame, model: Model, name: str = "score") -> DataFrame:
@@ -197,7 +198,7 @@ def score(documents: DataFrame, model: Model, name: str = "score") -> DataFrame:
             yield pa.record_batch([*batch.columns, pa.array(chance)], names=[*batch.schema.names, name])
 
     kept = documents.drop(name)
-    return kept.mapInArrow(scored, f"{texts.ddl(kept)}, {name} double")
+    return texts.map_batches(kept, scored, f"{texts.ddl(kept)}, {name} double")
 
 
 def held_out(doc_id: Column | str = "doc_id") -> Column:
