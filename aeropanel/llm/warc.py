@@ -2,8 +2,8 @@
 
 Only headers are shuffled to find equal payloads: digest, length and page id, combined before the shuffle, so a payload
 held by a third of all pages is one row per task. The page with the smallest id keeps its payload as a response; the
-others become revisit records that name it. The records are then written as plain WARC 1.1 text by Spark's own writer,
-one archive per task, to any file system Spark reaches.
+others become revisit records that name it. The records are then written as WARC 1.1 text by Spark's own writer, one
+gzip archive per task, to any file system Spark reaches.
 
 Reading splits the archives by the lengths in their headers, checks every payload against its digest, and joins
 revisits to their responses for what the revisits leave out.
@@ -16,6 +16,7 @@ other than page_id, url and html are left out.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 from collections.abc import Iterator
 
@@ -103,7 +104,7 @@ def record_text(date: str) -> Column:
 def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_BYTES, date: str = "2024-01-01T00:00:00Z") -> None:
     """Writes pages (page_id, url, html) as deduplicated archives below `path`."""
     records = resolved(with_digest(pages), min_bytes)
-    records.select(record_text(date).alias("value")).write.option("lineSep", "\n").text(path)
+    records.select(record_text(date).alias("value")).write.option("lineSep", "\n").text(path, compression="gzip")
 
 
 def parse_archive(data: bytes) -> Iterator[dict]:
@@ -130,7 +131,7 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for data in batch.column("content"):
             rows, held = [], 0
-            for f in parse_archive(data.as_py()):
+            for f in parse_archive(gzip.decompress(data.as_py())):
                 digest, payload = f["WARC-Payload-Digest"].removeprefix("sha1:"), f["payload"]
                 revisit = f["WARC-Type"] == "revisit"
                 if not revisit and base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest:
