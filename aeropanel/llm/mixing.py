@@ -87,15 +87,15 @@ def apportion(groups: DataFrame, size: str, seats: Column, within: Sequence[str]
     return joined.withColumn(name, quota.cast("long")).drop("_seats", "_exact", "_sure", "_left", "_won")
 
 
-def _offsets(sized: DataFrame, seed: int, shard_words: int) -> tuple[DataFrame, DataFrame]:
-    """Documents with source_size, shard and the place of their first word in the shard; the sizes of the sources."""
+def _offsets(sized: DataFrame, seed: int, shard_words: int) -> DataFrame:
+    """Documents with source_size, shard and the place of their first word in the shard."""
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     known = sized.join(sources.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     shards = F.ceil(F.greatest(F.col("source_size"), F.lit(1)) / shard_words)
     known = known.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(seed)), shards).cast("long"))
     line = Window.partitionBy("source", "shard").orderBy(F.xxhash64("doc_id", F.lit(seed + 1)), "doc_id", "size", "_tie", "_row")
     first = F.sum("size").over(line.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("size")
-    return known.withColumn("first", first), sources
+    return known.withColumn("first", first)
 
 
 def taken_parts(documents: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE,
@@ -108,7 +108,9 @@ def taken_parts(documents: DataFrame, weights: Sequence[float] = WEIGHTS, share:
     """
     spark = documents.sparkSession
     path = scratch_path(spark, "mixing")
-    placed, _ = _offsets(documents, seed, shard_words)
+    # words are counted once
+    documents.write.parquet(f"{path}/sized")
+    placed = _offsets(spark.read.parquet(f"{path}/sized"), seed, shard_words)
     placed.write.parquet(f"{path}/placed")
     placed = spark.read.parquet(f"{path}/placed")
 
