@@ -223,6 +223,8 @@ def repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_
                       f"{path}/regions")
     groups = listed.groupBy("anchor").agg(F.count("*").alias("n"), F.min("content").alias("low"), F.max("content").alias("high"))
     groups = groups.filter(F.col("n") > 1).select(F.col("anchor").alias("_anchor"), (F.col("low") != F.col("high")).alias("differ"))
+    # written, so that the join reads both sides by plain exchanges and a frequent anchor can be split
+    groups = _written(groups, f"{path}/groups")
     repeated = listed.join(groups, F.col("anchor") == F.col("_anchor")).drop("_anchor")
     # copies of a document list the same regions
     repeated = _written(repeated.groupBy(*KEY, "anchor", "content", "first", "strings", "differ").agg(F.count("*").alias("copies")),
