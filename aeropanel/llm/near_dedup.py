@@ -7,8 +7,8 @@ and candidates are verified by the weighted Jaccard similarity of their texts.
 
 Document frequencies come from a count-min sketch of fixed size over all documents. It tells frequencies apart down to a
 fixed share of the documents, whatever their number (about their mean number of shingles over 2**20). The inverse
-frequency is 1 + ln((N + 1) / (df + 1)) / ln(N + 1), between 1 and 2: were it unbounded, the shingles that the members
-of a large group share would weigh next to nothing, and its members would no longer resemble each other.
+frequency is 1 + ln((N + 1) / (df + 1)) / (4 ln(N + 1)), between 1 and 1.25: with a wider range, the shingles that the
+members of a large group share would weigh little against their edits, and its members would no longer resemble each other.
 
 The random variables of a sample are drawn by hash from a fixed pool of 2**16 triples, which replaces logarithms per
 shingle and sample by look-ups.
@@ -46,6 +46,7 @@ SAMPLES = BANDS * ROWS
 SKETCH_BITS = 20
 SKETCH_ROWS = 2
 CHUNK_BITS = 14
+IDF_SPREAD = 0.25
 POOL_BITS = 16
 FIRST_PIVOTS, MORE_PIVOTS = 8, 4
 BLOCK_SHINGLES = 8192
@@ -122,12 +123,12 @@ def document_frequencies(documents: DataFrame) -> Frequencies:
 
 
 def inverse_frequency(hashes: np.ndarray, known: Frequencies) -> np.ndarray:
-    """Inverse document frequency of shingles, between 1 and 2."""
+    """Inverse document frequency of shingles, between 1 and 1 + IDF_SPREAD."""
     df = known.counts[0][_sketch_places(hashes, 0)]
     for row in range(1, SKETCH_ROWS):
         df = np.minimum(df, known.counts[row][_sketch_places(hashes, row)])
     n = known.documents
-    return 1 + np.log((n + 1) / (np.minimum(df, n).astype(np.float64) + 1)) / log(n + 1)
+    return 1 + IDF_SPREAD * np.log((n + 1) / (np.minimum(df, n).astype(np.float64) + 1)) / log(n + 1)
 
 
 @cache

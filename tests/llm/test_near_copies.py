@@ -13,7 +13,7 @@ from aeropanel.llm.components import components
 def brute_classes(rows, similarity=0.8):
     sets = [Counter(texts.shingles_of(t)) for _, t in rows]
     df, n = Counter(s for own in sets for s in own), len(rows)
-    weight = lambda s: 1 + log((n + 1) / (df[s] + 1)) / log(n + 1)
+    weight = lambda s: 1 + 0.25 * log((n + 1) / (df[s] + 1)) / log(n + 1)
     parent = list(range(n))
 
     def root(i):
@@ -109,7 +109,7 @@ def test_frequencies_of_a_small_corpus_are_exact(spark):
     known = near_dedup.document_frequencies(spark.createDataFrame(rows, "doc_id long, text string"))
     hashes = np.concatenate([h for _, _, h, _ in texts.shingle_hashes(["a b c d e f"])])
     assert known.documents == 4
-    assert near_dedup.inverse_frequency(hashes, known) == pytest.approx([1 + log(5 / 4) / log(5), 1 + log(5 / 2) / log(5)])
+    assert near_dedup.inverse_frequency(hashes, known) == pytest.approx([1 + log(5 / 4) / log(5) / 4, 1 + log(5 / 2) / log(5) / 4])
 
 
 def test_no_documents(spark):
