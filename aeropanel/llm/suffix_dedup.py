@@ -10,7 +10,11 @@ its own.
    before their text is fetched, so a passage that a third of all documents hold is sorted once.
 3. The regions of the other groups are dealt out by anchor and joined to shards. A task orders the suffixes of a shard
    by external induced sorting (see `induced`); strings whose suffix has 400 bytes in common with a neighbour repeat.
-4. The covered bytes go back to all documents that hold the region.
+4. A group of more text than a shard is dealt further first. Equal strings also have the same distance to the anchor;
+   those of 17 neighbouring distances have 384 bytes in common, whose hash and distances name a smaller group. Pieces of
+   regions are grouped, counted and sorted like regions; groups that are still too large go on by single distances,
+   where a group holds equal strings only.
+5. The covered bytes go back to all documents that hold the region.
 
 Texts move through one shuffle, combined by content first. Texts are known by two 64-bit hashes.
 
@@ -34,6 +38,8 @@ from aeropanel.session import scratch_path
 LENGTH = 400
 GRAM = 128
 SHARD_BYTES = 2 << 20
+#: Parts into which the distances of strings to an anchor are cut, when its group is dealt further.
+DISTANCE_PARTS = 17
 KEY = ["k1", "k2"]
 
 
@@ -98,17 +104,78 @@ def _listed(length: int, gram: int):
     return run
 
 
-def _cut_out(length: int):
-    """Texts with the regions wanted of them -> one row per region with its bytes."""
+def _cut_out(length: int, large: bool):
+    """Texts with the regions wanted of them -> one row per region with its bytes, of large groups or of the others."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text, wanted in zip(batch.column("text").to_pylist(), batch.column("wanted").to_pylist()):
-                data = text.encode("utf-8", "surrogatepass")
+            for text, told in zip(batch.column("text").to_pylist(), batch.column("wanted").to_pylist()):
+                wanted = [w for w in told if w["large"] == large]
                 if wanted:
+                    data = text.encode("utf-8", "surrogatepass")
                     cut = [data[w["first"]:w["first"] + w["strings"] - 1 + length] for w in wanted]
                     yield pa.record_batch([pa.array([w["anchor"] for w in wanted]), pa.array([w["content"] for w in wanted]),
-                                           pa.array([w["copies"] for w in wanted]), pa.array(cut, pa.binary())],
-                                          names=["anchor", "content", "copies", "data"])
+                                           pa.array([w["copies"] for w in wanted]), pa.array([-1] * len(wanted)),
+                                           pa.array(cut, pa.binary())], names=["anchor", "content", "copies", "place", "data"])
+    return run
+
+
+def pieces(data: np.ndarray, bounds: np.ndarray, place: np.ndarray, width: int, length: int = LENGTH,
+           gram: int = GRAM) -> tuple[np.ndarray, ...]:
+    """Group hash, content hash, region, first string, number of strings and place of the anchor of every piece.
+
+    A piece holds the strings of a region (or piece) at `width` neighbouring distances to its anchor. A place of -1 is
+    looked for: the gram of smallest hash, the first of equal ones.
+    """
+    total, inverse = texts.running_hashes(data)
+    grams = texts.mixed((total[gram:] - total[:-gram]) * inverse[:len(total) - gram])
+    keys = (grams >> np.uint64(32)) << np.uint64(32) | np.arange(len(grams), dtype=np.uint64)
+    inside = np.ravel(np.column_stack([bounds[:-1], bounds[1:] - gram + 1]))
+    smallest = np.minimum.reduceat(np.append(keys, np.uint64(0)), inside)[::2] & np.uint64(0xFFFFFFFF)
+    place = np.where(place < 0, smallest.astype(np.int64) - bounds[:-1], place)
+
+    strings = np.diff(bounds) - length + 1
+    low, high = (place - strings + 1) // width, place // width
+    count = high - low + 1
+    region = np.repeat(np.arange(len(place)), count)
+    part = np.arange(len(region)) - np.repeat(np.cumsum(count) - count, count) + low[region]
+    at, own = bounds[region], place[region]
+    latest, earliest = own - part * width, own - part * width - width + 1
+    first = np.maximum(earliest, 0)
+    held = np.minimum(latest, strings[region] - 1) - first + 1
+
+    def hashes(begin: np.ndarray, end: np.ndarray, more: np.ndarray) -> np.ndarray:
+        return texts.mixed((total[end] - total[begin]) * inverse[begin] + texts.mixed(more.astype(np.uint64)))
+
+    # what all strings at these distances hold
+    group = hashes(at + latest, at + earliest + length, part * (length + 1) + width)
+    content = hashes(at + first, at + first + held - 1 + length, part * (length + 1) + held)
+    return group.view(np.int64), content.view(np.int64), region, first, held, own - first
+
+
+def _split(length: int, gram: int, width: int):
+    """Regions or pieces with their bytes -> the smaller pieces of each."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = batch.column("place").to_numpy()
+            for at, data, bounds in _byte_slices(batch.column("data").to_pylist()):
+                group, content, region, first, strings, own = pieces(data, bounds, place[at:at + len(bounds) - 1], width, length, gram)
+                rows = batch.select(["anchor", "content", "copies"]).take(pa.array(region + at))
+                yield pa.record_batch([*rows.columns, *(pa.array(a) for a in (group, content, first, strings, own))],
+                                      names=["_anchor", "_content", "copies", "anchor", "content", "first", "strings", "place"])
+    return run
+
+
+def _cut_pieces(length: int, large: bool):
+    """Regions or pieces with the smaller pieces wanted of them -> one row per piece with its bytes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(w["anchor"], w["content"], w["copies"], w["place"], data[w["first"]:w["first"] + w["strings"] - 1 + length])
+                     for data, wanted in zip(batch.column("data").to_pylist(), batch.column("wanted").to_pylist())
+                     for w in wanted if w["large"] == large]
+            if found:
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+                yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*found), kinds)],
+                                      names=["anchor", "content", "copies", "place", "data"])
     return run
 
 
@@ -214,6 +281,66 @@ def _keyed(documents: DataFrame, *columns: str) -> DataFrame:
     return documents.select(*columns, text.alias("text"), F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2"))
 
 
+def _with_size(one: DataFrame, length: int, shard_bytes: int, path: str) -> tuple[DataFrame, bool]:
+    """`one` (anchor, content, strings, ...) with `large`, whether its group is more than a shard; whether any is."""
+    sizes = one.groupBy("anchor").agg(F.sum(F.col("strings") + (length - 1)).alias("size"))
+    # at most one group per shard of text
+    large = _written(sizes.filter(F.col("size") > shard_bytes).select(F.col("anchor").alias("_large")), path)
+    marked = one.join(large, F.col("anchor") == F.col("_large"), "left").withColumn("large", F.col("_large").isNotNull()).drop("_large")
+    return marked, not large.isEmpty()
+
+
+def _repeated(listed: DataFrame, path: str) -> DataFrame:
+    """The rows of groups with more than one member, and whether their contents `differ`."""
+    n = F.sum("copies") if "copies" in listed.columns else F.count("*")
+    groups = listed.groupBy("anchor").agg(n.alias("n"), F.min("content").alias("low"), F.max("content").alias("high"))
+    groups = groups.filter(F.col("n") > 1).select(F.col("anchor").alias("_group"), (F.col("low") != F.col("high")).alias("differ"))
+    # written, so that the join reads both sides by plain exchanges and a frequent anchor can be split
+    return listed.join(_written(groups, path), F.col("anchor") == F.col("_group")).drop("_group")
+
+
+CUT = "anchor long, content long, copies long, place long, data binary"
+SPANS = "anchor long, content long, spans array<struct<begin: long, end: long>>"
+
+
+def _sorted(cut: DataFrame, length: int, shard_bytes: int) -> DataFrame:
+    """anchor, content, spans of regions or pieces by the order of their suffixes."""
+    dealt = cut.drop("place").repartition("anchor").sortWithinPartitions("anchor", "content")
+    return texts.map_batches(dealt, _sorted_shards(length, shard_bytes), SPANS)
+
+
+def _of_large(cut: DataFrame, length: int, gram: int, shard_bytes: int, width: int, path: str) -> DataFrame:
+    """anchor, content, spans of the regions or pieces of groups that are more than a shard."""
+    cut = _written(cut, f"{path}/large-{width}")
+    listed = _written(texts.map_batches(
+        cut, _split(length, gram, width),
+        "_anchor long, _content long, copies long, anchor long, content long, first long, strings long, place long"), f"{path}/pieces-{width}")
+    repeated = _written(_repeated(listed, f"{path}/groups-{width}"), f"{path}/repeated-{width}")
+    begin, end = F.col("first"), F.col("first") + F.col("strings") - 1 + length
+    equal = repeated.filter("NOT differ").select("_anchor", "_content", begin.alias("begin"), end.alias("end"))
+
+    differing = repeated.filter("differ")
+    if width > 1 and not differing.isEmpty():
+        one = differing.groupBy("anchor", "content").agg(
+            F.sum("copies").alias("copies"), F.min(F.struct("_anchor", "_content", "first", "strings", "place")).alias("where"))
+        one, any_large = _with_size(one.select("anchor", "content", "copies", "where.*"), length, shard_bytes, f"{path}/sizes-{width}")
+        wanted = one.groupBy("_anchor", "_content").agg(F.collect_list(F.struct(
+            "anchor", "content", "copies", "first", "strings", "place", "large")).alias("wanted"))
+        held = (F.col("anchor") == F.col("_anchor")) & (F.col("content") == F.col("_content"))
+        chosen = _written(cut.select("anchor", "content", "data").join(wanted, held).select("data", "wanted"), f"{path}/wanted-{width}")
+        found = _sorted(texts.map_batches(chosen, _cut_pieces(length, False), CUT), length, shard_bytes)
+        if any_large:
+            larger = texts.map_batches(chosen, _cut_pieces(length, True), CUT)
+            found = found.unionByName(_of_large(larger, length, gram, shard_bytes, -(-width // DISTANCE_PARTS), path))
+        found = _written(found, f"{path}/found-{width}").toDF("_a", "_c", "spans")
+        inner = differing.join(found, (F.col("anchor") == F.col("_a")) & (F.col("content") == F.col("_c"))).select(
+            "_anchor", "_content", "first", F.explode("spans").alias("span"))
+        equal = equal.unionByName(inner.select("_anchor", "_content", (F.col("first") + F.col("span.begin")).alias("begin"),
+                                               (F.col("first") + F.col("span.end")).alias("end")))
+    spans = equal.groupBy("_anchor", "_content").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
+    return spans.select(F.col("_anchor").alias("anchor"), F.col("_content").alias("content"), "spans")
+
+
 def repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """k1, k2 of every text that loses bytes, n_removed, n_spans, kept_sha256 and the stretches `removed`."""
     spark = documents.sparkSession
@@ -221,11 +348,7 @@ def repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_
     given = _keyed(documents)
     listed = _written(texts.map_batches(given, _listed(length, gram), "k1 long, k2 long, anchor long, content long, first long, strings long"),
                       f"{path}/regions")
-    groups = listed.groupBy("anchor").agg(F.count("*").alias("n"), F.min("content").alias("low"), F.max("content").alias("high"))
-    groups = groups.filter(F.col("n") > 1).select(F.col("anchor").alias("_anchor"), (F.col("low") != F.col("high")).alias("differ"))
-    # written, so that the join reads both sides by plain exchanges and a frequent anchor can be split
-    groups = _written(groups, f"{path}/groups")
-    repeated = listed.join(groups, F.col("anchor") == F.col("_anchor")).drop("_anchor")
+    repeated = _repeated(listed, f"{path}/groups")
     # copies of a document list the same regions
     repeated = _written(repeated.groupBy(*KEY, "anchor", "content", "first", "strings", "differ").agg(F.count("*").alias("copies")),
                         f"{path}/repeated")
@@ -233,17 +356,19 @@ def repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_
     differing = repeated.filter("differ")
     one = differing.groupBy("anchor", "content").agg(
         F.sum("copies").alias("copies"), F.min(F.struct(*KEY, "first", "strings")).alias("where"))
-    wanted = one.groupBy("where.k1", "where.k2").agg(F.collect_list(F.struct(
-        "anchor", "content", F.col("where.first").alias("first"), F.col("where.strings").alias("strings"), "copies")).alias("wanted"))
+    one, any_large = _with_size(one.select("anchor", "content", "copies", "where.*"), length, shard_bytes, f"{path}/sizes")
+    wanted = one.groupBy(*KEY).agg(F.collect_list(F.struct("anchor", "content", "first", "strings", "copies", "large")).alias("wanted"))
     affected = repeated.select(*KEY).distinct().join(wanted, KEY, "left")
     # copies are combined before the one shuffle of texts
     whole = given.groupBy(*KEY).agg(F.min("text").alias("text"))
     whole = _written(whole.join(affected, KEY), f"{path}/texts")
 
-    cut = texts.map_batches(whole.filter("wanted IS NOT NULL"), _cut_out(length), "anchor long, content long, copies long, data binary")
-    dealt = cut.repartition("anchor").sortWithinPartitions("anchor", "content")
-    sorted_ = texts.map_batches(dealt, _sorted_shards(length, shard_bytes),
-                                "anchor long, content long, spans array<struct<begin: long, end: long>>")
+    held = whole.filter("wanted IS NOT NULL")
+    sorted_ = _sorted(texts.map_batches(held, _cut_out(length, False), CUT), length, shard_bytes)
+    if any_large:
+        large = texts.map_batches(held.filter(F.exists("wanted", lambda w: w["large"])), _cut_out(length, True), CUT)
+        width = -(-(length - gram + 1) // DISTANCE_PARTS)
+        sorted_ = sorted_.unionByName(_of_large(large, length, gram, shard_bytes, width, path))
     # a region met again by a retried task has the same spans
     found = _written(sorted_, f"{path}/found").withColumnsRenamed({"anchor": "_anchor", "content": "_content"})
     inner = differing.join(found, (F.col("anchor") == F.col("_anchor")) & (F.col("content") == F.col("_content")))

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import uuid
 from collections import Counter
 
 import numpy as np
@@ -77,3 +78,35 @@ def test_no_documents(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert suffix_dedup.document_repeats(empty).count() == 0
     assert suffix_dedup.without_repeats(empty).count() == 0
+
+
+@pytest.mark.parametrize("length, gram, shared", [(20, 8, 10), (20, 8, 19), (20, 8, 24), (400, 128, 150), (400, 128, 395)])
+def test_no_task_sorts_more_of_a_frequent_anchor_than_a_shard(spark, length, gram, shared, tmp_path, monkeypatch):
+    rnd = random.Random(6)
+    text = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    passage, around = text(shared), [text(length) for _ in range(4)]
+    # texts with a few of the same strings around the passage among many others of the same anchor
+    rows = [(i, text(2 * length) + passage + text(2 * length)) for i in range(60)]
+    rows += [(100 + i, text(9) + a[-rnd.randint(1, length):] + passage + b[:rnd.randint(1, length)] + text(9))
+             for i, (a, b) in enumerate((a, b) for a in around for b in around for _ in range(2))]
+    rows += [rows[0], (200, rows[1][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    most, shards = 8 * length, suffix_dedup._sorted_shards
+
+    def telling(*options):
+        run = shards(*options)
+
+        def told(batches):
+            batches, sizes = list(batches), Counter()
+            for batch in batches:
+                for anchor, data in zip(batch.column("anchor").to_pylist(), batch.column("data").to_pylist()):
+                    sizes[anchor] += len(data)
+            if sizes:
+                (tmp_path / uuid.uuid4().hex).write_text(str(max(sizes.values())))
+            return run(iter(batches))
+        return told
+
+    monkeypatch.setattr(suffix_dedup, "_sorted_shards", telling)
+    got = suffix_dedup.document_repeats(df, length=length, gram=gram, shard_bytes=most).collect()
+    assert sorted(map(tuple, got), key=repr) == brute(rows, length)
+    assert max([int(p.read_text()) for p in tmp_path.iterdir()], default=0) <= most
