@@ -6,7 +6,11 @@ on the path from there up to the body is the threshold for what else counts: bel
 subtree of largest sum is taken too. An `article` or `main` element around the best node is taken as a whole.
 
 Elements that are never text (scripts, forms, navigation, asides, footers, comments, adverts and the like, by tag, role
-or name) are left out before any density is computed. A header keeps its headings if it belongs to the article.
+or name) are left out before any density is computed. What is left out by form, name or role must hold neither an
+`article` or `main` element nor more than half of the page's text outside links; a form that does loses its controls
+only. Names like `has-sidebar` or `comments-open` say what a page has and are no names of an element. An article named
+a comment is one; comments that hold articles are left out if the page has an article outside of them. A header keeps
+its headings if it belongs to the article.
 
 Blocks are the texts between block-level borders; white space in a block becomes one space, blocks are joined by an
 empty line. Defined cases: missing or empty html and pages without text have an empty text; unclosed and misnested tags
@@ -41,7 +45,7 @@ IMPLIED_ENDS = {
     "option": ({"option"}, {"select"}), "body": ({"head"}, {"html"})}
 # fixed values: what is never part of an article, by tag, by role, and by a word of class or id
 DROPPED_TAGS = set(
-    "applet aside audio button canvas dialog embed footer form frame frameset head iframe input map math menu nav noframes noscript "
+    "annotation annotation-xml applet aside audio button canvas dialog embed footer frame frameset head iframe input map menu nav noframes noscript "
     "object script search select style svg template textarea title video".split())
 DROPPED_ROLES = set("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 DROPPED_NAMES = set(
@@ -49,6 +53,9 @@ DROPPED_NAMES = set(
     "masthead menu modal nav navbar navigation newsletter notice notices notification pager pagination popup promo promoted promotion "
     "recommended related share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget widgets".split())
 COMMENT_NAMES = set("comment comments commentlist discussion disqus replies reply respond".split())
+FORM_CONTROLS = {"label", "datalist", "output"}
+# fixed values: names that say what a page has
+STATE_NAMES = re.compile(r"(has|have|with|without|no)[-_].+|.+[-_](open|opened|closed|enabled|disabled|allowed)", re.I)
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 MOST_DEPTH = 400
 
@@ -60,7 +67,8 @@ class Node:
         self.tag, self.parent = tag, parent
         self.children: list[Node | str] = []
         told = f"{attributes.get('class') or ''} {attributes.get('id') or ''}"
-        self.names = {w.lower() for w in NAME_PARTS.findall(told)} if told != " " else set()
+        told = " ".join(name for name in told.split() if not STATE_NAMES.fullmatch(name))
+        self.names = {w.lower() for w in NAME_PARTS.findall(told)}
         self.role = (attributes.get("role") or "").lower()
         self.hidden = "hidden" in attributes or attributes.get("aria-hidden") == "true"
         self.density = self.sum = 0.0
@@ -129,25 +137,54 @@ def _holds(node: Node, tags: set[str]) -> bool:
     return any(isinstance(c, Node) and (c.tag in tags or _holds(c, tags)) for c in node.children)
 
 
-def _is_dropped(node: Node, in_article: bool) -> bool:
-    if node.tag in DROPPED_TAGS or node.role in DROPPED_ROLES or node.hidden and node.tag != "body":
+def _holds_article(node: Node) -> bool:
+    """Whether an article or main is in the node, or is it, that no element up to the node names a comment."""
+    if node.tag in ("article", "main"):
         return True
-    if node.tag in ("html", "body", "main") or not node.names:
+    return any(isinstance(c, Node) and not c.names & COMMENT_NAMES and _holds_article(c) for c in node.children)
+
+
+def _words(node: Node) -> int:
+    """Sets and returns `chars`, here the characters outside links and what is never text."""
+    node.chars = 0
+    for child in node.children:
+        if isinstance(child, str):
+            node.chars += len("".join(child.split()))
+        elif child.tag in DROPPED_TAGS or child.tag == "a" or child.hidden:
+            child.chars = 0
+        else:
+            node.chars += _words(child)
+    return node.chars
+
+
+def _is_dropped(node: Node, in_article: bool, in_form: bool, page: Node, has_article: bool) -> bool:
+    if node.tag in DROPPED_TAGS or node.hidden and node.tag != "body":
+        return True
+    if node.tag in ("html", "body", "main"):
         return False
     if node.names & COMMENT_NAMES:
-        return True
-    return bool(node.names & DROPPED_NAMES) and node.tag != "article" and not _holds(node, {"article", "main"})
+        return in_article or has_article or node.tag == "article" or not _holds_article(node)
+    told = node.tag == "form" or in_form and node.tag in FORM_CONTROLS or node.role in DROPPED_ROLES
+    if not told and (node.tag == "article" or not node.names & DROPPED_NAMES):
+        return False
+    return node.tag != "article" and not _holds(node, {"article", "main"}) and 2 * node.chars <= page.chars
 
 
-def prune(node: Node, in_article: bool = False) -> None:
+def prune(page: Node) -> None:
     """Takes out what is never part of an article."""
+    has_article = _holds_article(page)
+    _words(page)
+    _prune(page, False, False, page, has_article)
+
+
+def _prune(node: Node, in_article: bool, in_form: bool, page: Node, has_article: bool) -> None:
     kept: list[Node | str] = []
     for child in node.children:
         if isinstance(child, str):
             kept.append(child)
-        elif not _is_dropped(child, in_article):
+        elif not _is_dropped(child, in_article, in_form, page, has_article):
             inside = in_article or child.tag in ("article", "main")
-            prune(child, inside)
+            _prune(child, inside, in_form or child.tag == "form", page, has_article)
             if child.tag == "header" and not _holds(child, {"article", "main"}):
                 child.children = _headings(child) if inside else []
             kept.append(child)

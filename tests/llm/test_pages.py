@@ -50,6 +50,27 @@ def test_odd_pages(page, text):
     assert html_text.main_text(page) == text
 
 
+@pytest.mark.parametrize("before, after", [
+    ("<form id=aspnetForm><input name=s><label>Search here</label><article>", "</article></form>"),
+    ("<form><div><p>", "</div></form>"), ("<article class='post comments-open'>", "</article>"), ("<div class=has-comments><article>", "</article></div>"),
+    ("<div class=comments><article>", "</article></div>"), ("<div role=dialog><article>", "</article></div>"),
+    *((f"<div class={name}><div><p>", "</div></div>") for name in ("with-sidebar", "no-sidebar", "share-page", "widget-text")),
+    ("<article><div class=widget-text>", "</div></article>")])
+def test_wrappers_of_the_article_are_kept(before, after):
+    page = f"<body><nav><a href=/>Home</a></nav>{before}{LONG * 3}{after}<div class=sidebar>{LONG}</div><div id=comments>{LONG}</div></body>"
+    assert html_text.main_text(page) == (LONG * 3).strip()
+
+
+def test_formulas_are_text():
+    page = f"<article><p>{LONG}<math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math></article>"
+    assert html_text.main_text(page) == f"{LONG}x=1"
+
+
+def test_comments_that_are_articles_are_left_out():
+    page = f"<article>{LONG}</article><div id=comments><article>{LONG * 9}</article></div>"
+    assert html_text.main_text(page) == LONG.strip()
+
+
 def test_very_long_page():
     page = "<article>" + "".join(f"<p>{LONG}{i}</p>" for i in range(20_000)) + "</article>"
     assert html_text.main_text(page).count("\n\n") == 19_999
