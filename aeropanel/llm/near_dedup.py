@@ -18,7 +18,9 @@ band) are compared with a few pivots first. After each round the links found are
 lie in one component, or whose members were all pivots, are done. What meets in the others is mostly a passage that many
 documents share: their members are dealt again by a second band, where texts that resemble each other meet again and
 those that share a passage hardly do. Buckets that are still large then get four times as many pivots per round, until
-every member has been one. So neither the pairs of a group of copies nor those of a common passage are all emitted.
+every member has been one. At the end, what is left of the large buckets is compared in the first band: signatures meet
+in blocks, and only pairs of different components that agree often enough are emitted. So neither the pairs of a group
+of copies nor those of a common passage are all emitted, and no pair that shares a band is passed over.
 
 Defined cases: documents without words resemble nothing and each is its own class; missing ids sort after all others;
 repeated rows are copies; without documents there are no classes. Other columns pass through `without_copies`.
@@ -50,6 +52,8 @@ IDF_SPREAD = 0.25
 POOL_BITS = 16
 FIRST_PIVOTS, MORE_PIVOTS = 8, 4
 BLOCK_SHINGLES = 8192
+BLOCK_MEMBERS = 2048
+MOST_PAIRS = 100_000
 #: A pair whose samples agree less than this is below the similarity but for a chance of about 1e-9.
 LEAST_AGREEMENT = 0.45
 
@@ -210,6 +214,38 @@ def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(keep))
 
 
+def _agreeing_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Members in order of blocks -> pairs of different labels whose signatures agree often enough."""
+    def pairs(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        low = np.array([r[1] for r in rows])
+        node, label = (np.array([r[i] for r in rows], np.int64) for i in (2, 3))
+        signature = np.frombuffer(b"".join(r[4] for r in rows), np.uint32).reshape(-1, SAMPLES)
+        # a block of one part has no other side
+        within = low.all()
+        one, two = np.flatnonzero(low), np.flatnonzero(low if within else ~low)
+        others, other_labels = signature[two], label[two]
+        found, size = [], 0
+        for i, at in enumerate(one):
+            begin = i + 1 if within else 0
+            agree = (others[begin:] == signature[at]).mean(axis=1) >= LEAST_AGREEMENT
+            met = node[two[begin:][agree & (other_labels[begin:] != label[at])]]
+            found.append((np.minimum(met, node[at]), np.maximum(met, node[at])))
+            size += len(met)
+            if size > MOST_PAIRS or i == len(one) - 1:
+                yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*found)], names=["a", "b"])
+                found, size = [], 0
+
+    rows: list[tuple] = []
+    for batch in batches:
+        for row in zip(*(batch.column(c).to_pylist() for c in ("block", "low", "node", "label", "signature"))):
+            if rows and rows[-1][0] != row[0]:
+                yield from pairs(rows)
+                rows = []
+            rows.append(row)
+    if rows:
+        yield from pairs(rows)
+
+
 def weighted_jaccard(one: list[str], two: list[str], known: Frequencies) -> np.ndarray:
     """Weighted Jaccard similarity of texts pair by pair; 0 for texts without words."""
     weighted = []
@@ -262,6 +298,20 @@ def _redealt(active: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFram
     return both.select(F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key"), "node").distinct()
 
 
+def _left_over(members: DataFrame, labels: DataFrame, signatures: DataFrame, path: str) -> DataFrame:
+    """a, b of all agreeing pairs of different labels in the large buckets among `members`."""
+    large = members.filter(F.col("n") > FIRST_PIVOTS).join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    open_ = large.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
+    # written, so that the join reads both sides by plain exchanges and a frequent key can be split
+    open_ = _written(open_.select("key"), f"{path}/left-keys")
+    parts = F.ceil(F.col("n") / BLOCK_MEMBERS)
+    placed = large.join(open_, "key").withColumn("part", F.pmod(F.xxhash64("node", F.lit(1)), parts))
+    placed = placed.select("key", "node", "label", "part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("other"))
+    block = F.xxhash64("key", F.least("part", "other"), F.greatest("part", "other")).alias("block")
+    placed = placed.select(block, (F.col("part") <= F.col("other")).alias("low"), "node", "label").join(signatures, "node")
+    return texts.map_batches(placed.repartition("block").sortWithinPartitions("block"), _agreeing_in_blocks, "a long, b long").distinct()
+
+
 def _links(spark: SparkSession, nodes: DataFrame, documents: DataFrame, shared, similarity: float, path: str) -> DataFrame:
     """node, label of all nodes (node, signature, doc_id, text_hash) that resemble another one."""
     members = _members(texts.map_batches(nodes.select("node", "signature"), _bands, "key long, node long"), f"{path}/members")
@@ -273,6 +323,11 @@ def _links(spark: SparkSession, nodes: DataFrame, documents: DataFrame, shared,
     words = _written(given.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
                      .groupBy("node").agg(F.max("text").alias("text")), f"{path}/texts")
 
+    def similar(near: DataFrame, name: str) -> DataFrame:
+        whole = near.join(words.toDF("a", "text_a"), "a").join(words.toDF("b", "text_b"), "b")
+        return _written(texts.map_batches(whole, _similar(shared, similarity), "a long, b long"), f"{path}/links-{name}")
+
+    first = members
     labels, tested, edges, pivots, step = None, None, None, FIRST_PIVOTS, 0
     while True:
         placed = members.withColumn("label", F.col("node"))
@@ -294,20 +349,25 @@ def _links(spark: SparkSession, nodes: DataFrame, documents: DataFrame, shared,
         pairs = _written(pairs, f"{path}/pairs-{step}")
         signed = pairs.join(signatures.toDF("a", "sig_a"), "a").join(signatures.toDF("b", "sig_b"), "b")
         near = texts.map_batches(signed, _agreeing, "a long, b long")
-        whole = near.join(words.toDF("a", "text_a"), "a").join(words.toDF("b", "text_b"), "b")
-        found = _written(texts.map_batches(whole, _similar(shared, similarity), "a long, b long"), f"{path}/links-{step}")
+        found = similar(near, str(step))
         # written again, so that plans do not grow with the rounds
         edges = found if edges is None else _written(edges.union(found), f"{path}/edges-{step}")
         if not found.isEmpty() or labels is None:
             labels = _written(components(edges), f"{path}/labels-{step}")
         if (active.agg(F.max("n")).first()[0] or 0) <= pivots:
-            return labels
+            break
         tested = pairs if tested is None else tested.union(pairs)
         step += 1
         if step == 1:
             members = _members(_redealt(active.filter(F.col("n") > pivots), labels, nodes), f"{path}/members-again")
         else:
             pivots *= MORE_PIVOTS
+    if step == 0:
+        return labels
+    tested = tested.union(pairs)
+    left = _written(_left_over(first, labels, signatures, path).join(tested, ["a", "b"], "left_anti"), f"{path}/pairs-left")
+    found = similar(left, "left")
+    return labels if found.isEmpty() else _written(components(_written(edges.union(found), f"{path}/edges-left")), f"{path}/labels-left")
 
 
 def _classified(documents: DataFrame, similarity: float) -> DataFrame:

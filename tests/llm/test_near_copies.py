@@ -89,6 +89,27 @@ def test_a_passage_that_many_documents_share_links_none_of_them(spark, monkeypat
     assert len({c for _, c in got}) == 150
 
 
+@pytest.mark.parametrize("members", [2048, 7])
+def test_pairs_that_share_only_a_large_bucket_are_compared(spark, monkeypatch, members):
+    def one_bucket(batches):
+        import pyarrow as pa
+        for batch in batches:
+            yield pa.record_batch([pa.array([1] * batch.num_rows), batch.column("node")], names=["key", "node"])
+
+    monkeypatch.setattr(near_dedup, "_bands", one_bucket)
+    monkeypatch.setattr(near_dedup, "BLOCK_MEMBERS", members)
+    rng = np.random.default_rng(13)
+    words = [f"w{i}" for i in range(5000)]
+    passage = list(rng.choice(words, 60))
+    rows = []
+    for i in range(0, 80, 2):
+        base = passage + list(rng.choice(words, 60))
+        rows += [(i, " ".join(base)), (i + 1, " ".join([*base[:-3], "edited", *base[-2:]]))]
+    got = sorted(map(tuple, near_dedup.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=repr)
+    assert got == brute_classes(rows)[0]
+    assert len({c for _, c in got}) == 40
+
+
 def test_samples_agree_as_often_as_the_weighted_jaccard_similarity():
     rng = np.random.default_rng(3)
     hashes = texts.mixed(np.arange(1, 3001, dtype=np.uint64))
