@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeropanel.llm import decontaminate, hnsw, html_text, mixing, near_dedup, repair, suffix_dedup, token_counts, toxicity, warc
+from aeropanel.llm import (
+    alignment, decontaminate, filter_audit, histogram_sort, hnsw, html_text, mixing, near_dedup, repair, suffix_dedup, token_counts,
+    toxicity, warc)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,7 +60,21 @@ def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op11_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return histogram_sort.document_shards(table(spark, sf_dir, "documents"))
+
+
+def op12_filter_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.document_alignment(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def all_queries() -> dict[str, Query]:
     found = [op1_minhash_containment, op2_repair_token_ids, op3_induced_suffixes, op4_weighted_minhash, op5_hnsw,
-             op6_sainte_lague_mix, op7_text_density, op8_prefix_token_counts, op9_factorization_machine, op10_warc_revisits]
+             op6_sainte_lague_mix, op7_text_density, op8_prefix_token_counts, op9_factorization_machine, op10_warc_revisits,
+             op11_histogram_sort, op12_filter_folds, op13_token_alignment]
     return {query.__name__: query for query in found}
