@@ -19,6 +19,7 @@ id counts as best. An empty table gives no rows. Other columns are not read.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import uuid
@@ -39,6 +40,7 @@ from aeropanel.session import scratch_path
 
 CHUNK_LINKS = 4_000_000
 BATCH_BYTES = 4_000_000
+MOST_UNITS = 200_000
 B_IDS = 1 << 32
 BLANK, SHIFT = 0x20, 40
 # fixed value: how a byte-level tokenizer parts text
@@ -83,15 +85,39 @@ class Tokenizers:
         self.a_lengths, self.b_lengths = (pc.binary_length(of).cast(pa.int64()) for of in (self.a_bytes, self.b_bytes))
         self.a_names, self.b_names = (pa.array(map(str, range(len(of))), pa.large_string()) for of in (a_bytes, b_bytes))
 
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        nothing = _lists(np.zeros(0, np.int64), pa.array([], pa.int32()))
+        self.stored = (nothing, nothing, pa.array([], pa.bool_()))
+
     def lists(self, units: pa.Array) -> tuple[pa.Array, pa.Array, pa.Array]:
-        """A's ids, B's ids, and whether both give the unit back, for units that begin with a blank."""
-        texts = [u.decode("utf-8", "replace") for u in units.to_pylist()]
-        usual = pc.match_substring_regex(pa.array(texts, pa.large_string()), USUAL).to_pylist()
-        rest = iter(self.a.encode_batch([t for t, u in zip(texts, usual) if not u], add_special_tokens=False))
-        a = _flat([self.a_ranks.encode_ordinary(t) if u else next(rest).ids for t, u in zip(texts, usual)])
-        # the library sets the first blank of B, but gives nothing at all for an empty text
-        b = _flat([ids or [self.blank] for ids in self.b.encode([t[1:] for t in texts], num_threads=1)] if texts else [])
-        back = [pc.equal(pc.binary_join(pa.LargeListArray.from_arrays(of.offsets, by.take(of.values)), NOTHING), units)
+        """A's ids, B's ids, and whether both give the unit back, for units that begin with a blank. Common units are remembered."""
+        if len(self.known) > MOST_UNITS:
+            self._forget()
+        found = units.to_pylist()
+        new = [u for u in found if u not in self.known]
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+        if new:
+            self.stored = tuple(pa.concat_arrays(pair) for pair in zip(self.stored, self._encoded(new)))
+        at = pa.array(np.fromiter(map(self.known.__getitem__, found), np.int64, len(found)))
+        return tuple(column.take(at) for column in self.stored)
+
+    def _encoded(self, units: list[bytes]) -> tuple[pa.Array, pa.Array, pa.Array]:
+        gc.disable()  # a million short lists are made and dropped, none of them in a cycle
+        try:
+            texts = [u.decode("utf-8", "replace") for u in units]
+            usual = pc.match_substring_regex(pa.array(texts, pa.large_string()), USUAL).to_pylist()
+            rest = iter(self.a.encode_batch([t for t, u in zip(texts, usual) if not u], add_special_tokens=False))
+            ranks = self.a_ranks.encode_ordinary
+            a = _flat([ranks(t) if u else next(rest).ids for t, u in zip(texts, usual)])
+            # the library sets the first blank of B, but gives nothing at all for an empty text
+            b = _flat([ids or [self.blank] for ids in self.b.encode([t[1:] for t in texts], num_threads=1)])
+        finally:
+            gc.enable()
+        whole = pa.array(units, pa.large_binary())
+        back = [pc.equal(pc.binary_join(pa.LargeListArray.from_arrays(of.offsets, by.take(of.values)), NOTHING), whole)
                 for of, by in ((a, self.a_bytes), (b, self.b_bytes))]
         return a, b, pc.and_(*back)
 
