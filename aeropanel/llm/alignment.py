@@ -38,9 +38,9 @@ from tokenizers import Tokenizer
 from aeropanel.llm.texts import map_batches
 from aeropanel.session import scratch_path
 
-CHUNK_LINKS = 4_000_000
-BATCH_BYTES = 4_000_000
-MOST_UNITS = 200_000
+CHUNK_LINKS = 1_500_000
+BATCH_BYTES = 1_500_000
+MOST_UNITS = 150_000
 B_IDS = 1 << 32
 BLANK, SHIFT = 0x20, 40
 # fixed value: how a byte-level tokenizer parts text
