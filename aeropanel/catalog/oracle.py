@@ -29,6 +29,7 @@ from aeropanel.sources.driver_tables import (
     METROS,
     MONTH,
     N_YEARS,
+    READINGS_SQL,
     YEAR,
 )
 
@@ -321,6 +322,11 @@ def stream_sql() -> dict[str, str]:
             WHERE event_type = '{LATE_TYPE}' AND date_trunc('hour', ts) + INTERVAL 1 HOUR <= {early_mark}""",
         "stream_late_rows": f"""WITH hours AS ({HOURLY_SQL.format(events=kept)})
             SELECT station, time, {FEED_COLS} FROM hours WHERE {closed}""",
+        "stream_late_rows_set": READINGS_SQL.format(events="events") + f"""
+            WHERE event_type = '{LATE_TYPE}' AND date_trunc('hour', ts) + INTERVAL 1 HOUR <= {early_mark}""",
+        "stream_hours_on_time": f"""WITH hours AS ({HOURLY_SQL.format(events=kept)})
+            SELECT station, time, {FEED_COLS} FROM hours
+            WHERE time + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 2 HOUR FROM {kept})""",
     }
 
 

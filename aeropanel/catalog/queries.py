@@ -203,7 +203,29 @@ def stream_queries() -> dict[str, Query]:
         _, run = late_runs(spark, sf_dir)
         return tables.literal_rows(spark, [(run.late_station_hours,)], "late_station_hours long")
 
-    return {"stream_hourly": hours, "stream_rolling_index": rolling, "stream_late_rows": late, "stream_late_count": late_count}
+    def split_runs(spark: SparkSession, sf_dir: str) -> str:
+        """The two runs of `late_runs` through the stream that tells late readings apart."""
+        path = scratch_path(spark, "stream-split")
+        events = given.table(spark, sf_dir, "events")
+        is_late = F.col("event_type") == given.LATE_TYPE
+        for part in (events.filter(~is_late), events.filter(is_late)):
+            part.write.mode("append").parquet(f"{path}/in")
+            marked = streaming.with_late(given.readings(streaming.read_stream(spark, f"{path}/in", events.schema)))
+            streaming.run_to_parquet(marked, f"{path}/split", f"{path}/checkpoint", spark.sparkContext.defaultParallelism,
+                                     streaming.write_split)
+        return f"{path}/split"
+
+    def late_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Every reading that came after its hour had closed."""
+        return streaming.read_split(spark, split_runs(spark, sf_dir), late=True)
+
+    def hours_on_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """The closed hours of the readings that came in time."""
+        on_time = streaming.read_on_time(spark, split_runs(spark, sf_dir))
+        return finished(spark, streaming.closed_hours(streaming.stream_hourly(on_time)), "stream-on-time")
+
+    return {"stream_hourly": hours, "stream_rolling_index": rolling, "stream_late_rows": late, "stream_late_count": late_count,
+            "stream_late_rows_set": late_set, "stream_hours_on_time": hours_on_time}
 
 
 def city_queries() -> dict[str, Query]:

@@ -200,6 +200,74 @@ def test_stream_equals_batch_on_the_given_events(spark):
     assert batch.count() > 5000 and batch.exceptAll(got).isEmpty() and got.exceptAll(batch).isEmpty()
 
 
+def index_of_files(spark, path, files, **options):
+    """Runs each file of closed hours through the index stream on its own -> the last run."""
+    for rows in files:
+        rows.coalesce(1).write.mode("append").parquet(f"{path}/hours")
+        closed = hourly_stream.read_stream(spark, f"{path}/hours", rows.schema)
+        run = hourly_stream.run_to_parquet(hourly_stream.stream_rolling_index(closed, **options), f"{path}/index", f"{path}/cp", 2)
+    return run
+
+
+def closed_rows(spark, spans, step=1):
+    rows = [(s, hour(i), *[float(10 + (i * step) % 90)] * 6) for s, a, b in spans for i in range(a, b) if i % 11 != 5 or i in (a, b - 1)]
+    return tables.literal_rows(spark, rows, HOURLY)
+
+
+def same_rows(got, want):
+    want = want.select(*got.columns)
+    return got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_files_out_of_order_give_the_batch_result(spark, tmp_path):
+    hours = closed_rows(spark, [("A", 0, 150), ("B", 30, 150)])
+    parts = [(0, 40), (60, 80), (40, 60), (100, 120), (80, 100), (120, 150)]
+    files = [hours.filter(f"time >= timestamp'{hour(a)}' AND time < timestamp'{hour(b)}'") for a, b in parts]
+    index_of_files(spark, str(tmp_path), files, delay="48 hours")
+    got = spark.read.parquet(f"{tmp_path}/index")
+    settled = hours.filter(f"time <= timestamp'{hour(149 - 48)}'")
+    assert same_rows(got, hourly.rolling_index(settled)) and got.count() > 100
+
+
+def test_ended_stations_leave_the_state(spark, tmp_path):
+    hours = closed_rows(spark, [("ended", 0, 60), ("back", 0, 50), ("whole", 0, 300), ("back", 200, 260)])
+    cuts = [(0, 60), (60, 100), (100, 201), (201, 300)]
+    kept = []
+    for a, b in cuts:
+        part = hours.filter(f"time >= timestamp'{hour(a)}' AND time < timestamp'{hour(b)}'")
+        kept.append(index_of_files(spark, str(tmp_path), [part], silence=72).state_rows)
+    assert kept == [3, 3, 2, 2]
+    got = spark.read.parquet(f"{tmp_path}/index")
+    back = hours.filter("station = 'back'")
+    lives = [hourly.rolling_index(back.filter(f"time {sign} timestamp'{hour(100)}'")) for sign in ("<", ">")]
+    want = hourly.rolling_index(hours.filter("station <> 'back'")).unionByName(lives[0]).unionByName(lives[1])
+    assert same_rows(got, want)
+
+
+def test_a_silence_is_judged_alike_in_one_batch(spark, tmp_path):
+    hours = closed_rows(spark, [("back", 0, 50), ("whole", 0, 300), ("back", 200, 260)])
+    index_of_files(spark, str(tmp_path), [hours], silence=72)
+    starts = spark.read.parquet(f"{tmp_path}/index").filter(f"station = 'back' AND time >= timestamp'{hour(50)}'").agg(F.min("time")).first()[0]
+    assert starts == hour(223)
+
+
+def test_late_readings_are_kept_and_the_others_count(spark, tmp_path):
+    path = str(tmp_path)
+    first = [reading("A", hour(i) + datetime.timedelta(minutes=5), 10.0) for i in range(30)]
+    second = [reading("A", hour(3), 99.0), reading("B", hour(10), 5.0), reading("A", hour(28), 50.0), reading("A", hour(40), 1.0)]
+    for rows in (first, second):
+        tables.literal_rows(spark, rows, READINGS).coalesce(1).write.mode("append").parquet(f"{path}/in")
+        marked = hourly_stream.with_late(hourly_stream.read_stream(spark, f"{path}/in", spark.read.parquet(f"{path}/in").schema))
+        hourly_stream.run_to_parquet(marked, f"{path}/split", f"{path}/cp", 2, hourly_stream.write_split)
+    late = hourly_stream.read_split(spark, f"{path}/split", late=True).select("station", "ts", "ozone").collect()
+    assert sorted(map(tuple, late)) == [("A", hour(3), 99.0), ("B", hour(10), 5.0)]
+    assert hourly_stream.read_split(spark, f"{path}/split", late=False).count() == 32
+    hours = hourly_stream.closed_hours(hourly_stream.stream_hourly(hourly_stream.read_on_time(spark, f"{path}/split")))
+    run = hourly_stream.run_to_parquet(hours, f"{path}/hours", f"{path}/cp-hours", 2)
+    got = {r.time: r.ozone for r in spark.read.parquet(f"{path}/hours").collect()}
+    assert run.late_station_hours == 0 and got[hour(28)] == 50.0 and got[hour(3)] == 10.0 and len(got) == 30
+
+
 OPERATORS = {
     "densify_hours": hourly.densify_hours, "mean24": hourly.mean24, "mean8": hourly.mean8, "max8": hourly.max8,
     "rolling_index": hourly.rolling_index, "latest_index": lambda h: hourly.latest_index(h, str(hour(150))),
