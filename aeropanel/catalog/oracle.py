@@ -239,6 +239,22 @@ def index_sql() -> dict[str, str]:
             FROM daily WHERE Dominant IS NOT NULL GROUP BY Dominant""",
         "daily_output": f"WITH {DAILY} SELECT {STORE_COLS} FROM daily",
         "gaps_filled": f"WITH {DAILY} SELECT {STORE_COLS} FROM daily WHERE AQI IS NULL AND AQI_calc IS NOT NULL",
+        "recorded_vs_calculated": f"""WITH {DAILY}, placed AS (SELECT AQI, AQI_calc, count(*) OVER () AS n,
+              row_number() OVER (ORDER BY md5('7|' || City || '|' || strftime(Date, '%Y-%m-%d'))) AS place
+              FROM daily WHERE AQI IS NOT NULL AND AQI_calc IS NOT NULL)
+            SELECT AQI, AQI_calc FROM placed WHERE place <= floor(n * 0.4 + 0.5)""",
+        "reconcile_tables": f"WITH {STORED}, " + """
+            ours AS (SELECT City, Date, AQI, stored_calc AS AQI_calc, true AS here FROM stored WHERE day(Date) <> 9),
+            theirs AS (SELECT City, Date, CASE WHEN day(Date) <> 5 THEN AQI END AS AQI,
+              stored_calc + CASE WHEN day(Date) = 7 THEN 2.0 ELSE 0.0 END AS AQI_calc, true AS here FROM stored WHERE day(Date) <> 3),
+            sides AS (SELECT o.here AS o_here, t.here AS t_here, o.AQI AS o_AQI, t.AQI AS t_AQI, o.AQI_calc AS o_AQI_calc,
+              t.AQI_calc AS t_AQI_calc FROM ours o FULL JOIN theirs t
+              ON o.City IS NOT DISTINCT FROM t.City AND o.Date IS NOT DISTINCT FROM t.Date)""" + " UNION ALL ".join(f"""
+            SELECT '{c}' AS "column", count(*) AS total, count(*) FILTER (t_here IS NULL) AS only_ours, count(*) FILTER (o_here IS NULL) AS only_theirs,
+              count(*) FILTER (o_here AND t_here AND o_{c} IS NOT DISTINCT FROM t_{c}) AS equal,
+              count(*) FILTER (o_here AND t_here AND (o_{c} IS NULL) <> (t_{c} IS NULL)) AS one_missing,
+              count(*) FILTER (o_here AND t_here AND o_{c} <> t_{c}) AS different, max(abs(o_{c} - t_{c})) AS worst FROM sides"""
+            for c in ("AQI", "AQI_calc")),
         "reconcile": f"""WITH {STORED} SELECT count(*) AS total,
             count(*) FILTER (AQI_calc IS NOT DISTINCT FROM stored_calc) AS "match",
             count(stored_calc) AS calc, count(*) FILTER (AQI IS NULL AND stored_calc IS NOT NULL) AS filled,
@@ -531,6 +547,19 @@ def model_sql() -> dict[str, str]:
     return {
         "train_test_split": f"""WITH {parts} SELECT CASE WHEN train THEN 'train' ELSE 'test' END AS part, count(*) AS "rows"
             FROM parts GROUP BY 1""",
+        "imputer_medians": " UNION ALL ".join(
+            f"SELECT * FROM (WITH {parts} SELECT '{p}' AS pollutant, median({p}) AS median FROM parts WHERE train)" for p in POLLUTANTS),
+        "imputed_features": f"""WITH {parts}, known AS (SELECT {', '.join(f'median({p}) AS m_{p}' for p in POLLUTANTS)} FROM parts WHERE train)
+            SELECT City, Date, {', '.join(f'coalesce({p}, m_{p}) AS {p}_imp' for p in POLLUTANTS)} FROM parts, known WHERE train""",
+        "linear_certificate": f"""WITH {parts}, known AS (SELECT {', '.join(f'median({p}) AS m_{p}' for p in POLLUTANTS)} FROM parts WHERE train),
+            filled AS (SELECT {', '.join(f'coalesce({p}, m_{p}) AS {p}_imp' for p in POLLUTANTS)} FROM parts, known WHERE train)
+            """ + " UNION ALL ".join(f"SELECT '{c}' AS feature, count(*) AS \"rows\", sum({v}) AS total, 0.0::DOUBLE AS cosine FROM filled"
+                                    for c, v in [*((f"{p}_imp", f"{p}_imp") for p in POLLUTANTS), ("1", "1.0::DOUBLE")]),
+        "actual_vs_baseline": f"""WITH {parts},
+            means AS (SELECT City, {rd('avg(AQI)', 6)} AS prediction FROM parts WHERE train GROUP BY City),
+            placed AS (SELECT AQI, prediction, row_number() OVER (ORDER BY md5('1|' || City || '|' || strftime(Date, '%Y-%m-%d'))) AS place,
+              count(*) OVER () AS n FROM parts JOIN means USING (City) WHERE NOT train)
+            SELECT AQI, prediction FROM placed WHERE place <= floor(n * 0.5 + 0.5)""",
         "baseline_metrics": f"""WITH {parts}, means AS (SELECT City, avg(AQI) AS prediction FROM parts WHERE train GROUP BY City),
             scored AS (SELECT AQI, prediction FROM parts JOIN means USING (City) WHERE NOT train)
             SELECT {rd('sqrt(avg((prediction - AQI) * (prediction - AQI)))', 3)} AS "RMSE", {rd('avg(abs(prediction - AQI))', 3)} AS "MAE",

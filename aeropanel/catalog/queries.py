@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aeropanel.functions import columns
-from aeropanel.operators import cities, days, hourly, ml, profile, stats, trends
+from aeropanel.operators import cities, days, hourly, least_squares, ml, profile, selection, stats, tree_tables, trends
 from aeropanel.operators import clean as cleaning
 from aeropanel.operators import daily_index as index
 from aeropanel.schema import INDEX_POLLUTANTS, POLLUTANTS, PROFILE_POLLUTANTS, SEASONS
@@ -116,6 +116,14 @@ def index_queries() -> dict[str, Query]:
         readings = index.to_long(daily_panel(spark, sf_dir), ("City", "Date", "k"))
         return index.sub_index_long(readings, tables.breakpoints(spark))
 
+    def reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """The stored panel against a stored copy with days missing on either side, values gone and values changed."""
+        stored = table_of(spark, index.stored_form(daily_panel(spark, sf_dir)), "stored")
+        day = F.dayofmonth("Date")
+        theirs = table_of(spark, stored.filter(day != 3).withColumns({
+            "AQI": F.when(day == 5, None).otherwise(F.col("AQI")), "AQI_calc": F.col("AQI_calc") + F.when(day == 7, 2.0).otherwise(0.0)}), "copy")
+        return index.reconcile_tables(stored.filter(day != 9), theirs)
+
     return {
         "sub_indices": lambda s, d: daily_panel(s, d).select("City", "Date", *SUB_INDICES),
         "sub_index_by_range_join": range_join,
@@ -129,6 +137,7 @@ def index_queries() -> dict[str, Query]:
         "recorded_vs_calculated": over(daily_panel, index.recorded_vs_calculated),
         "daily_output": over(daily_panel, index.daily_output),
         "gaps_filled": lambda s, d: index.daily_output(index.gaps_filled(daily_panel(s, d))),
+        "reconcile_tables": reconciled,
         "reconcile": lambda s, d: index.reconcile(index.stored_form(daily_panel(s, d))),
         "index_breakdown": over(daily_panel, index.breakdown),
         "index_advice": lambda s, d: index.with_advice(daily_panel(s, d), "AQI_calc")
@@ -441,14 +450,14 @@ def model_queries() -> dict[str, Query]:
 
     def medians(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows, _ = ml.split(ml.ml_frame(clean_panel(spark, sf_dir)))
-        found = ml.imputer().fit(rows).surrogateDF
-        return found.unpivot([], POLLUTANTS, "pollutant", "median")
+        found = selection.medians(rows, POLLUTANTS)
+        return tables.literal_rows(spark, [(p, found[p]) for p in POLLUTANTS], "pollutant string, median double")
 
-    def imputed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def imputed(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
         rows, _ = ml.split(ml.ml_frame(clean_panel(spark, sf_dir)))
         values = vector_to_array("features")
         return ml.prepare(rows).transform(rows).select(
-            "City", "Date", *(F.get(values, F.lit(i)).alias(c) for i, c in enumerate(ml.IMPUTED)))
+            "City", "Date", *more, *(F.get(values, F.lit(i)).alias(c) for i, c in enumerate(ml.IMPUTED)))
 
     def split_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows, test = ml.split(ml.ml_frame(clean_panel(spark, sf_dir)))
@@ -461,6 +470,28 @@ def model_queries() -> dict[str, Query]:
         means = rows.groupBy("City").agg(F.avg("AQI").alias("prediction"))
         return ml.evaluate(test.join(means, "City"))
 
+    def linear_certificate(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """The residuals of the Gram-matrix fit on the training rows against every feature."""
+        rows = table_of(spark, imputed(spark, sf_dir, "AQI"), "imputed")
+        return least_squares.certificate(rows, least_squares.fit(rows, ml.IMPUTED, "AQI"), "AQI")
+
+    def baseline_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Exactly half of the test days: recorded index and the mean of the city's training rows."""
+        rows, test = ml.split(ml.ml_frame(clean_panel(spark, sf_dir)))
+        means = rows.groupBy("City").agg(F.round(F.avg("AQI"), 6).alias("prediction"))
+        return ml.actual_vs_predicted(test.join(means, "City"))
+
+    def by_nodes(kind: str) -> Query:
+        """Predictions of a model for the test rows from the table of its nodes, next to those of the library."""
+        def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+            fitted = _study(spark, sf_dir)
+            model = fitted.models[kind]
+            told = model.transform(fitted.test).select("City", "Date", F.col("prediction").alias("library"), *ml.IMPUTED)
+            rows = table_of(spark, told, "scored")
+            found = tree_tables.predictions(rows, tree_tables.node_table(model.stages[-1]), ml.IMPUTED, ["City", "Date"])
+            return rows.select("City", "Date", "library").join(found, ["City", "Date"])
+        return query
+
     def best_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         fitted = _study(spark, sf_dir)
         return ml.score(fitted.models[fitted.best], fitted.test).select("City", "Date", "AQI", "prediction")
@@ -479,7 +510,13 @@ def model_queries() -> dict[str, Query]:
         "random_forest": quality("forest"),
         "gradient_boosted_trees": quality("gbt"),
         "model_comparison": lambda s, d: ml.compare(_study(s, d).metrics),
-        "feature_importances": lambda s, d: ml.importances(_study(s, d).models["forest"], s),
+        "linear_certificate": linear_certificate,
+        "tree_nodes": lambda s, d: tree_tables.node_table(_study(s, d).models["tree"].stages[-1]),
+        "tree_scores_by_nodes": by_nodes("tree"),
+        "forest_scores_by_nodes": by_nodes("forest"),
+        "boosted_scores_by_nodes": by_nodes("gbt"),
+        "actual_vs_baseline": baseline_sample,
+        "feature_importances": lambda s, d: ml.importances(_study(s, d).models["forest"]),
         "actual_vs_predicted": lambda s, d: ml.actual_vs_predicted(best_scores(s, d)),
         "scored_rows": best_scores,
         "model_summary": summary,

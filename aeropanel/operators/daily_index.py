@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from aeropanel.functions.columns import (
     whole,
 )
 from aeropanel.operators.clean import null_negatives, one_per_day
+from aeropanel.operators.selection import sample_exactly
 from aeropanel.operators.trends import share_of_total
 from aeropanel.schema import CATEGORIES, DAILY_OUTPUT, INDEX_POLLUTANTS, display_name
 
@@ -116,9 +118,9 @@ def dominant_share(daily: DataFrame) -> DataFrame:
     return counts.withColumn("pct", share_of_total()).filter("days > 0").orderBy(F.desc("days"), "Dominant")
 
 
-def recorded_vs_calculated(daily: DataFrame, fraction: float = 0.4, seed: int = 7) -> DataFrame:
-    """Random sample of the days that have both values, for a scatter plot."""
-    return daily.filter(_both()).select("AQI", "AQI_calc").sample(fraction=fraction, seed=seed)
+def recorded_vs_calculated(daily: DataFrame, fraction: float = 0.4, seed: int = 7, keys: Sequence[str] = ("City", "Date")) -> DataFrame:
+    """A sample of exactly that part of the days that have both values, for a scatter plot."""
+    return sample_exactly(daily.filter(_both()), keys, fraction, seed).select("AQI", "AQI_calc")
 
 
 def daily_output(daily: DataFrame) -> DataFrame:
@@ -162,6 +164,32 @@ def reconcile(stored: DataFrame) -> DataFrame:
     )
 
 
+def reconcile_tables(ours: DataFrame, theirs: DataFrame, cols: Sequence[str] = ("AQI", "AQI_calc"),
+                     keys: Sequence[str] = ("City", "Date")) -> DataFrame:
+    """Two stored panels against each other, row by row of a full outer join.
+
+    A row per column of `cols`: total keys, rows only in ours and only in theirs, rows in both with equal values (two missing
+    ones are equal), with a value missing on one side, and with different values; and `worst`, the largest difference. Keys
+    match null-safely; a key should be in each panel once. Keys are dealt by all their columns, so no single one is hot.
+    """
+    def named(side: str, df: DataFrame) -> DataFrame:
+        return df.select(*(F.col(k).alias(f"{side}_{k}") for k in keys), *(F.col(c).alias(f"{side}_{c}") for c in cols), F.lit(True).alias(side))
+
+    same_key = reduce(lambda a, b: a & b, (F.col(f"ours_{k}").eqNullSafe(F.col(f"theirs_{k}")) for k in keys))
+    joined = named("ours", ours).join(named("theirs", theirs), same_key, "full_outer")
+    in_both = F.col("ours").isNotNull() & F.col("theirs").isNotNull()
+
+    def judged(c: str) -> Column:
+        a, b = F.col(f"ours_{c}"), F.col(f"theirs_{c}")
+        return F.struct(
+            F.lit(c).alias("column"), F.count("*").alias("total"),
+            count_where(F.col("theirs").isNull()).alias("only_ours"), count_where(F.col("ours").isNull()).alias("only_theirs"),
+            count_where(in_both & a.eqNullSafe(b)).alias("equal"), count_where(in_both & (a.isNull() != b.isNull())).alias("one_missing"),
+            count_where(in_both & (a != b)).alias("different"), F.max(F.abs(a - b)).alias("worst"))
+
+    return joined.agg(F.array(*(judged(c) for c in cols)).alias("found")).select(F.inline("found"))
+
+
 def breakdown(daily: DataFrame) -> DataFrame:
     """How each day's index came about -> City, Date, pollutant, level, sub_index, is_dominant.
 

@@ -10,8 +10,8 @@ from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
-from pyspark.ml.feature import Imputer, VectorAssembler
+from pyspark.ml import Estimator, PipelineModel, Transformer
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import (
     DecisionTreeRegressor,
     GBTRegressor,
@@ -21,6 +21,8 @@ from pyspark.ml.regression import (
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from aeropanel.operators import selection, tree_tables
+from aeropanel.operators.selection import sample_exactly
 from aeropanel.schema import POLLUTANTS, display_name
 from aeropanel.session import ensure_checkpoint_folder
 from aeropanel.sources.readers import persisted
@@ -56,9 +58,10 @@ def split(df: DataFrame, key_cols: Sequence[str] = KEYS, train_percent: int = TR
     return df.filter(slot < train_percent), df.filter(slot >= train_percent)
 
 
-def imputer(error: float = 0.001) -> Imputer:
-    """Missing readings become the median of the training rows; `error` bounds the rank of that median."""
-    return Imputer(inputCols=POLLUTANTS, outputCols=IMPUTED, strategy="median", relativeError=error)
+def imputer(medians: Mapping[str, float | None]) -> SQLTransformer:
+    """Missing readings become the median of the training rows; a pollutant never read there becomes 0."""
+    filled = ", ".join(f"coalesce(nanvl({p}, NULL), {(medians[p] or 0.0)!r}D) AS {p}_imp" for p in POLLUTANTS)
+    return SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__")
 
 
 def assembler() -> VectorAssembler:
@@ -79,8 +82,8 @@ def regressor(kind: str) -> Estimator:
 
 
 def prepare(train: DataFrame) -> PipelineModel:
-    """Imputer and assembler, fitted on the training rows only."""
-    return Pipeline(stages=[imputer(), assembler()]).fit(train)
+    """Imputer and assembler, with the exact medians of the training rows only."""
+    return PipelineModel(stages=[imputer(selection.medians(train, POLLUTANTS)), assembler()])
 
 
 def train(rows: DataFrame, kind: str, prepared: PipelineModel | None = None) -> PipelineModel:
@@ -144,12 +147,11 @@ def compare(metrics: DataFrame) -> DataFrame:
     return metrics.withColumn("best", F.col("Model") == best).orderBy("RMSE", "Model")
 
 
-def importances(model: PipelineModel, spark) -> DataFrame:
-    """Importance of every pollutant in a fitted tree model, largest first; one row per feature."""
-    weights = model.stages[-1].featureImportances.toArray().tolist()
-    rows = [(display_name(p), float(w)) for p, w in zip(POLLUTANTS, weights, strict=True)]
-    table = literal_rows(spark, rows, "pollutant string, importance double")
-    return table.withColumn("importance", F.round("importance", 4)).orderBy(F.desc("importance"), "pollutant")
+def importances(model: PipelineModel) -> DataFrame:
+    """Importance of every pollutant in a fitted tree model, largest first; one row per feature, from the table of its nodes."""
+    table = tree_tables.importances(tree_tables.node_table(model.stages[-1]), [display_name(p) for p in POLLUTANTS])
+    return table.select(F.col("feature").alias("pollutant"), F.round("importance", 4).alias("importance")) \
+        .orderBy(F.desc("importance"), "pollutant")
 
 
 def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
@@ -157,8 +159,9 @@ def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
     return model.transform(rows).drop("features", *IMPUTED)
 
 
-def actual_vs_predicted(predictions: DataFrame, fraction: float = 0.5, seed: int = 1) -> DataFrame:
-    return predictions.select("AQI", "prediction").sample(fraction=fraction, seed=seed)
+def actual_vs_predicted(predictions: DataFrame, fraction: float = 0.5, seed: int = 1, keys: Sequence[str] = KEYS) -> DataFrame:
+    """A sample of exactly that part of the rows, chosen by their keys."""
+    return sample_exactly(predictions, keys, fraction, seed).select("AQI", "prediction")
 
 
 @dataclass
@@ -188,7 +191,7 @@ def model_summary(fitted: Study, example: DataFrame) -> DataFrame:
     """One row: metrics of all models, the best, importances of the forest, and the scored example rows."""
     spark = fitted.test.sparkSession
     metrics = F.sort_array(F.collect_list(F.struct("RMSE", "MAE", "R2", "Model")))
-    weights = importances(fitted.models["forest"], spark)
+    weights = importances(fitted.models["forest"])
     by_weight = F.sort_array(F.collect_list(F.struct("importance", "pollutant")), asc=False)
     scored = score(fitted.models[fitted.best], example)
     shown = F.collect_list(F.struct(*POLLUTANTS, F.round("prediction", 1).alias("prediction")))

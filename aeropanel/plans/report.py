@@ -107,7 +107,7 @@ def run_report(
         example = tables.ad_hoc_rows(spark, [tables.EXAMPLE_ROW])
         model = ml.model_summary(fitted, example)
         results["metrics"] = ml.compare(fitted.metrics)
-        results["importance"] = ml.importances(fitted.models["forest"], spark)
+        results["importance"] = ml.importances(fitted.models["forest"])
     writers.write_results(results, f"{out}/results")
 
     overview = documents.overview_document(known.overview, panels.clean, regions, p.base, p.event, p.nulls)

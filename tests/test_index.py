@@ -71,10 +71,19 @@ def test_dominant_shares_sum_to_100(daily):
     assert abs(total - 100) < 0.5
 
 
-def test_samples_are_part_of_the_whole(daily):
+def test_samples_have_the_exact_size(daily):
     both = daily.filter("AQI IS NOT NULL AND AQI_calc IS NOT NULL").count()
-    sampled = daily_index.recorded_vs_calculated(daily, 0.4, 7).count()
-    assert 0.3 * both < sampled < 0.5 * both
+    assert daily_index.recorded_vs_calculated(daily, 0.4, 7).count() == int(both * 0.4 + 0.5)
+
+
+def test_reconciled_tables_count_rows_missing_on_either_side(spark):
+    schema = "City string, Date string, AQI double, AQI_calc double"
+    ours = spark.createDataFrame([("a", "1", 1.0, 2.0), ("a", "2", None, 2.0), (None, "1", 5.0, None), ("b", "1", 1.0, 1.0)], schema)
+    theirs = spark.createDataFrame([("a", "1", 1.0, 4.5), ("a", "2", None, None), (None, "1", 6.0, None), ("c", "1", 1.0, 1.0)], schema)
+    found = {r.column: tuple(r)[1:] for r in daily_index.reconcile_tables(ours, theirs).collect()}
+    assert found == {"AQI": (5, 1, 1, 2, 0, 1, 1.0), "AQI_calc": (5, 1, 1, 1, 1, 1, 2.5)}
+    empty = daily_index.reconcile_tables(ours.limit(0), theirs.limit(0)).collect()
+    assert [tuple(r)[1:] for r in empty] == [(0, 0, 0, 0, 0, 0, None)] * 2
 
 
 def test_breakpoint_table(spark):
