@@ -13,14 +13,14 @@ members of a large group share would weigh little against their edits, and its m
 The random variables of a sample are drawn by hash from a fixed pool of 2**16 triples, which replaces logarithms per
 shingle and sample by look-ups.
 
-Documents of equal words are one class from the start and are never paired. Members of a bucket (equal samples in a
-band) are compared with a few pivots first. After each round the links found are closed to components, and buckets that
-lie in one component, or whose members were all pivots, are done. What meets in the others is mostly a passage that many
-documents share: their members are dealt again by a second band, where texts that resemble each other meet again and
-those that share a passage hardly do. Buckets that are still large then get four times as many pivots per round, until
-every member has been one. At the end, what is left of the large buckets is compared in the first band: signatures meet
-in blocks, and only pairs of different components that agree often enough are emitted. So neither the pairs of a group
-of copies nor those of a common passage are all emitted, and no pair that shares a band is passed over.
+Documents of equal words are one class from the start and are never paired. The others are compared in four rounds, whatever
+the size of a bucket (documents of equal samples in a band): each with the most central member of its largest bucket; then
+those of different components with the central members of all their buckets, or with all members of small ones; then the
+members of buckets that are still open by a second band, where texts that resemble each other meet again and those that
+share a passage hardly do. At last what is left of open buckets is compared in blocks of signatures, and only pairs of
+different components that agree often enough are emitted. A group of copies is closed by one link per member, so its pairs
+are not emitted, and no pair that shares a band is passed over; the comparison in blocks is quadratic in what is left of a
+bucket, in numbers per pair that no table holds.
 
 Defined cases: documents without words resemble nothing and each is its own class; missing ids sort after all others;
 repeated rows are copies; without documents there are no classes. Other columns pass through `without_copies`.
@@ -29,7 +29,7 @@ repeated rows are copies; without documents there are no classes. Other columns
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, reduce
 from math import log
 from typing import NamedTuple
 
@@ -50,12 +50,13 @@ SKETCH_ROWS = 2
 CHUNK_BITS = 14
 IDF_SPREAD = 0.25
 POOL_BITS = 16
-FIRST_PIVOTS, MORE_PIVOTS = 8, 4
+FEW_MEMBERS = 8
 BLOCK_SHINGLES = 8192
 BLOCK_MEMBERS = 2048
 MOST_PAIRS = 100_000
-#: A pair whose samples agree less than this is below the similarity but for a chance of about 1e-9.
-LEAST_AGREEMENT = 0.45
+#: A pair whose samples agree less than this is below the similarity but for a chance of about 3e-5; that such a pair shares no
+#: band, and is not a candidate at all, has a chance of 2e-4.
+LEAST_AGREEMENT = 0.6
 
 
 class Frequencies(NamedTuple):
@@ -190,8 +191,11 @@ def _signatures(shared):
                     spread = texts.mixed(words + texts.mixed(place.astype(np.uint64) + np.uint64(seed << 60)))
                     content.append(np.add.reduceat(spread, at[held]) if len(held) else np.zeros(0, np.uint64))
             keys = [f"{a:016x}{b:016x}" for one, two in zip(content[::2], content[1::2]) for a, b in zip(one.tolist(), two.tolist())]
-            kept = batch.select(["doc_id", "text_hash"]).take(pa.array(rows, pa.int64()))
-            yield pa.record_batch([*kept.columns, pa.array(keys, pa.string()), pa.array(signed, pa.binary())],
+            # texts without words come last, without content
+            wordless = np.setdiff1d(np.arange(len(values)), rows).tolist()
+            kept = batch.select(["doc_id", "text_hash"]).take(pa.array(rows + wordless, pa.int64()))
+            none = [None] * len(wordless)
+            yield pa.record_batch([*kept.columns, pa.array(keys + none, pa.string()), pa.array(signed + none, pa.binary())],
                                   names=["doc_id", "text_hash", "content", "signature"])
     return run
 
@@ -300,7 +304,7 @@ def _redealt(active: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFram
 
 def _left_over(members: DataFrame, labels: DataFrame, signatures: DataFrame, path: str) -> DataFrame:
     """a, b of all agreeing pairs of different labels in the large buckets among `members`."""
-    large = members.filter(F.col("n") > FIRST_PIVOTS).join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    large = members.filter(F.col("n") > FEW_MEMBERS).join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     open_ = large.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
     # written, so that the join reads both sides by plain exchanges and a frequent key can be split
     open_ = _written(open_.select("key"), f"{path}/left-keys")
@@ -312,6 +316,37 @@ def _left_over(members: DataFrame, labels: DataFrame, signatures: DataFrame, pat
     return texts.map_batches(placed.repartition("block").sortWithinPartitions("block"), _agreeing_in_blocks, "a long, b long").distinct()
 
 
+def _central(members: DataFrame, path: str) -> DataFrame:
+    """Members with `pivot`: whether others of the bucket are compared with them; `best`: whether it is the node's largest bucket.
+
+    A bucket of few members compares all of them, a larger one compares all with its most central member: the one that meets
+    most others in its bands. What copies have in common puts the least edited ones into large buckets everywhere, so one
+    comparison links most of a group, whatever its size.
+    """
+    of_node = members.groupBy("node").agg(F.sum("n").alias("central"), F.max(F.struct("n", "key")).alias("largest"))
+    placed = _written(members.join(of_node, "node").select("key", "node", "n", "central", (F.col("key") == F.col("largest.key")).alias("best")),
+                      f"{path}-placed")
+    # written, so that the join reads both sides by plain exchanges and a frequent key can be split
+    centre = _written(placed.groupBy(F.col("key").alias("_key")).agg(F.max(F.struct("central", "node"))["node"].alias("centre")), f"{path}-centres")
+    pivot = (F.col("node") == F.col("centre")) | (F.col("n") <= FEW_MEMBERS)
+    return _written(placed.join(centre, F.col("key") == F.col("_key")).select("key", "node", "n", "best", "centre", pivot.alias("pivot")), path)
+
+
+def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Members with the label of their component, so far the node itself where it has no link."""
+    if labels is None:
+        return members.withColumn("label", F.col("node"))
+    return members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
+def _open_pairs(members: DataFrame, labels: DataFrame, path: str) -> DataFrame:
+    """a, b: members of different components and the pivots of their buckets."""
+    placed = _written(_labelled(members, labels), f"{path}-labelled")
+    chosen = placed.filter("pivot").select(F.col("key").alias("_key"), F.col("node").alias("_node"), F.col("label").alias("_label"))
+    return placed.join(chosen, (F.col("key") == F.col("_key")) & (F.col("label") != F.col("_label"))).select(
+        F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b")).distinct()
+
+
 def _links(spark: SparkSession, nodes: DataFrame, documents: DataFrame, shared, similarity: float, path: str) -> DataFrame:
     """node, label of all nodes (node, signature, doc_id, text_hash) that resemble another one."""
     members = _members(texts.map_batches(nodes.select("node", "signature"), _bands, "key long, node long"), f"{path}/members")
@@ -322,65 +357,44 @@ def _links(spark: SparkSession, nodes: DataFrame, documents: DataFrame, shared,
     # rows of equal id and text are one text
     words = _written(given.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
                      .groupBy("node").agg(F.max("text").alias("text")), f"{path}/texts")
-
-    def similar(near: DataFrame, name: str) -> DataFrame:
-        whole = near.join(words.toDF("a", "text_a"), "a").join(words.toDF("b", "text_b"), "b")
-        return _written(texts.map_batches(whole, _similar(shared, similarity), "a long, b long"), f"{path}/links-{name}")
-
-    first = members
-    labels, tested, edges, pivots, step = None, None, None, FIRST_PIVOTS, 0
-    while True:
-        placed = members.withColumn("label", F.col("node"))
-        if labels is not None:
-            placed = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        split = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("node").alias("lowest"))
-        # a band is open if its members are of several components, and not all of them were pivots before
-        open_ = split.filter(F.col("low") != F.col("high")).select(F.col("key").alias("_key"), "lowest")
-        active = placed.filter(F.col("n") > (pivots // MORE_PIVOTS if step > 1 else 1)).join(open_, F.col("key") == F.col("_key")).drop("_key")
-        # the same nodes are pivots in all their bands
-        turn = F.pmod(F.xxhash64("node"), F.lit(1 << 40)) / float(1 << 40)
-        is_pivot = (F.col("n") <= pivots) | (turn * F.col("n") < pivots) | (F.col("node") == F.col("lowest"))
-        active = _written(active.withColumn("pivot", is_pivot), f"{path}/active-{step}")
-        chosen = active.filter("pivot").select(F.col("key").alias("_key"), F.col("node").alias("_node"), F.col("label").alias("_label"))
-        pairs = active.join(chosen, (F.col("key") == F.col("_key")) & (F.col("label") != F.col("_label"))).select(
-            F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = _written(pairs, f"{path}/pairs-{step}")
+    tested: list[DataFrame] = []
+    edges: list[DataFrame] = []
+
+    def compared(pairs: DataFrame, name: str) -> DataFrame:
+        """Labels after the links among `pairs` that were not compared before."""
+        for before in tested:
+            pairs = pairs.join(before, ["a", "b"], "left_anti")
+        pairs = _written(pairs, f"{path}/pairs-{name}")
+        tested.append(pairs)
         signed = pairs.join(signatures.toDF("a", "sig_a"), "a").join(signatures.toDF("b", "sig_b"), "b")
         near = texts.map_batches(signed, _agreeing, "a long, b long")
-        found = similar(near, str(step))
-        # written again, so that plans do not grow with the rounds
-        edges = found if edges is None else _written(edges.union(found), f"{path}/edges-{step}")
-        if not found.isEmpty() or labels is None:
-            labels = _written(components(edges), f"{path}/labels-{step}")
-        if (active.agg(F.max("n")).first()[0] or 0) <= pivots:
-            break
-        tested = pairs if tested is None else tested.union(pairs)
-        step += 1
-        if step == 1:
-            members = _members(_redealt(active.filter(F.col("n") > pivots), labels, nodes), f"{path}/members-again")
-        else:
-            pivots *= MORE_PIVOTS
-    if step == 0:
-        return labels
-    tested = tested.union(pairs)
-    left = _written(_left_over(first, labels, signatures, path).join(tested, ["a", "b"], "left_anti"), f"{path}/pairs-left")
-    found = similar(left, "left")
-    return labels if found.isEmpty() else _written(components(_written(edges.union(found), f"{path}/edges-left")), f"{path}/labels-left")
-
-
-def _classified(documents: DataFrame, similarity: float) -> DataFrame:
-    """doc_id, text_hash of every document with words, and the id and hash that stand for its class."""
+        whole = near.join(words.toDF("a", "text_a"), "a").join(words.toDF("b", "text_b"), "b")
+        edges.append(_written(texts.map_batches(whole, _similar(shared, similarity), "a long, b long"), f"{path}/links-{name}"))
+        return _written(components(reduce(DataFrame.union, edges)), f"{path}/labels-{name}")
+
+    # four rounds, however large the buckets: each node in its largest bucket, all buckets, open members dealt again, the rest
+    central = _central(members, f"{path}/central")
+    largest = central.filter("best AND node <> centre").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
+    labels = compared(largest.distinct(), "largest")
+    labels = compared(_open_pairs(central, labels, f"{path}/all"), "all")
+    large = members.filter(F.col("n") > FEW_MEMBERS)
+    again = _central(_members(_redealt(large, labels, nodes), f"{path}/members-again"), f"{path}/central-again")
+    labels = compared(_open_pairs(again, labels, f"{path}/again"), "again")
+    return compared(_left_over(members, labels, signatures, path), "left")
+
+
+def _classified(documents: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """doc_id, text_hash of every document with words, and the id and hash that stand for its class; ids of those without words."""
     spark = documents.sparkSession
     path = scratch_path(spark, "near")
     shared = spark.sparkContext.broadcast(document_frequencies(documents))
     given = documents.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     signed = texts.map_batches(given, _signatures(shared), f"doc_id {dict(given.dtypes)['doc_id']}, text_hash long, content string, signature binary")
     signed = _written(signed, f"{path}/signed")
+    worded = signed.filter(F.col("content").isNotNull())
     # missing ids sort after all others
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first")
-    classes = signed.groupBy("content").agg(first, F.min("signature").alias("signature"))
+    classes = worded.groupBy("content").agg(first, F.min("signature").alias("signature"))
     nodes = _written(classes.select(F.monotonically_increasing_id().alias("node"), "content", "first", "signature"), f"{path}/nodes")
     told = nodes.select("node", "signature", "first.doc_id", "first.text_hash")
     labels = _links(spark, told, documents, shared, similarity, path)
@@ -388,19 +402,19 @@ def _classified(documents: DataFrame, similarity: float) -> DataFrame:
     named = nodes.join(labels, "node", "left").select("content", "first", F.coalesce("label", "node").alias("label"))
     best = named.groupBy("label").agg(F.min("first").alias("best"))
     by_content = named.join(best, "label").select("content", F.col("best.doc_id").alias("class_id"), F.col("best.text_hash").alias("class_hash"))
-    return signed.select("doc_id", "text_hash", "content").join(by_content, "content").drop("content")
+    return worded.select("doc_id", "text_hash", "content").join(by_content, "content").drop("content"), \
+        signed.filter(F.col("content").isNull()).select("doc_id")
 
 
 def near_copies(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, class_id of every document: the smallest id of those it is linked with, directly or through others."""
-    found = _classified(documents, similarity).select("doc_id", "class_id")
-    wordless = documents.filter(~F.coalesce("text", F.lit("")).rlike(texts.WORD_SQL)).select("doc_id", F.col("doc_id").alias("class_id"))
-    return found.unionByName(wordless)
+    found, wordless = _classified(documents, similarity)
+    return found.select("doc_id", "class_id").unionByName(wordless.select("doc_id", F.col("doc_id").alias("class_id")))
 
 
 def without_copies(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The documents without near copies, one of each class, with their columns."""
-    classes = _classified(documents, similarity)
+    classes, _ = _classified(documents, similarity)
     path = scratch_path(documents.sparkSession, "near")
     classes = _written(classes, f"{path}/classes")
     own = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("text_hash") == F.col("class_hash"))

@@ -65,6 +65,28 @@ def test_classes_equal_all_pairs(spark):
     assert kept.columns == extra.columns and kept.count() == n_classes
 
 
+def test_words_that_two_libraries_see_differently_are_documents_once(spark):
+    """Letters of Unicode versions that the JVM and Python need not share."""
+    rows = [(1, "\U00010570 \U00010571"), (2, "\U0001e4d0 \U0001e4d1"), (3, "\U0002ebf0"), (4, "plain words")]
+    got = near_dedup.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got)) == [(1, 1), (2, 2), (3, 3), (4, 4)]
+
+
+def test_a_group_whose_similarities_lie_around_the_threshold(spark):
+    """Copies with few and with many edits of one text; not all resemble its most central one."""
+    rng = np.random.default_rng(5)
+    base = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(260):
+        copy = base.copy()
+        for at in rng.choice(300, int(rng.integers(1, 9)), replace=False):
+            copy[at] = f"e{i}x{at}"
+        rows.append((i, " ".join(copy)))
+    got = dict(map(tuple, near_dedup.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    want = dict(brute_classes(rows)[0])
+    assert sum(got[i] == want[i] for i in got) >= 0.99 * len(rows)
+
+
 def test_one_large_group_with_rare_edits(spark):
     base = [f"w{i}" for i in range(200)]
     rows = [(i, " ".join([*base[:i % 190], f"edit{i}", *base[i % 190 + 1:]])) for i in range(400)]
@@ -74,7 +96,7 @@ def test_one_large_group_with_rare_edits(spark):
 
 
 def test_a_passage_that_many_documents_share_links_none_of_them(spark, monkeypatch):
-    monkeypatch.setattr(near_dedup, "FIRST_PIVOTS", 2)
+    monkeypatch.setattr(near_dedup, "FEW_MEMBERS", 2)
     rng = np.random.default_rng(11)
     words = [f"w{i}" for i in range(5000)]
     passage = " ".join(rng.choice(words, 80))
