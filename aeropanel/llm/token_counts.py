@@ -19,6 +19,7 @@ import json
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 from operator import sub
 
 import numpy as np
@@ -67,6 +68,7 @@ class PrefixCounter:
             pair = self.tokens[as_bytes(left)], self.tokens[as_bytes(right)]
             self.joins[pair[0] << 20 | pair[1]] = self.tokens[as_bytes(left + right)] = len(self.parts)
             self.parts.append(pair)
+        self.longest = max(map(len, self.tokens))
         self.splitter = Tokenizer.from_file(path).pre_tokenizer
         self._apart: dict[int, bool] = {}
         self._known: dict[int, int] = {}
@@ -116,7 +118,7 @@ class PrefixCounter:
         tokens, known, decide = self.tokens, self._apart.get, self.stay_apart
         for end in range(shared + 1, len(data) + 1):
             # mostly the last token grows, else a short one begins
-            for begin in (begins[end - 1], *range(end - 1, -1, -1)):
+            for begin in chain((begins[end - 1],), range(end - 1, max(-1, end - self.longest - 1), -1)):
                 token = tokens.get(data[begin:end])
                 if token is None:
                     continue

@@ -1,6 +1,9 @@
 """Stored prefix counts answer budget questions without encoding."""
 
+import time
+
 import public_tokenizers
+import pytest
 from tokenizers import Tokenizer
 
 from aeropanel.llm import token_counts
@@ -32,5 +35,18 @@ def test_truncation_keeps_the_longest_prefix_within_the_budget(spark):
         assert row.text == whole or all(size(whole[:len(row.text) + k]) > 7 for k in (1, 2, 3))
 
 
+@pytest.mark.parametrize("text", ["QUJD" * 250_000, "aB3+/" * 40_000, "é" * 50_000])
+def test_a_long_text_without_blanks(text):
+    """The time is in proportion to the text, and the count is the library's."""
+    counter = token_counts.PrefixCounter(PATH)
+    begun = time.thread_time()
+    counts = counter.byte_counts(text.encode())
+    assert time.thread_time() - begun < 30
+    library = Tokenizer.from_file(PATH)
+    library.pre_tokenizer = None
+    letters = {b: c for c, b in token_counts.byte_letters().items()}
+    assert counts[-1] == len(library.encode("".join(letters[b] for b in text.encode()), add_special_tokens=False).ids)
+
+
 def test_no_documents(spark):
     assert token_counts.document_tokens(spark.createDataFrame([], "doc_id long, text string"), PATH).count() == 0
