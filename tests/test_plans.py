@@ -9,7 +9,8 @@ from aeropanel.operators import clean as cleaning
 from aeropanel.operators import trends
 
 EAGER = {"report_outputs", "linear_regression", "decision_tree", "random_forest", "gradient_boosted_trees",
-         "model_comparison", "feature_importances", "actual_vs_predicted", "scored_rows", "model_summary"}
+         "model_comparison", "feature_importances", "actual_vs_predicted", "scored_rows", "model_summary",
+         "tree_nodes", "tree_scores_by_nodes", "forest_scores_by_nodes", "boosted_scores_by_nodes"}
 QUERIES = registered.all_queries()
 LAZY = sorted(set(QUERIES) - EAGER)
 #: Arrow batches reduced to one row per pair and task.
