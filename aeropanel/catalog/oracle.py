@@ -462,6 +462,7 @@ def day_sql() -> dict[str, str]:
               max(Date) FILTER (lo = 1 AND stored_calc IS NOT NULL) AS cleanest_day,
               count(*) FILTER (AQI_calc IS NOT DISTINCT FROM stored_calc) AS reconciled FROM o GROUP BY City, Year""",
         "city_day_lookup": f"WITH {DAILY} SELECT {STORE_COLS} FROM daily WHERE City = '{CITY}' AND {on_day}",
+        "city_day_lookup_stored": f"WITH {DAILY} SELECT {STORE_COLS} FROM daily WHERE City = '{CITY}' AND {on_day}",
     }
 
 

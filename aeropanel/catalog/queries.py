@@ -367,6 +367,8 @@ def file_queries() -> dict[str, Query]:
         "city_ranking_sql": ranking_sql,
         "clean_parquet": clean_parquet,
         "daily_by_city_parquet": lambda s, d: readers.read_daily(s, daily_folder(s, d)),
+        "city_day_lookup_stored": lambda s, d: days.lookup(
+            readers.read_city_days(s, daily_folder(s, d), given.CITY, given.DAY), given.CITY, given.DAY),
         "one_city_parquet": lambda s, d: readers.read_city(s, daily_folder(s, d), given.CITY),
         "daily_csv_export": csv_export,
         "city_documents": documents_json,

@@ -63,6 +63,12 @@ def read_city(spark: SparkSession, path: str, city: str) -> DataFrame:
     return read_daily(spark, path).filter(F.col("City") == city)
 
 
+def read_city_days(spark: SparkSession, path: str, city: str, first: str, last: str | None = None) -> DataFrame:
+    """Days of one city of a panel written by `write_daily`: its folder only, and there the row groups that can hold the days."""
+    days = F.col("Date").between(F.lit(first).cast("date"), F.lit(last or first).cast("date"))
+    return read_city(spark, path, city).filter(days)
+
+
 def register(df: DataFrame, name: str) -> DataFrame:
     """Makes the frame a view for SQL, e.g. `aqi` for the cleaned and `daily` for the indexed panel."""
     df.createOrReplaceTempView(name)

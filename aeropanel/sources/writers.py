@@ -17,14 +17,19 @@ def write_clean(clean: DataFrame, path: str) -> None:
     clean.write.mode("overwrite").parquet(path)
 
 
-def write_daily(daily: DataFrame, path: str) -> None:
-    """Indexed panel, one folder per city.
+def write_daily(daily: DataFrame, path: str, row_group_bytes: int | None = None) -> None:
+    """Indexed panel, one folder per city, files sorted by date.
 
     Rebalancing brings a city's rows together, so tasks open few files, and splits a city that holds more than
-    the advisory partition size over several tasks.
+    the advisory partition size over several tasks. As files are sorted, the row groups of a file hold dates that do not
+    overlap, and `readers.read_city_days` reads only those that a date can be in; `row_group_bytes` makes them smaller.
     """
     out = daily.select(*DAILY_OUTPUT).hint("rebalance", "City")
-    out.sortWithinPartitions("City", "Date").write.mode("overwrite").partitionBy("City").parquet(path)
+    writer = out.sortWithinPartitions("City", "Date").write.mode("overwrite").partitionBy("City")
+    if row_group_bytes:
+        # a row group is closed once it is that large, which is looked at every so many rows
+        writer = writer.option("parquet.block.size", row_group_bytes).option("parquet.page.size.row.check.min", 100)
+    writer.parquet(path)
 
 
 def daily_export(daily: DataFrame) -> DataFrame:

@@ -131,3 +131,25 @@ def test_the_whole_study_from_a_csv(spark, tmp_path):
     assert spark.read.json(written["dashboard/cities"]).count() == 25
     assert spark.read.json(written["results/data_source"]).first().storage == "local file"
     assert spark.read.parquet(written["daily_aqi"]).count() == spark.read.parquet(written["one_per_day"]).count()
+
+
+def test_a_point_lookup_reads_few_row_groups(spark, tmp_path):
+    """Of 60,000 days of three cities, only one folder and there a small part of the rows is read."""
+    days = spark.range(60_000).select(
+        F.concat(F.lit("C"), (F.col("id") % 3).cast("string")).alias("City"),
+        F.date_add(F.lit("1900-01-01").cast("date"), F.floor(F.col("id") / 3).cast("int")).alias("Date"),
+        *(F.rand(i).alias(c) for i, c in enumerate(DAILY_OUTPUT[2:-2])), *(F.lit("x").alias(c) for c in DAILY_OUTPUT[-2:]))
+    writers.write_daily(days, str(tmp_path), row_group_bytes=64 * 1024)
+    found = readers.read_city_days(spark, str(tmp_path), "C1", "1930-06-15")
+    plan = found._jdf.queryExecution().executedPlan()
+    assert found.count() == 1
+    assert "PartitionFilters: [isnotnull(City" in plan.toString() and "PushedFilters: [IsNotNull(Date)" in plan.toString()
+    rows = _scanned(found)
+    assert 0 < rows < 6_000
+
+
+def _scanned(df):
+    """Rows that the scans of a frame give out when it runs."""
+    df._jdf.queryExecution().executedPlan().executeCollect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
