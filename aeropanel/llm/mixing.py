@@ -6,6 +6,9 @@ by the words of the shards. In a shard, blocks are taken one after another from
 more often when the quota exceeds their number. A document takes what its words have in the taken blocks; as these are
 neighbours and documents lie in random order, the choice is random while nearly every taken document is whole.
 
+A block holds `block_words` words, or a fortieth of the smallest target where that is less, down to single words: so even a
+source of a few words has its seats and comes near its target. No row is made per block, so small blocks cost nothing.
+
 A source is cut into shards of about `shard_words` by the hash of the document id, so no source, however large, is
 ordered by one task. Quotas need no list of all quotients: below the level at which every group certainly has its
 seats, only a few quotients per group are compared.
@@ -29,6 +32,7 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST_REPEATS = 2
 BLOCK_WORDS = 64
+LEAST_BLOCKS = 40
 SHARD_WORDS = 2_000_000
 
 
@@ -115,12 +119,16 @@ def taken_parts(documents: DataFrame, weights: Sequence[float] = WEIGHTS, share:
     placed = spark.read.parquet(f"{path}/placed")
 
     aimed = targets(placed.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
-    all_seats = F.round(F.sum("target").over(Window.partitionBy()) / block_words).cast("long")
+    everything = Window.partitionBy()
+    smallest = F.min(F.when(F.col("target") > 0, F.col("target"))).over(everything)
+    per_block = F.coalesce(F.greatest(F.lit(1), F.least(F.lit(block_words), F.floor(smallest / LEAST_BLOCKS))), F.lit(1))
+    aimed = aimed.withColumn("block", per_block)
+    all_seats = F.round(F.sum("target").over(everything) / F.col("block")).cast("long")
     of_source = apportion(aimed, "target", all_seats, [], ["source"])
     shards = placed.groupBy("source", "shard").agg(F.sum("size").alias("shard_size"))
     shards = shards.join(of_source.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     of_shard = apportion(shards, "shard_size", F.col("quota"), ["source"], ["shard"], "shard_quota")
-    blocks = F.greatest(F.lit(1), F.round(F.col("shard_size") / block_words)).cast("long")
+    blocks = F.greatest(F.lit(1), F.round(F.col("shard_size") / F.col("block"))).cast("long")
     quota = F.least(F.col("shard_quota"), blocks * most)
     begin = F.pmod(F.xxhash64("source", "shard", F.lit(seed + 2)), blocks)
     bound = lambda block: F.floor(block * F.col("shard_size") / F.col("blocks"))

@@ -55,6 +55,19 @@ def test_targets_and_taken_words(spark):
     assert Counter(map(tuple, again)) == Counter(map(tuple, got))
 
 
+def test_small_sources_come_near_their_targets(spark):
+    sizes = {"a": 97, "b": 160, "c": 20, "d": 40, "e": 12, "f": 60_000, "g": 1}
+    rows = [(i * 10_000 + j, " ".join(["w"] * min(30, n - j * 30)), s, 0, 0) for i, (s, n) in enumerate(sizes.items()) for j in range(-(-n // 30))]
+    got = mixing.mix(spark.createDataFrame(rows, SCHEMA)).collect()
+    target = filled(sizes, {s: (3, 1, 2)[i % 3] for i, s in enumerate(sizes)})
+    taken = Counter()
+    for r in got:
+        taken["abcdefg"[r.doc_id // 10_000]] += r.taken
+        assert r.taken <= 2 * r.size
+    for s in sizes:
+        assert taken[s] > 0 and abs(taken[s] - target[s]) <= max(2, 0.01 * target[s]), (s, taken[s], target[s])
+
+
 def test_mixed_texts_hold_the_taken_words(spark):
     rows = corpus()
     df = spark.createDataFrame(rows, SCHEMA)
