@@ -478,6 +478,12 @@ def file_sql() -> dict[str, str]:
         "city_ranking_sql": trend_sql()["city_ranking"],
         "clean_parquet": clean_sql()["clean_panel"],
         "daily_by_city_parquet": stored,
+        "daily_by_year_parquet": stored,
+        "overview_of_feeds": profile_sql()["overview"],
+        "yearly_of_feeds": trend_sql()["yearly"],
+        "city_base_of_feeds": city_sql()["city_base"],
+        "city_ranking_of_feeds": trend_sql()["city_ranking"],
+        "full_coverage_of_feeds": trend_sql()["full_coverage"],
         "one_city_parquet": f"{stored} WHERE City = '{CITY}'",
         "daily_csv_export": f"WITH {DAILY} SELECT {STORE_COLS.replace(' AQI,', ' AQI AS AQI_recorded,')} FROM daily",
         "city_documents": f"""WITH {DAILY} SELECT City, strftime(Date, '%Y-%m-%d') AS date, {day},

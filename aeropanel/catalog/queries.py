@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aeropanel.functions import columns
-from aeropanel.operators import cities, days, hourly, least_squares, ml, profile, selection, stats, tree_tables, trends
+from aeropanel.operators import cities, day_parts, days, hourly, least_squares, ml, profile, selection, stats, tree_tables, trends
 from aeropanel.operators import clean as cleaning
 from aeropanel.operators import daily_index as index
 from aeropanel.schema import INDEX_POLLUTANTS, POLLUTANTS, PROFILE_POLLUTANTS, SEASONS
@@ -348,6 +348,22 @@ def file_queries() -> dict[str, Query]:
         writers.write_daily(daily_panel(spark, sf_dir), path)
         return path
 
+    def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """The panel as three feeds: the days before one, that day, delivered twice, and the days behind it."""
+        path, rows, day = scratch_path(spark, "parts"), raw_panel(spark, sf_dir), F.lit(given.DAY).cast("date")
+        feeds = {"before": F.col("Date").isNull() | (F.col("Date") < day), given.DAY: F.col("Date") == day, "behind": F.col("Date") > day}
+        for feed in (*feeds, given.DAY):
+            day_parts.add_feed(rows.filter(feeds[feed]), path, feed, given.TIE_BREAK)
+        return day_parts.read_parts(spark, path)
+
+    def years(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """The indexed panel by years, one of which is computed and written once more from its own rows."""
+        path, rows = scratch_path(spark, "years"), raw_panel(spark, sf_dir)
+        day_parts.replace_years(daily_panel(spark, sf_dir), path)
+        same_year = F.trunc("Date", "year") == F.trunc(F.lit(given.DAY).cast("date"), "year")
+        day_parts.replace_years(index.daily_index(rows.filter(same_year), given.TIE_BREAK), path)
+        return day_parts.read_years(spark, path)
+
     def csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = scratch_path(spark, "daily-csv")
         export = writers.daily_export(daily_panel(spark, sf_dir))
@@ -370,6 +386,12 @@ def file_queries() -> dict[str, Query]:
         "city_day_lookup_stored": lambda s, d: days.lookup(
             readers.read_city_days(s, daily_folder(s, d), given.CITY, given.DAY), given.CITY, given.DAY),
         "one_city_parquet": lambda s, d: readers.read_city(s, daily_folder(s, d), given.CITY),
+        "overview_of_feeds": over(parts, day_parts.overview, len(PANEL)),
+        "yearly_of_feeds": over(parts, day_parts.yearly),
+        "city_base_of_feeds": over(parts, day_parts.city_base),
+        "city_ranking_of_feeds": over(parts, day_parts.city_ranking),
+        "full_coverage_of_feeds": over(parts, day_parts.full_coverage, given.N_YEARS),
+        "daily_by_year_parquet": years,
         "daily_csv_export": csv_export,
         "city_documents": documents_json,
     }
