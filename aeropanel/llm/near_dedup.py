@@ -17,10 +17,11 @@ Documents of equal words are one class from the start and are never paired. The
 the size of a bucket (documents of equal samples in a band): each with the most central member of its largest bucket; then
 those of different components with the central members of all their buckets, or with all members of small ones; then the
 members of buckets that are still open by a second band, where texts that resemble each other meet again and those that
-share a passage hardly do. At last what is left of open buckets is compared in blocks of signatures, and only pairs of
-different components that agree often enough are emitted. A group of copies is closed by one link per member, so its pairs
-are not emitted, and no pair that shares a band is passed over; the comparison in blocks is quadratic in what is left of a
-bucket, in numbers per pair that no table holds.
+share a passage hardly do. At last what is left of open buckets is compared in blocks of signatures; the members that agree
+often enough with one of another component come with their texts, and the block verifies pairs itself, skips what its links
+have joined, and gives out one link per join. So no table holds pairs that fail, and a group gives at most a link per member
+and block. No pair that shares a band is passed over; the comparison in blocks is quadratic in what is left of a bucket, in
+numbers per pair.
 
 Defined cases: documents without words resemble nothing and each is its own class; missing ids sort after all others;
 repeated rows are copies; without documents there are no classes. Other columns pass through `without_copies`.
@@ -53,7 +54,7 @@ POOL_BITS = 16
 FEW_MEMBERS = 8
 BLOCK_SHINGLES = 8192
 BLOCK_MEMBERS = 2048
-MOST_PAIRS = 100_000
+BLOCK_BYTES = 16 << 20
 #: A pair whose samples agree less than this is below the similarity but for a chance of about 3e-5; that such a pair shares no
 #: band, and is not a candidate at all, has a chance of 2e-4.
 LEAST_AGREEMENT = 0.6
@@ -218,54 +219,96 @@ def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(keep))
 
 
-def _agreeing_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Members in order of blocks -> pairs of different labels whose signatures agree often enough."""
-    def pairs(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        low = np.array([r[1] for r in rows])
-        node, label = (np.array([r[i] for r in rows], np.int64) for i in (2, 3))
-        signature = np.frombuffer(b"".join(r[4] for r in rows), np.uint32).reshape(-1, SAMPLES)
-        # a block of one part has no other side
-        within = low.all()
-        one, two = np.flatnonzero(low), np.flatnonzero(low if within else ~low)
-        others, other_labels = signature[two], label[two]
-        found, size = [], 0
-        for i, at in enumerate(one):
-            begin = i + 1 if within else 0
-            agree = (others[begin:] == signature[at]).mean(axis=1) >= LEAST_AGREEMENT
-            met = node[two[begin:][agree & (other_labels[begin:] != label[at])]]
-            found.append((np.minimum(met, node[at]), np.maximum(met, node[at])))
-            size += len(met)
-            if size > MOST_PAIRS or i == len(one) - 1:
-                yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*found)], names=["a", "b"])
-                found, size = [], 0
-
+def _by_block(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[list[tuple]]:
+    """The rows of each block, from batches in order of blocks; the block comes first in `names`."""
     rows: list[tuple] = []
     for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in ("block", "low", "node", "label", "signature"))):
+        for row in zip(*(batch.column(c).to_pylist() for c in names)):
             if rows and rows[-1][0] != row[0]:
-                yield from pairs(rows)
+                yield rows
                 rows = []
             rows.append(row)
     if rows:
-        yield from pairs(rows)
+        yield rows
+
+
+def _block_pairs(rows: list[tuple]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(row, rows of the other side and of other labels that it agrees with often enough, how much) of a block's rows."""
+    low = np.array([r[1] for r in rows])
+    label = np.array([r[3] for r in rows], np.int64)
+    signature = np.frombuffer(b"".join(r[4] for r in rows), np.uint32).reshape(-1, SAMPLES)
+    # a block of one part has no other side
+    within = low.all()
+    one, two = np.flatnonzero(low), np.flatnonzero(low if within else ~low)
+    others, other_labels = signature[two], label[two]
+    for i, at in enumerate(one):
+        begin = i + 1 if within else 0
+        agreed = (others[begin:] == signature[at]).mean(axis=1)
+        met = (agreed >= LEAST_AGREEMENT) & (other_labels[begin:] != label[at])
+        if met.any():
+            yield int(at), two[begin:][met], agreed[met]
+
+
+def _candidates_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The members of a block that agree often enough with one of another label, once each."""
+    for rows in _by_block(batches, ["block", "low", "node", "label", "signature"]):
+        held = np.zeros(len(rows), bool)
+        for at, others, _ in _block_pairs(rows):
+            held[at] = True
+            held[others] = True
+        kept = [rows[i][:4] for i in np.flatnonzero(held)]
+        if kept:
+            yield pa.record_batch([pa.array(c) for c in zip(*kept)], names=["block", "low", "node", "label"])
+
+
+def _linked_in_blocks(shared, similarity: float):
+    """Members of a block with their texts -> links that join components: fewer than the block has members."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _by_block(batches, ["block", "low", "node", "label", "signature", "text"]):
+            weighed = _weighed([r[5] for r in rows], shared.value)
+            totals = [weights.sum() for _, weights in weighed]
+            above = {r[3]: r[3] for r in rows}
+
+            def root(label: int) -> int:
+                while above[label] != label:
+                    above[label] = label = above[above[label]]
+                return label
+
+            found = []
+            for at, others, agreed in _block_pairs(rows):
+                for other in others[np.argsort(-agreed, kind="stable")].tolist():
+                    one, two = root(rows[at][3]), root(rows[other][3])
+                    # what is joined needs no other link, and the smaller text bounds what both can share
+                    if one == two or min(totals[at], totals[other]) < similarity * max(totals[at], totals[other]):
+                        continue
+                    if _similarity(weighed[at], weighed[other]) >= similarity:
+                        above[max(one, two)] = min(one, two)
+                        found.append(sorted((rows[at][2], rows[other][2])))
+            if found:
+                yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b"])
+    return run
+
+
+def _weighed(values: list[str], known: Frequencies) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Distinct shingles of each text and their weights."""
+    own: list[tuple[np.ndarray, np.ndarray]] = []
+    for first, last, hashes, counts, at in weighted_shingles(values):
+        weights = counts * inverse_frequency(hashes, known)
+        own.extend((hashes[at[i]:at[i + 1]], weights[at[i]:at[i + 1]]) for i in range(last - first))
+    return own
+
+
+def _similarity(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndarray]) -> float:
+    (a, weight_a), (b, weight_b) = one, two
+    _, in_a, in_b = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+    shared = np.minimum(weight_a[in_a], weight_b[in_b]).sum()
+    total = weight_a.sum() + weight_b.sum() - shared
+    return shared / total if total else 0.0
 
 
 def weighted_jaccard(one: list[str], two: list[str], known: Frequencies) -> np.ndarray:
     """Weighted Jaccard similarity of texts pair by pair; 0 for texts without words."""
-    weighted = []
-    for values in (one, two):
-        own: list[tuple[np.ndarray, np.ndarray]] = []
-        for first, last, hashes, counts, at in weighted_shingles(values):
-            weights = counts * inverse_frequency(hashes, known)
-            own.extend((hashes[at[i]:at[i + 1]], weights[at[i]:at[i + 1]]) for i in range(last - first))
-        weighted.append(own)
-    found = np.zeros(len(one))
-    for i, ((a, weight_a), (b, weight_b)) in enumerate(zip(*weighted)):
-        _, in_a, in_b = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-        shared = np.minimum(weight_a[in_a], weight_b[in_b]).sum()
-        total = weight_a.sum() + weight_b.sum() - shared
-        found[i] = shared / total if total else 0.0
-    return found
+    return np.array([_similarity(a, b) for a, b in zip(_weighed(one, known), _weighed(two, known))], float)
 
 
 def _similar(shared, similarity: float):
@@ -302,18 +345,23 @@ def _redealt(active: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFram
     return both.select(F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key"), "node").distinct()
 
 
-def _left_over(members: DataFrame, labels: DataFrame, signatures: DataFrame, path: str) -> DataFrame:
-    """a, b of all agreeing pairs of different labels in the large buckets among `members`."""
+def _left_over(members: DataFrame, labels: DataFrame, signatures: DataFrame, words: DataFrame, shared, similarity: float, path: str) -> DataFrame:
+    """a, b of links between different labels in the large buckets among `members`, found and verified block by block."""
     large = members.filter(F.col("n") > FEW_MEMBERS).join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    open_ = large.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
+    large = large.join(words.select("node", F.octet_length("text").cast("long").alias("bytes")), "node")
+    open_ = large.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.sum("bytes").alias("held")).filter("low <> high")
     # written, so that the join reads both sides by plain exchanges and a frequent key can be split
-    open_ = _written(open_.select("key"), f"{path}/left-keys")
-    parts = F.ceil(F.col("n") / BLOCK_MEMBERS)
+    open_ = _written(open_.select("key", "held"), f"{path}/left-keys")
+    parts = F.ceil(F.col("n") / BLOCK_MEMBERS + F.col("held") / BLOCK_BYTES)
     placed = large.join(open_, "key").withColumn("part", F.pmod(F.xxhash64("node", F.lit(1)), parts))
     placed = placed.select("key", "node", "label", "part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("other"))
     block = F.xxhash64("key", F.least("part", "other"), F.greatest("part", "other")).alias("block")
     placed = placed.select(block, (F.col("part") <= F.col("other")).alias("low"), "node", "label").join(signatures, "node")
-    return texts.map_batches(placed.repartition("block").sortWithinPartitions("block"), _agreeing_in_blocks, "a long, b long").distinct()
+    in_order = lambda df: df.repartition("block").sortWithinPartitions("block")
+    # only members that agree with another are sent with their texts
+    wanted = texts.map_batches(in_order(placed), _candidates_in_blocks, "block long, low boolean, node long, label long")
+    wanted = _written(wanted, f"{path}/left-wanted").join(signatures, "node").join(words, "node")
+    return _written(texts.map_batches(in_order(wanted), _linked_in_blocks(shared, similarity), "a long, b long").distinct(), f"{path}/links-left")
 
 
 def _central(members: DataFrame, path: str) -> DataFrame:
@@ -380,7 +428,8 @@ def _links(spark: SparkSession, nodes: DataFrame, documents: DataFrame, shared,
     large = members.filter(F.col("n") > FEW_MEMBERS)
     again = _central(_members(_redealt(large, labels, nodes), f"{path}/members-again"), f"{path}/central-again")
     labels = compared(_open_pairs(again, labels, f"{path}/again"), "again")
-    return compared(_left_over(members, labels, signatures, path), "left")
+    edges.append(_left_over(members, labels, signatures, words, shared, similarity, path))
+    return _written(components(reduce(DataFrame.union, edges)), f"{path}/labels-left")
 
 
 def _classified(documents: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
