@@ -11,8 +11,12 @@ predecessor falls into another bin. Most documents hold no hash of any item; a b
 items' hashes, lets tasks skip them. Documents that do hold one are joined with the items by hash, and every pair with a
 matching bin is verified on the words themselves.
 
-Defined cases: missing and empty texts hold nothing; an item of one to four words is found in documents of just these
-words; repeated rows of documents or items are separate rows; other columns pass through `without_items`.
+An item of one to four words is a single shingle of its own length, which no shingle of five words can meet. For the
+lengths that occur among the items, documents list their windows of so many words too; as such an item is either whole
+in a document or not there, its hash is compared at every level.
+
+Defined cases: missing and empty texts hold nothing; an item of one to four words is found in every document that has
+these words in a row, an item without words in none; repeated rows of documents or items are separate rows; other columns pass through `without_items`.
 """
 
 from __future__ import annotations
@@ -55,13 +59,15 @@ def _item_sketches(containment: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             items = batch.column("_item").to_pylist()
-            for first, last, hashes, at in texts.shingle_hashes(texts.column_texts(batch.column("text"))):
+            values = texts.column_texts(batch.column("text"))
+            for (first, last, hashes, at), (*_, bounds) in zip(texts.shingle_hashes(values), texts.word_hashes(values), strict=True):
                 for i in range(first, last):
                     own = np.unique(hashes[at[i - first]:at[i - first + 1]])
-                    n = len(own)
+                    n, n_words = len(own), int(bounds[i - first + 1] - bounds[i - first])
                     yield pa.record_batch(
                         [pa.array(np.full(n, items[i], np.int64)), pa.array(own.view(np.int64)), pa.array(smallest_from(own)),
-                         pa.array(np.full(n, depth(n, containment), np.int32))], names=["_item", "hash", "item_level", "depth"])
+                         pa.array(np.full(n, depth(n, containment), np.int32)), pa.array(np.full(n, n_words, np.int64))],
+                        names=["_item", "hash", "item_level", "depth", "n_words"])
     return run
 
 
@@ -91,25 +97,44 @@ def item_filter(sketches: DataFrame) -> tuple[np.ndarray, int]:
     return array.view(np.uint64), bits
 
 
-def _hits(shared, bits: int):
-    """Rows whose text holds hashes of items: with these and the levels from which they are smallest of their bins."""
+def _hits(shared, bits: int, short: list[int]):
+    """Rows whose text holds hashes of items: with these and the levels from which they are smallest of their bins.
+
+    Windows of the `short` lengths are compared at level 0.
+    """
+    def known(array: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        held = np.ones(len(hashes), bool)
+        for spots in _probes(hashes, bits):
+            held &= (array[(spots >> np.uint64(6)).astype(np.int64)] >> (spots & np.uint64(63)) & np.uint64(1)).astype(bool)
+        return held
+
+    def windows(array: np.ndarray, values: list[str]) -> dict[int, list[int]]:
+        found: dict[int, list[int]] = {}
+        for first, _, words, bounds in texts.word_hashes(values):
+            for size in short:
+                hashes, owner = texts.window_hashes(words, bounds, size)
+                held = known(array, hashes)
+                for i, h in set(zip(owner[held].tolist(), hashes[held].view(np.int64).tolist())):
+                    found.setdefault(first + i, []).append(h)
+        return found
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         array = shared.value
         for batch in batches:
             values = texts.column_texts(batch.column("text"))
             rows, sizes, found, levels = [], [], [], []
+            whole = windows(array, values) if short else {}
             for first, last, hashes, at in texts.shingle_hashes(values):
-                one, two = _probes(hashes, bits)
-                held = np.ones(len(hashes), bool)
-                for spots in (one, two):
-                    held &= (array[(spots >> np.uint64(6)).astype(np.int64)] >> (spots & np.uint64(63)) & np.uint64(1)).astype(bool)
-                for i in np.unique(np.searchsorted(at, np.flatnonzero(held), "right") - 1).tolist():
+                held = known(array, hashes)
+                holders = set((np.searchsorted(at, np.flatnonzero(held), "right") - 1).tolist())
+                for i in sorted(holders | {i - first for i in whole if first <= i < last}):
                     own = np.unique(hashes[at[i]:at[i + 1]])
                     wanted = np.unique(hashes[at[i]:at[i + 1]][held[at[i]:at[i + 1]]])
                     rows.append(first + i)
                     sizes.append(len(own))
-                    found.append(wanted.view(np.int64).tolist())
-                    levels.append(smallest_from(own)[np.searchsorted(own, wanted)].tolist())
+                    more = whole.get(first + i, [])
+                    found.append(wanted.view(np.int64).tolist() + more)
+                    levels.append(smallest_from(own)[np.searchsorted(own, wanted)].tolist() + [0] * len(more))
             if rows:
                 kept = batch.take(pa.array(rows))
                 yield pa.record_batch(
@@ -123,8 +148,9 @@ def _verified(containment: float):
         for batch in batches:
             shared, sizes = [], []
             for text, item in zip(batch.column("text").to_pylist(), batch.column("item_text").to_pylist()):
-                wanted = set(texts.shingles_of(item))
-                shared.append(len(wanted.intersection(texts.shingles_of(text))))
+                size = max(1, min(texts.SHINGLE_WORDS, len(texts.words_of(item))))
+                wanted = set(texts.shingles_of(item, size))
+                shared.append(len(wanted.intersection(texts.shingles_of(text, size))))
                 sizes.append(len(wanted))
             whole = pa.record_batch([*batch.columns, pa.array(shared, pa.int64()), pa.array(sizes, pa.int64())],
                                     names=[*batch.schema.names, "shared", "item_shingles"])
@@ -143,10 +169,13 @@ def find_items(documents: DataFrame, items: DataFrame, containment: float = CONT
     items.select(F.monotonically_increasing_id().alias("_item"), "item_id", "text").write.parquet(f"{path}/items")
     items = spark.read.parquet(f"{path}/items")
     sketches = texts.map_batches(items.select("_item", "text"), _item_sketches(containment),
-                                 "_item long, hash long, item_level int, depth int")
+                                 "_item long, hash long, item_level int, depth int, n_words long")
     array, bits = item_filter(sketches)
+    # at most four lengths
+    few = sketches.filter(F.col("n_words") < texts.SHINGLE_WORDS).select("n_words").distinct().collect()
+    short = sorted(row.n_words for row in few)
     given = documents.select("doc_id", "text")
-    held = texts.map_batches(given, _hits(spark.sparkContext.broadcast(array), bits),
+    held = texts.map_batches(given, _hits(spark.sparkContext.broadcast(array), bits, short),
                              f"{texts.ddl(given)}, _size long, _hashes array<long>, _levels array<int>")
     held.withColumn("_row", F.monotonically_increasing_id()).write.parquet(f"{path}/held")
     held = spark.read.parquet(f"{path}/held")

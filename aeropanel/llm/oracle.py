@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-SHINGLES = r"""
+WORDS = r"""
 {name}_words AS (
-  SELECT {key}, regexp_extract_all(lower(coalesce(text, '')), '[\p{{L}}\p{{M}}\p{{N}}]+') AS words FROM {table}),
+  SELECT {key}, regexp_extract_all(lower(coalesce(text, '')), '[\p{{L}}\p{{M}}\p{{N}}]+') AS words FROM {table})"""
+# an item of fewer than five words is one shingle of its own length; documents list the lengths that items have
+SHINGLES = """
 {name}_shingles AS (
-  SELECT DISTINCT {key}, array_to_string(list_slice(words, i, i + 4), ' ') AS shingle
-  FROM (SELECT {key}, words, unnest(range(1, greatest(2, len(words) - 3))) AS i FROM {name}_words WHERE len(words) > 0))"""
+  SELECT DISTINCT {key}, array_to_string(list_slice(words, i, i + n - 1), ' ') AS shingle
+  FROM (SELECT {key}, words, n, unnest(range(1, len(words) - n + 2)) AS i FROM {name}_words JOIN lengths ON {on}))"""
 
-OP1 = "WITH" + SHINGLES.format(name="doc", key="doc_id", table="documents") + "," \
-    + SHINGLES.format(name="item", key="item_id", table="benchmark") + """,
+OP1 = "WITH" + WORDS.format(name="doc", key="doc_id", table="documents") + "," \
+    + WORDS.format(name="item", key="item_id", table="benchmark") + """,
+lengths AS (SELECT DISTINCT least(5, len(words)) AS n FROM item_words WHERE len(words) > 0),""" \
+    + SHINGLES.format(name="doc", key="doc_id", on="n <= len(words)") + "," \
+    + SHINGLES.format(name="item", key="item_id", on="n = least(5, len(words))") + """,
 sizes AS (SELECT item_id, count(*) AS item_shingles FROM item_shingles GROUP BY item_id),
 found AS (
   SELECT doc_id, item_id, count(*) AS shared FROM doc_shingles JOIN item_shingles USING (shingle) GROUP BY ALL)

@@ -155,6 +155,18 @@ def shingle_hashes(texts: list[str], size: int = SHINGLE_WORDS) -> Iterator[tupl
         yield first, last, found, at
 
 
+def window_hashes(words: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of every `size` words in a row and the text each is in; the hash is that of a text of just these words."""
+    n_words = np.diff(bounds)
+    owner = np.repeat(np.arange(len(n_words)), np.maximum(0, n_words - size + 1))
+    counts = np.maximum(0, n_words - size + 1)
+    starts = bounds[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+    total = np.zeros(len(owner), np.uint64)
+    for k in range(size):
+        total += words[starts + k] * _power(False, size + 1)[k + 1]
+    return mixed(total), owner
+
+
 def words_of(text: str | None) -> list[str]:
     """The words of one text."""
     lowered = (text or "").lower()

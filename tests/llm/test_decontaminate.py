@@ -11,9 +11,10 @@ ITEM = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi
 def brute(documents, items, share=0.8):
     found = []
     for doc_id, text in documents:
-        held = set(texts.shingles_of(text))
+        lists = {size: set(texts.shingles_of(text, size)) for size in range(1, 6)}
         for item_id, item in items:
-            wanted = set(texts.shingles_of(item))
+            size = max(1, min(5, len(texts.words_of(item))))
+            wanted, held = set(texts.shingles_of(item, size)), lists[size]
             if wanted and len(wanted & held) / len(wanted) >= share:
                 found.append((doc_id, item_id, len(wanted & held), len(wanted)))
     return sorted(found, key=repr)
@@ -39,6 +40,19 @@ def test_equals_all_pairs(spark):
     assert ids == sorted((d for d, _ in documents if repr(d) not in held), key=repr)
 
 
+def test_short_items_are_found_inside_long_documents(spark):
+    rng = np.random.default_rng(4)
+    filler = lambda n: " ".join(rng.choice([f"w{i}" for i in range(50)], n))
+    items = [(1, "needle"), (2, "two needles"), (3, "Three sharp needles!"), (4, "a b c d"), (5, "w1 w2"), (6, "a b c d e"), (7, "...")]
+    documents = [(1, f"{filler(5000)} needle {filler(5000)}"), (2, f"{filler(900)} two, NEEDLES {filler(9)}"), (3, "three sharp needles"),
+                 (4, f"a b c d {filler(300)}"), (5, f"{filler(300)} a b c d"), (6, "needles two needles"), (7, "b c d"), (8, f"a b c d e {filler(8)}"),
+                 (9, "two"), (10, "needles"), (11, ""), (12, None), (13, filler(20_000))]
+    given = frames(spark, documents, items)
+    got = [(r.doc_id, r.item_id, r.shared, r.item_shingles) for r in decontaminate.contaminated(*given).collect()]
+    assert sorted(got, key=repr) == brute(documents, items)
+    assert {(1, 1), (2, 2), (3, 3), (4, 4), (5, 4), (6, 2), (8, 4), (8, 6), (13, 5)} <= {g[:2] for g in got}
+
+
 def test_levels_tell_from_where_a_hash_is_the_smallest_of_its_bin():
     hashes = np.unique(np.random.default_rng(2).integers(0, 1 << 63, 500, dtype=np.uint64) * np.uint64(2))
     levels = decontaminate.smallest_from(hashes)
