@@ -348,7 +348,8 @@ def repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_
     given = _keyed(documents)
     listed = _written(texts.map_batches(given, _listed(length, gram), "k1 long, k2 long, anchor long, content long, first long, strings long"),
                       f"{path}/regions")
-    repeated = _repeated(listed, f"{path}/groups")
+    # written, as a grouping right behind the join would keep a frequent anchor in one task
+    repeated = _written(_repeated(listed, f"{path}/groups"), f"{path}/joined")
     # copies of a document list the same regions
     repeated = _written(repeated.groupBy(*KEY, "anchor", "content", "first", "strings", "differ").agg(F.count("*").alias("copies")),
                         f"{path}/repeated")
