@@ -8,7 +8,8 @@ Nodes are inserted in batches: candidates are found by beam search in the graph
 batch, the neighbours are chosen among them so that none is closer to a chosen one than to the node, and the links back
 are pruned the same way. All queries of a block walk a shard's graph in step, as numpy arrays.
 
-Every block of queries meets every shard; a shard returns its k nearest per query and the results are merged per query.
+Every block of queries meets every shard; a shard returns its k nearest per query and the results are merged per query. A
+shard is sent to a task once and stays in its memory while up to 64 blocks of queries pass by, one after another.
 Equal vectors are one node that holds the smallest k + 1 of their ids, more than which no query can return, so a vector
 that a third of all rows share costs one node.
 
@@ -42,6 +43,7 @@ BATCH = 1024
 WALKERS = 512
 STRIDE = 4
 QUERY_BLOCK = 4096
+BLOCKS_PER_COPY = 64
 
 
 class Graph:
@@ -329,8 +331,10 @@ def _search(k: int, beam: int):
         for batch in batches:
             for at in range(batch.num_rows):
                 row = batch.slice(at, 1).to_pylist()[0]
-                if held != (row["dim"], row["shard"]):
-                    held, shard = (row["dim"], row["shard"]), StoredShard(row, row["dim"])
+                if row["query_ids"] is None:
+                    held, shard = (row["dim"], row["shard"], row["part"]), StoredShard(row, row["dim"])
+                    continue
+                assert held == (row["dim"], row["shard"], row["part"])
                 ids = np.frombuffer(row["query_ids"], "<i8")
                 found = shard.nearest(ids, np.frombuffer(row["queries"], "<f8").reshape(len(ids), -1), k, beam)
                 yield pa.record_batch([pa.array(a) for a in found], names=["query_id", "vec_id", "score"])
@@ -345,9 +349,15 @@ def search(queries: DataFrame, index: DataFrame, k: int = NEAREST, beam: int = S
         .applyInArrow(_pack_queries, "dim int, block int, query_ids binary, queries binary")
     # every block of queries goes to every shard
     shards = index.select("dim", "shard").groupBy("dim").agg(F.collect_set("shard").alias("shards"))
-    sent = packed.join(shards, "dim").select("dim", F.explode("shards").alias("shard"), "query_ids", "queries")
-    met = index.join(sent, ["dim", "shard"])
-    found = texts.map_batches(met, _search(k, beam), "query_id long, vec_id long, score double")
+    part = F.floor(F.col("block") / BLOCKS_PER_COPY).cast("int").alias("part")
+    sent = packed.join(shards, "dim").select("dim", F.explode("shards").alias("shard"), part, "query_ids", "queries")
+    parts = ceil(blocks / BLOCKS_PER_COPY)
+    copies = index.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    # a task per shard and part, in which the shard comes before its queries
+    tasks = max(1, index.count() * parts)
+    dealt = copies.unionByName(sent, allowMissingColumns=True).repartition(tasks, "dim", "shard", "part").sortWithinPartitions(
+        "dim", "shard", "part", F.col("query_ids").isNotNull())
+    found = texts.map_batches(dealt, _search(k, beam), "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
