@@ -4,9 +4,12 @@ The terms of a text are its words and their first 4, 5 and 6 characters, hashed
 per text. Beside a weight, every term has a small vector, and the inner product of two terms' vectors is added to the
 score of a text that holds both, so an insult next to the mention of a group can weigh more than the two alone.
 
-Terms that do not separate the labels are left out first: one grouping over the sample counts, per term, the toxic and
-the other texts with it, and a chi-square test keeps what is more frequent in toxic ones. What the driver sees is
-bounded: `max_labelled` rows with the few terms that were kept, and at most 2**20 terms.
+Terms that do not separate the labels are left out first, in two steps. One grouping over the sample counts, per term, the
+toxic and the other texts with it, and a chi-square test keeps what is more frequent in toxic ones. The same counts among
+only the texts that hold a strong term then keep what tells toxic from other texts there, in either direction, so a term
+as common in clean texts as in toxic ones is learned if it makes an insult worse or harmless. Pairs of which neither
+term is more frequent in toxic texts are not found. What the driver sees is bounded: `max_labelled` rows with the few
+terms that were kept, and at most 2**20 terms.
 
 Defined cases: a missing text is an empty one; a text without known terms gets the score of the intercept; labels that
 are missing are no labels, a document with several is toxic if one says so; without a toxic or without another label
@@ -31,6 +34,8 @@ TERM_BITS = 20
 PREFIXES = (4, 5, 6)
 MAX_LABELLED = 20_000
 MIN_CHI2 = 6.0
+STRONG_CHI2 = 33.0  # one of 10**8 unrelated terms, so none of the 2**20
+PAIR_CHI2 = 10.8  # one of 1000
 THRESHOLD = 0.3
 
 
@@ -60,19 +65,46 @@ def _distinct(owner: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.nd
     return both >> TERM_BITS, both & ((1 << TERM_BITS) - 1)
 
 
-def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros((2, 1 << TERM_BITS), np.int64)
-    for batch in batches:
-        toxic = batch.column("toxic").to_numpy(zero_copy_only=False).astype(bool)
-        for _, _, numbers, owner in text_terms(texts.column_texts(batch.column("text"))):
-            owner, numbers = _distinct(owner, numbers)
-            for label in (0, 1):
-                counts[label] += np.bincount(numbers[toxic[owner] == label], minlength=1 << TERM_BITS)
-    seen = np.flatnonzero(counts.sum(0))
-    for at in range(0, len(seen), 100_000):
-        part = seen[at:at + 100_000]
-        yield pa.record_batch([pa.array(part), pa.array(counts[1][part]), pa.array(counts[0][part])],
-                              names=["term", "toxic", "other"])
+ALL_TEXTS = -1
+
+
+def _count_terms(among: np.ndarray | None = None):
+    """Toxic and other texts per term, and of all texts as ALL_TEXTS; with `among` only of texts that hold one of these terms."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros((2, 1 << TERM_BITS), np.int64)
+        whole = np.zeros(2, np.int64)
+        for batch in batches:
+            toxic = batch.column("toxic").to_numpy(zero_copy_only=False).astype(bool)
+            counted = np.zeros(batch.num_rows, bool)
+            for first, last, numbers, owner in text_terms(texts.column_texts(batch.column("text"))):
+                owner, numbers = _distinct(owner, numbers)
+                if among is None:
+                    counted[first:last] = True
+                else:
+                    counted[owner[np.isin(numbers, among)]] = True
+                kept = counted[owner]
+                for label in (0, 1):
+                    counts[label] += np.bincount(numbers[kept & (toxic[owner] == label)], minlength=1 << TERM_BITS)
+            whole += np.bincount(toxic[counted], minlength=2)
+        seen = np.flatnonzero(counts.sum(0))
+        yield pa.record_batch([pa.array([ALL_TEXTS]), pa.array(whole[1:]), pa.array(whole[:1])], names=["term", "toxic", "other"])
+        for at in range(0, len(seen), 100_000):
+            part = seen[at:at + 100_000]
+            yield pa.record_batch([pa.array(part), pa.array(counts[1][part]), pa.array(counts[0][part])],
+                                  names=["term", "toxic", "other"])
+    return run
+
+
+def _tested(sample: DataFrame, path: str, among: np.ndarray | None = None) -> pa.Table:
+    """term, chi2 and whether it `speaks` for toxic, of terms with a chi-square of MIN_CHI2 or more; at most 2**20 rows."""
+    counts = texts.map_batches(sample.select("text", "toxic"), _count_terms(among), "term long, toxic long, other long")
+    counts.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).write.parquet(path)
+    per_term = sample.sparkSession.read.parquet(path)
+    whole = per_term.filter(F.col("term") == ALL_TEXTS).first()
+    chi2 = chi_square(F.col("toxic"), F.col("other"), whole.toxic, whole.other)
+    speaks = F.col("toxic") * (whole.toxic + whole.other) > (F.col("toxic") + F.col("other")) * whole.toxic
+    tested = per_term.filter(F.col("term") != ALL_TEXTS).select("term", chi2.alias("chi2"), speaks.alias("speaks"))
+    return tested.filter(F.col("chi2") >= MIN_CHI2).toArrow()
 
 
 def chi_square(toxic: Column, other: Column, all_toxic: int, all_other: int) -> Column:
@@ -159,12 +191,12 @@ def fit(documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLE
     if not n or not n_toxic or n_toxic == n:
         share = (n_toxic or 0) / n if n else 0.0
         return Model(np.zeros(0, np.int64), np.zeros(0), np.zeros((0, 1)), float("inf") if share else float("-inf"))
-    counts = texts.map_batches(sample.select("text", "toxic"), _count_terms, "term long, toxic long, other long")
-    per_term = counts.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
-    telling = per_term.filter(
-        (chi_square(F.col("toxic"), F.col("other"), n_toxic, n - n_toxic) >= MIN_CHI2)
-        & (F.col("toxic") * n > (F.col("toxic") + F.col("other")) * n_toxic))
-    terms = np.sort(telling.select("term").toArrow().column("term").to_numpy())
+    telling = _tested(sample, f"{path}-terms").filter(pc.field("speaks"))
+    terms = np.sort(telling.column("term").to_numpy())
+    strong = telling.filter(pc.field("chi2") >= STRONG_CHI2).column("term").to_numpy()
+    if len(strong):
+        beside = _tested(sample, f"{path}-pairs", strong).filter(pc.field("chi2") >= PAIR_CHI2)
+        terms = np.union1d(terms, beside.column("term").to_numpy())
 
     def held_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _lookup(terms)

@@ -55,6 +55,26 @@ def test_pairs_of_terms_weigh_more_than_the_terms():
     assert vectors[0] @ vectors[1] > 0.5
 
 
+def test_terms_that_tell_only_beside_an_insult_are_learned(spark):
+    """A group mention is as common in clean texts as in toxic ones, but decides beside one of two insults."""
+    rng = np.random.default_rng(6)
+    common = [f"common{i}" for i in range(60)]
+    docs, labels = [], []
+    for i in range(4000):
+        insult, group, slur = rng.random() < 0.3, rng.random() < 0.5, rng.random() < 0.15
+        toxic = int((insult and group) or (slur and not group))
+        words = [*rng.choice(common, 10), *["vilex"] * insult, *["mention"] * group, *["zslur"] * slur]
+        docs.append((i, " ".join(rng.permutation(words)), 1))
+        labels.append((i, toxic))
+    share = np.mean([t for (_, text, _), (_, t) in zip(docs, labels) if "mention" in text])
+    assert abs(share - np.mean([t for _, t in labels])) < 0.12
+    model = toxicity.fit(spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS))
+    probes = ["common1 vilex mention", "common1 vilex", "common1 mention", "zslur common1", "zslur mention common1"]
+    df = spark.createDataFrame([(i, p, 1) for i, p in enumerate(probes)], DOCS)
+    chance = {r.doc_id: r.chance for r in toxicity.score(df, model, "chance").collect()}
+    assert chance[0] > 0.5 > chance[1] and chance[2] < 0.3 and chance[3] > 0.5 > chance[4]
+
+
 def test_given_documents(spark):
     docs, labels = (spark.read.parquet(f"{CHECK}/{n}.parquet") for n in ("documents", "labels"))
     rows = toxicity.toxic_documents(docs, labels).join(labels, "doc_id").filter("held_out").collect()
