@@ -2,8 +2,10 @@
 
 Only headers are shuffled to find equal payloads: digest, length and page id, combined before the shuffle, so a payload
 held by a third of all pages is one row per task. The page with the smallest id keeps its payload as a response; the
-others become revisit records that name it. The records are then written as WARC 1.1 text by Spark's own writer, one
-gzip archive per task, to any file system Spark reaches.
+others become revisit records that name it. The marks of the revisits are written as a table and joined to the pages by
+id; while Spark finds that table small enough to broadcast, no payload leaves its task, beyond that the pages are
+shuffled once by id and digest. The records are then written as WARC 1.1 text by Spark's own writer, as gzip archives of
+some 256 MB of text at most on average, to any file system Spark reaches.
 
 Reading splits the archives by the lengths in their headers, checks every payload against its digest, and joins
 revisits to their responses for what the revisits leave out.
@@ -28,6 +30,8 @@ from aeropanel.llm import texts
 from aeropanel.session import scratch_path
 
 MIN_BYTES = 0
+ARCHIVE_BYTES = 256_000_000
+HEADER_BYTES = 600
 # fixed values of the format
 VERSION = "WARC/1.1"
 LINE = "\r\n"
@@ -55,19 +59,27 @@ def with_digest(pages: DataFrame) -> DataFrame:
                              "payload_digest": base32(F.sha1(F.col("payload").cast("binary")))})
 
 
-def resolved(records: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
-    """Adds record_type and refers_to to records with page_id, payload_digest and payload_bytes.
+KEY = ["page_id", "payload_digest", "payload_bytes"]
 
-    Only digests that occur twice are joined back, so unique pages find no partner.
+
+def revisits(headers: DataFrame, path: str, min_bytes: int = MIN_BYTES) -> DataFrame:
+    """page_id, payload_digest, payload_bytes and refers_to of the headers that are revisits, each once; written to `path`.
+
+    Only digests of several pages are joined back, so unique pages find no partner.
     """
-    headers = records.filter((F.col("payload_bytes") >= min_bytes) & F.col("page_id").isNotNull())
-    shared = headers.groupBy(F.col("payload_digest").alias("_digest"), F.col("payload_bytes").alias("_bytes")).agg(
-        F.min("page_id").alias("_original"), F.count("*").alias("_n")).filter(F.col("_n") > 1).drop("_n")
-    met = records.join(shared, (F.col("payload_digest") == F.col("_digest")) & (F.col("payload_bytes") == F.col("_bytes")), "left")
-    revisit = F.col("page_id") > F.col("_original")
-    return met.withColumns({
-        "record_type": F.when(revisit, "revisit").otherwise("response"),
-        "refers_to": F.when(revisit, F.col("_original"))}).drop("_digest", "_bytes", "_original")
+    told = headers.filter((F.col("payload_bytes") >= min_bytes) & F.col("page_id").isNotNull())
+    shared = told.groupBy(F.col("payload_digest").alias("_digest"), F.col("payload_bytes").alias("_bytes")).agg(
+        F.min("page_id").alias("refers_to"), F.max("page_id").alias("_last")).filter(F.col("_last") > F.col("refers_to")).drop("_last")
+    met = told.join(shared, (F.col("payload_digest") == F.col("_digest")) & (F.col("payload_bytes") == F.col("_bytes")))
+    # written before repeats go, as a grouping right behind the join would keep a frequent digest in one task
+    met.filter(F.col("page_id") > F.col("refers_to")).select(*KEY, "refers_to").write.parquet(path)
+    return headers.sparkSession.read.parquet(path).distinct()
+
+
+def resolved(records: DataFrame, marks: DataFrame) -> DataFrame:
+    """Adds record_type and refers_to to records with page_id, payload_digest and payload_bytes."""
+    return records.join(marks, KEY, "left").withColumn(
+        "record_type", F.when(F.col("refers_to").isNull(), "response").otherwise("revisit"))
 
 
 def _record_id(page_id: Column) -> Column:
@@ -103,8 +115,14 @@ def record_text(date: str) -> Column:
 
 def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_BYTES, date: str = "2024-01-01T00:00:00Z") -> None:
     """Writes pages (page_id, url, html) as deduplicated archives below `path`."""
-    records = resolved(with_digest(pages), min_bytes)
-    records.select(record_text(date).alias("value")).write.option("lineSep", "\n").text(path, compression="gzip")
+    spark = pages.sparkSession
+    scratch = scratch_path(spark, "warc-headers")
+    with_digest(pages).select(*KEY).write.parquet(f"{scratch}/headers")
+    headers = spark.read.parquet(f"{scratch}/headers")
+    mean = headers.agg(F.avg("payload_bytes")).first()[0] or 0.0
+    records = resolved(with_digest(pages), revisits(headers, f"{scratch}/revisits", min_bytes))
+    records.select(record_text(date).alias("value")).write.option("lineSep", "\n").option(
+        "maxRecordsPerFile", max(1, int(ARCHIVE_BYTES / (mean + HEADER_BYTES)))).text(path, compression="gzip")
 
 
 def parse_archive(data: bytes) -> Iterator[dict]:

@@ -44,6 +44,22 @@ def test_payloads_of_revisits_come_from_their_responses(spark, tmp_path):
     assert {r.url for r in rows if r.page_id in (6, 9)} == {"", None}
 
 
+def test_payloads_stay_where_they_are(spark, tmp_path):
+    marks = warc.revisits(warc.with_digest(spark.createDataFrame(PAGES, SCHEMA)).select(*warc.KEY), str(tmp_path / "marks"))
+    spark.createDataFrame(PAGES, SCHEMA).write.parquet(str(tmp_path / "pages"))
+    plan = warc.resolved(warc.with_digest(spark.read.parquet(str(tmp_path / "pages"))), marks)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert sorted(map(tuple, marks.select("page_id", "refers_to").collect())) == [(5, 3), (7, 6), (9, 3)]
+
+
+def test_archives_are_cut_by_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 300_000)
+    path = str(tmp_path / "archive")
+    warc.write_archives(spark.createDataFrame(PAGES, SCHEMA).coalesce(1), path)
+    assert len(list(Path(path).glob("part-*"))) > 3
+    assert warc.read_archives(spark, path).count() == len(PAGES)
+
+
 def test_small_payloads_are_all_stored(spark):
     df = spark.createDataFrame(PAGES, SCHEMA)
     got = {r.page_id: r.record_type for r in warc.round_trip(df, min_bytes=5).collect()}
