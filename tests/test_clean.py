@@ -2,6 +2,7 @@
 
 import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from aeropanel.operators import clean as cleaning
@@ -79,9 +80,10 @@ def test_a_city_without_one_period_is_left_out(clean):
     assert trends.period_overall(gone, base, event).first().cities == 24
 
 
-def test_ranks_over_equal_values(spark):
+@pytest.mark.parametrize("few", [0, 999, 1000])
+def test_ranks_over_equal_values(spark, few):
     df = spark.range(1000).select((F.col("id") % 7).cast("double").alias("v"), F.col("id").cast("string").alias("name"))
-    got = ranking.with_rank(df.repartition(5), "v", ["name"]).orderBy("rank").collect()
+    got = ranking.with_rank(df.repartition(5), "v", ["name"], few=few).orderBy("rank").collect()
     want = sorted(((r.v, r.name) for r in df.collect()), key=lambda x: (-x[0], x[1]))
     assert [(r.v, r.name) for r in got] == want
     assert [r.rank for r in got] == list(range(1, 1001))
