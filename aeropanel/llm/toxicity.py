@@ -6,9 +6,9 @@ score of a text that holds both, so an insult next to the mention of a group can
 
 Terms that do not separate the labels are left out first, in two steps. One grouping over the sample counts, per term, the
 toxic and the other texts with it, and a chi-square test keeps what is more frequent in toxic ones. The same counts among
-only the texts that hold a strong term then keep what tells toxic from other texts there, in either direction, so a term
-as common in clean texts as in toxic ones is learned if it makes an insult worse or harmless. Pairs of which neither
-term is more frequent in toxic texts are not found. What the driver sees is bounded: `max_labelled` rows with the few
+only the texts that hold a strong term then keep what is far more frequent in toxic ones there, so a term as common in
+clean texts as in toxic ones is learned if it makes an insult worse. Left out are terms that speak for clean texts, and
+pairs of which neither term is more frequent in toxic texts. What the driver sees is bounded: `max_labelled` rows with the few
 terms that were kept, and at most 2**20 terms.
 
 Defined cases: a missing text is an empty one; a text without known terms gets the score of the intercept; labels that
@@ -35,7 +35,6 @@ PREFIXES = (4, 5, 6)
 MAX_LABELLED = 20_000
 MIN_CHI2 = 6.0
 STRONG_CHI2 = 33.0  # one of 10**8 unrelated terms, so none of the 2**20
-PAIR_CHI2 = 10.8  # one of 1000
 THRESHOLD = 0.3
 
 
@@ -195,7 +194,7 @@ def fit(documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLE
     terms = np.sort(telling.column("term").to_numpy())
     strong = telling.filter(pc.field("chi2") >= STRONG_CHI2).column("term").to_numpy()
     if len(strong):
-        beside = _tested(sample, f"{path}-pairs", strong).filter(pc.field("chi2") >= PAIR_CHI2)
+        beside = _tested(sample, f"{path}-pairs", strong).filter(pc.field("speaks") & (pc.field("chi2") >= STRONG_CHI2))
         terms = np.union1d(terms, beside.column("term").to_numpy())
 
     def held_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
