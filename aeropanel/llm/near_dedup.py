@@ -16,12 +16,12 @@ shingle and sample by look-ups.
 Documents of equal words are one class from the start and are never paired. The others are compared in four rounds, whatever
 the size of a bucket (documents of equal samples in a band): each with the most central member of its largest bucket; then
 those of different components with the central members of all their buckets, or with all members of small ones; then the
-members of buckets that are still open by a second band, where texts that resemble each other meet again and those that
-share a passage hardly do. At last what is left of open buckets is compared in blocks of signatures; the members that agree
+members of buckets that are still open by two of their open bands, where texts that resemble each other meet again and those
+that share a passage hardly do. At last what is left of open buckets is compared in blocks of signatures; the members that agree
 often enough with one of another component come with their texts, and the block verifies pairs itself, skips what its links
 have joined, and gives out one link per join. So no table holds pairs that fail, and a group gives at most a link per member
 and block. No pair that shares a band is passed over; the comparison in blocks is quadratic in what is left of a bucket, in
-numbers per pair.
+numbers per pair of different components.
 
 Defined cases: documents without words resemble nothing and each is its own class; missing ids sort after all others;
 repeated rows are copies; without documents there are no classes. Other columns pass through `without_copies`.
@@ -36,7 +36,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aeropanel.llm import texts
@@ -45,6 +45,7 @@ from aeropanel.session import scratch_path
 
 SIMILARITY = 0.8
 BANDS, ROWS = 16, 4
+BAND_BITS = 4
 SAMPLES = BANDS * ROWS
 SKETCH_BITS = 20
 SKETCH_ROWS = 2
@@ -52,6 +53,7 @@ CHUNK_BITS = 14
 IDF_SPREAD = 0.25
 POOL_BITS = 16
 FEW_MEMBERS = 8
+NEXT_BANDS = 2
 BLOCK_SHINGLES = 8192
 BLOCK_MEMBERS = 2048
 BLOCK_BYTES = 16 << 20
@@ -204,9 +206,12 @@ def _signatures(shared):
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         signatures = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint32).reshape(-1, BANDS, ROWS)
-        keys = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), signatures.shape[:2]).copy()
+        band = np.arange(BANDS, dtype=np.uint64)
+        keys = np.broadcast_to(band, signatures.shape[:2]).copy()
         for row in range(ROWS):
             keys = texts.mixed(keys * np.uint64(0x9E3779B97F4A7C15) + signatures[:, :, row])
+        # the keys of a node sort by band
+        keys = keys >> np.uint64(BAND_BITS) | band << np.uint64(64 - BAND_BITS)
         nodes = np.repeat(batch.column("node").to_numpy(), BANDS)
         yield pa.record_batch([pa.array(keys.ravel().view(np.int64)), pa.array(nodes)], names=["key", "node"])
 
@@ -240,13 +245,18 @@ def _block_pairs(rows: list[tuple]) -> Iterator[tuple[int, np.ndarray, np.ndarra
     # a block of one part has no other side
     within = low.all()
     one, two = np.flatnonzero(low), np.flatnonzero(low if within else ~low)
+    # members of one component are not compared: only those of the labels before and behind, when sorted by it
+    two = two[np.argsort(label[two], kind="stable")]
     others, other_labels = signature[two], label[two]
-    for i, at in enumerate(one):
-        begin = i + 1 if within else 0
-        agreed = (others[begin:] == signature[at]).mean(axis=1)
-        met = (agreed >= LEAST_AGREEMENT) & (other_labels[begin:] != label[at])
-        if met.any():
-            yield int(at), two[begin:][met], agreed[met]
+    if within:
+        one = two
+    for at in one:
+        low_end, high_end = np.searchsorted(other_labels, label[at], "left"), np.searchsorted(other_labels, label[at], "right")
+        for begin, end in ([(high_end, len(two))] if within else [(0, low_end), (high_end, len(two))]):
+            agreed = (others[begin:end] == signature[at]).mean(axis=1)
+            met = agreed >= LEAST_AGREEMENT
+            if met.any():
+                yield int(at), two[begin:end][met], agreed[met]
 
 
 def _candidates_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -333,16 +343,27 @@ def _members(keyed: DataFrame, path: str) -> DataFrame:
     return _written(keyed.join(sizes, "key"), path)
 
 
-def _redealt(active: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Members of buckets that are still open -> key, node by each of their other bands besides."""
+def _redealt(active: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of large buckets that are still open -> key, node by each two of their open bands that follow each other.
+
+    Members of different components that were not compared share open large buckets only: in small ones all were. So other
+    bands need not be looked at, and a member gives at most NEXT_BANDS rows per open bucket.
+    """
     placed = active.select("key", "node").join(labels.withColumnRenamed("label", "_label"), "node", "left")
     placed = placed.withColumn("_label", F.coalesce("_label", "node"))
     open_ = placed.groupBy("key").agg(F.min("_label").alias("low"), F.max("_label").alias("high")).filter("low <> high").select("key")
     inside = placed.join(open_, "key", "left_semi").select("key", "node")
-    signed = nodes.join(inside.select("node").distinct(), "node", "left_semi").select("node", "signature")
-    others = texts.map_batches(signed, _bands, "key long, node long").toDF("other", "node")
-    both = inside.join(others, "node").filter(F.col("key") != F.col("other"))
-    return both.select(F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key"), "node").distinct()
+    # at most BANDS keys, in the order of bands; the last is followed by the first
+    keys = inside.groupBy("node").agg(F.sort_array(F.collect_set("key")).alias("keys")).filter(F.size("keys") > 1)
+
+    def with_next(step: int) -> Column:
+        def both(key: Column, at: Column) -> Column:
+            other = F.get("keys", (at + step) % F.size("keys"))
+            return F.when(key != other, F.xxhash64(F.least(key, other), F.greatest(key, other)))
+        return F.transform("keys", both)
+
+    pairs = [with_next(step) for step in range(1, NEXT_BANDS + 1)]
+    return keys.select(F.explode(F.array_distinct(F.array_compact(F.concat(*pairs)))).alias("key"), "node")
 
 
 def _left_over(members: DataFrame, labels: DataFrame, signatures: DataFrame, words: DataFrame, shared, similarity: float, path: str) -> DataFrame:
@@ -426,7 +447,8 @@ def _links(spark: SparkSession, nodes: DataFrame, documents: DataFrame, shared,
     labels = compared(largest.distinct(), "largest")
     labels = compared(_open_pairs(central, labels, f"{path}/all"), "all")
     large = members.filter(F.col("n") > FEW_MEMBERS)
-    again = _central(_members(_redealt(large, labels, nodes), f"{path}/members-again"), f"{path}/central-again")
+    redealt = _written(_redealt(large, labels), f"{path}/redealt")
+    again = _central(_members(redealt, f"{path}/members-again"), f"{path}/central-again")
     labels = compared(_open_pairs(again, labels, f"{path}/again"), "again")
     edges.append(_left_over(members, labels, signatures, words, shared, similarity, path))
     return _written(components(reduce(DataFrame.union, edges)), f"{path}/labels-left")

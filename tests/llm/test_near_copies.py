@@ -132,6 +132,34 @@ def test_pairs_that_share_only_a_large_bucket_are_compared(spark, monkeypatch, m
     assert len({c for _, c in got}) == 40
 
 
+def test_members_of_open_buckets_are_dealt_again_by_few_rows_each(spark):
+    """300 nodes with 16 open buckets, 2 with one, and a bucket whose members are joined already."""
+    key = lambda band, bucket: band << 60 | bucket if band < 8 else (band - 16) << 60 | bucket
+    rows = [(key(band, (i // 2) % 3 if band % 2 else 0), i) for i in range(300) for band in range(16)]
+    rows += [(key(0, 5), 300), (key(0, 5), 301), (key(0, 6), 400), (key(1, 6), 400), (key(0, 6), 401), (key(1, 6), 401)]
+    labels = spark.createDataFrame([(400, 400), (401, 400)], "node long, label long")
+    found = near_dedup._redealt(spark.createDataFrame(rows, "key long, node long"), labels).collect()
+    assert len(found) <= near_dedup.NEXT_BANDS * len(rows) and {r.node for r in found} == set(range(300))
+    met = {}
+    for r in found:
+        met.setdefault(r.key, set()).add(r.node)
+    # equal keys: together everywhere
+    assert all((2 * i in held) == (2 * i + 1 in held) for held in met.values() for i in range(150))
+
+
+def test_a_block_compares_different_labels_only_and_all_of_them():
+    rng = np.random.default_rng(17)
+    signatures = rng.integers(0, 2, (30, near_dedup.SAMPLES)).astype(np.uint32)
+    labels = rng.integers(0, 4, 30)
+    for lows in (np.ones(30, bool), rng.random(30) < 0.4):
+        rows = [(1, bool(lows[i]), i, int(labels[i]), signatures[i].tobytes()) for i in range(30)]
+        got = [tuple(sorted((at, int(o)))) for at, others, _ in near_dedup._block_pairs(rows) for o in others]
+        agree = lambda i, j: (signatures[i] == signatures[j]).mean() >= near_dedup.LEAST_AGREEMENT
+        want = {(i, j) for i in range(30) for j in range(i + 1, 30)
+                if labels[i] != labels[j] and agree(i, j) and (lows.all() or lows[i] != lows[j])}
+        assert want and sorted(got) == sorted(want)
+
+
 def test_samples_agree_as_often_as_the_weighted_jaccard_similarity():
     rng = np.random.default_rng(3)
     hashes = texts.mixed(np.arange(1, 3001, dtype=np.uint64))
