@@ -468,7 +468,8 @@ def _study(spark: SparkSession, sf_dir: str) -> ml.Study:
 def model_queries() -> dict[str, Query]:
     def quality(kind: str) -> Query:
         def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-            rows, test = ml.split(ml.ml_frame(clean_panel(spark, sf_dir)))
+            # written once: the medians alone read the rows several times
+            rows, test = ml.split(table_of(spark, ml.ml_frame(clean_panel(spark, sf_dir)), "panel"))
             return ml.evaluate(ml.score(ml.train(rows, kind), test))
         return query
 

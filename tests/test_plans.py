@@ -109,3 +109,9 @@ def test_survivor_filter_on_city_reaches_below_the_dedup(spark, clean, tmp_path)
     clean.write.parquet(path)
     one = cleaning.dedup_city_day(spark.read.parquet(path), ["k"]).filter("City = 'NATION_1'")
     assert "EqualTo(City,NATION_1)" in plan_of(one)
+
+
+def test_models_read_the_raw_rows_once(spark):
+    """What scores the test rows reads the panel that was written, not the orders again."""
+    plan = QUERIES["linear_regression"](spark, SMOKE)._jdf.queryExecution().optimizedPlan().toString()
+    assert "o_orderkey" not in plan and "Join" not in plan
