@@ -29,19 +29,45 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return hooked.filter(F.col("a") != F.col("b")).distinct()
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every edge (a, b), with a > b, leads from a node without another edge to one that leads nowhere."""
+    ends = edges.select(F.inline(F.array(
+        F.struct(F.col("a").alias("node"), F.lit(1).alias("up")), F.struct(F.col("b").alias("node"), F.lit(0).alias("up")))))
+    per_node = ends.groupBy("node").agg(F.sum("up").alias("up"), F.count("*").alias("n"))
+    return per_node.filter((F.col("up") > 0) & (F.col("n") > 1)).count() == 0
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Edges (a, b) of integers -> node, label: the smallest node of its component, for every node with an edge.
 
     Each step is a grouping that combines before its shuffle and a join, so a node with very many neighbours splits;
-    rows never exceed the edges plus the nodes. Steps are written, so a lost executor costs its tasks only.
+    rows never exceed the edges plus the nodes. Steps are written, so a lost executor costs its tasks only. They end with the
+    first whose edges all lead from a node to the smallest of its component.
     """
     path = scratch_path(edges.sparkSession, "components")
-    state = lambda e: e.agg(F.count("*"), F.sum(F.hash("a", "b").cast("decimal(38,0)"))).first()
-    now = _written(edges.select("a", "b").filter(F.col("a") != F.col("b")).distinct(), f"{path}/0")
-    before, step = None, 0
-    while (after := state(now)) != before:
-        before, step = after, step + 1
+    downwards = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    now, step = _written(downwards.filter(F.col("a") != F.col("b")).distinct(), f"{path}/0"), 0
+    while not _are_stars(now):
+        step += 1
         now = _written(_star(_star(now, large=True), large=False), f"{path}/{step}")
-    # every edge now leads from a node to the smallest of its component
     roots = now.select(F.col("b").alias("node")).distinct().withColumn("label", F.col("node"))
     return now.select(F.col("a").alias("node"), F.col("b").alias("label")).union(roots)
+
+
+def with_links(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """node, label after more links (a, b), from `labels` that `components` found before; the same frame if they join nothing.
+
+    A component found before counts as one node, so only what the links join is gone through again.
+    """
+    path = scratch_path(labels.sparkSession, "links")
+    known = links
+    for end in ("a", "b"):
+        named = labels.select(F.col("node").alias(end), F.col("label").alias("_label"))
+        known = known.join(named, end, "left").withColumn(end, F.coalesce("_label", end)).drop("_label")
+    between = _written(known.select("a", "b").filter(F.col("a") != F.col("b")).distinct(), path)
+    if not between.count():
+        return labels
+    joined = components(between)
+    # what has no label yet is its own
+    every = labels.select("node", "label").union(joined.select("node", F.col("node").alias("label"))).distinct()
+    return every.join(joined.toDF("label", "_label"), "label", "left").select("node", F.coalesce("_label", "label").alias("label"))

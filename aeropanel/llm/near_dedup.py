@@ -30,7 +30,7 @@ repeated rows are copies; without documents there are no classes. Other columns
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache, reduce
+from functools import cache
 from math import log
 from typing import NamedTuple
 
@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aeropanel.llm import texts
-from aeropanel.llm.components import components
+from aeropanel.llm.components import components, with_links
 from aeropanel.session import scratch_path
 
 SIMILARITY = 0.8
@@ -124,7 +124,8 @@ def document_frequencies(documents: DataFrame) -> Frequencies:
     added = parts.repartition("chunk").mapInArrow(_add_chunks, "chunk long, documents long, counts binary")
     counts = np.zeros((chunks, 1 << CHUNK_BITS), np.float32)
     n = 0
-    for row in added.toLocalIterator():
+    # of a fixed size, and in one job: an iterator runs one per partition
+    for row in added.collect():
         counts[row.chunk] = np.frombuffer(row.counts, "<f4")
         n += row.documents
     return Frequencies(n, counts.reshape(SKETCH_ROWS, -1))
@@ -427,9 +428,8 @@ def _links(spark: SparkSession, nodes: DataFrame, documents: DataFrame, shared,
     words = _written(given.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
                      .groupBy("node").agg(F.max("text").alias("text")), f"{path}/texts")
     tested: list[DataFrame] = []
-    edges: list[DataFrame] = []
 
-    def compared(pairs: DataFrame, name: str) -> DataFrame:
+    def compared(pairs: DataFrame, name: str, labels: DataFrame | None = None) -> DataFrame:
         """Labels after the links among `pairs` that were not compared before."""
         for before in tested:
             pairs = pairs.join(before, ["a", "b"], "left_anti")
@@ -438,20 +438,23 @@ def _links(spark: SparkSession, nodes: DataFrame, documents: DataFrame, shared,
         signed = pairs.join(signatures.toDF("a", "sig_a"), "a").join(signatures.toDF("b", "sig_b"), "b")
         near = texts.map_batches(signed, _agreeing, "a long, b long")
         whole = near.join(words.toDF("a", "text_a"), "a").join(words.toDF("b", "text_b"), "b")
-        edges.append(_written(texts.map_batches(whole, _similar(shared, similarity), "a long, b long"), f"{path}/links-{name}"))
-        return _written(components(reduce(DataFrame.union, edges)), f"{path}/labels-{name}")
+        links = _written(texts.map_batches(whole, _similar(shared, similarity), "a long, b long"), f"{path}/links-{name}")
+        return relabelled(labels, links, name)
+
+    def relabelled(labels: DataFrame | None, links: DataFrame, name: str) -> DataFrame:
+        after = components(links) if labels is None else with_links(labels, links)
+        return labels if after is labels else _written(after, f"{path}/labels-{name}")
 
     # four rounds, however large the buckets: each node in its largest bucket, all buckets, open members dealt again, the rest
     central = _central(members, f"{path}/central")
     largest = central.filter("best AND node <> centre").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
     labels = compared(largest.distinct(), "largest")
-    labels = compared(_open_pairs(central, labels, f"{path}/all"), "all")
+    labels = compared(_open_pairs(central, labels, f"{path}/all"), "all", labels)
     large = members.filter(F.col("n") > FEW_MEMBERS)
     redealt = _written(_redealt(large, labels), f"{path}/redealt")
     again = _central(_members(redealt, f"{path}/members-again"), f"{path}/central-again")
-    labels = compared(_open_pairs(again, labels, f"{path}/again"), "again")
-    edges.append(_left_over(members, labels, signatures, words, shared, similarity, path))
-    return _written(components(reduce(DataFrame.union, edges)), f"{path}/labels-left")
+    labels = compared(_open_pairs(again, labels, f"{path}/again"), "again", labels)
+    return relabelled(labels, _left_over(members, labels, signatures, words, shared, similarity, path), "left")
 
 
 def _classified(documents: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:

@@ -137,7 +137,7 @@ def train(owner: np.ndarray, terms: np.ndarray, toxic: np.ndarray, n_terms: int,
     weights, vectors = np.zeros(n_terms), rng.normal(0, 0.01, (n_terms, factors))
     intercept = float(np.log(toxic.mean() / (1 - toxic.mean())))
     past_w, past_v, past_b = np.full(n_terms, 0.1), np.full((n_terms, factors), 0.1), 1.0
-    bounds = np.searchsorted(owner, np.arange(len(toxic) + 1))
+    bounds = np.searchsorted(owner, np.arange(len(toxic) + 1, dtype=owner.dtype))
     order = np.arange(len(toxic))
     for _ in range(epochs):
         rng.shuffle(order)
@@ -202,15 +202,15 @@ def fit(documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLE
         for batch in batches:
             owner, places = _known_terms(texts.column_texts(batch.column("text")), table)
             cuts = np.searchsorted(owner, np.arange(batch.num_rows + 1))
-            held = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(places, pa.int64()))
+            held = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(places.astype(np.int32)))
             yield pa.record_batch([batch.column("doc_id"), batch.column("toxic"), held], names=["doc_id", "toxic", "terms"])
 
-    schema = f"doc_id {dict(sample.dtypes)['doc_id']}, toxic int, terms array<long>"
+    schema = f"doc_id {dict(sample.dtypes)['doc_id']}, toxic int, terms array<int>"
     learned = texts.map_batches(sample, held_terms, schema).toArrow().sort_by("doc_id").combine_chunks()
     sizes = np.array(pc.list_value_length(learned.column("terms")))
-    flat = np.array(pc.list_flatten(learned.column("terms")), np.int64)
+    flat = np.array(pc.list_flatten(learned.column("terms")), np.int32)
     toxic = np.array(learned.column("toxic"), float)
-    return Model(terms, *train(np.repeat(np.arange(len(sizes)), sizes), flat, toxic, len(terms)))
+    return Model(terms, *train(np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), flat, toxic, len(terms)))
 
 
 def score(documents: DataFrame, model: Model, name: str = "score") -> DataFrame:

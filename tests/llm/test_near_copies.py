@@ -6,6 +6,7 @@ from math import log
 import numpy as np
 import pytest
 
+from aeropanel.llm import components as components_module
 from aeropanel.llm import near_dedup, texts
 from aeropanel.llm.components import components
 
@@ -198,3 +199,37 @@ def test_components_of_chains_and_stars(spark):
     got = {r.node: r.label for r in components(df).collect()}
     want = dict.fromkeys(range(100, 141), 100) | dict.fromkeys(range(1, 60), 1) | {5000: 1}
     assert got == want
+
+
+def test_labels_after_more_links_equal_those_of_all_links(spark):
+    rng = np.random.default_rng(3)
+    before, more = rng.integers(0, 400, (150, 2)).tolist(), rng.integers(0, 600, (120, 2)).tolist()
+    as_links = lambda rows: spark.createDataFrame(rows, "a long, b long")
+    labels_of = lambda df: {r.node: r.label for r in df.collect()}
+    labels = components(as_links(before)).persist()
+    got = components_module.with_links(labels, as_links(more))
+    rows = got.collect()
+    assert len(rows) == len({r.node for r in rows}) and labels_of(got) == labels_of(components(as_links(before + more)))
+    assert components_module.with_links(labels, as_links(before + [[700, 700]])) is labels
+    labels.unpersist()
+
+
+def test_stars_need_no_step(spark, monkeypatch):
+    monkeypatch.setattr(components_module, "_star", None)
+    df = spark.createDataFrame([(1, i) for i in range(2, 60)] + [(90, 80), (80, 90), (95, 80)], "a long, b long")
+    assert {r.node: r.label for r in components(df).collect()} == dict.fromkeys(range(1, 60), 1) | dict.fromkeys((80, 90, 95), 80)
+
+
+def test_frequencies_reach_the_driver_in_few_jobs(spark):
+    options = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    kept = {k: spark.conf.get(k) for k in options}
+    tracker = spark.sparkContext.statusTracker()
+    try:
+        for k, v in options.items():
+            spark.conf.set(k, v)
+        before = len(tracker.getJobIdsForGroup(None))
+        near_dedup.document_frequencies(spark.createDataFrame(documents()[:20], "doc_id long, text string"))
+        assert len(tracker.getJobIdsForGroup(None)) - before <= 4
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
