@@ -5,12 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aeropanel.session import scratch_path
-
-
-def _written(df: DataFrame, path: str) -> DataFrame:
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+from aeropanel.session import scratch_path, written
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -45,11 +40,20 @@ def components(edges: DataFrame) -> DataFrame:
     first whose edges all lead from a node to the smallest of its component.
     """
     path = scratch_path(edges.sparkSession, "components")
-    downwards = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    now, step = _written(downwards.filter(F.col("a") != F.col("b")).distinct(), f"{path}/0"), 0
+    return _labelled(written(_downwards(edges), f"{path}/0"), path)
+
+
+def _downwards(edges: DataFrame) -> DataFrame:
+    """Every edge once, from its larger node to its smaller one."""
+    return edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter(F.col("a") != F.col("b")).distinct()
+
+
+def _labelled(now: DataFrame, path: str) -> DataFrame:
+    """node, label for written edges that lead downwards."""
+    step = 0
     while not _are_stars(now):
         step += 1
-        now = _written(_star(_star(now, large=True), large=False), f"{path}/{step}")
+        now = written(_star(_star(now, large=True), large=False), f"{path}/{step}")
     roots = now.select(F.col("b").alias("node")).distinct().withColumn("label", F.col("node"))
     return now.select(F.col("a").alias("node"), F.col("b").alias("label")).union(roots)
 
@@ -64,10 +68,10 @@ def with_links(labels: DataFrame, links: DataFrame) -> DataFrame:
     for end in ("a", "b"):
         named = labels.select(F.col("node").alias(end), F.col("label").alias("_label"))
         known = known.join(named, end, "left").withColumn(end, F.coalesce("_label", end)).drop("_label")
-    between = _written(known.select("a", "b").filter(F.col("a") != F.col("b")).distinct(), path)
+    between = written(_downwards(known), f"{path}/0")
     if not between.count():
         return labels
-    joined = components(between)
+    joined = _labelled(between, path)
     # what has no label yet is its own
     every = labels.select("node", "label").union(joined.select("node", F.col("node").alias("label"))).distinct()
     return every.join(joined.toDF("label", "_label"), "label", "left").select("node", F.coalesce("_label", "label").alias("label"))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aeropanel.llm import texts
-from aeropanel.session import scratch_path
+from aeropanel.session import scratch_path, written
 
 CONTAINMENT = 0.8
 MISS_BITS = 30
@@ -166,8 +166,7 @@ def find_items(documents: DataFrame, items: DataFrame, containment: float = CONT
     """
     spark = documents.sparkSession
     path = scratch_path(spark, "decontaminate")
-    items.select(F.monotonically_increasing_id().alias("_item"), "item_id", "text").write.parquet(f"{path}/items")
-    items = spark.read.parquet(f"{path}/items")
+    items = written(items.select(F.monotonically_increasing_id().alias("_item"), "item_id", "text"), f"{path}/items")
     sketches = texts.map_batches(items.select("_item", "text"), _item_sketches(containment),
                                  "_item long, hash long, item_level int, depth int, n_words long")
     array, bits = item_filter(sketches)
@@ -177,8 +176,7 @@ def find_items(documents: DataFrame, items: DataFrame, containment: float = CONT
     given = documents.select("doc_id", "text")
     held = texts.map_batches(given, _hits(spark.sparkContext.broadcast(array), bits, short),
                              f"{texts.ddl(given)}, _size long, _hashes array<long>, _levels array<int>")
-    held.withColumn("_row", F.monotonically_increasing_id()).write.parquet(f"{path}/held")
-    held = spark.read.parquet(f"{path}/held")
+    held = written(held.withColumn("_row", F.monotonically_increasing_id()), f"{path}/held")
 
     hits = held.select("_row", F.floor(F.log2("_size")).cast("int").alias("_class"), F.inline(F.arrays_zip(
         F.col("_hashes").alias("hash"), F.col("_levels").alias("level"))))

@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aeropanel.session import scratch_path
+from aeropanel.session import scratch_path, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
@@ -110,13 +110,9 @@ def taken_parts(documents: DataFrame, weights: Sequence[float] = WEIGHTS, share:
     The mix takes the whole document `once` times, and the stretches of its words in `parts` (first word, from 0, and
     number of words) once more.
     """
-    spark = documents.sparkSession
-    path = scratch_path(spark, "mixing")
+    path = scratch_path(documents.sparkSession, "mixing")
     # words are counted once
-    documents.write.parquet(f"{path}/sized")
-    placed = _offsets(spark.read.parquet(f"{path}/sized"), seed, shard_words)
-    placed.write.parquet(f"{path}/placed")
-    placed = spark.read.parquet(f"{path}/placed")
+    placed = written(_offsets(written(documents, f"{path}/sized"), seed, shard_words), f"{path}/placed")
 
     aimed = targets(placed.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
     everything = Window.partitionBy()
@@ -134,11 +130,10 @@ def taken_parts(documents: DataFrame, weights: Sequence[float] = WEIGHTS, share:
     bound = lambda block: F.floor(block * F.col("shard_size") / F.col("blocks"))
     of_shard = of_shard.withColumns({"blocks": blocks, "once": F.floor(quota / blocks).cast("int"), "extra": quota % blocks, "begin": begin})
     end = F.col("begin") + F.col("extra")
-    facts = of_shard.select(
+    facts = written(of_shard.select(
         F.col("source").alias("_source"), F.col("shard").alias("_shard"), "target", "once", bound(F.col("begin")).alias("_from"),
-        bound(F.least(end, F.col("blocks"))).alias("_to"), bound(F.greatest(end - F.col("blocks"), F.lit(0))).alias("_around"))
-    facts.write.parquet(f"{path}/shards")
-    facts = spark.read.parquet(f"{path}/shards")
+        bound(F.least(end, F.col("blocks"))).alias("_to"), bound(F.greatest(end - F.col("blocks"), F.lit(0))).alias("_around")),
+        f"{path}/shards")
 
     rows = placed.join(facts, F.col("source").eqNullSafe(F.col("_source")) & (F.col("shard") == F.col("_shard")))
 
@@ -169,12 +164,10 @@ def mixed(documents: DataFrame, **options) -> DataFrame:
 
     A document that is taken in part holds these words, parted by single blanks.
     """
-    spark = documents.sparkSession
-    path = scratch_path(spark, "mixing")
+    path = scratch_path(documents.sparkSession, "mixing")
     # rows get a number that stays
-    documents.select(F.struct("*").alias("row"), word_count(F.col("text")).alias("size"), F.monotonically_increasing_id().alias("_row")) \
-        .write.parquet(path)
-    numbered = spark.read.parquet(path)
+    numbered = written(documents.select(F.struct("*").alias("row"), word_count(F.col("text")).alias("size"),
+                                        F.monotonically_increasing_id().alias("_row")), path)
     sized = numbered.select("row.doc_id", "row.source", "size", F.xxhash64("row.text").alias("_tie"), "_row")
     taken = taken_parts(sized, **options).filter(F.col("taken") > 0).select(F.col("_row").alias("_taken_row"), "once", "parts")
     rows = numbered.join(taken, F.col("_row") == F.col("_taken_row"))

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from aeropanel.llm import texts
 from aeropanel.llm.components import components, with_links
-from aeropanel.session import scratch_path
+from aeropanel.session import scratch_path, written
 
 SIMILARITY = 0.8
 BANDS, ROWS = 16, 4
@@ -332,16 +332,11 @@ def _similar(shared, similarity: float):
     return run
 
 
-def _written(df: DataFrame, path: str) -> DataFrame:
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def _members(keyed: DataFrame, path: str) -> DataFrame:
     """key, node, n of the buckets with more than one member."""
     # written, so that the join reads both sides by plain exchanges and a frequent key can be split
-    sizes = _written(keyed.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > 1), f"{path}-sizes")
-    return _written(keyed.join(sizes, "key"), path)
+    sizes = written(keyed.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > 1), f"{path}-sizes")
+    return written(keyed.join(sizes, "key"), path)
 
 
 def _redealt(active: DataFrame, labels: DataFrame) -> DataFrame:
@@ -373,7 +368,7 @@ def _left_over(members: DataFrame, labels: DataFrame, signatures: DataFrame, wor
     large = large.join(words.select("node", F.octet_length("text").cast("long").alias("bytes")), "node")
     open_ = large.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.sum("bytes").alias("held")).filter("low <> high")
     # written, so that the join reads both sides by plain exchanges and a frequent key can be split
-    open_ = _written(open_.select("key", "held"), f"{path}/left-keys")
+    open_ = written(open_.select("key", "held"), f"{path}/left-keys")
     parts = F.ceil(F.col("n") / BLOCK_MEMBERS + F.col("held") / BLOCK_BYTES)
     placed = large.join(open_, "key").withColumn("part", F.pmod(F.xxhash64("node", F.lit(1)), parts))
     placed = placed.select("key", "node", "label", "part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("other"))
@@ -382,8 +377,8 @@ def _left_over(members: DataFrame, labels: DataFrame, signatures: DataFrame, wor
     in_order = lambda df: df.repartition("block").sortWithinPartitions("block")
     # only members that agree with another are sent with their texts
     wanted = texts.map_batches(in_order(placed), _candidates_in_blocks, "block long, low boolean, node long, label long")
-    wanted = _written(wanted, f"{path}/left-wanted").join(signatures, "node").join(words, "node")
-    return _written(texts.map_batches(in_order(wanted), _linked_in_blocks(shared, similarity), "a long, b long").distinct(), f"{path}/links-left")
+    wanted = written(wanted, f"{path}/left-wanted").join(signatures, "node").join(words, "node")
+    return texts.map_batches(in_order(wanted), _linked_in_blocks(shared, similarity), "a long, b long")
 
 
 def _central(members: DataFrame, path: str) -> DataFrame:
@@ -394,12 +389,12 @@ def _central(members: DataFrame, path: str) -> DataFrame:
     comparison links most of a group, whatever its size.
     """
     of_node = members.groupBy("node").agg(F.sum("n").alias("central"), F.max(F.struct("n", "key")).alias("largest"))
-    placed = _written(members.join(of_node, "node").select("key", "node", "n", "central", (F.col("key") == F.col("largest.key")).alias("best")),
+    placed = written(members.join(of_node, "node").select("key", "node", "n", "central", (F.col("key") == F.col("largest.key")).alias("best")),
                       f"{path}-placed")
     # written, so that the join reads both sides by plain exchanges and a frequent key can be split
-    centre = _written(placed.groupBy(F.col("key").alias("_key")).agg(F.max(F.struct("central", "node"))["node"].alias("centre")), f"{path}-centres")
+    centre = written(placed.groupBy(F.col("key").alias("_key")).agg(F.max(F.struct("central", "node"))["node"].alias("centre")), f"{path}-centres")
     pivot = (F.col("node") == F.col("centre")) | (F.col("n") <= FEW_MEMBERS)
-    return _written(placed.join(centre, F.col("key") == F.col("_key")).select("key", "node", "n", "best", "centre", pivot.alias("pivot")), path)
+    return written(placed.join(centre, F.col("key") == F.col("_key")).select("key", "node", "n", "best", "centre", pivot.alias("pivot")), path)
 
 
 def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -411,7 +406,7 @@ def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 def _open_pairs(members: DataFrame, labels: DataFrame, path: str) -> DataFrame:
     """a, b: members of different components and the pivots of their buckets."""
-    placed = _written(_labelled(members, labels), f"{path}-labelled")
+    placed = written(_labelled(members, labels), f"{path}-labelled")
     chosen = placed.filter("pivot").select(F.col("key").alias("_key"), F.col("node").alias("_node"), F.col("label").alias("_label"))
     return placed.join(chosen, (F.col("key") == F.col("_key")) & (F.col("label") != F.col("_label"))).select(
         F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b")).distinct()
@@ -425,7 +420,7 @@ def _links(spark: SparkSession, nodes: DataFrame, documents: DataFrame, shared,
         "node", F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
     given = documents.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     # rows of equal id and text are one text
-    words = _written(given.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
+    words = written(given.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
                      .groupBy("node").agg(F.max("text").alias("text")), f"{path}/texts")
     tested: list[DataFrame] = []
 
@@ -433,17 +428,17 @@ def _links(spark: SparkSession, nodes: DataFrame, documents: DataFrame, shared,
         """Labels after the links among `pairs` that were not compared before."""
         for before in tested:
             pairs = pairs.join(before, ["a", "b"], "left_anti")
-        pairs = _written(pairs, f"{path}/pairs-{name}")
+        pairs = written(pairs, f"{path}/pairs-{name}")
         tested.append(pairs)
         signed = pairs.join(signatures.toDF("a", "sig_a"), "a").join(signatures.toDF("b", "sig_b"), "b")
         near = texts.map_batches(signed, _agreeing, "a long, b long")
         whole = near.join(words.toDF("a", "text_a"), "a").join(words.toDF("b", "text_b"), "b")
-        links = _written(texts.map_batches(whole, _similar(shared, similarity), "a long, b long"), f"{path}/links-{name}")
-        return relabelled(labels, links, name)
+        # read once, by the table that labels are made from
+        return relabelled(labels, texts.map_batches(whole, _similar(shared, similarity), "a long, b long"), name)
 
     def relabelled(labels: DataFrame | None, links: DataFrame, name: str) -> DataFrame:
         after = components(links) if labels is None else with_links(labels, links)
-        return labels if after is labels else _written(after, f"{path}/labels-{name}")
+        return labels if after is labels else written(after, f"{path}/labels-{name}")
 
     # four rounds, however large the buckets: each node in its largest bucket, all buckets, open members dealt again, the rest
     central = _central(members, f"{path}/central")
@@ -451,7 +446,7 @@ def _links(spark: SparkSession, nodes: DataFrame, documents: DataFrame, shared,
     labels = compared(largest.distinct(), "largest")
     labels = compared(_open_pairs(central, labels, f"{path}/all"), "all", labels)
     large = members.filter(F.col("n") > FEW_MEMBERS)
-    redealt = _written(_redealt(large, labels), f"{path}/redealt")
+    redealt = written(_redealt(large, labels), f"{path}/redealt")
     again = _central(_members(redealt, f"{path}/members-again"), f"{path}/central-again")
     labels = compared(_open_pairs(again, labels, f"{path}/again"), "again", labels)
     return relabelled(labels, _left_over(members, labels, signatures, words, shared, similarity, path), "left")
@@ -464,12 +459,12 @@ def _classified(documents: DataFrame, similarity: float) -> tuple[DataFrame, Dat
     shared = spark.sparkContext.broadcast(document_frequencies(documents))
     given = documents.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     signed = texts.map_batches(given, _signatures(shared), f"doc_id {dict(given.dtypes)['doc_id']}, text_hash long, content string, signature binary")
-    signed = _written(signed, f"{path}/signed")
+    signed = written(signed, f"{path}/signed")
     worded = signed.filter(F.col("content").isNotNull())
     # missing ids sort after all others
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first")
     classes = worded.groupBy("content").agg(first, F.min("signature").alias("signature"))
-    nodes = _written(classes.select(F.monotonically_increasing_id().alias("node"), "content", "first", "signature"), f"{path}/nodes")
+    nodes = written(classes.select(F.monotonically_increasing_id().alias("node"), "content", "first", "signature"), f"{path}/nodes")
     told = nodes.select("node", "signature", "first.doc_id", "first.text_hash")
     labels = _links(spark, told, documents, shared, similarity, path)
     shared.destroy()  # all that needs it is written
@@ -490,7 +485,7 @@ def without_copies(documents: DataFrame, similarity: float = SIMILARITY) -> Data
     """The documents without near copies, one of each class, with their columns."""
     classes, _ = _classified(documents, similarity)
     path = scratch_path(documents.sparkSession, "near")
-    classes = _written(classes, f"{path}/classes")
+    classes = written(classes, f"{path}/classes")
     own = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("text_hash") == F.col("class_hash"))
     rows = documents.select(F.struct("*").alias("row"))
     same = F.col("row.doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("row.text") == F.col("_hash"))

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aeropanel.llm import texts
-from aeropanel.session import scratch_path
+from aeropanel.session import scratch_path, written
 
 TERM_BITS = 20
 PREFIXES = (4, 5, 6)
@@ -95,14 +95,13 @@ def _count_terms(among: np.ndarray | None = None):
 
 
 def _tested(sample: DataFrame, path: str, among: np.ndarray | None = None) -> pa.Table:
-    """term, chi2 and whether it `speaks` for toxic, of terms with a chi-square of MIN_CHI2 or more; at most 2**20 rows."""
+    """term, chi2 of terms that speak for toxic with a chi-square of MIN_CHI2 or more; at most 2**20 rows."""
     counts = texts.map_batches(sample.select("text", "toxic"), _count_terms(among), "term long, toxic long, other long")
-    counts.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).write.parquet(path)
-    per_term = sample.sparkSession.read.parquet(path)
+    per_term = written(counts.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")), path)
     whole = per_term.filter(F.col("term") == ALL_TEXTS).first()
     chi2 = chi_square(F.col("toxic"), F.col("other"), whole.toxic, whole.other)
     speaks = F.col("toxic") * (whole.toxic + whole.other) > (F.col("toxic") + F.col("other")) * whole.toxic
-    tested = per_term.filter(F.col("term") != ALL_TEXTS).select("term", chi2.alias("chi2"), speaks.alias("speaks"))
+    tested = per_term.filter((F.col("term") != ALL_TEXTS) & speaks).select("term", chi2.alias("chi2"))
     return tested.filter(F.col("chi2") >= MIN_CHI2).toArrow()
 
 
@@ -184,17 +183,16 @@ def fit(documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLE
     rows = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(
         F.max("text").alias("text"))
     path = scratch_path(spark, "labelled")
-    rows.write.parquet(path)
-    sample = spark.read.parquet(path)
+    sample = written(rows, path)
     n, n_toxic = sample.agg(F.count("*"), F.sum("toxic")).first()
     if not n or not n_toxic or n_toxic == n:
         share = (n_toxic or 0) / n if n else 0.0
         return Model(np.zeros(0, np.int64), np.zeros(0), np.zeros((0, 1)), float("inf") if share else float("-inf"))
-    telling = _tested(sample, f"{path}-terms").filter(pc.field("speaks"))
+    telling = _tested(sample, f"{path}-terms")
     terms = np.sort(telling.column("term").to_numpy())
     strong = telling.filter(pc.field("chi2") >= STRONG_CHI2).column("term").to_numpy()
     if len(strong):
-        beside = _tested(sample, f"{path}-pairs", strong).filter(pc.field("speaks") & (pc.field("chi2") >= STRONG_CHI2))
+        beside = _tested(sample, f"{path}-pairs", strong).filter(pc.field("chi2") >= STRONG_CHI2)
         terms = np.union1d(terms, beside.column("term").to_numpy())
 
     def held_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,6 +208,8 @@ def fit(documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLE
     sizes = np.array(pc.list_value_length(learned.column("terms")))
     flat = np.array(pc.list_flatten(learned.column("terms")), np.int32)
     toxic = np.array(learned.column("toxic"), float)
+    del learned
+    pa.default_memory_pool().release_unused()  # training needs the arrays only
     return Model(terms, *train(np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), flat, toxic, len(terms)))
 
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from aeropanel.llm import decontaminate, mixing, near_dedup, repair, toxicity
-from aeropanel.session import scratch_path
+from aeropanel.session import scratch_path, written
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,7 +49,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Applies the stages to `documents`, each written and read again."""
     docs = _table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        path = scratch_path(spark, "pipeline-" + name.replace(" ", "-"))
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        docs = written(stage(spark, docs, sf_dir), scratch_path(spark, "pipeline-" + name.replace(" ", "-")))
     return docs

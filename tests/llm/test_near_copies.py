@@ -233,3 +233,13 @@ def test_frequencies_reach_the_driver_in_few_jobs(spark):
     finally:
         for k, v in kept.items():
             spark.conf.set(k, v)
+
+
+def test_tables_in_between_are_written_and_read_in_few_jobs(spark):
+    """A table is read by the schema it was written with, and links are written once."""
+    tracker = spark.sparkContext.statusTracker()
+    df = spark.createDataFrame(documents()[:60], "doc_id long, text string").repartition(2)
+    before = len(tracker.getJobIdsForGroup(None))
+    near_dedup.near_copies(df)
+    found = len(tracker.getJobIdsForGroup(None)) - before
+    assert 0 < found <= 115, found

@@ -102,3 +102,14 @@ def test_without_labels_and_without_documents(spark):
     assert toxicity.without_toxic(df, nothing).count() == 20
     assert {r.score for r in toxicity.toxic_documents(df, told.selectExpr("doc_id", "1 AS toxic")).collect()} == {1.0}
     assert toxicity.toxic_documents(df.limit(0), told).count() == 0
+
+
+def test_only_terms_that_speak_for_toxic_texts_reach_the_driver(spark, tmp_path):
+    docs, labels = made_up(400, 8)
+    truth = dict(labels)
+    sample = spark.createDataFrame([(t, truth[i]) for i, t, _ in docs], "text string, toxic int")
+    # a greeting that clean texts alone hold
+    sample = sample.selectExpr("if(toxic = 0, concat(text, ' greetings'), text) AS text", "toxic")
+    got = toxicity._tested(sample, f"{tmp_path}/terms").column("term").to_pylist()
+    numbers = lambda word: {int(n) for _, _, found, _ in toxicity.text_terms([word]) for n in found}
+    assert numbers("vilex") <= set(got) and not numbers("greetings") & set(got)
