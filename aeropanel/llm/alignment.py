@@ -38,8 +38,8 @@ from tokenizers import Tokenizer
 from aeropanel.llm.texts import map_batches
 from aeropanel.session import scratch_path
 
-CHUNK_LINKS = 1_500_000
-BATCH_BYTES = 1_500_000
+CHUNK_LINKS = 600_000
+BATCH_BYTES = 500_000
 MOST_UNITS = 150_000
 B_IDS = 1 << 32
 BLANK, SHIFT = 0x20, 40

@@ -5,6 +5,7 @@ from collections import Counter
 
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 from conftest import CHECK
@@ -94,3 +95,23 @@ def test_units_are_the_text():
     assert len(counts) == len(texts) and sum(counts) == len(units)
     assert b"".join(units.to_pylist()) == b"".join((" " + t).encode() for t in texts.to_pylist() if t)
     assert all(u.startswith(b" ") for u in units.to_pylist())
+
+
+def test_a_task_holds_few_texts_and_links_at_a_time(monkeypatch):
+    texts = pq.read_table(f"{CHECK}/documents.parquet", columns=["doc_id", "text"]).combine_chunks()
+    parts, held = [], []
+    plain, chunk = alignment.align, alignment._chunk
+
+    def align(tokenizers, column):
+        parts.append(column.nbytes)
+        return plain(tokenizers, column)
+
+    def chunked(ids, facts, links, schema):
+        held.append(sum(t.nbytes for t in links))
+        return chunk(ids, facts, links, schema)
+
+    monkeypatch.setattr(alignment, "align", align)
+    monkeypatch.setattr(alignment, "_chunk", chunked)
+    rows = sum(len(b) for b in alignment.aligned(A, B)(iter(pa.concat_tables([texts] * 4).to_batches())))
+    assert rows == 4 * len(texts) + len(held)
+    assert max(parts) < 600_000 and max(held) < 20_000_000
