@@ -49,7 +49,7 @@ class Model(NamedTuple):
 
 def text_terms(values: list[str]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first, last, term numbers, index of the text that holds each) for slices of a batch, with repeats."""
-    for part in texts.slices([t.lower() for t in values]):
+    for part in texts.slices([t.lower() for t in values], texts.WORD_SLICE_CHARS):
         starts, ends = texts.runs(texts.word_members(part.points), part.bounds)
         owner = np.searchsorted(part.bounds, starts, "right") - 1 + part.first
         hashes = [texts.span_hashes(part.points, starts, ends)]

@@ -71,3 +71,11 @@ def test_plain_texts_leave_out_what_unicode_versions_differ_on():
     part = next(texts.slices(["plain é ß", "no ", "日", ""]))
     assert pieces.plain_texts(part).tolist() == [True, False, False, True]
     assert np.array_equal(pieces.gather(np.arange(10), np.array([3, 0]), np.array([2, 3])), [3, 4, 0, 1, 2])
+
+
+def test_words_are_hashed_by_small_slices():
+    values = [f"own{i} " + "word other " * 5000 for i in range(40)]
+    parts = list(texts.word_hashes(values))
+    assert max(last - first for first, last, _, _ in parts) <= 3
+    alone = [h for v in values for _, _, hashes, _ in texts.word_hashes([v]) for h in hashes.tolist()]
+    assert [h for _, _, hashes, _ in parts for h in hashes.tolist()] == alone
