@@ -40,6 +40,9 @@ LEAST_USES = 64
 ROUND_SHARE = 4
 SYMBOLS = 1 << 16  # symbols of a shard are stored in 16 bits
 KNOWN_PIECES = 1_000_000
+KNOWN_IDS = 8_000_000
+SLOT_BITS = 22
+PAIR_BITS = 18  # counts that fit a cache
 MAGIC = b"RPID0001"
 MISSING_ID = -(1 << 63)
 
@@ -56,9 +59,14 @@ class PieceEncoder:
         for token, number in self.library.get_vocab(with_added_tokens=False).items():
             ends[number] = token.endswith("</w>")
         self.ends = ends
-        self._known: dict[int, int] = {}
-        self._pool, self._used = np.zeros(1 << 20, np.int32), 0
-        self._begin, self._size = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
+        self._forget()
+
+    def _forget(self) -> None:
+        """Empties the store of pieces: by the top bits of its hash, the last piece learned there; hash and ids of every piece."""
+        self._learned, self._used = 0, 0
+        self._place = np.full(1 << SLOT_BITS, -1, np.int32)
+        self._hash, self._begin, self._size = np.zeros(1 << 12, np.uint64), np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int32)
+        self._pool = np.zeros(1 << 16, np.int32)
 
     def _whole(self, values: list[str]) -> list[list[int]]:
         return [e.ids for e in self.library.encode_batch_fast(values, add_special_tokens=False)]
@@ -72,31 +80,39 @@ class PieceEncoder:
             return np.array([i for f in found for i in f], np.int32), np.array([len(f) for f in found])
         return ids, sizes
 
-    def _learn(self, hashes: list[int], names: list[str]) -> None:
+    def _learn(self, hashes: np.ndarray, names: list[str]) -> np.ndarray:
+        """Stores pieces and gives their places."""
+        before = self._learned
         for at in range(0, len(names), 2000):
             ids, sizes = self._pieces(names[at:at + 2000])
-            first = len(self._known)
+            first = self._learned
             begins = self._used + np.cumsum(sizes) - sizes
             self._pool = held(self._pool, self._used, ids)
+            self._hash = held(self._hash, first, hashes[at:at + 2000])
             self._begin, self._size = held(self._begin, first, begins), held(self._size, first, sizes)
             self._used += len(ids)
-            self._known.update(zip(hashes[at:at + 2000], range(first, first + len(sizes))))
+            self._learned += len(sizes)
+        places = np.arange(before, self._learned, dtype=np.int32)
+        # a piece takes the slot of another one, which is learned again if it comes again
+        self._place[_slots(hashes)] = places
+        return places
 
     def _places(self, joined: str, points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        code, distinct = pd.factorize(texts.span_hashes(points, starts, ends))
-        hashes = distinct.tolist()
-        known = self._known
-        new = [i for i, h in enumerate(hashes) if h not in known]
-        if new and len(known) + len(new) > KNOWN_PIECES:
-            known.clear()
-            self._used, new = 0, list(range(len(hashes)))
-        if new:
-            first = np.zeros(len(hashes), np.int64)
-            first[code[::-1]] = np.arange(len(code) - 1, -1, -1)
-            where = first[new]
-            names = [joined[a:b] for a, b in zip(starts[where].tolist(), ends[where].tolist())]
-            self._learn([hashes[i] for i in new], names)
-        return np.array([known[h] for h in hashes], np.int64)[code]
+        hashes = texts.span_hashes(points, starts, ends)
+        places = self._place[_slots(hashes)]
+        new = np.flatnonzero((places < 0) | (self._hash[places] != hashes))
+        if not len(new):
+            return places
+        code, distinct = pd.factorize(hashes[new])
+        if self._learned and (self._learned + len(distinct) > KNOWN_PIECES or self._used > KNOWN_IDS):
+            self._forget()
+            return self._places(joined, points, starts, ends)
+        first = np.zeros(len(distinct), np.int64)
+        first[code[::-1]] = np.arange(len(code) - 1, -1, -1)
+        where = new[first]
+        names = [joined[a:b] for a, b in zip(starts[where].tolist(), ends[where].tolist())]
+        places[new] = self._learn(distinct, names)[code]
+        return places
 
     def encode(self, values: list[str]) -> Iterator[np.ndarray]:
         """Ids of each text, in order."""
@@ -120,6 +136,10 @@ class PieceEncoder:
                     yield np.array(self._whole([values[part.first + i]])[0], np.int32)
 
 
+def _slots(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
 def held(pool: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
     """The pool with `more` behind its used part, larger if it was full."""
     if used + len(more) > len(pool):
@@ -148,13 +168,19 @@ def compress(ids: np.ndarray, starts: np.ndarray, first: int, least_uses: int =
     last[starts[1:][starts[1:] > 0] - 1] = True
     rules: list[np.ndarray] = []
     n_rules = 0
-    bits = max(10, min(20, int(len(ids)).bit_length()))
+    bits = max(10, min(PAIR_BITS, int(len(ids)).bit_length()))
     while len(symbols) > 1 and first + n_rules < SYMBOLS:
-        pairs = symbols[:-1].astype(np.uint64) << np.uint64(32) | symbols[1:].astype(np.uint64)
-        # a count per hash leaves out most rare pairs before exact counting
-        spots = ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
-        spots[last[:-1]] = 0
-        often = np.flatnonzero((np.bincount(spots, minlength=1 << bits) >= least_uses)[spots] & ~last[:-1])
+        # symbols have 16 bits
+        halves = symbols.view(np.uint32)
+        pairs = halves[:-1] << np.uint32(16) | halves[1:]
+        # a count per hash is no less than that of its pairs, so it leaves out most that are too rare before exact counting
+        spots = ((pairs * np.uint32(0x9E3779B1)) >> np.uint32(32 - bits)).astype(np.int64)
+        counts = np.bincount(spots, minlength=1 << bits)
+        # the best pair has no fewer uses than any pair of the fullest hash
+        fullest = np.flatnonzero(spots == counts.argmax())
+        fullest = np.unique(pairs[fullest[~last[fullest]]], return_counts=True)[1].max(initial=0)
+        often = np.flatnonzero((counts >= max(least_uses, -(-int(fullest) // ROUND_SHARE)))[spots])
+        often = often[~last[often]]
         if not len(often):
             break
         code, distinct = pd.factorize(pairs[often])
@@ -175,7 +201,7 @@ def compress(ids: np.ndarray, starts: np.ndarray, first: int, least_uses: int =
         even = (np.arange(len(at)) - np.repeat(run, np.diff(run, append=len(at)))) % 2 == 0
         at, rule = at[even], rule[even]
         pair = distinct[chosen]
-        rules.append(np.stack([pair >> np.uint64(32), pair & np.uint64(0xFFFFFFFF)], 1).astype(np.int32))
+        rules.append(np.stack([pair >> np.uint32(16), pair & np.uint32(0xFFFF)], 1).astype(np.int32))
         symbols[at] = first + n_rules + rule
         n_rules += len(chosen)
         keep = np.ones(len(symbols), bool)

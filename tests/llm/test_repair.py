@@ -1,6 +1,7 @@
 """Token files: round trips, random access, digests."""
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -26,6 +27,52 @@ def test_grammar_round_trip_and_random_access():
                 assert np.array_equal(shard.stretch(i, a, b), doc[a:b])
 
 
+def plain_rules(docs, first, least_uses):
+    """The rules by exact counts of all pairs, with loops."""
+    docs, rules = [d.tolist() for d in docs], []
+    while True:
+        uses = Counter(pair for d in docs for pair in zip(d, d[1:]))
+        best = max(uses.values(), default=0)
+        if best < least_uses:
+            return rules
+        # a counter keeps the order of first uses, which the sort keeps among equal counts
+        chosen = [pair for pair, n in uses.most_common() if n >= max(least_uses, -(-best // repair.ROUND_SHARE))]
+        number = {pair: first + len(rules) + i for i, pair in enumerate(chosen)}
+        rules += chosen
+        for k, d in enumerate(docs):
+            # of chosen pairs that overlap, every second one is replaced
+            taken, i = set(), 0
+            while i < len(d) - 1:
+                if (d[i], d[i + 1]) in number:
+                    taken.add(i)
+                    i += 1
+                i += 1
+            docs[k] = [number[(x, d[i + 1])] if i in taken else x for i, x in enumerate(d) if i - 1 not in taken]
+
+
+def test_rules_equal_those_of_exact_counts(monkeypatch):
+    rng = np.random.default_rng(3)
+    docs = [rng.zipf(1.5, 300).clip(0, 400).astype(np.int32) for _ in range(20)]
+    starts = np.concatenate([[0], np.cumsum([len(d) for d in docs])])
+    for bits in (10, repair.PAIR_BITS):
+        monkeypatch.setattr(repair, "PAIR_BITS", bits)
+        grammar = repair.compress(np.concatenate(docs), starts, 401, least_uses=8)
+        assert grammar.rules.tolist() == [list(pair) for pair in plain_rules(docs, 401, 8)] and len(grammar.rules) > 20
+
+
+def test_pieces_that_share_a_slot_and_long_ones(monkeypatch):
+    monkeypatch.setattr(repair, "SLOT_BITS", 3)
+    monkeypatch.setattr(repair, "KNOWN_IDS", 2000)
+    rng = np.random.default_rng(5)
+    values = [" ".join(f"{chr(97 + int(x) % 26) * (1 + int(x) % 5)}q" for x in rng.integers(0, 130, 200)) for _ in range(20)]
+    values += ["".join(chr(97 + x) for x in rng.integers(0, 26, 3000)) + " end" for _ in range(20)]
+    known, library = repair.PieceEncoder(PATH), Tokenizer.from_file(PATH)
+    for value in [*values, *values[::-1]]:
+        assert next(known.encode([value])).tolist() == library.encode(value, add_special_tokens=False).ids
+        # what is kept is bounded by ids too, but for the last text's
+        assert known._used <= 2000 + 3000
+
+
 def test_symbols_stay_within_16_bits():
     ids = np.tile(np.arange(300, dtype=np.int32), 50)
     grammar = repair.compress(ids, np.array([0, len(ids)]), repair.SYMBOLS - 10, least_uses=2)
