@@ -121,7 +121,7 @@ def document_frequencies(documents: DataFrame) -> Frequencies:
     """The sketch over all documents; tasks send sparse counts, and what reaches the driver has a fixed size."""
     parts = texts.map_batches(documents.select("text"), _count_shingles, "chunk long, documents long, places binary, counts binary")
     chunks = SKETCH_ROWS << (SKETCH_BITS - CHUNK_BITS)
-    added = parts.repartition("chunk").mapInArrow(_add_chunks, "chunk long, documents long, counts binary")
+    added = texts.map_batches(parts.repartition("chunk"), _add_chunks, "chunk long, documents long, counts binary")
     counts = np.zeros((chunks, 1 << CHUNK_BITS), np.float32)
     n = 0
     # of a fixed size, and in one job: an iterator runs one per partition

@@ -117,7 +117,7 @@ class PieceEncoder:
     def encode(self, values: list[str]) -> Iterator[np.ndarray]:
         """Ids of each text, in order."""
         lowered = [t.lower() for t in values]
-        for part in texts.slices(lowered):
+        for part in texts.slices(lowered, texts.WORD_SLICE_CHARS):
             plain = pieces.plain_texts(part) & np.array(["<|" not in t for t in values[part.first:part.last]])
             starts, ends = pieces.cut(part.points, part.bounds, pieces.BARE)
             owner = np.searchsorted(part.bounds, starts, "right") - 1

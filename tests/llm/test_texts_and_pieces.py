@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -79,3 +80,27 @@ def test_words_are_hashed_by_small_slices():
     assert max(last - first for first, last, _, _ in parts) <= 3
     alone = [h for v in values for _, _, hashes, _ in texts.word_hashes([v]) for h in hashes.tolist()]
     assert [h for _, _, hashes, _ in parts for h in hashes.tolist()] == alone
+
+
+def test_a_task_reads_small_batches(spark):
+    def sizes(batches):
+        for batch in batches:
+            # the whole buffer, of which the batch may be a slice
+            yield pa.record_batch([pa.array([batch.column(0).buffers()[1].size])], names=["size"])
+
+    got = [r["size"] for r in texts.map_batches(spark.range(0, 5000, 1, 1), sizes, "size long").collect()]
+    assert len(got) == 5 and max(got) <= 8 * texts.BATCH_ROWS + 64
+
+
+def test_a_task_gives_its_memory_back(spark, monkeypatch):
+    class Given:
+        sparkSession = spark
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    calls = []
+    monkeypatch.setattr(texts, "release_memory", lambda: calls.append(1))
+    run = texts.map_batches(Given(), lambda batches: iter(batches), "id long")
+    batches = [pa.record_batch([pa.array(range(1500))], names=["id"])]
+    assert [b.num_rows for b in run(batches)] == [1000, 500] and calls == [1]
